@@ -74,3 +74,115 @@ ORACLE: dict[str, str] = {
         FROM lineitem GROUP BY 1
     """,
 }
+
+
+# --- baskets and itemsets ----------------------------------------------------
+
+REL_SQL = {
+    "order_type": "SELECT DISTINCT l_orderkey AS basket, p_type AS item FROM lineitem "
+                  "JOIN part ON l_partkey = p_partkey WHERE p_type IS NOT NULL",
+    "order_brand": "SELECT DISTINCT l_orderkey AS basket, p_brand AS item FROM lineitem "
+                   "JOIN part ON l_partkey = p_partkey WHERE p_brand IS NOT NULL",
+    "user_k": "SELECT DISTINCT user_id AS basket, json_extract_string(props, '$.k') AS item FROM events "
+              "WHERE user_id IS NOT NULL AND json_extract_string(props, '$.k') IS NOT NULL",
+    "k_users": "SELECT DISTINCT json_extract_string(props, '$.k') AS basket, CAST(user_id AS VARCHAR) AS item "
+               "FROM events WHERE user_id IS NOT NULL AND json_extract_string(props, '$.k') IS NOT NULL",
+    "cust_part": "SELECT DISTINCT o_custkey AS basket, l_partkey AS item FROM lineitem "
+                 "JOIN orders ON l_orderkey = o_orderkey",
+    "doc_word": "SELECT DISTINCT doc_id AS basket, w AS item FROM (SELECT doc_id, "
+                "unnest(regexp_split_to_array(lower(text), '\\s+')) AS w FROM documents) WHERE w <> ''",
+}
+
+
+def _levels_sql(base: str, sup_expr: str, kmax: int, out_support: bool = True) -> str:
+    """Frequent itemsets up to ``kmax`` by extending occurrence lists.
+
+    ``occ{k}`` holds ``(i1..ik, basket)`` for every frequent k-set and every
+    basket containing it; level k+1 extends each occurrence by a larger item
+    of the same basket.  A k-set is only reached through its frequent
+    (k-1)-prefix, which loses nothing (every subset of a frequent set is
+    frequent).
+    """
+    ctes = [f"b0 AS ({base})",
+            "b AS MATERIALIZED (SELECT basket, CAST(item AS VARCHAR) AS item FROM b0)",
+            f"s AS MATERIALIZED (SELECT {sup_expr} AS sup)",
+            "l1 AS MATERIALIZED (SELECT item AS i1, count(*) AS support FROM b GROUP BY item "
+            "HAVING count(*) >= (SELECT sup FROM s))",
+            "bf AS MATERIALIZED (SELECT b.* FROM b JOIN l1 ON b.item = l1.i1)",
+            "occ1 AS MATERIALIZED (SELECT item AS i1, basket FROM bf)"]
+    for k in range(2, kmax + 1):
+        prev = ", ".join(f"o.i{j}" for j in range(1, k))
+        cols = ", ".join(f"i{j}" for j in range(1, k + 1))
+        ext = (f"SELECT {prev}, x.item AS i{k}, o.basket FROM occ{k - 1} o "
+               f"JOIN bf x ON x.basket = o.basket AND x.item > o.i{k - 1}")
+        ctes.append(f"e{k} AS MATERIALIZED ({ext})")
+        ctes.append(f"l{k} AS MATERIALIZED (SELECT {cols}, count(*) AS support FROM e{k} "
+                    f"GROUP BY {cols} HAVING count(*) >= (SELECT sup FROM s))")
+        if k < kmax:
+            ctes.append(f"occ{k} AS MATERIALIZED (SELECT e.* FROM e{k} e SEMI JOIN l{k} USING ({cols}))")
+    parts = []
+    for k in range(1, kmax + 1):
+        key = " || ',' || ".join(f"i{j}" for j in range(1, k + 1))
+        sup_col = ", CAST(support AS BIGINT) AS support" if out_support else ""
+        parts.append(f"SELECT CAST({k} AS INTEGER) AS k, {key} AS itemset{sup_col} FROM l{k}")
+    return "WITH " + ",\n".join(ctes) + "\n" + "\nUNION ALL\n".join(parts)
+
+
+def _nb(rel: str, num: int, den: int) -> str:
+    return f"greatest(1, (SELECT count(DISTINCT basket) FROM ({rel})) * {num} // {den})"
+
+
+_MIN_BASKET = ("SELECT * FROM ({r}) WHERE basket IN (SELECT basket FROM ({r}) GROUP BY basket "
+               "HAVING count(*) > 3)").format(r=REL_SQL["order_type"])
+
+
+def _son_candidates_sql() -> str:
+    r = REL_SQL["order_type"]
+    sup = _nb(r, 24, 100)
+    local = f"greatest(1, ({sup}) // 4)"
+    per_chunk = []
+    for c in range(4):
+        base = f"SELECT * FROM ({r}) WHERE ((basket % 4) + 4) % 4 = {c}"
+        per_chunk.append(f"SELECT k, itemset FROM ({_levels_sql(base, local, 6, out_support=False)})")
+    return "SELECT DISTINCT k, itemset FROM (" + " UNION ALL ".join(per_chunk) + ")"
+
+
+def _bucket_ids(rel: str) -> str:
+    return (f"WITH b AS ({rel}), ids AS (SELECT item, row_number() OVER (ORDER BY item) - 1 AS id "
+            f"FROM (SELECT DISTINCT item FROM b)), t AS (SELECT basket, id FROM b JOIN ids USING (item)), "
+            f"bc AS (SELECT (((y.id - x.id) % 101) + 101) % 101 AS bucket, count(*) AS n_pairs "
+            f"FROM t x JOIN t y ON x.basket = y.basket AND x.id < y.id GROUP BY 1)")
+
+
+ORACLE.update({
+    "baskets_user": f"SELECT basket, count(*) AS size FROM ({REL_SQL['user_k']}) GROUP BY basket",
+    "baskets_item": f"SELECT item AS basket, count(*) AS size FROM ({REL_SQL['user_k']}) GROUP BY item",
+    "baskets_min_size": f"SELECT basket, count(*) AS size FROM ({_MIN_BASKET}) GROUP BY basket",
+    "dense_ids": """
+        SELECT 'p_type' AS attr, v AS value, row_number() OVER (ORDER BY v) - 1 AS idx
+        FROM (SELECT DISTINCT p_type AS v FROM part WHERE p_type IS NOT NULL)
+        UNION ALL
+        SELECT 'p_brand' AS attr, v AS value, row_number() OVER (ORDER BY v) - 1 AS idx
+        FROM (SELECT DISTINCT p_brand AS v FROM part WHERE p_brand IS NOT NULL)
+    """,
+    "freq_itemsets": _levels_sql(REL_SQL["order_type"], _nb(REL_SQL["order_type"], 12, 100), 6),
+    "freq_itemsets_brand": _levels_sql(REL_SQL["order_brand"], _nb(REL_SQL["order_brand"], 27, 1000), 4),
+    "freq_itemsets_transposed": _levels_sql(REL_SQL["k_users"], _nb(REL_SQL["k_users"], 3, 10), 5),
+    "freq_itemsets_min_basket": _levels_sql(_MIN_BASKET, _nb(_MIN_BASKET, 177, 1000), 6),
+    "bucket_counts": _bucket_ids(REL_SQL["user_k"]) + " SELECT bucket, n_pairs FROM bc",
+    "bucket_pairs": _bucket_ids(REL_SQL["user_k"]) + f""",
+        s AS (SELECT {_nb(REL_SQL['user_k'], 3, 10)} AS sup),
+        f AS (SELECT item, id FROM b JOIN ids USING (item) GROUP BY item, id HAVING count(*) >= (SELECT sup FROM s))
+        SELECT x.item AS a, y.item AS b FROM f x JOIN f y ON x.item < y.item
+        WHERE (((y.id - x.id) % 101) + 101) % 101 IN (SELECT bucket FROM bc WHERE n_pairs >= (SELECT sup FROM s))
+    """,
+    "son_candidates": _son_candidates_sql(),
+    "son_frequent": _levels_sql(REL_SQL["order_type"], _nb(REL_SQL["order_type"], 24, 100), 6),
+    "apriori_gen": f"""
+        WITH l AS ({_levels_sql(REL_SQL['user_k'], _nb(REL_SQL['user_k'], 3, 10), 2)}),
+        p AS (SELECT split_part(itemset, ',', 1) AS a, split_part(itemset, ',', 2) AS b FROM l WHERE k = 2)
+        SELECT x.a || ',' || x.b || ',' || y.b AS itemset
+        FROM p x JOIN p y ON x.a = y.a AND x.b < y.b
+        WHERE EXISTS (SELECT 1 FROM p z WHERE z.a = x.b AND z.b = y.b)
+    """,
+})

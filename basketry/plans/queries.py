@@ -109,3 +109,143 @@ QUERIES: dict[str, Query] = {
     "layout_by_key": layout_by_key,
     "layout_spark": layout_spark,
 }
+
+
+# --- baskets and itemsets ----------------------------------------------------
+from basketry.functions.formatting import itemset_key  # noqa: E402
+from basketry.operators import baskets as bk  # noqa: E402
+from basketry.operators import itemsets as fi  # noqa: E402
+from basketry.sources import relations as rel  # noqa: E402
+
+#: Fixed values.  Support thresholds as integer shares of the basket count
+#: (numerator, denominator): sup = n_baskets * num // den, so the queries
+#: keep their meaning at every scale factor.
+SUP_ORDER_TYPE = (12, 100)
+SUP_ORDER_BRAND = (27, 1000)
+SUP_USER_K = (3, 10)
+SUP_K_USERS = (3, 10)
+SUP_MIN_BASKET = (177, 1000)
+SUP_SON = (24, 100)
+MIN_BASKET_SIZE = 3
+SON_CHUNKS = 4
+TEST_BUCKETS = 101
+
+
+def _sup(inc: DataFrame, share: tuple[int, int]) -> int:
+    n = inc.select("basket").distinct().count()
+    return max(1, n * share[0] // share[1])
+
+
+def _levels_out(levels: DataFrame) -> DataFrame:
+    return levels.select(F.col("k").cast("int").alias("k"), itemset_key("items").alias("itemset"),
+                         F.col("support").cast("long").alias("support"))
+
+
+def baskets_user(spark, sf_dir):
+    return bk.basket_sizes(rel.user_k(spark, sf_dir))
+
+
+def baskets_item(spark, sf_dir):
+    return bk.basket_sizes(bk.transpose(rel.user_k(spark, sf_dir)))
+
+
+def baskets_min_size(spark, sf_dir):
+    inc = bk.with_min_size(rel.order_type(spark, sf_dir), MIN_BASKET_SIZE)
+    return bk.basket_sizes(inc)
+
+
+def dense_ids(spark, sf_dir):
+    part = _t(spark, sf_dir, "part")
+    out = None
+    for attr in ("p_type", "p_brand"):
+        ids = bk.dense_ids(part.select(F.col(attr).alias("item")).where(F.col("item").isNotNull()))
+        ids = ids.select(F.lit(attr).alias("attr"), F.col("item").alias("value"), "idx")
+        out = ids if out is None else out.unionByName(ids)
+    return out
+
+
+def freq_itemsets(spark, sf_dir):
+    inc = rel.order_type(spark, sf_dir)
+    return _levels_out(fi.frequent_itemsets(inc, _sup(inc, SUP_ORDER_TYPE)))
+
+
+def freq_itemsets_brand(spark, sf_dir):
+    inc = rel.order_brand(spark, sf_dir)
+    return _levels_out(fi.fpgrowth_itemsets(inc, _sup(inc, SUP_ORDER_BRAND)))
+
+
+def freq_itemsets_transposed(spark, sf_dir):
+    inc = bk.transpose(rel.user_k(spark, sf_dir))
+    return _levels_out(fi.frequent_itemsets(inc, _sup(inc, SUP_K_USERS)))
+
+
+def freq_itemsets_min_basket(spark, sf_dir):
+    inc = bk.with_min_size(rel.order_type(spark, sf_dir), MIN_BASKET_SIZE)
+    return _levels_out(fi.frequent_itemsets(inc, _sup(inc, SUP_MIN_BASKET), prefilter="bucket"))
+
+
+def bucket_counts(spark, sf_dir):
+    inc = fi.prepare(rel.user_k(spark, sf_dir))
+    ids = bk.dense_ids(inc, "item", "_id")
+    tagged = inc.join(ids, "item").select("basket", "_id")
+    return fi.bucket_counts(tagged, "_id", TEST_BUCKETS)
+
+
+def bucket_pairs(spark, sf_dir):
+    inc = fi.prepare(rel.user_k(spark, sf_dir))
+    sup = _sup(inc, SUP_USER_K)
+    ids = bk.dense_ids(inc, "item", "_id")
+    tagged = inc.join(ids, "item").select("basket", "_id")
+    hot = fi.bucket_counts(tagged, "_id", TEST_BUCKETS).where(F.col("n_pairs") >= sup).select("bucket")
+    l1 = fi.frequent_items(inc, sup).select(F.element_at("items", 1).alias("item"))
+    freq_ids = l1.join(ids, "item")
+    pairs = fi.apriori_pairs_with_ids(bk.dense_index(freq_ids.select("item", F.col("_id").alias("_g")),
+                                                     ["item"], "_id"), [])
+    # apriori_pairs_with_ids ranks on the frequent list; map back to global ids.
+    gid = freq_ids.select(F.col("item"), F.col("_id").alias("g"))
+    pairs = (pairs.join(gid.select(F.col("item").alias("a"), F.col("g").alias("ga")), "a")
+             .join(gid.select(F.col("item").alias("b"), F.col("g").alias("gb")), "b"))
+    pairs = pairs.withColumn("bucket", fi.pair_bucket(F.col("ga"), F.col("gb"), TEST_BUCKETS))
+    return pairs.join(hot, "bucket", "left_semi").select("a", "b")
+
+
+def _son_inputs(spark, sf_dir):
+    inc = rel.order_type(spark, sf_dir)
+    return inc, _sup(inc, SUP_SON)
+
+
+def son_candidates(spark, sf_dir):
+    inc, sup = _son_inputs(spark, sf_dir)
+    cands = fi.son_candidates(inc, sup, SON_CHUNKS, chunk=F.pmod(F.col("basket"), F.lit(SON_CHUNKS)))
+    return cands.select(F.col("k").cast("int").alias("k"), itemset_key("items").alias("itemset"))
+
+
+def son_frequent(spark, sf_dir):
+    inc, sup = _son_inputs(spark, sf_dir)
+    _, freq = fi.son(inc, sup, SON_CHUNKS, chunk=F.pmod(F.col("basket"), F.lit(SON_CHUNKS)))
+    return _levels_out(freq)
+
+
+def apriori_gen(spark, sf_dir):
+    inc = fi.prepare(rel.user_k(spark, sf_dir))
+    sup = _sup(inc, SUP_USER_K)
+    levels = fi.frequent_itemsets(inc, sup, max_k=2)
+    l2 = levels.where(F.col("k") == 2).select("items", "support")
+    return fi.apriori_gen(l2, 3).select(itemset_key("items").alias("itemset"))
+
+
+QUERIES.update({
+    "baskets_user": baskets_user,
+    "baskets_item": baskets_item,
+    "baskets_min_size": baskets_min_size,
+    "dense_ids": dense_ids,
+    "freq_itemsets": freq_itemsets,
+    "freq_itemsets_brand": freq_itemsets_brand,
+    "freq_itemsets_transposed": freq_itemsets_transposed,
+    "freq_itemsets_min_basket": freq_itemsets_min_basket,
+    "bucket_counts": bucket_counts,
+    "bucket_pairs": bucket_pairs,
+    "son_candidates": son_candidates,
+    "son_frequent": son_frequent,
+    "apriori_gen": apriori_gen,
+})

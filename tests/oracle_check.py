@@ -22,7 +22,11 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 def duck(sf_dir: str):
     import duckdb
 
+    import tempfile
+
     con = duckdb.connect()
+    con.execute(f"SET temp_directory='{tempfile.mkdtemp(prefix='duck-', dir='/tmp')}'")
+    con.execute("SET max_temp_directory_size='4GB'")
     for t in TABLES:
         p = f"{sf_dir}/{t}.parquet"
         if os.path.exists(p):
