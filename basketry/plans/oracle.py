@@ -186,3 +186,48 @@ ORACLE.update({
         WHERE EXISTS (SELECT 1 FROM p z WHERE z.a = x.b AND z.b = y.b)
     """,
 })
+
+
+# --- similarity --------------------------------------------------------------
+from basketry.functions.hashing import MINHASH_PRIME, minhash_params  # noqa: E402
+
+
+def _sig_sql(n_hashes: int = 60) -> str:
+    mins = ", ".join(f"min(({a} * x + {b}) % {MINHASH_PRIME}) AS m{i}"
+                     for i, (a, b) in enumerate(minhash_params(n_hashes)))
+    return (f"w AS MATERIALIZED ({REL_SQL['doc_word']}), "
+            "h AS (SELECT basket AS set_id, CAST(('0x' || substr(md5(item), 1, 7)) AS BIGINT) AS x FROM w), "
+            f"sig AS MATERIALIZED (SELECT set_id, {mins} FROM h GROUP BY set_id)")
+
+
+def _lsh_sql(n_hashes: int = 60, rows: int = 4) -> str:
+    band_sel = " UNION ALL ".join(
+        "SELECT set_id, {b} AS band, {ks} FROM sig".format(
+            b=b, ks=", ".join(f"m{b * rows + r} AS k{r}" for r in range(rows)))
+        for b in range(n_hashes // rows))
+    cond = " AND ".join(f"x.k{r} = y.k{r}" for r in range(rows))
+    return (_sig_sql(n_hashes) + f", bands AS MATERIALIZED ({band_sel}), "
+            f"cand AS MATERIALIZED (SELECT DISTINCT x.set_id AS id1, y.set_id AS id2 FROM bands x JOIN bands y "
+            f"ON x.band = y.band AND {cond} AND x.set_id < y.set_id)")
+
+
+_SIZES = "sz AS MATERIALIZED (SELECT basket AS set_id, count(*) AS n FROM w GROUP BY basket)"
+
+
+def _scored(pairs_inter: str) -> str:
+    return (f"SELECT i.id1, i.id2, i.inter / (s1.n + s2.n - i.inter) AS similarity FROM ({pairs_inter}) i "
+            "JOIN sz s1 ON s1.set_id = i.id1 JOIN sz s2 ON s2.set_id = i.id2 "
+            "WHERE i.inter / (s1.n + s2.n - i.inter) >= 0.5")
+
+
+ORACLE.update({
+    "jaccard_exact": f"WITH w AS MATERIALIZED ({REL_SQL['doc_word']}), {_SIZES} " + _scored(
+        "SELECT x.basket AS id1, y.basket AS id2, count(*) AS inter FROM w x JOIN w y "
+        "ON x.item = y.item AND x.basket < y.basket GROUP BY 1, 2"),
+    "minhash_signatures": "WITH " + _sig_sql() + " SELECT set_id AS doc_id, concat_ws(',', "
+                          + ", ".join(f"m{i}" for i in range(60)) + ") AS sig FROM sig",
+    "lsh_candidates": "WITH " + _lsh_sql() + " SELECT id1, id2 FROM cand",
+    "similar_pairs": "WITH " + _lsh_sql() + f", {_SIZES} " + _scored(
+        "SELECT c.id1, c.id2, count(*) AS inter FROM cand c JOIN w x ON x.basket = c.id1 "
+        "JOIN w y ON y.basket = c.id2 AND y.item = x.item GROUP BY 1, 2"),
+})

@@ -249,3 +249,44 @@ QUERIES.update({
     "son_frequent": son_frequent,
     "apriori_gen": apriori_gen,
 })
+
+
+# --- similarity --------------------------------------------------------------
+from basketry.operators import similarity as sim  # noqa: E402
+
+#: Fixed values.  Jaccard threshold, signature length and rows per band of
+#: the registered similarity queries.
+JACCARD_T = 0.5
+N_HASHES = 60
+BAND_ROWS = 4
+
+
+def _doc_sets(spark, sf_dir):
+    return sim.prepare(rel.doc_word(spark, sf_dir))
+
+
+def jaccard_exact(spark, sf_dir):
+    return sim.jaccard_exact(_doc_sets(spark, sf_dir), JACCARD_T)
+
+
+def minhash_signatures(spark, sf_dir):
+    sigs = sim.signatures(_doc_sets(spark, sf_dir), N_HASHES)
+    return sigs.select(F.col("set_id").alias("doc_id"),
+                       F.array_join(F.transform("sig", lambda v: v.cast("string")), ",").alias("sig"))
+
+
+def lsh_candidates(spark, sf_dir):
+    sigs = sim.signatures(_doc_sets(spark, sf_dir), N_HASHES)
+    return sim.lsh_candidates(sim.bands(sigs, BAND_ROWS, N_HASHES))
+
+
+def similar_pairs(spark, sf_dir):
+    return sim.similar_pairs(_doc_sets(spark, sf_dir), JACCARD_T, N_HASHES, BAND_ROWS)
+
+
+QUERIES.update({
+    "jaccard_exact": jaccard_exact,
+    "minhash_signatures": minhash_signatures,
+    "lsh_candidates": lsh_candidates,
+    "similar_pairs": similar_pairs,
+})
