@@ -231,3 +231,56 @@ ORACLE.update({
         "SELECT c.id1, c.id2, count(*) AS inter FROM cand c JOIN w x ON x.basket = c.id1 "
         "JOIN w y ON y.basket = c.id2 AND y.item = x.item GROUP BY 1, 2"),
 })
+
+
+# --- graph -------------------------------------------------------------------
+_EDGES = (f"w AS MATERIALIZED ({REL_SQL['cust_part']}), "
+          "e AS MATERIALIZED (SELECT x.basket AS src, y.basket AS dst, count(*) AS shared FROM w x JOIN w y "
+          "ON x.item = y.item AND x.basket < y.basket GROUP BY 1, 2 HAVING count(*) >= 7), "
+          "adj AS MATERIALIZED (SELECT src, dst FROM e UNION ALL SELECT dst, src FROM e), "
+          "nodes AS MATERIALIZED (SELECT src AS node FROM e UNION SELECT dst FROM e)")
+
+
+def _components_sql(edge_cte: str) -> str:
+    """Recursive reachability over ``edge_cte``; every node of ``nodes`` labelled."""
+    return (f"ra AS (SELECT src, dst FROM {edge_cte} UNION ALL SELECT dst, src FROM {edge_cte}), "
+            "r(node, root) AS (SELECT node, node FROM nodes UNION "
+            "SELECT ra.dst, r.root FROM r JOIN ra ON ra.src = r.node), "
+            "lab AS (SELECT node, min(root) AS component FROM r GROUP BY node)")
+
+
+def _bfs_sql(levels: int = 48) -> str:
+    ctes = ["f0 AS MATERIALIZED (SELECT node AS s, node, CAST(1 AS DOUBLE) AS sigma FROM nodes)"]
+    for d in range(1, levels + 1):
+        anti = f"NOT EXISTS (SELECT 1 FROM f{d - 1} p WHERE p.s = f.s AND p.node = a.dst)"
+        if d >= 2:
+            anti += f" AND NOT EXISTS (SELECT 1 FROM f{d - 2} q WHERE q.s = f.s AND q.node = a.dst)"
+        ctes.append(f"f{d} AS MATERIALIZED (SELECT f.s, a.dst AS node, sum(f.sigma) AS sigma "
+                    f"FROM f{d - 1} f JOIN adj a ON a.src = f.node WHERE {anti} GROUP BY 1, 2)")
+    union = " UNION ALL ".join(f"SELECT s, node, {d} AS dist, sigma FROM f{d}" for d in range(levels + 1))
+    ctes.append(f"D AS MATERIALIZED ({union})")
+    ctes.append("eb AS MATERIALIZED (SELECT least(a.src, a.dst) AS src, greatest(a.src, a.dst) AS dst, "
+                "sum(x.sigma * y.sigma / st.sigma) / 2 AS b FROM adj a "
+                "JOIN D x ON x.node = a.src JOIN D y ON y.s = a.dst "
+                "JOIN D st ON st.s = x.s AND st.node = y.node AND st.dist = x.dist + 1 + y.dist GROUP BY 1, 2)")
+    return ", ".join(ctes)
+
+
+ORACLE.update({
+    "shared_item_edges": f"WITH {_EDGES} SELECT src, dst, shared FROM e",
+    "components": f"WITH RECURSIVE {_EDGES}, {_components_sql('e')} SELECT node, component FROM lab",
+    "edge_betweenness": f"WITH {_EDGES}, {_bfs_sql()} SELECT src, dst, round(b, 4) AS betweenness FROM eb",
+    "split_round": (f"WITH RECURSIVE {_EDGES}, {_bfs_sql()}, "
+                    "rem AS MATERIALIZED (SELECT e.src, e.dst FROM e JOIN eb USING (src, dst) "
+                    "WHERE eb.b < (SELECT max(b) FROM eb) * (1 - 1e-9)), "
+                    f"{_components_sql('rem')} SELECT node, component FROM lab"),
+    "modularity": (f"WITH RECURSIVE {_EDGES}, {_components_sql('e')}, "
+                   "m AS (SELECT count(*) AS m FROM e), "
+                   "deg AS (SELECT src AS node, count(*) AS deg FROM adj GROUP BY 1), "
+                   "ins AS (SELECT l1.component AS c, count(*) AS l FROM e JOIN lab l1 ON l1.node = e.src "
+                   "JOIN lab l2 ON l2.node = e.dst WHERE l1.component = l2.component GROUP BY 1), "
+                   "dc AS (SELECT component AS c, sum(deg) AS d FROM deg JOIN lab USING (node) GROUP BY 1) "
+                   "SELECT round(sum(coalesce(ins.l, 0) / (SELECT m FROM m) "
+                   "- pow(dc.d / (2 * (SELECT m FROM m)), 2)), 9) AS modularity "
+                   "FROM dc LEFT JOIN ins USING (c)"),
+})

@@ -290,3 +290,54 @@ QUERIES.update({
     "lsh_candidates": lsh_candidates,
     "similar_pairs": similar_pairs,
 })
+
+
+# --- graph -------------------------------------------------------------------
+from basketry.operators import graph as gr  # noqa: E402
+
+#: Fixed values.  Shared-part threshold of the customer graph and the round
+#: cap of the registered community query.
+EDGE_THRE = 7
+COMMUNITY_ROUNDS = 3
+
+
+def _cust_graph(spark, sf_dir):
+    return gr.shared_item_edges(rel.cust_part(spark, sf_dir), EDGE_THRE)
+
+
+def shared_item_edges(spark, sf_dir):
+    return _cust_graph(spark, sf_dir)
+
+
+def components(spark, sf_dir):
+    return gr.connected_components(_cust_graph(spark, sf_dir).select("src", "dst"))
+
+
+def edge_betweenness(spark, sf_dir):
+    eb = gr.edge_betweenness(_cust_graph(spark, sf_dir).select("src", "dst"))
+    return eb.select("src", "dst", F.round("betweenness", 4).alias("betweenness"))
+
+
+def split_round(spark, sf_dir):
+    _, labels = gr.split_round(_cust_graph(spark, sf_dir).select("src", "dst"))
+    return labels
+
+
+def modularity(spark, sf_dir):
+    edges = _cust_graph(spark, sf_dir).select("src", "dst")
+    q = gr.modularity(edges, gr.connected_components(edges))
+    return q.select(F.round("modularity", 9).alias("modularity"))
+
+
+def communities(spark, sf_dir):
+    return gr.communities(_cust_graph(spark, sf_dir).select("src", "dst"), max_rounds=COMMUNITY_ROUNDS)
+
+
+QUERIES.update({
+    "shared_item_edges": shared_item_edges,
+    "components": components,
+    "edge_betweenness": edge_betweenness,
+    "split_round": split_round,
+    "modularity": modularity,
+    "communities": communities,
+})
