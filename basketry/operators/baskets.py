@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketry.session import broadcast_if_small, keep
+from basketry.session import broadcast_if_small, fits, keep
 
 
 def baskets(df: DataFrame, basket: str, item: str) -> DataFrame:
@@ -72,3 +72,26 @@ def dense_ids(inc: DataFrame, col: str = "item", name: str = "idx") -> DataFrame
 def restrict_items(inc: DataFrame, items: DataFrame) -> DataFrame:
     """Keep incidence rows whose item is in ``items`` (semi join, size-checked broadcast)."""
     return inc.join(broadcast_if_small(items.select("item").distinct()), "item", "left_semi")
+
+
+#: Row bound under which a ranking window may run in one task per group.
+SMALL_RANK_ROWS = 200_000
+
+
+def rank_within(df: DataFrame, keys: list[str], order: str, name: str = "_r",
+                size_name: str = "_m") -> DataFrame:
+    """0-based rank of ``order`` inside each ``keys`` group, plus the group size.
+
+    When ``df`` has at most ``SMALL_RANK_ROWS`` rows (checked) a window does
+    it; otherwise a distributed dense index over ``keys + [order]`` is taken
+    and each group's first index subtracted, so no group is ranked in a
+    single task.  Keys + order must be unique.
+    """
+    if fits(df, SMALL_RANK_ROWS):
+        w = Window.partitionBy(*keys).orderBy(order)
+        return (df.withColumn(name, F.row_number().over(w) - 1)
+                .withColumn(size_name, F.count(F.lit(1)).over(Window.partitionBy(*keys))))
+    ranked = dense_index(df, keys + [order], "_i")
+    starts = ranked.groupBy(*keys).agg(F.min("_i").alias("_s"), F.count(F.lit(1)).alias(size_name))
+    return (ranked.join(starts, keys)
+            .withColumn(name, F.col("_i") - F.col("_s")).drop("_i", "_s"))

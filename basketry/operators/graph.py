@@ -83,14 +83,13 @@ def connected_components(edges: DataFrame, nodes: DataFrame | None = None,
         via = (adj.join(labels.select(F.col("node").alias("src"), "label"), "src")
                .groupBy(F.col("dst").alias("node")).agg(F.min("label").alias("nl")))
         step = (labels.join(via, "node", "left")
-                .select("node", F.least("label", F.coalesce("nl", "label")).alias("label")))
+                .select("node", F.col("label").alias("old"),
+                        F.least("label", F.coalesce("nl", "label")).alias("label")))
         jumped = (step.join(step.select(F.col("node").alias("label"), F.col("label").alias("l2")), "label", "left")
-                  .select("node", F.least("label", F.coalesce("l2", "label")).alias("label")))
-        new = cut_lineage(jumped)
-        changed = new.join(labels.select("node", F.col("label").alias("old")), "node").where(
-            F.col("label") != F.col("old")).limit(1).count()
-        labels = new
-        if changed == 0:
+                  .select("node", "old", F.least("label", F.coalesce("l2", "label")).alias("label")))
+        new = cut_lineage(jumped.select("node", "label", (F.col("label") != F.col("old")).alias("changed")))
+        labels = new.select("node", "label")
+        if new.where("changed").limit(1).count() == 0:
             break
     return labels.select("node", F.col("label").alias("component"))
 

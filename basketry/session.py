@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -58,14 +59,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the reliable checkpoint folder.
+    """Write ``df`` as a Parquet table under the checkpoint folder; read it back.
 
     Used once per round of an iterative operator so that plans and lineage do
-    not grow with the number of rounds, and so that a lost executor does not
-    force a replay of every earlier round.
+    not grow with the number of rounds, and so that a lost executor never
+    forces a replay of earlier rounds.  Unlike ``Dataset.checkpoint`` (which
+    runs the plan once for the action and again to write the files), the
+    plan runs exactly once; the table is columnar and carries row counts.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/basketry-tables/{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
 
 
 def keep(df: DataFrame) -> DataFrame:
