@@ -54,15 +54,16 @@ def shared_item_edges(inc: DataFrame, thre: int, user: str = "basket", item: str
     candidate pairs (the most common items rarely do); each candidate's
     overlap is then counted exactly on the full sets.
     """
-    from basketry.operators.similarity import overlap_prefix_rows, overlaps, prepare
+    from basketry.operators.similarity import prefix_overlap_join, prepare
 
     sets = keep(prepare(inc, user, item))
-    pre = keep(overlap_prefix_rows(sets, thre).select("set_id", "elem"))
-    a = pre.select(F.col("set_id").alias("id1"), "elem")
-    b = pre.select(F.col("set_id").alias("id2"), "elem")
-    cands = a.join(b, "elem").where(F.col("id1") < F.col("id2")).select("id1", "id2").distinct()
-    shared = overlaps(cands, sets).where(F.col("inter") >= thre)
-    return shared.select(F.col("id1").alias("src"), F.col("id2").alias("dst"), F.col("inter").alias("shared"))
+    joined = prefix_overlap_join(
+        sets,
+        prefix_len=lambda n: n - F.lit(thre) + 1,
+        required=lambda n1, n2: F.lit(thre),
+        size_ok=lambda n1, n2: (n1 >= thre) & (n2 >= thre))
+    return joined.where(F.col("inter") >= thre).select(
+        F.col("id1").alias("src"), F.col("id2").alias("dst"), F.col("inter").alias("shared"))
 
 
 # --- components ------------------------------------------------------------------
@@ -76,6 +77,7 @@ def connected_components(edges: DataFrame, nodes: DataFrame | None = None,
     (pointer jumping), which halves path-like chains.  Stops when no label
     changes.  ``nodes`` adds isolated nodes (their own component).
     """
+    edges = cut_lineage(normalize_edges(edges))
     adj = keep(adjacency(edges))
     base = nodes_of(edges) if nodes is None else nodes.select("node").unionByName(nodes_of(edges)).distinct()
     labels = cut_lineage(base.select("node", F.col("node").alias("label")))
@@ -131,7 +133,7 @@ def edge_betweenness(edges: DataFrame, sources: DataFrame | None = None) -> Data
     of its credits.  Credits are pre-aggregated per edge at every level.
     With ``sources`` (all nodes by default) the sum runs over those sources.
     """
-    edges = normalize_edges(edges)
+    edges = cut_lineage(normalize_edges(edges))
     adj = broadcast_if_small(keep(adjacency(edges)))
     levels = bfs_levels(edges, sources)
     per_level = []
@@ -169,7 +171,7 @@ def modularity(edges: DataFrame, labels: DataFrame) -> DataFrame:
     ``edges`` is the graph the score refers to (the original one in
     Girvan-Newman); ``labels`` maps every node to a community.
     """
-    edges = normalize_edges(edges)
+    edges = cut_lineage(normalize_edges(edges))
     lab = labels.select("node", F.col("component").alias("c"))
     m = edges.agg(F.count(F.lit(1)).alias("m"))
     inside = (edges.join(lab.select(F.col("node").alias("src"), F.col("c").alias("c1")), "src")
@@ -192,7 +194,7 @@ def remove_top_edges(current: DataFrame, eb: DataFrame) -> DataFrame:
 
 def split_round(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
     """One Girvan-Newman round: ``(remaining_edges, labels)``."""
-    edges = normalize_edges(edges)
+    edges = cut_lineage(normalize_edges(edges))
     nodes = nodes_of(edges)
     eb = keep(edge_betweenness(edges))
     remaining = cut_lineage(remove_top_edges(edges, eb))

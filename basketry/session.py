@@ -98,3 +98,16 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFra
     from pyspark.sql import functions as F
 
     return F.broadcast(df) if fits(df, max_rows) else df
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin ``df`` over the default parallelism if it has fewer partitions.
+
+    For CPU-heavy per-row work (tokenizing whole texts) right after a scan
+    that yields few splits (a small file with one row group).  On inputs of
+    many files it returns ``df`` unchanged, adding no shuffle.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df

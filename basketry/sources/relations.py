@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketry.functions.text import words
+from basketry.session import spread
 from basketry.sources.readers import read_table
 
 
@@ -58,7 +59,7 @@ def cust_part(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def doc_word(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = spread(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return (docs.select(F.col("doc_id").alias("basket"), F.explode(words("text")).alias("item"))
             .distinct())
 
