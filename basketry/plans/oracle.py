@@ -284,3 +284,29 @@ ORACLE.update({
                    "- pow(dc.d / (2 * (SELECT m FROM m)), 2)), 9) AS modularity "
                    "FROM dc LEFT JOIN ins USING (c)"),
 })
+
+
+# --- reports -----------------------------------------------------------------
+
+def _tuple_sql(col: str) -> str:
+    return f"'(''' || replace({col}, ',', ''', ''') || ''')'"
+
+
+def _itemset_report_sql() -> str:
+    cands = ORACLE["son_candidates"]
+    freq = ORACLE["son_frequent"]
+    return (f"SELECT section, k, 0 AS part, string_agg({_tuple_sql('itemset')}, ',' ORDER BY itemset) AS line "
+            f"FROM (SELECT 'Candidates' AS section, k, itemset FROM ({cands}) UNION ALL "
+            f"SELECT 'Frequent Itemsets' AS section, k, itemset FROM ({freq})) GROUP BY section, k")
+
+
+ORACLE.update({
+    "itemset_report": _itemset_report_sql(),
+    "pair_report": ("SELECT id1, id2, CAST(id1 AS VARCHAR) || ',' || CAST(id2 AS VARCHAR) || ',' "
+                    f"|| CAST(similarity AS VARCHAR) AS line FROM ({ORACLE['similar_pairs']})"),
+    "edge_report": ("SELECT src, dst, betweenness, '(''' || CAST(src AS VARCHAR) || ''', ''' || CAST(dst AS VARCHAR) "
+                    f"|| '''), ' || CAST(betweenness AS VARCHAR) AS line FROM ({ORACLE['edge_betweenness']})"),
+    "community_report": ("SELECT component AS community, count(*) AS size, 0 AS part, "
+                         "string_agg('''' || CAST(node AS VARCHAR) || '''', ', ' ORDER BY node) AS line "
+                         f"FROM ({ORACLE['components']}) GROUP BY component"),
+})

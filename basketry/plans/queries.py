@@ -341,3 +341,34 @@ QUERIES.update({
     "modularity": modularity,
     "communities": communities,
 })
+
+
+# --- reports (sinks) -----------------------------------------------------------
+from basketry.sources import sinks  # noqa: E402
+
+
+def itemset_report(spark, sf_dir):
+    inc, sup = _son_inputs(spark, sf_dir)
+    cands, freq = fi.son(inc, sup, SON_CHUNKS, chunk=F.pmod(F.col("basket"), F.lit(SON_CHUNKS)))
+    return sinks.itemset_report(cands, freq)
+
+
+def pair_report(spark, sf_dir):
+    return sinks.pair_lines(similar_pairs(spark, sf_dir)).select("id1", "id2", "line")
+
+
+def edge_report(spark, sf_dir):
+    return sinks.edge_lines(edge_betweenness(spark, sf_dir))
+
+
+def community_report(spark, sf_dir):
+    labels = components(spark, sf_dir)
+    return sinks.community_lines(labels, "component")
+
+
+QUERIES.update({
+    "itemset_report": itemset_report,
+    "pair_report": pair_report,
+    "edge_report": edge_report,
+    "community_report": community_report,
+})
