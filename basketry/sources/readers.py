@@ -57,13 +57,16 @@ def read_businesses(spark: SparkSession, path: str, mode: str = "FAILFAST") -> D
 
 def read_interactions_csv(spark: SparkSession, path: str,
                           schema: T.StructType = INTERACTION_SCHEMA) -> DataFrame:
-    """CSV with a header line; columns are taken by name, extras ignored.
+    """CSV with a header line; the schema's columns are taken by name, extras ignored.
 
-    Rows with a null id are dropped: an interaction needs both ends.
+    Without ``inferSchema`` every column reads as a string (no extra pass over
+    the data); the named columns are then cast to the schema's types.  Rows
+    with a null id are dropped: an interaction needs both ends.
     """
-    raw = spark.read.option("header", True).option("enforceSchema", False).schema(schema).csv(path)
+    raw = spark.read.option("header", True).csv(path)
     names = [f.name for f in schema.fields]
-    return raw.select(*names).dropna(subset=names)
+    cols = [F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]
+    return raw.select(*cols).dropna(subset=names)
 
 
 def parse_json_column(df: DataFrame, column: str, schema: T.StructType | str,
