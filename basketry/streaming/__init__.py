@@ -1,0 +1,6 @@
+from basketry.streaming.activity import (  # noqa: F401
+    interaction_stream,
+    key_counts,
+    snapshot_report,
+    start_counts,
+)

@@ -1,0 +1,33 @@
+"""Streaming activity counts equal the batch report on the events table."""
+
+import os
+
+from pyspark.sql import functions as F
+
+from basketry.operators import reports
+from basketry.sources.readers import read_table
+from basketry.streaming import interaction_stream, key_counts, snapshot_report, start_counts
+
+from conftest import SF_SMALL
+
+
+def test_stream_counts_equal_batch(spark, scratch):
+    events = read_table(spark, SF_SMALL, "events").select("user_id", "ts")
+    src = os.path.join(scratch, "src")
+    os.makedirs(src)
+    # the stream reads the events table through a folder of its own
+    os.symlink(os.path.join(SF_SMALL, "events.parquet"), os.path.join(src, "events.parquet"))
+    stream = interaction_stream(spark, src, events.schema)
+    q = start_counts(key_counts(stream, "user_id", "ts", 2024), os.path.join(scratch, "ckpt"),
+                     name="activity_counts_test")
+    try:
+        q.processAllAvailable()
+        table = spark.sql("SELECT * FROM activity_counts_test")
+        got = snapshot_report(table, "user_id", 5).first()
+    finally:
+        q.stop()
+    batch = reports.kpi_report(events.withColumn("item", F.lit(1)), "user_id", "item", "ts", 2024, 5).first()
+    assert got["n_rows"] == batch["n_review"]
+    assert got["n_year"] == batch["n_review_year"]
+    assert got["n_keys"] == batch["n_user"]
+    assert [(r["id"], r["n"]) for r in got["top"]] == [(r["id"], r["n"]) for r in batch["top10_user"]]
