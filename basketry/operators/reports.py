@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from basketry.session import cut_lineage
+
 
 def counts_by(df: DataFrame, key: str, alias: str = "n") -> DataFrame:
     """Rows per key (``reduceByKey(+)`` shape): partial + final aggregate."""
@@ -53,17 +55,24 @@ def kpi_report(df: DataFrame, user: str, item: str, ts: str, year: int, k: int =
     ``year``), ``n_user`` / ``n_business`` (distinct users / items),
     ``top10_user`` / ``top10_business`` (top-k arrays of ``struct<id, n>``).
 
-    Plan: one scan feeds the totals; the per-user and per-item counts are
-    each one partial/final aggregate, shared by the distinct count and the
-    top-k through scalar subqueries (no cross join, no driver round trip).
-    The year test is a range on ``ts`` so it can be pushed into the scan.
+    Plan: one scan and one grouping-sets aggregate ``((user), (item), ())``
+    with partial aggregation, written once as a table (its size is the
+    number of distinct users + items, far below the input); every figure of
+    the report is read from it through scalar subqueries.  No cross join,
+    no second pass over the input, no driver round trip.  The year test is
+    a range on ``ts``.  Runs the aggregate when called.
     """
     in_year = (F.col(ts) >= F.lit(f"{year}-01-01").cast("timestamp_ntz")) & (
         F.col(ts) < F.lit(f"{year + 1}-01-01").cast("timestamp_ntz"))
-    per_user = counts_by(df, user)
-    per_item = counts_by(df, item)
-    totals = df.agg(F.count(F.lit(1)).alias("n_review"),
-                    F.count_if(in_year).alias("n_review_year"))
+    sets = (df.select(user, item, in_year.alias("_y"))
+            .groupingSets([[user], [item], []], user, item)
+            .agg(F.count(F.lit(1)).alias("n"), F.count_if("_y").alias("n_year"),
+                 F.grouping_id().alias("_g")))
+    sets = cut_lineage(sets)
+    # grouping_id: (user) -> 1, (item) -> 2, () -> 3
+    per_user = sets.where((F.col("_g") == 1) & F.col(user).isNotNull()).select(user, "n")
+    per_item = sets.where((F.col("_g") == 2) & F.col(item).isNotNull()).select(item, "n")
+    totals = sets.where(F.col("_g") == 3).select(F.col("n").alias("n_review"), F.col("n_year").alias("n_review_year"))
     return totals.select(
         "n_review", "n_review_year",
         per_user.agg(F.count(F.lit(1))).scalar().alias("n_user"),
