@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketry.session import broadcast_if_small, fits, keep
+from basketry.session import Scope, broadcast_if_small, cut_lineage, fits, keep
 
 
 def baskets(df: DataFrame, basket: str, item: str) -> DataFrame:
@@ -51,17 +51,19 @@ def dense_index(df: DataFrame, order_cols: list[str], name: str = "idx",
             .withColumn("_pid", F.spark_partition_id())
             .withColumn("_pos", F.monotonically_increasing_id()))
     # The position encodes (partition << 33) + row number within the partition;
-    # persist so that the sizes and the rows see the same layout.
-    laid = keep(laid.withColumn("_pos", F.col("_pos") - F.shiftleft(F.col("_pid").cast("long"), 33)))
-    sizes = laid.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = sizes.select(
-        "_pid",
-        (F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1))
-         ).alias("_off"))
-    out = (laid.join(F.broadcast(offsets), "_pid")  # one row per partition
-           .withColumn(name, F.coalesce(F.col("_off"), F.lit(0)) + F.col("_pos"))
-           .drop("_pid", "_pos", "_off"))
-    return out
+    # persisted so that the sizes and the rows see the same layout, then the
+    # result is written so that it no longer depends on the cache.
+    with Scope() as scope:
+        laid = scope.keep(laid.withColumn("_pos", F.col("_pos") - F.shiftleft(F.col("_pid").cast("long"), 33)))
+        sizes = laid.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+        offsets = sizes.select(
+            "_pid",
+            (F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1))
+             ).alias("_off"))
+        out = (laid.join(F.broadcast(offsets), "_pid")  # one row per partition
+               .withColumn(name, F.coalesce(F.col("_off"), F.lit(0)) + F.col("_pos"))
+               .drop("_pid", "_pos", "_off"))
+        return cut_lineage(out)
 
 
 def dense_ids(inc: DataFrame, col: str = "item", name: str = "idx") -> DataFrame:

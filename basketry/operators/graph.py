@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.session import broadcast_if_small, cut_lineage, keep
+from basketry.session import Scope, broadcast_if_small, cut_lineage
 
 #: Relative tolerance under which two betweenness values count as tied.
 TIE_TOLERANCE = 1e-9
@@ -56,12 +56,13 @@ def shared_item_edges(inc: DataFrame, thre: int, user: str = "basket", item: str
     """
     from basketry.operators.similarity import prefix_overlap_join, prepare
 
-    sets = keep(prepare(inc, user, item))
-    joined = prefix_overlap_join(
-        sets,
-        prefix_len=lambda n: n - F.lit(thre) + 1,
-        required=lambda n1, n2: F.lit(thre),
-        size_ok=lambda n1, n2: (n1 >= thre) & (n2 >= thre))
+    with Scope() as scope:
+        sets = scope.keep(prepare(inc, user, item))
+        joined = prefix_overlap_join(
+            sets,
+            prefix_len=lambda n: n - F.lit(thre) + 1,
+            required=lambda n1, n2: F.lit(thre),
+            size_ok=lambda n1, n2: (n1 >= thre) & (n2 >= thre))
     return joined.where(F.col("inter") >= thre).select(
         F.col("id1").alias("src"), F.col("id2").alias("dst"), F.col("inter").alias("shared"))
 
@@ -77,22 +78,23 @@ def connected_components(edges: DataFrame, nodes: DataFrame | None = None,
     (pointer jumping), which halves path-like chains.  Stops when no label
     changes.  ``nodes`` adds isolated nodes (their own component).
     """
-    edges = cut_lineage(normalize_edges(edges))
-    adj = keep(adjacency(edges))
-    base = nodes_of(edges) if nodes is None else nodes.select("node").unionByName(nodes_of(edges)).distinct()
-    labels = cut_lineage(base.select("node", F.col("node").alias("label")))
-    for _ in range(max_rounds):
-        via = (adj.join(labels.select(F.col("node").alias("src"), "label"), "src")
-               .groupBy(F.col("dst").alias("node")).agg(F.min("label").alias("nl")))
-        step = (labels.join(via, "node", "left")
-                .select("node", F.col("label").alias("old"),
-                        F.least("label", F.coalesce("nl", "label")).alias("label")))
-        jumped = (step.join(step.select(F.col("node").alias("label"), F.col("label").alias("l2")), "label", "left")
-                  .select("node", "old", F.least("label", F.coalesce("l2", "label")).alias("label")))
-        new = cut_lineage(jumped.select("node", "label", (F.col("label") != F.col("old")).alias("changed")))
-        labels = new.select("node", "label")
-        if new.where("changed").limit(1).count() == 0:
-            break
+    with Scope() as scope:
+        edges = cut_lineage(normalize_edges(edges))
+        adj = scope.keep(adjacency(edges))
+        base = nodes_of(edges) if nodes is None else nodes.select("node").unionByName(nodes_of(edges)).distinct()
+        labels = cut_lineage(base.select("node", F.col("node").alias("label")))
+        for _ in range(max_rounds):
+            via = (adj.join(labels.select(F.col("node").alias("src"), "label"), "src")
+                   .groupBy(F.col("dst").alias("node")).agg(F.min("label").alias("nl")))
+            step = (labels.join(via, "node", "left")
+                    .select("node", F.col("label").alias("old"),
+                            F.least("label", F.coalesce("nl", "label")).alias("label")))
+            jumped = (step.join(step.select(F.col("node").alias("label"), F.col("label").alias("l2")), "label", "left")
+                      .select("node", "old", F.least("label", F.coalesce("l2", "label")).alias("label")))
+            new = cut_lineage(jumped.select("node", "label", (F.col("label") != F.col("old")).alias("changed")))
+            labels = new.select("node", "label")
+            if new.where("changed").limit(1).count() == 0:
+                break
     return labels.select("node", F.col("label").alias("component"))
 
 
@@ -105,22 +107,23 @@ def bfs_levels(edges: DataFrame, sources: DataFrame | None = None) -> list[DataF
     undirected graph a neighbour of a level-(d-1) node lies at d-2, d-1 or d,
     so new nodes are found by anti joins with the two previous levels only.
     """
-    adj = broadcast_if_small(keep(adjacency(edges)))
-    srcs = nodes_of(edges) if sources is None else sources.select("node")
-    level = cut_lineage(srcs.select(F.col("node").alias("s"), "node", F.lit(1.0).alias("sigma")))
-    levels = [level]
-    prev2 = None
-    while True:
-        step = (level.join(adj.select(F.col("src").alias("node"), "dst"), "node")
-                .select("s", F.col("dst").alias("node"), "sigma"))
-        step = step.join(level.select("s", "node"), ["s", "node"], "left_anti")
-        if prev2 is not None:
-            step = step.join(prev2.select("s", "node"), ["s", "node"], "left_anti")
-        nxt = cut_lineage(step.groupBy("s", "node").agg(F.sum("sigma").alias("sigma")))
-        if nxt.limit(1).count() == 0:
-            break
-        levels.append(nxt)
-        prev2, level = level, nxt
+    with Scope() as scope:
+        adj = broadcast_if_small(scope.keep(adjacency(edges)))
+        srcs = nodes_of(edges) if sources is None else sources.select("node")
+        level = cut_lineage(srcs.select(F.col("node").alias("s"), "node", F.lit(1.0).alias("sigma")))
+        levels = [level]
+        prev2 = None
+        while True:
+            step = (level.join(adj.select(F.col("src").alias("node"), "dst"), "node")
+                    .select("s", F.col("dst").alias("node"), "sigma"))
+            step = step.join(level.select("s", "node"), ["s", "node"], "left_anti")
+            if prev2 is not None:
+                step = step.join(prev2.select("s", "node"), ["s", "node"], "left_anti")
+            nxt = cut_lineage(step.groupBy("s", "node").agg(F.sum("sigma").alias("sigma")))
+            if nxt.limit(1).count() == 0:
+                break
+            levels.append(nxt)
+            prev2, level = level, nxt
     return levels
 
 
@@ -134,25 +137,26 @@ def edge_betweenness(edges: DataFrame, sources: DataFrame | None = None) -> Data
     With ``sources`` (all nodes by default) the sum runs over those sources.
     """
     edges = cut_lineage(normalize_edges(edges))
-    adj = broadcast_if_small(keep(adjacency(edges)))
-    levels = bfs_levels(edges, sources)
-    per_level = []
-    delta = None
-    for d in range(len(levels) - 1, 0, -1):
-        child = levels[d].select("s", F.col("node").alias("w"), F.col("sigma").alias("sw"))
-        if delta is not None:
-            child = (child.join(delta.select("s", F.col("v").alias("w"), "delta"), ["s", "w"], "left")
-                     .fillna(0.0, subset=["delta"]))
-        else:
-            child = child.withColumn("delta", F.lit(0.0))
-        parent = levels[d - 1].select("s", F.col("node").alias("v"), F.col("sigma").alias("sv"))
-        credits = (child.join(adj.select(F.col("src").alias("w"), F.col("dst").alias("v")), "w")
-                   .join(parent, ["s", "v"])
-                   .select("s", "v", "w", (F.col("sv") / F.col("sw") * (1 + F.col("delta"))).alias("c")))
-        credits = cut_lineage(credits)
-        per_level.append(credits.groupBy(F.least("v", "w").alias("src"), F.greatest("v", "w").alias("dst"))
-                         .agg(F.sum("c").alias("c")))
-        delta = credits.groupBy("s", "v").agg(F.sum("c").alias("delta"))
+    with Scope() as scope:
+        adj = broadcast_if_small(scope.keep(adjacency(edges)))
+        levels = bfs_levels(edges, sources)
+        per_level = []
+        delta = None
+        for d in range(len(levels) - 1, 0, -1):
+            child = levels[d].select("s", F.col("node").alias("w"), F.col("sigma").alias("sw"))
+            if delta is not None:
+                child = (child.join(delta.select("s", F.col("v").alias("w"), "delta"), ["s", "w"], "left")
+                         .fillna(0.0, subset=["delta"]))
+            else:
+                child = child.withColumn("delta", F.lit(0.0))
+            parent = levels[d - 1].select("s", F.col("node").alias("v"), F.col("sigma").alias("sv"))
+            credits = (child.join(adj.select(F.col("src").alias("w"), F.col("dst").alias("v")), "w")
+                       .join(parent, ["s", "v"])
+                       .select("s", "v", "w", (F.col("sv") / F.col("sw") * (1 + F.col("delta"))).alias("c")))
+            credits = cut_lineage(credits)
+            per_level.append(credits.groupBy(F.least("v", "w").alias("src"), F.greatest("v", "w").alias("dst"))
+                             .agg(F.sum("c").alias("c")))
+            delta = credits.groupBy("s", "v").agg(F.sum("c").alias("delta"))
     if not per_level:
         return edges.select("src", "dst", F.lit(0.0).alias("betweenness"))
     acc = per_level[0]
@@ -196,8 +200,7 @@ def split_round(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
     """One Girvan-Newman round: ``(remaining_edges, labels)``."""
     edges = cut_lineage(normalize_edges(edges))
     nodes = nodes_of(edges)
-    eb = keep(edge_betweenness(edges))
-    remaining = cut_lineage(remove_top_edges(edges, eb))
+    remaining = cut_lineage(remove_top_edges(edges, edge_betweenness(edges)))
     return remaining, connected_components(remaining, nodes)
 
 
@@ -211,7 +214,7 @@ def communities(edges: DataFrame, max_rounds: int = 50, patience: int | None = N
     pass (a few joins per BFS level) per round.
     """
     edges = cut_lineage(normalize_edges(edges))
-    nodes = keep(nodes_of(edges))
+    nodes = cut_lineage(nodes_of(edges))
     labels = cut_lineage(connected_components(edges, nodes))
     best_q = modularity(edges, labels).first()[0]
     best = labels
@@ -220,9 +223,7 @@ def communities(edges: DataFrame, max_rounds: int = 50, patience: int | None = N
     for _ in range(max_rounds):
         if current.limit(1).count() == 0:
             break
-        eb = keep(edge_betweenness(current))
-        current = cut_lineage(remove_top_edges(current, eb))
-        eb.unpersist()
+        current = cut_lineage(remove_top_edges(current, edge_betweenness(current)))
         labels = cut_lineage(connected_components(current, nodes))
         q = modularity(edges, labels).first()[0]
         if q > best_q + 1e-12:

@@ -111,3 +111,29 @@ def spread(df: DataFrame) -> DataFrame:
     if df.rdd.getNumPartitions() < target:
         return df.repartition(target)
     return df
+
+
+class Scope:
+    """Persisted intermediates of one operator call, released on exit.
+
+    Operators that read an intermediate several times persist it through
+    ``scope.keep``; the result they return is written with ``cut_lineage``
+    inside the scope, so nothing returned depends on the cached frames and
+    all of them can be unpersisted when the call ends.
+    """
+
+    def __init__(self) -> None:
+        self._frames: list[DataFrame] = []
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        kept = keep(df)
+        self._frames.append(kept)
+        return kept
+
+    def __enter__(self) -> "Scope":
+        return self
+
+    def __exit__(self, *exc) -> None:
+        for f in self._frames:
+            f.unpersist(blocking=False)
+        self._frames.clear()
