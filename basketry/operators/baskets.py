@@ -80,20 +80,39 @@ def restrict_items(inc: DataFrame, items: DataFrame) -> DataFrame:
 SMALL_RANK_ROWS = 200_000
 
 
-def rank_within(df: DataFrame, keys: list[str], order: str, name: str = "_r",
+def rank_within(df: DataFrame, keys: list[str], order: str | list[str], name: str = "_r",
                 size_name: str = "_m") -> DataFrame:
-    """0-based rank of ``order`` inside each ``keys`` group, plus the group size.
-
-    When ``df`` has at most ``SMALL_RANK_ROWS`` rows (checked) a window does
-    it; otherwise a distributed dense index over ``keys + [order]`` is taken
-    and each group's first index subtracted, so no group is ranked in a
-    single task.  Keys + order must be unique.
+    """0-based rank by ``order`` inside each ``keys`` group, plus the group size.
+
+    Hot groups are split: group sizes are counted first (partial aggregate);
+    groups of at most ``SMALL_RANK_ROWS`` rows are ranked by a window, i.e.
+    by one task each, and only the rows of larger groups go through a
+    range-partitioned dense index over ``keys + order`` (minus the group's
+    first index), so a group holding a large share of all rows is ranked by
+    many tasks.  ``keys + order`` must be unique.
     """
-    if fits(df, SMALL_RANK_ROWS):
-        w = Window.partitionBy(*keys).orderBy(order)
-        return (df.withColumn(name, F.row_number().over(w) - 1)
+    order = [order] if isinstance(order, str) else list(order)
+    if not keys:
+        if fits(df, SMALL_RANK_ROWS):
+            w = Window.orderBy(*order)  # at most SMALL_RANK_ROWS rows (checked)
+            return (df.withColumn(name, F.row_number().over(w) - 1)
+                    .withColumn(size_name, F.count(F.lit(1)).over(Window.partitionBy())))
+        ranked = dense_index(df, order, "_i")
+        return ranked.withColumn(name, F.col("_i")).withColumn(
+            size_name, F.lit(ranked.count())).drop("_i")
+
+    def windowed(frame: DataFrame) -> DataFrame:
+        w = Window.partitionBy(*keys).orderBy(*order)
+        return (frame.withColumn(name, F.row_number().over(w) - 1)
                 .withColumn(size_name, F.count(F.lit(1)).over(Window.partitionBy(*keys))))
-    ranked = dense_index(df, keys + [order], "_i")
-    starts = ranked.groupBy(*keys).agg(F.min("_i").alias("_s"), F.count(F.lit(1)).alias(size_name))
-    return (ranked.join(starts, keys)
-            .withColumn(name, F.col("_i") - F.col("_s")).drop("_i", "_s"))
+
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    hot = sizes.where(F.col("_n") > SMALL_RANK_ROWS).select(*keys)
+    if hot.limit(1).count() == 0:
+        return windowed(df)
+    hot = broadcast_if_small(hot)
+    small = windowed(df.join(hot, keys, "left_anti"))
+    big = dense_index(df.join(hot, keys, "left_semi"), keys + order, "_i")
+    starts = big.groupBy(*keys).agg(F.min("_i").alias("_s"), F.count(F.lit(1)).alias(size_name))
+    big = big.join(starts, keys).withColumn(name, F.col("_i") - F.col("_s")).drop("_i", "_s")
+    return small.unionByName(big)

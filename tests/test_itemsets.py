@@ -120,3 +120,16 @@ def test_bucket_counts_match_python(spark):
         for i, j in itertools.combinations(sorted(ids), 2):
             want[(j - i) % 4] = want.get((j - i) % 4, 0) + 1
     assert got == want
+
+
+def test_rank_within_splits_hot_groups(spark, monkeypatch):
+    rows = [("hot", f"x{i:03d}") for i in range(50)] + [("cold", "b"), ("cold", "a"), ("warm", "q")]
+    df = spark.createDataFrame(rows, "g string, x string")
+    monkeypatch.setattr(bk, "SMALL_RANK_ROWS", 3)
+    got = {(r["g"], r["x"]): (r["_r"], r["_m"]) for r in bk.rank_within(df, ["g"], "x").collect()}
+    want = {}
+    for g in ("hot", "cold", "warm"):
+        xs = sorted(x for gg, x in rows if gg == g)
+        for i, x in enumerate(xs):
+            want[(g, x)] = (i, len(xs))
+    assert got == want
