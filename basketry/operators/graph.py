@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.session import Scope, broadcast_if_small, cut_lineage
+from basketry.session import Scope, broadcast_if_small, cut_lineage, cut_lineage_counted
 
 #: Relative tolerance under which two betweenness values count as tied.
 TIE_TOLERANCE = 1e-9
@@ -91,9 +91,10 @@ def connected_components(edges: DataFrame, nodes: DataFrame | None = None,
                             F.least("label", F.coalesce("nl", "label")).alias("label")))
             jumped = (step.join(step.select(F.col("node").alias("label"), F.col("label").alias("l2")), "label", "left")
                       .select("node", "old", F.least("label", F.coalesce("l2", "label")).alias("label")))
-            new = cut_lineage(jumped.select("node", "label", (F.col("label") != F.col("old")).alias("changed")))
-            labels = new.select("node", "label")
-            if new.where("changed").limit(1).count() == 0:
+            new, stats = cut_lineage_counted(jumped, columns=["node", "label"],
+                                             changed=F.count_if(F.col("label") != F.col("old")))
+            labels = new
+            if stats["changed"] == 0:
                 break
     return labels.select("node", F.col("label").alias("component"))
 
@@ -119,8 +120,8 @@ def bfs_levels(edges: DataFrame, sources: DataFrame | None = None) -> list[DataF
             step = step.join(level.select("s", "node"), ["s", "node"], "left_anti")
             if prev2 is not None:
                 step = step.join(prev2.select("s", "node"), ["s", "node"], "left_anti")
-            nxt = cut_lineage(step.groupBy("s", "node").agg(F.sum("sigma").alias("sigma")))
-            if nxt.limit(1).count() == 0:
+            nxt, stats = cut_lineage_counted(step.groupBy("s", "node").agg(F.sum("sigma").alias("sigma")))
+            if stats["n"] == 0:
                 break
             levels.append(nxt)
             prev2, level = level, nxt
@@ -207,24 +208,40 @@ def split_round(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
 def communities(edges: DataFrame, max_rounds: int = 50, patience: int | None = None) -> DataFrame:
     """``(node, community)`` of the best-modularity Girvan-Newman partition.
 
-    Each round recomputes betweenness on the remaining graph and removes the
-    maximal edges; modularity always uses the original edges and degrees.
-    Stops after ``max_rounds`` rounds, when no edge is left, or after
-    ``patience`` rounds without a better score.  Cost is one betweenness
-    pass (a few joins per BFS level) per round.
+    Each round removes the edges of maximal betweenness (ties together) and
+    recomputes betweenness and components only inside the components that
+    lost an edge: removing edges only splits components and shortest paths
+    never cross components, so every other score and label stays valid.
+    Modularity always uses the original edges and degrees.  Stops after
+    ``max_rounds`` rounds, when no edge is left, or after ``patience``
+    rounds without a better score.
     """
     edges = cut_lineage(normalize_edges(edges))
     nodes = cut_lineage(nodes_of(edges))
     labels = cut_lineage(connected_components(edges, nodes))
+    eb = cut_lineage(edge_betweenness(edges))
     best_q = modularity(edges, labels).first()[0]
     best = labels
     current = edges
     stale = 0
     for _ in range(max_rounds):
-        if current.limit(1).count() == 0:
+        if eb.limit(1).count() == 0:
             break
-        current = cut_lineage(remove_top_edges(current, edge_betweenness(current)))
-        labels = cut_lineage(connected_components(current, nodes))
+        mx = eb.agg(F.max("betweenness")).scalar()
+        top = eb.where(F.col("betweenness") >= mx * (1 - TIE_TOLERANCE)).select("src", "dst")
+        hit = (top.join(labels.select(F.col("node").alias("src"), F.col("component").alias("c")), "src")
+               .select("c").distinct())
+        current = cut_lineage(current.join(top, ["src", "dst"], "left_anti"))
+        lab_c = labels.select(F.col("node").alias("src"), F.col("component").alias("c"))
+        tagged = current.join(lab_c, "src")
+        sub_edges = tagged.join(hit, "c", "left_semi").select("src", "dst")
+        sub_nodes = labels.join(hit.select(F.col("c").alias("component")), "component", "left_semi").select("node")
+        kept_labels = labels.join(hit.select(F.col("c").alias("component")), "component", "left_anti")
+        new_labels = connected_components(sub_edges, sub_nodes)
+        labels = cut_lineage(kept_labels.unionByName(new_labels))
+        kept_eb = (eb.join(top, ["src", "dst"], "left_anti")
+                   .join(lab_c.select("src", "c"), "src").join(hit, "c", "left_anti").select("src", "dst", "betweenness"))
+        eb = cut_lineage(kept_eb.unionByName(edge_betweenness(sub_edges)))
         q = modularity(edges, labels).first()[0]
         if q > best_q + 1e-12:
             best_q, best, stale = q, labels, 0

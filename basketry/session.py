@@ -74,6 +74,25 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def cut_lineage_counted(df: DataFrame, columns: list[str] | None = None, **metrics) -> tuple[DataFrame, dict]:
+    """``cut_lineage`` that also returns aggregates observed during the write.
+
+    ``metrics`` maps names to aggregate columns (``n`` = row count is always
+    included); ``columns`` (optional) are the columns written, taken after
+    the metrics are observed.  The numbers come from ``DataFrame.observe`` on
+    the same job that writes the table, so a loop learns "empty?" or
+    "changed?" without running a second job.
+    """
+    from pyspark.sql import Observation
+    from pyspark.sql import functions as F
+
+    obs = Observation()
+    aggs = [F.count(F.lit(1)).alias("n")] + [c.alias(k) for k, c in metrics.items()]
+    observed = df.observe(obs, *aggs)
+    out = cut_lineage(observed.select(*columns) if columns else observed)
+    return out, obs.get
+
+
 def keep(df: DataFrame) -> DataFrame:
     """Persist a result that is read more than once (memory, spill to disk)."""
     return df.persist(StorageLevel.MEMORY_AND_DISK)
