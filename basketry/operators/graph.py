@@ -18,6 +18,8 @@ rounds.  The driver loop only reads one number per round.
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -177,16 +179,23 @@ def modularity(edges: DataFrame, labels: DataFrame) -> DataFrame:
     Girvan-Newman); ``labels`` maps every node to a community.
     """
     edges = cut_lineage(normalize_edges(edges))
+    return modularity_of(edges, node_degrees(edges), edges.count(), labels)
+
+
+def node_degrees(edges: DataFrame) -> DataFrame:
+    """``(node, deg)`` of normalized edges."""
+    return adjacency(edges).groupBy(F.col("src").alias("node")).agg(F.count(F.lit(1)).alias("deg"))
+
+
+def modularity_of(edges: DataFrame, deg: DataFrame, m_val: int, labels: DataFrame) -> DataFrame:
+    """``modularity`` with the degrees and edge count of the graph given (computed once by loops)."""
     lab = labels.select("node", F.col("component").alias("c"))
-    m = edges.agg(F.count(F.lit(1)).alias("m"))
     inside = (edges.join(lab.select(F.col("node").alias("src"), F.col("c").alias("c1")), "src")
               .join(lab.select(F.col("node").alias("dst"), F.col("c").alias("c2")), "dst")
               .where(F.col("c1") == F.col("c2")).groupBy(F.col("c1").alias("c"))
               .agg(F.count(F.lit(1)).alias("l")))
-    deg = (adjacency(edges).groupBy(F.col("src").alias("node")).agg(F.count(F.lit(1)).alias("deg"))
-           .join(lab, "node").groupBy("c").agg(F.sum("deg").alias("d")))
-    per_c = deg.join(inside, "c", "left").fillna(0, subset=["l"])
-    m_val = m.scalar()
+    per_c = (deg.join(lab, "node").groupBy("c").agg(F.sum("deg").alias("d"))
+             .join(inside, "c", "left").fillna(0, subset=["l"]))
     return per_c.agg(F.sum(F.col("l") / m_val - F.pow(F.col("d") / (2 * m_val), 2)).alias("modularity"))
 
 
@@ -205,32 +214,35 @@ def split_round(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
     return remaining, connected_components(remaining, nodes)
 
 
-def communities(edges: DataFrame, max_rounds: int = 50, patience: int | None = None) -> DataFrame:
+def communities(edges: DataFrame, max_rounds: int | None = None, patience: int | None = None) -> DataFrame:
     """``(node, community)`` of the best-modularity Girvan-Newman partition.
 
     Each round removes the edges of maximal betweenness (ties together) and
     recomputes betweenness and components only inside the components that
     lost an edge: removing edges only splits components and shortest paths
     never cross components, so every other score and label stays valid.
-    Modularity always uses the original edges and degrees.  Stops after
-    ``max_rounds`` rounds, when no edge is left, or after ``patience``
-    rounds without a better score.
+    Modularity always uses the original edges and degrees.  By default it
+    runs until no edge is left (the full Girvan-Newman sequence); the
+    optional ``max_rounds`` / ``patience`` (rounds without a better score)
+    stop it earlier.
     """
     edges = cut_lineage(normalize_edges(edges))
     nodes = cut_lineage(nodes_of(edges))
     labels = cut_lineage(connected_components(edges, nodes))
-    eb = cut_lineage(edge_betweenness(edges))
-    best_q = modularity(edges, labels).first()[0]
+    deg = cut_lineage(node_degrees(edges))
+    m_val = edges.count()
+    eb, est = cut_lineage_counted(edge_betweenness(edges), mx=F.max("betweenness"))
+    best_q = modularity_of(edges, deg, m_val, labels).first()[0]
     best = labels
     current = edges
     stale = 0
-    for _ in range(max_rounds):
-        if eb.limit(1).count() == 0:
+    rounds = itertools.count() if max_rounds is None else range(max_rounds)
+    for _ in rounds:
+        if est["n"] == 0:
             break
-        mx = eb.agg(F.max("betweenness")).scalar()
-        top = eb.where(F.col("betweenness") >= mx * (1 - TIE_TOLERANCE)).select("src", "dst")
-        hit = (top.join(labels.select(F.col("node").alias("src"), F.col("component").alias("c")), "src")
-               .select("c").distinct())
+        top = eb.where(F.col("betweenness") >= est["mx"] * (1 - TIE_TOLERANCE)).select("src", "dst")
+        hit = cut_lineage(top.join(labels.select(F.col("node").alias("src"), F.col("component").alias("c")), "src")
+                          .select("c").distinct())
         current = cut_lineage(current.join(top, ["src", "dst"], "left_anti"))
         lab_c = labels.select(F.col("node").alias("src"), F.col("component").alias("c"))
         tagged = current.join(lab_c, "src")
@@ -241,8 +253,8 @@ def communities(edges: DataFrame, max_rounds: int = 50, patience: int | None = N
         labels = cut_lineage(kept_labels.unionByName(new_labels))
         kept_eb = (eb.join(top, ["src", "dst"], "left_anti")
                    .join(lab_c.select("src", "c"), "src").join(hit, "c", "left_anti").select("src", "dst", "betweenness"))
-        eb = cut_lineage(kept_eb.unionByName(edge_betweenness(sub_edges)))
-        q = modularity(edges, labels).first()[0]
+        eb, est = cut_lineage_counted(kept_eb.unionByName(edge_betweenness(sub_edges)), mx=F.max("betweenness"))
+        q = modularity_of(edges, deg, m_val, labels).first()[0]
         if q > best_q + 1e-12:
             best_q, best, stale = q, labels, 0
         else:

@@ -295,10 +295,8 @@ QUERIES.update({
 # --- graph -------------------------------------------------------------------
 from basketry.operators import graph as gr  # noqa: E402
 
-#: Fixed values.  Shared-part threshold of the customer graph and the round
-#: cap of the registered community query.
+#: Fixed value.  Shared-part threshold of the customer graph.
 EDGE_THRE = 7
-COMMUNITY_ROUNDS = 3
 
 
 def _cust_graph(spark, sf_dir):
@@ -330,7 +328,8 @@ def modularity(spark, sf_dir):
 
 
 def communities(spark, sf_dir):
-    return gr.communities(_cust_graph(spark, sf_dir).select("src", "dst"), max_rounds=COMMUNITY_ROUNDS)
+    # The full Girvan-Newman sequence: edges are removed until none is left.
+    return gr.communities(_cust_graph(spark, sf_dir).select("src", "dst"))
 
 
 QUERIES.update({
