@@ -107,16 +107,49 @@ def fits(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-#: Row bound for an explicit broadcast.  Anything above it is left to the
-#: planner (AQE may still broadcast it from runtime statistics).
+#: Bounds for an explicit broadcast: rows and bytes.  Anything above either
+#: is left to the planner (AQE may still broadcast it from runtime statistics).
 BROADCAST_ROWS = 2_000_000
+BROADCAST_BYTES = 256 * 1024 * 1024
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast-hint ``df`` only after checking it has at most ``max_rows`` rows."""
+def _row_bytes(df: DataFrame):
+    """Column estimating the payload bytes of a row (8 per fixed-width value)."""
+    from pyspark.sql import functions as F
+    from pyspark.sql import types as T
+
+    parts = []
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        t = f.dataType
+        if isinstance(t, (T.StringType, T.BinaryType)):
+            parts.append(F.coalesce(F.octet_length(c), F.lit(0)))
+        elif isinstance(t, T.ArrayType) and not isinstance(
+                t.elementType, (T.StringType, T.BinaryType, T.ArrayType, T.MapType, T.StructType)):
+            parts.append(F.lit(8) * F.greatest(F.coalesce(F.size(c), F.lit(0)), F.lit(0)))
+        elif isinstance(t, (T.ArrayType, T.MapType, T.StructType)):
+            parts.append(F.coalesce(F.octet_length(F.to_json(c)), F.lit(0)))
+        else:
+            parts.append(F.lit(8))
+    total = F.lit(0)
+    for p in parts:
+        total = total + p
+    return total.cast("long")
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS,
+                       max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Broadcast-hint ``df`` only after checking its size.
+
+    One job reads at most ``max_rows + 1`` rows and sums their payload bytes;
+    the hint is given only when both the row count and the bytes are within
+    bounds, otherwise the planner's shuffle join is kept.
+    """
     from pyspark.sql import functions as F
 
-    return F.broadcast(df) if fits(df, max_rows) else df
+    stats = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"),
+                                       F.coalesce(F.sum(_row_bytes(df)), F.lit(0)).alias("b")).first()
+    return F.broadcast(df) if stats["n"] <= max_rows and stats["b"] <= max_bytes else df
 
 
 def spread(df: DataFrame) -> DataFrame:
