@@ -21,4 +21,23 @@ SELECT s.doc_id, len(s.sh)::BIGINT AS n_shingles, min(r.lab) AS component_id, s.
 FROM s JOIN r ON r.node = s.doc_id GROUP BY s.doc_id, s.sh
 """
 
-ORACLE: dict[str, str] = {"op10_minhash_bayes": OP10}
+#: Every 50-byte string with the least document that has it; bytes as two hex digits each.
+OP3 = r"""
+WITH d AS (SELECT doc_id, lower(hex(encode(coalesce(text, '')))) AS h FROM documents),
+w AS (SELECT doc_id, p, substr(h, 2 * p + 1, 100) AS s
+      FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 49)) AS p FROM d)),
+m AS (SELECT s, min(doc_id) AS least FROM w GROUP BY s HAVING min(doc_id) < max(doc_id)),
+g AS (SELECT w.doc_id, w.p FROM w JOIN m USING (s) WHERE m.least < w.doc_id),
+o AS (SELECT doc_id, p, lag(p) OVER (PARTITION BY doc_id ORDER BY p) AS q FROM g),
+i AS (SELECT doc_id, p, sum(CASE WHEN q IS NULL OR p > q + 50 THEN 1 ELSE 0 END)
+             OVER (PARTITION BY doc_id ORDER BY p) AS run FROM o),
+r AS (SELECT doc_id, run, min(p) AS a, max(p) + 50 AS b FROM i GROUP BY doc_id, run),
+k AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS prev FROM r),
+t AS (SELECT k.doc_id, string_agg(substr(h, 2 * prev + 1, 2 * (a - prev)), '' ORDER BY a) AS parts, max(b) AS stop,
+             sum(b - a) AS gone, count(*) AS spans FROM k JOIN d USING (doc_id) GROUP BY k.doc_id)
+SELECT d.doc_id, (len(h) // 2)::BIGINT AS n_bytes, coalesce(gone, 0)::BIGINT AS n_removed, coalesce(spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(coalesce(parts, '') || substr(h, 2 * coalesce(stop, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN t USING (doc_id)
+"""
+
+ORACLE: dict[str, str] = {"op3_suffix_dedup": OP3, "op10_minhash_bayes": OP10}

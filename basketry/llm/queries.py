@@ -7,16 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from basketry.llm.minhash_bayes import near_duplicates
+from basketry.llm.suffix_dedup import repeats
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats(table(spark, sf_dir, "documents"))
+
+
 def op10_minhash_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op10_minhash_bayes": op10_minhash_bayes,
 }
