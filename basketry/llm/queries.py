@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from basketry.llm.bpe_chunks import encode_decode
 from basketry.llm.minhash_bayes import near_duplicates
 from basketry.llm.suffix_dedup import repeats
 
@@ -18,11 +19,16 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats(table(spark, sf_dir, "documents"))
 
 
+def op8_bpe_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_decode(table(spark, sf_dir, "documents"))
+
+
 def op10_minhash_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_suffix_dedup": op3_suffix_dedup,
+    "op8_bpe_chunks": op8_bpe_chunks,
     "op10_minhash_bayes": op10_minhash_bayes,
 }
