@@ -5,9 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from basketry.llm.bpe_chunks import encode_decode
+from basketry.llm.common import crc_mod
 from basketry.llm.minhash_bayes import near_duplicates
+from basketry.llm.quality_qda import quality_scores
 from basketry.llm.suffix_dedup import repeats
 
 
@@ -15,6 +18,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality_qda(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
+    scored = quality_scores(table(spark, sf_dir, "documents"), labels, crc_mod(3) != 1)
+    return scored.select("doc_id", (~F.col("learn")).alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats(table(spark, sf_dir, "documents"))
 
@@ -28,6 +38,7 @@ def op10_minhash_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_qda": op1_quality_qda,
     "op3_suffix_dedup": op3_suffix_dedup,
     "op8_bpe_chunks": op8_bpe_chunks,
     "op10_minhash_bayes": op10_minhash_bayes,
