@@ -217,8 +217,7 @@ def near_duplicates(docs: DataFrame, threshold_pct: int = 85, miss: float = 1e-5
     once = buckets.groupBy("m", "total", "x", "s").agg(F.min("band").alias("band")).select(
         "band", F.greatest(F.ceil(F.col("m") / BLOCK_DOCS), F.ceil(F.col("total") / BLOCK_SHINGLES)).cast("int").alias("nb"))
     active = C.staged(rows.join(once, "band").select("band", "doc_id", "nb"))
-    sets = (texts.join(active.select("doc_id").distinct(), "doc_id", "left_semi")
-            .join(reps.select(F.col("rep").alias("doc_id"), "k1", "k2"), "doc_id", "left_semi")
+    sets = (texts.join(active.select("doc_id").distinct().hint("merge"), "doc_id", "left_semi")
             .mapInArrow(_sets, "doc_id long, sig binary, sh binary"))
     blocks = (active.withColumn("blk", F.pmod(F.xxhash64("doc_id"), F.col("nb")).cast("int"))
               .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))

@@ -21,6 +21,45 @@ SELECT s.doc_id, len(s.sh)::BIGINT AS n_shingles, min(r.lab) AS component_id, s.
 FROM s JOIN r ON r.node = s.doc_id GROUP BY s.doc_id, s.sh
 """
 
+def _level(name: str, parents: str, node: str, budget: str) -> str:
+    """Water-filling among siblings, as SQL over ``leaf (domain, lang, source, tokens)``."""
+    keys = f"{parents}, {node}" if parents else node
+    by = f"PARTITION BY {parents}" if parents else "PARTITION BY 1"
+    join = f"JOIN {budget} USING ({parents})" if parents else f"CROSS JOIN {budget}"
+    own = f"{', '.join('n.' + p for p in parents.split(', '))}, n.{node}" if parents else f"n.{node}"
+    return f"""
+{name}_n AS (SELECT {keys}, sum(tokens) * 2 AS cap, floor(sqrt(sum(tokens)::DOUBLE))::HUGEINT AS weight FROM leaf GROUP BY ALL),
+{name}_a AS (SELECT {own}, n.cap, n.weight, b.budget::HUGEINT AS budget FROM {name}_n n {join.replace(budget, budget + ' b')} WHERE weight > 0),
+{name}_s AS (
+  SELECT *, sum(weight) OVER u - weight AS w0, sum(cap) OVER u - cap AS c0, sum(weight) OVER ({by}) AS w FROM {name}_a
+  WINDOW u AS ({by} ORDER BY cap::DOUBLE / weight::DOUBLE, {node} ROWS UNBOUNDED PRECEDING)),
+{name}_t AS (SELECT *, cap * (w - w0) <= (budget - c0) * weight AS short FROM {name}_s),
+{name}_o AS (
+  SELECT *, budget - coalesce(sum(CASE WHEN short THEN cap END) OVER ({by}), 0) AS rest,
+         sum(CASE WHEN short THEN 0 ELSE weight END) OVER ({by}) AS ow,
+         sum(CASE WHEN short THEN 0 ELSE weight END) OVER ({by} ORDER BY cap::DOUBLE / weight::DOUBLE, {node} ROWS UNBOUNDED PRECEDING) AS o1
+  FROM {name}_t),
+{name} AS (SELECT {keys}, CASE WHEN short THEN cap ELSE least(cap, rest * o1 // ow - rest * (o1 - weight) // ow) END AS budget FROM {name}_o)"""
+
+
+OP2 = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         CASE WHEN substr(md5(coalesce(source, '')), 1, 1) < '4' THEN 'd0' WHEN substr(md5(coalesce(source, '')), 1, 1) < '8' THEN 'd1'
+              WHEN substr(md5(coalesce(source, '')), 1, 1) < 'c' THEN 'd2' ELSE 'd3' END AS domain,
+         len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::HUGEINT AS n_tokens FROM documents),
+leaf AS (SELECT domain, lang, source, sum(n_tokens) AS tokens FROM d GROUP BY ALL),
+root AS (SELECT sum(tokens) * 9 // 10 AS budget FROM leaf),""" + _level("l1", "", "domain", "root") + "," + _level(
+    "l2", "domain", "lang", "l1") + "," + _level("l3", "domain, lang", "source", "l2") + r""",
+g AS (SELECT leaf.*, coalesce(budget, 0) // tokens AS whole, coalesce(budget, 0) % tokens AS rest
+      FROM leaf LEFT JOIN l3 USING (domain, lang, source) WHERE tokens > 0),
+o AS (SELECT d.*, whole, rest, sum(n_tokens) OVER (
+        PARTITION BY domain, lang, source ORDER BY md5('7:' || whole || ':' || coalesce(doc_id::VARCHAR, '')) RANGE UNBOUNDED PRECEDING) AS upto
+      FROM d LEFT JOIN g USING (domain, lang, source))
+SELECT doc_id, domain, lang, source, n_tokens::BIGINT AS n_tokens,
+       coalesce(whole + CASE WHEN upto <= rest THEN 1 ELSE 0 END, 0)::INT AS copies FROM o
+"""
+
 #: Every 50-byte string with the least document that has it; bytes as two hex digits each.
 OP3 = r"""
 WITH d AS (SELECT doc_id, lower(hex(encode(coalesce(text, '')))) AS h FROM documents),
@@ -40,4 +79,4 @@ SELECT d.doc_id, (len(h) // 2)::BIGINT AS n_bytes, coalesce(gone, 0)::BIGINT AS
 FROM d LEFT JOIN t USING (doc_id)
 """
 
-ORACLE: dict[str, str] = {"op3_suffix_dedup": OP3, "op10_minhash_bayes": OP10}
+ORACLE: dict[str, str] = {"op2_mixing": OP2, "op3_suffix_dedup": OP3, "op10_minhash_bayes": OP10}

@@ -174,30 +174,48 @@ def _scored(model: Discriminant):
     return run
 
 
-def quality_scores(docs: DataFrame, labels: DataFrame, learn: Column, towards_pooled: float = 0.5,
-                   towards_diagonal: float = 0.1) -> DataFrame:
-    """``(doc_id, key, learn, score)``, one row per input row; score in [0, 1], higher: label 1 likelier.
+def _measured(docs: DataFrame, learn: Column) -> DataFrame:
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), learn.alias("learn"), "text")
+    return C.staged(rows.mapInArrow(_measure, "doc_id long, learn boolean, x array<double>"))
 
-    ``labels`` has ``doc_id, label``; ``learn`` marks the rows whose labels may
-    be learned.  ``key`` is a hash of the row's id and text.
-    """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("doc_id", "text").alias("key"),
-                       learn.alias("learn"), "text")
-    measured = C.staged(rows.mapInArrow(_measure, "doc_id long, key long, learn boolean, x array<double>"))
+
+def fit(measured: DataFrame, labels: DataFrame, towards_pooled: float, towards_diagonal: float) -> Discriminant:
+    """The two densities of the labelled rows marked ``learn``."""
     known = labels.where("label in (0, 1)").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("label").cast("int").alias("y"))
     moments = (measured.where("learn").join(known, "doc_id").select("x", "y")
                .mapInArrow(_moments, "y int, m array<double>"))
     added = moments.select("y", F.posexplode("m").alias("at", "v")).groupBy("y", "at").agg(F.sum("v").alias("v"))
-    table = {0: np.zeros(1 + len(FEATURES) * (1 + len(FEATURES))), 1: np.zeros(1 + len(FEATURES) * (1 + len(FEATURES)))}
-    for r in added.collect():  # two fixed-size rows of moments
+    table = {k: np.zeros(1 + len(FEATURES) * (1 + len(FEATURES))) for k in (0, 1)}
+    for r in added.collect():  # the moments of two classes: as many numbers at any size
         table[r.y][r.at] = r.v
-    model = Discriminant(table, towards_pooled, towards_diagonal)
-    return measured.mapInArrow(_scored(model), "doc_id long, key long, learn boolean, score double")
+    return Discriminant(table, towards_pooled, towards_diagonal)
+
+
+def quality_scores(docs: DataFrame, labels: DataFrame, learn: Column, towards_pooled: float = 0.5,
+                   towards_diagonal: float = 0.1) -> DataFrame:
+    """``(doc_id, learn, score)``, one row per input row; score in [0, 1], higher: label 1 likelier.
+
+    ``labels`` has ``doc_id, label``; ``learn`` marks the rows whose labels may
+    be learned.
+    """
+    measured = _measured(docs, learn)
+    model = fit(measured, labels, towards_pooled, towards_diagonal)
+    return measured.mapInArrow(_scored(model), "doc_id long, learn boolean, score double")
+
+
+def _kept(model: Discriminant, at_least: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts = C.column(b, "text")
+            for lo, hi in C.slices(texts, SLICE):
+                good = model.score(features(texts.slice(lo, hi - lo))) >= at_least
+                yield b.slice(lo, hi - lo).filter(pa.array(good))
+
+    return run
 
 
-def keep_good(docs: DataFrame, labels: DataFrame, learn: Column, at_least: float = 0.5) -> DataFrame:
-    """The rows of ``docs`` whose score reaches ``at_least``; rows with a null id are scored by their text too."""
-    good = quality_scores(docs, labels, learn).where(F.col("score") >= at_least).select(
-        F.col("doc_id").alias("_id"), F.col("key").alias("_key")).distinct()
-    hit = (F.col("_key") == F.xxhash64("doc_id", "text")) & F.col("_id").eqNullSafe(F.col("doc_id").cast("long"))
-    return docs.join(good, hit, "left_semi")
+def keep_good(docs: DataFrame, labels: DataFrame, learn: Column, at_least: float = 0.5,
+              towards_pooled: float = 0.5, towards_diagonal: float = 0.1) -> DataFrame:
+    """The rows of ``docs``, all columns, whose score reaches ``at_least``; no row is shuffled with its text."""
+    model = fit(_measured(docs, learn), labels, towards_pooled, towards_diagonal)
+    return docs.mapInArrow(_kept(model, at_least), docs.schema)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from basketry.llm.bpe_chunks import encode_decode
 from basketry.llm.common import crc_mod
 from basketry.llm.minhash_bayes import near_duplicates
+from basketry.llm.mixing import copies
 from basketry.llm.quality_qda import quality_scores
 from basketry.llm.suffix_dedup import repeats
 
@@ -25,6 +26,10 @@ def op1_quality_qda(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return copies(table(spark, sf_dir, "documents"))
+
+
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats(table(spark, sf_dir, "documents"))
 
@@ -39,6 +44,7 @@ def op10_minhash_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_qda": op1_quality_qda,
+    "op2_mixing": op2_mixing,
     "op3_suffix_dedup": op3_suffix_dedup,
     "op8_bpe_chunks": op8_bpe_chunks,
     "op10_minhash_bayes": op10_minhash_bayes,
