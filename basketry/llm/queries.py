@@ -11,6 +11,7 @@ from basketry.llm.bpe_chunks import encode_decode
 from basketry.llm.common import crc_mod
 from basketry.llm.minhash_bayes import near_duplicates
 from basketry.llm.mixing import copies
+from basketry.llm.pfor_files import token_files
 from basketry.llm.quality_qda import quality_scores
 from basketry.llm.suffix_dedup import repeats
 
@@ -34,6 +35,10 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats(table(spark, sf_dir, "documents"))
 
 
+def op6_pfor_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files(table(spark, sf_dir, "documents"))
+
+
 def op8_bpe_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_decode(table(spark, sf_dir, "documents"))
 
@@ -46,6 +51,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_qda": op1_quality_qda,
     "op2_mixing": op2_mixing,
     "op3_suffix_dedup": op3_suffix_dedup,
+    "op6_pfor_files": op6_pfor_files,
     "op8_bpe_chunks": op8_bpe_chunks,
     "op10_minhash_bayes": op10_minhash_bayes,
 }
