@@ -12,6 +12,7 @@ from basketry.llm.common import crc_mod
 from basketry.llm.minhash_bayes import near_duplicates
 from basketry.llm.mixing import copies
 from basketry.llm.pfor_files import token_files
+from basketry.llm.ppm import ppm_scores
 from basketry.llm.quality_qda import quality_scores
 from basketry.llm.suffix_dedup import repeats
 
@@ -35,6 +36,12 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats(table(spark, sf_dir, "documents"))
 
 
+def op5_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = ppm_scores(table(spark, sf_dir, "documents"), crc_mod(5) != 1)
+    return scored.select("doc_id", (~F.col("learn")).alias("held_out"), "n_tokens", "n_known", "train_tokens",
+                         "base_score", "score")
+
+
 def op6_pfor_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(table(spark, sf_dir, "documents"))
 
@@ -51,6 +58,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_qda": op1_quality_qda,
     "op2_mixing": op2_mixing,
     "op3_suffix_dedup": op3_suffix_dedup,
+    "op5_ppm": op5_ppm,
     "op6_pfor_files": op6_pfor_files,
     "op8_bpe_chunks": op8_bpe_chunks,
     "op10_minhash_bayes": op10_minhash_bayes,
