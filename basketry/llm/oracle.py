@@ -79,4 +79,32 @@ SELECT d.doc_id, (len(h) // 2)::BIGINT AS n_bytes, coalesce(gone, 0)::BIGINT AS
 FROM d LEFT JOIN t USING (doc_id)
 """
 
-ORACLE: dict[str, str] = {"op2_mixing": OP2, "op3_suffix_dedup": OP3, "op10_minhash_bayes": OP10}
+#: All pairs of a label, then reachability.
+OP4 = r"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND label IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+u AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.x) = len(b.x)
+      WHERE list_cosine_similarity(a.x, b.x) >= 0.93),
+r(node, lab) AS (
+  SELECT vec_id, vec_id FROM embeddings
+  UNION
+  SELECT u.b, r.lab FROM r JOIN u ON u.a = r.node AND r.lab < u.b),
+c AS (SELECT node, min(lab) AS lab FROM r GROUP BY node),
+n AS (SELECT a, count(*) AS n FROM u GROUP BY a)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, lab AS component_id, vec_id = lab AS kept
+FROM embeddings JOIN c ON node = vec_id LEFT JOIN n ON a = vec_id
+"""
+
+OP9 = r"""
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.x, c.x)::BIGINT AS score
+      FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.x) = len(c.x) WHERE q.vec_id % 100 = 0),
+o AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM p)
+SELECT query_id, rank, vec_id, score FROM o WHERE rank <= 10
+"""
+
+ORACLE: dict[str, str] = {"op2_mixing": OP2, "op3_suffix_dedup": OP3, "op4_rabitq": OP4, "op9_kd_topk": OP9, "op10_minhash_bayes": OP10}

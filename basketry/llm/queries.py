@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 
 from basketry.llm.bpe_chunks import encode_decode
 from basketry.llm.common import crc_mod
+from basketry.llm.kd_topk import top_k
 from basketry.llm.minhash_bayes import near_duplicates
 from basketry.llm.mixing import copies
 from basketry.llm.pfor_files import token_files
 from basketry.llm.ppm import ppm_scores
 from basketry.llm.quality_qda import quality_scores
+from basketry.llm.rabitq import near_vectors
 from basketry.llm.suffix_dedup import repeats
 
 
@@ -36,6 +38,10 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats(table(spark, sf_dir, "documents"))
 
 
+def op4_rabitq(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op5_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = ppm_scores(table(spark, sf_dir, "documents"), crc_mod(5) != 1)
     return scored.select("doc_id", (~F.col("learn")).alias("held_out"), "n_tokens", "n_known", "train_tokens",
@@ -50,6 +56,10 @@ def op8_bpe_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_decode(table(spark, sf_dir, "documents"))
 
 
+def op9_kd_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op10_minhash_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -58,8 +68,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_qda": op1_quality_qda,
     "op2_mixing": op2_mixing,
     "op3_suffix_dedup": op3_suffix_dedup,
+    "op4_rabitq": op4_rabitq,
     "op5_ppm": op5_ppm,
     "op6_pfor_files": op6_pfor_files,
     "op8_bpe_chunks": op8_bpe_chunks,
+    "op9_kd_topk": op9_kd_topk,
     "op10_minhash_bayes": op10_minhash_bayes,
 }
