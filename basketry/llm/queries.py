@@ -17,6 +17,7 @@ from basketry.llm.ppm import ppm_scores
 from basketry.llm.quality_qda import quality_scores
 from basketry.llm.rabitq import near_vectors
 from basketry.llm.suffix_dedup import repeats
+from basketry.llm.toxicity_weak import toxicity_scores
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -52,6 +53,13 @@ def op6_pfor_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(table(spark, sf_dir, "documents"))
 
 
+def op7_toxicity_weak(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("label"))
+    scored = toxicity_scores(table(spark, sf_dir, "documents"), labels, crc_mod(5) != 0)
+    return scored.select("doc_id", (~F.col("learn")).alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op8_bpe_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_decode(table(spark, sf_dir, "documents"))
 
@@ -71,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_rabitq": op4_rabitq,
     "op5_ppm": op5_ppm,
     "op6_pfor_files": op6_pfor_files,
+    "op7_toxicity_weak": op7_toxicity_weak,
     "op8_bpe_chunks": op8_bpe_chunks,
     "op9_kd_topk": op9_kd_topk,
     "op10_minhash_bayes": op10_minhash_bayes,
