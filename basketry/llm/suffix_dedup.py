@@ -17,7 +17,9 @@ holds more than a chunk of documents or a share of the anchors:
    anchor as one symbol, and suffix-sorted (``gsaca``); neighbours that share
    a window's symbols have equal windows, and the least id of each such
    stretch is their verdict.
-5. A chunk marks the windows whose least id is below its document's own.
+5. The verdict goes back as bits: windows that begin in a smaller document
+   of another chunk.  A chunk marks those, and for documents other than its
+   least one with a run, all of the run's windows.
 
 Rows: every input row stays; a null text is empty, texts below ``length``
 bytes keep all bytes.  Rows that share an id do not remove from each other.
@@ -186,13 +188,31 @@ def _shared(key, table):
                      "keys": pa.array([b.tobytes() for _, b in out], pa.binary())})
 
 
-RUNS = "part int, c int, key binary, run binary, doc binary, at binary, size binary, text binary"
+RUNS = "part int, c int, key binary, run binary, docs binary, doc binary, at binary, size binary, text binary"
 
 
 def _run_key(prefix: np.ndarray, key: np.ndarray, first: np.ndarray, last: np.ndarray, length: int) -> np.ndarray:
     return C.mix(C.range_hash(prefix, first, last + length) + key)
 
 
+def _place(docs: np.ndarray):
+    return np.uint16 if len(docs) <= 1 << 16 else np.uint32
+
+
+def _least_rows(k: np.ndarray, rk: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """An order by run and document, where each run begins in it, and whether it has two documents."""
+    order = np.lexsort((doc, rk, k))
+    new = np.concatenate([[True], (k[order][1:] != k[order][:-1]) | (rk[order][1:] != rk[order][:-1])])
+    at = np.flatnonzero(new)
+    last = np.append(at[1:], len(order)) - 1
+    return order, at, doc[order[at]] != doc[order[last]]
+
+
+def _doc_lists(table: pa.Table) -> list[np.ndarray]:
+    return [u[np.frombuffer(x, _place(u))] for u, x in
+            zip(_blobs(table, "docs", np.int64), table.column("doc").to_pylist())]
+
+
 def _runs(bits: int, length: int):
     """The distinct runs of a chunk at shared anchors, with the least id of each."""
     drop = _U(32 - bits)
@@ -213,32 +233,34 @@ def _runs(bits: int, length: int):
                 if not len(k):
                     continue
                 rk = _run_key(C.prefix_hash(buf), k, first, last, length)
-                order = np.lexsort((ids[lo + row], rk, k))
-                new = np.concatenate([[True], (k[order][1:] != k[order][:-1]) | (rk[order][1:] != rk[order][:-1])])
-                o = order[new]
+                order, at_first, several = _least_rows(k, rk, ids[lo + row])
+                o = order[at_first]
                 size = last[o] + length - first[o]
-                text = [buf[a:a + s] for a, s in zip(first[o].tolist(), size.tolist())]
-                cols.append((k[o], rk[o], ids[lo + row[o]], at[o] - first[o], size, text))
+                text = [bytes(buf[a:p]) + bytes(buf[p + ANCHOR:a + s])  # the anchor itself is known by its key
+                        for a, p, s in zip(first[o].tolist(), at[o].tolist(), size.tolist())]
+                cols.append((k[o], rk[o], ids[lo + row[o]], at[o] - first[o], size, several, text))
         if not cols:
             return pa.Table.from_batches([], pa.schema([("part", pa.int32()), ("c", pa.int32())] + [
-                (n, pa.binary()) for n in ("key", "run", "doc", "at", "size", "text")]))
-        k, rk, doc, at, size = (np.concatenate([x[n] for x in cols]) for n in range(5))
-        text = [t for x in cols for t in x[5]]
-        order = np.lexsort((doc, rk, k))
-        new = np.concatenate([[True], (k[order][1:] != k[order][:-1]) | (rk[order][1:] != rk[order][:-1])])
-        o = order[new]
-        k, rk, doc, at, size = k[o], rk[o], doc[o], at[o].astype(np.uint8), size[o].astype(np.uint8)
+                (n, pa.binary()) for n in ("key", "run", "docs", "doc", "at", "size", "text")]))
+        k, rk, doc, at, size, more = (np.concatenate([x[n] for x in cols]) for n in range(6))
+        text = [t for x in cols for t in x[6]]
+        order, at_first, several = _least_rows(k, rk, doc)
+        more = several | np.maximum.reduceat(more[order], at_first)
+        o = order[at_first]
+        k, rk, doc, at, size = k[o], rk[o], doc[o], (at[o] + 128 * more).astype(np.uint8), size[o].astype(np.uint8)
         text = [text[j] for j in o]
         parts, s, e = _dealt(k, bits)
         cut = lambda x: pa.array([x[a:b].tobytes() for a, b in zip(s, e)], pa.binary())
+        names = [np.unique(doc[a:b], return_inverse=True) for a, b in zip(s, e)]
         return pa.table({"part": pa.array(parts, pa.int32()), "c": pa.array([key[0].as_py()] * len(parts), pa.int32()),
-                         "key": cut(k), "run": cut(rk), "doc": cut(doc.astype(np.int64)), "at": cut(at), "size": cut(size),
-                         "text": pa.array([np.concatenate(text[a:b]).tobytes() for a, b in zip(s, e)], pa.binary())})
+                         "key": cut(k), "run": cut(rk), "docs": pa.array([u.astype(np.int64).tobytes() for u, _ in names], pa.binary()),
+                         "doc": pa.array([i.astype(_place(u)).tobytes() for u, i in names], pa.binary()), "at": cut(at), "size": cut(size),
+                         "text": pa.array([b"".join(text[a:b]) for a, b in zip(s, e)], pa.binary())})
 
     return run
 
 
-VERDICTS = "c int, run binary, windows binary, least binary"
+VERDICTS = "c int, run binary, docs binary, doc binary, gone binary"
 
 
 def window_verdicts(strings: list[np.ndarray], docs: np.ndarray, width: int) -> list[np.ndarray]:
@@ -272,10 +294,11 @@ def _verdicts(length: int):
         c = table.column("c").to_numpy()
         kb = _blobs(table, "key", np.uint64)
         k, rk = np.concatenate(kb), np.concatenate(_blobs(table, "run", np.uint64))
-        doc = np.concatenate(_blobs(table, "doc", np.int64))
+        doc = np.concatenate(_doc_lists(table))
         at, size = np.concatenate(_blobs(table, "at", np.uint8)), np.concatenate(_blobs(table, "size", np.uint8)).astype(np.int64)
+        more, at = at >= 128, at & 127
         text = np.concatenate(_blobs(table, "text", np.uint8))
-        begin = np.concatenate([[0], np.cumsum(size)[:-1]])
+        begin = np.concatenate([[0], np.cumsum(size - ANCHOR)[:-1]])
         stop = np.cumsum([len(x) for x in kb]).tolist()
         order = np.lexsort((rk, k))
         new_key = np.concatenate([[True], k[order][1:] != k[order][:-1]])
@@ -287,8 +310,9 @@ def _verdicts(length: int):
         sample = order[starts]
         of_key = np.cumsum(new_key[starts]) - 1
         several = np.bincount(of_key)[of_key] > 1
-        windows = np.ones(len(starts), np.int64)
-        values: list[np.ndarray] = [least[j:j + 1] for j in range(len(starts))]
+        windows = np.where(several, size[sample] - length + 1, 1)
+        offs = np.concatenate([[0], np.cumsum(windows)])
+        flat = np.repeat(least, windows)
         rows = np.flatnonzero(several)
         edge = np.flatnonzero(np.concatenate([[True], of_key[rows][1:] != of_key[rows][:-1]])) if len(rows) else []
         block: list[int] = []
@@ -298,11 +322,13 @@ def _verdicts(length: int):
             strings = []
             for j in block:
                 i = sample[j]
-                s = text[begin[i]:begin[i] + size[i]].astype(np.int64) + 1
-                strings.append(np.concatenate([s[:at[i]], [300 + of_key[j]], s[at[i] + ANCHOR:]]))
+                s = np.empty(size[i] - ANCHOR + 1, np.int64)
+                s[:at[i]] = text[begin[i]:begin[i] + at[i]]
+                s[at[i]] = 300 + of_key[j]
+                s[at[i] + 1:] = text[begin[i] + at[i]:begin[i] + size[i] - ANCHOR]
+                strings.append(s + 1)
             for j, v in zip(block, window_verdicts(strings, least[block], width)):
-                values[j] = v
-                windows[j] = len(v)
+                flat[offs[j]:offs[j + 1]] = v
 
         for a, b in zip(edge, [*edge[1:], len(rows)]):
             block += rows[a:b].tolist()
@@ -312,19 +338,24 @@ def _verdicts(length: int):
                 block, total = [], 0
         if block:
             sort_block()
-        offs = np.concatenate([[0], np.cumsum(windows)])
-        flat = np.concatenate(values)
-        out_c, out_run, out_n, out_least = [], [], [], []
+        out: dict[str, list] = {n: [] for n in ("c", "run", "docs", "doc", "gone")}
         for j, cc in enumerate(c.tolist()):
-            mine = run_of[stop[j] - len(kb[j]):stop[j]]
+            here = slice(stop[j] - len(kb[j]), stop[j])
+            mine, own = run_of[here], doc[here]
             n = windows[mine]
-            idx = np.repeat(offs[mine] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(int(n.sum()))
-            out_c.append(cc)
-            out_run.append(rk[sample[mine]].tobytes())
-            out_n.append(n.astype(np.uint8).tobytes())
-            out_least.append(flat[idx].tobytes())
-        return pa.table({"c": pa.array(out_c, pa.int32()), "run": pa.array(out_run, pa.binary()),
-                         "windows": pa.array(out_n, pa.binary()), "least": pa.array(out_least, pa.binary())})
+            idx = np.repeat(offs[mine] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+            lower = flat[idx] < np.repeat(own, n)  # the window begins in a smaller document of another chunk
+            place = np.arange(len(lower)) - np.repeat(np.cumsum(n) - n, n)
+            bit = np.add.reduceat(np.where(lower, _U(1) << place.astype(np.uint64), _U(0)), np.cumsum(n) - n)
+            bit[(n == 1) & (bit == 1)] = _U(C.MASK)  # one verdict for all windows
+            say = (bit > 0) | more[here]
+            u, i = np.unique(own[say], return_inverse=True)
+            out["c"].append(cc)
+            out["run"].append(rk[here][say].tobytes())
+            out["docs"].append(u.astype(np.int64).tobytes())
+            out["doc"].append(i.astype(_place(u)).tobytes())
+            out["gone"].append(bit[say].tobytes())
+        return pa.table({n: pa.array(v, pa.int32() if n == "c" else pa.binary()) for n, v in out.items()})
 
     return run
 
@@ -334,13 +365,11 @@ def _marks(length: int, with_text: bool, rest: bool):
         ids, known = _ids(docs)
         texts = _texts(docs)
         rk = np.concatenate([np.zeros(0, np.uint64), *_blobs(verdicts, "run", np.uint64)])
-        n = np.concatenate([np.zeros(0, np.uint8), *_blobs(verdicts, "windows", np.uint8)]).astype(np.int64)
-        least = np.concatenate([np.zeros(0, np.int64), *_blobs(verdicts, "least", np.int64)])
-        offs_of = np.concatenate([[0], np.cumsum(n)[:-1]]) if len(n) else n
+        bits = np.concatenate([np.zeros(0, np.uint64), *_blobs(verdicts, "gone", np.uint64)])
+        least = np.concatenate([np.zeros(0, np.int64), *_doc_lists(verdicts)])
         order = np.argsort(rk)
-        rk, n, offs_of = rk[order], n[order], offs_of[order]
+        rk, bits, least = rk[order], bits[order], least[order]
         n_bytes, n_removed, n_spans, sha, kept = [], [], [], [], []
-        cover: dict[int, np.ndarray] = {}
         for lo, hi in C.slices(texts, SLICE):
             buf, offs = C.buffer(texts.slice(lo, hi - lo))
             cover = np.zeros(len(buf) + 1, np.int32)
@@ -355,10 +384,11 @@ def _marks(length: int, with_text: bool, rest: bool):
                     j = np.minimum(np.searchsorted(rk, r), len(rk) - 1)
                     hit = np.flatnonzero(rk[j] == r)
                     j, f, w = j[hit], first[hit], last[hit] - first[hit] + 1
-                    start = np.repeat(f - (np.cumsum(w) - w), w) + np.arange(int(w.sum()))
-                    at = np.where(n[j] > 1, 1, 0)
-                    src = np.repeat(offs_of[j] - at * f, w) + np.repeat(at, w) * start
-                    gone = start[least[src] < np.repeat(ids[lo + row[hit]], w)] + shift
+                    place = np.arange(int(w.sum())) - np.repeat(np.cumsum(w) - w, w)
+                    lower = (np.repeat(bits[j], w) >> place.astype(np.uint64)) & _U(1) > 0
+                    # the chunk's least document keeps what no other chunk has below it; its others lose it
+                    later = np.repeat(least[j] < ids[lo + row[hit]], w)
+                    gone = (np.repeat(f, w) + place)[lower | later] + shift
                     np.add.at(cover, gone, 1)
                     np.add.at(cover, gone + length, -1)
             lost = np.cumsum(cover[:-1]) > 0
@@ -392,13 +422,13 @@ def repeats(docs: DataFrame, length: int = LENGTH, with_text: bool = False, rest
     """``(doc_id, n_bytes, n_removed, n_spans, kept_sha256)``, one row per input row.
 
     ``with_text`` adds the remaining bytes as text, ``kept``; ``rest`` names columns
-    carried along unchanged in a struct ``rest``.  ``length`` is 32 to 139.
+    carried along unchanged in a struct ``rest``.  ``length`` is 32 to 87.
     """
-    if not 32 <= length <= 139:
-        raise ValueError("length must be from 32 to 139")
+    if not 32 <= length <= 87:
+        raise ValueError("length must be from 32 to 87")
     n_bytes = C.text_bytes(docs)
     chunks = max(math.ceil(n_bytes / CHUNK), min(2 * docs.sparkSession.sparkContext.defaultParallelism, 1 + (n_bytes >> 17)))
-    bits = min(14, max(5, (n_bytes >> 23).bit_length()))
+    bits = min(14, max(5, (n_bytes >> 21).bit_length()))
     cols = [F.col("doc_id").cast("long").alias("doc_id"), "text",
             F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).cast("int").alias("c")]
     if rest:
