@@ -115,8 +115,8 @@ def copies(docs: DataFrame, share: tuple[int, int] = (9, 10), epochs: int = 2, s
     inside = F.col("bucket") == F.col("end")
     within = Window.partitionBy(*TREE).orderBy("h").rangeBetween(Window.unboundedPreceding, Window.currentRow)
     out = [*TREE, "doc_id", "n_tokens", "whole"]
-    edge = placed.where(inside).withColumn("taken", F.col("before") + F.sum("n_tokens").over(within) <= F.col("rest"))
-    away = placed.where(~F.coalesce(inside, F.lit(False))).withColumn("taken", F.col("rest").isNotNull() & F.coalesce(F.col("bucket") < F.col("end"), F.lit(True)))
+    edge = placed.where(inside).withColumn("taken", (F.col("rest") > 0) & (F.col("before") + F.sum("n_tokens").over(within) <= F.col("rest")))
+    away = placed.where(~F.coalesce(inside, F.lit(False))).withColumn("taken", F.coalesce(F.col("rest") > 0, F.lit(False)) & F.coalesce(F.col("bucket") < F.col("end"), F.lit(True)))
     done = edge.select(*out, "taken").unionByName(away.select(*out, "taken"))
     return done.select("doc_id", *TREE, "n_tokens", F.coalesce(
         F.col("whole") + F.col("taken").cast("long"), F.lit(0)).cast("int").alias("copies"))

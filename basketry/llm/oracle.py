@@ -57,7 +57,7 @@ o AS (SELECT d.*, whole, rest, sum(n_tokens) OVER (
         PARTITION BY domain, lang, source ORDER BY md5('7:' || whole || ':' || coalesce(doc_id::VARCHAR, '')) RANGE UNBOUNDED PRECEDING) AS upto
       FROM d LEFT JOIN g USING (domain, lang, source))
 SELECT doc_id, domain, lang, source, n_tokens::BIGINT AS n_tokens,
-       coalesce(whole + CASE WHEN upto <= rest THEN 1 ELSE 0 END, 0)::INT AS copies FROM o
+       coalesce(whole + CASE WHEN rest > 0 AND upto <= rest THEN 1 ELSE 0 END, 0)::INT AS copies FROM o
 """
 
 #: Every 50-byte string with the least document that has it; bytes as two hex digits each.
