@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketry.session import Scope, broadcast_if_small, cut_lineage, fits, keep
+from basketry.session import Scope, cut_lineage
 
 
 def baskets(df: DataFrame, basket: str, item: str) -> DataFrame:
@@ -44,25 +44,19 @@ def dense_index(df: DataFrame, order_cols: list[str], name: str = "idx",
     running total of the partition sizes before it.  Only one row per
     partition (the sizes) is combined in a single place, never the data.
     """
-    spark = df.sparkSession
-    n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    laid = (df.repartitionByRange(n_parts, *order_cols)
-            .sortWithinPartitions(*order_cols)
-            .withColumn("_pid", F.spark_partition_id())
-            .withColumn("_pos", F.monotonically_increasing_id()))
-    # The position encodes (partition << 33) + row number within the partition;
-    # persisted so that the sizes and the rows see the same layout, then the
-    # result is written so that it no longer depends on the cache.
     with Scope() as scope:
-        laid = scope.keep(laid.withColumn("_pos", F.col("_pos") - F.shiftleft(F.col("_pid").cast("long"), 33)))
+        ranged = df.repartitionByRange(partitions, *order_cols) if partitions else df.repartitionByRange(*order_cols)
+        # The layout is written once; sizes and rows are read from that table,
+        # so both see the same partitions whatever is recomputed.
+        laid = scope.table(ranged.sortWithinPartitions(*order_cols)
+                           .withColumn("_pid", F.spark_partition_id())
+                           .withColumn("_pos", F.monotonically_increasing_id())
+                           .withColumn("_pos", F.col("_pos") - F.shiftleft(F.col("_pid").cast("long"), 33)))
         sizes = laid.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-        offsets = sizes.select(
-            "_pid",
-            (F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1))
-             ).alias("_off"))
-        out = (laid.join(F.broadcast(offsets), "_pid")  # one row per partition
-               .withColumn(name, F.coalesce(F.col("_off"), F.lit(0)) + F.col("_pos"))
-               .drop("_pid", "_pos", "_off"))
+        offsets = sizes.select("_pid", F.coalesce(F.sum("_n").over(
+            Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+        out = (laid.join(offsets, "_pid")  # one row per partition
+               .withColumn(name, F.col("_off") + F.col("_pos")).drop("_pid", "_pos", "_off"))
         return cut_lineage(out)
 
 
@@ -71,48 +65,17 @@ def dense_ids(inc: DataFrame, col: str = "item", name: str = "idx") -> DataFrame
     return dense_index(inc.select(col).distinct(), [col], name)
 
 
-def restrict_items(inc: DataFrame, items: DataFrame) -> DataFrame:
-    """Keep incidence rows whose item is in ``items`` (semi join, size-checked broadcast)."""
-    return inc.join(broadcast_if_small(items.select("item").distinct()), "item", "left_semi")
-
-
-#: Row bound under which a ranking window may run in one task per group.
-SMALL_RANK_ROWS = 200_000
-
-
 def rank_within(df: DataFrame, keys: list[str], order: str | list[str], name: str = "_r",
                 size_name: str = "_m") -> DataFrame:
     """0-based rank by ``order`` inside each ``keys`` group, plus the group size.
 
-    Hot groups are split: group sizes are counted first (partial aggregate);
-    groups of at most ``SMALL_RANK_ROWS`` rows are ranked by a window, i.e.
-    by one task each, and only the rows of larger groups go through a
-    range-partitioned dense index over ``keys + order`` (minus the group's
-    first index), so a group holding a large share of all rows is ranked by
-    many tasks.  ``keys + order`` must be unique.
+    One range-partitioned dense index over ``keys + order`` (unique), less the
+    group's first index: a group that holds a large share of all rows is
+    ranked by many tasks.
     """
     order = [order] if isinstance(order, str) else list(order)
+    ranked = dense_index(df, keys + order, "_i")
     if not keys:
-        if fits(df, SMALL_RANK_ROWS):
-            w = Window.orderBy(*order)  # at most SMALL_RANK_ROWS rows (checked)
-            return (df.withColumn(name, F.row_number().over(w) - 1)
-                    .withColumn(size_name, F.count(F.lit(1)).over(Window.partitionBy())))
-        ranked = dense_index(df, order, "_i")
-        return ranked.withColumn(name, F.col("_i")).withColumn(
-            size_name, F.lit(ranked.count())).drop("_i")
-
-    def windowed(frame: DataFrame) -> DataFrame:
-        w = Window.partitionBy(*keys).orderBy(*order)
-        return (frame.withColumn(name, F.row_number().over(w) - 1)
-                .withColumn(size_name, F.count(F.lit(1)).over(Window.partitionBy(*keys))))
-
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    hot = sizes.where(F.col("_n") > SMALL_RANK_ROWS).select(*keys)
-    if hot.limit(1).count() == 0:
-        return windowed(df)
-    hot = broadcast_if_small(hot)
-    small = windowed(df.join(hot, keys, "left_anti"))
-    big = dense_index(df.join(hot, keys, "left_semi"), keys + order, "_i")
-    starts = big.groupBy(*keys).agg(F.min("_i").alias("_s"), F.count(F.lit(1)).alias(size_name))
-    big = big.join(starts, keys).withColumn(name, F.col("_i") - F.col("_s")).drop("_i", "_s")
-    return small.unionByName(big)
+        return ranked.withColumn(size_name, F.lit(ranked.count())).withColumnRenamed("_i", name)
+    starts = ranked.groupBy(*keys).agg(F.min("_i").alias("_s"), F.count(F.lit(1)).alias(size_name))
+    return ranked.join(starts, keys).withColumn(name, F.col("_i") - F.col("_s")).drop("_i", "_s")

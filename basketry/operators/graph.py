@@ -9,21 +9,18 @@ rounds.  The driver loop only reads one number per round.
 * ``shared_item_edges``: users that share at least ``thre`` items (exact,
   prefix-filtered overlap join).
 * ``connected_components``: least node id per component.
-* ``edge_betweenness``: Brandes' algorithm from every source as rows
-  ``(source, node, sigma)`` per BFS level, then dependencies accumulated
-  level by level backwards; halved (each unordered pair once).
+* ``edge_betweenness``: Brandes' algorithm, the sources of each component
+  dealt into blocks; halved (each unordered pair once).
 * ``modularity`` / ``communities``: Girvan-Newman divisive clustering that
   keeps the partition of largest modularity (computed on the original graph).
 """
 
 from __future__ import annotations
 
-import itertools
-
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketry.session import Scope, broadcast_if_small, cut_lineage, cut_lineage_counted
+from basketry.session import Scope, cut_lineage
 
 #: Relative tolerance under which two betweenness values count as tied.
 TIE_TOLERANCE = 1e-9
@@ -71,103 +68,111 @@ def shared_item_edges(inc: DataFrame, thre: int, user: str = "basket", item: str
 
 # --- components ------------------------------------------------------------------
 
-def connected_components(edges: DataFrame, nodes: DataFrame | None = None,
-                         max_rounds: int = 1000) -> DataFrame:
+def _star(e: DataFrame, large: bool) -> DataFrame:
+    """One large-star or small-star step on edges ``(a, b)``, ``a > b``."""
+    both = e.select(F.col("a").alias("u"), F.col("b").alias("v"))
+    if large:
+        both = both.unionByName(e.select(F.col("b").alias("u"), F.col("a").alias("v")))
+    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    hit = both.join(least, "u")
+    if large:
+        hit = hit.where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b"))
+    else:
+        hit = hit.select(F.col("v").alias("a"), F.col("m").alias("b")).unionByName(
+            least.select(F.col("u").alias("a"), F.col("m").alias("b")))
+    return hit.where("a != b").distinct()
+
+
+def connected_components(edges: DataFrame, nodes: DataFrame | None = None) -> DataFrame:
     """``(node, component)`` with component = least node id of its component.
 
-    Each round: every node takes the least label among itself and its
-    neighbours (partial/final min aggregate), then jumps to its label's label
-    (pointer jumping), which halves path-like chains.  Stops when no label
-    changes.  ``nodes`` adds isolated nodes (their own component).
+    Alternating large-star and small-star steps until the edges are stable:
+    each points the neighbours of a node at the least node around it.  A step
+    is a partial/final minimum per node and one join on the node, so neither
+    a hub nor a giant component is gathered or joined on its label.
+    ``nodes`` adds isolated nodes (their own component).
     """
+    marks = {"x": F.coalesce(F.bit_xor(F.xxhash64("a", "b")), F.lit(0)),
+             "s": F.coalesce(F.sum(F.pmod(F.xxhash64("b", "a"), F.lit(1 << 31))), F.lit(0))}
     with Scope() as scope:
-        edges = cut_lineage(normalize_edges(edges))
-        adj = scope.keep(adjacency(edges))
-        base = nodes_of(edges) if nodes is None else nodes.select("node").unionByName(nodes_of(edges)).distinct()
-        labels = cut_lineage(base.select("node", F.col("node").alias("label")))
-        for _ in range(max_rounds):
-            via = (adj.join(labels.select(F.col("node").alias("src"), "label"), "src")
-                   .groupBy(F.col("dst").alias("node")).agg(F.min("label").alias("nl")))
-            step = (labels.join(via, "node", "left")
-                    .select("node", F.col("label").alias("old"),
-                            F.least("label", F.coalesce("nl", "label")).alias("label")))
-            jumped = (step.join(step.select(F.col("node").alias("label"), F.col("label").alias("l2")), "label", "left")
-                      .select("node", "old", F.least("label", F.coalesce("l2", "label")).alias("label")))
-            new, stats = cut_lineage_counted(jumped, columns=["node", "label"],
-                                             changed=F.count_if(F.col("label") != F.col("old")))
-            labels = new
-            if stats["changed"] == 0:
+        e = normalize_edges(edges).select(F.col("dst").alias("a"), F.col("src").alias("b"))
+        cur, now = scope.counted(e, **marks)
+        ends = cur.select(F.col("a").alias("node")).unionByName(cur.select(F.col("b").alias("node")))
+        base = (ends if nodes is None else ends.unionByName(nodes.select("node"))).distinct()
+        base = scope.table(base)
+        while now["n"]:
+            nxt, new = scope.counted(_star(_star(cur, True), False), **marks)
+            stable = all(new[k] == now[k] for k in ("n", "x", "s"))
+            scope.drop(cur)
+            cur, now = nxt, new
+            if stable:
                 break
-    return labels.select("node", F.col("label").alias("component"))
+        return cut_lineage(base.join(cur.select(F.col("a").alias("node"), F.col("b").alias("component")), "node", "left")
+                           .select("node", F.coalesce("component", "node").alias("component")))
 
 
 # --- betweenness -----------------------------------------------------------------
 
-def bfs_levels(edges: DataFrame, sources: DataFrame | None = None) -> list[DataFrame]:
-    """Shortest-path counts from every source, one DataFrame per BFS level.
-
-    Level d holds ``(s, node, sigma)`` for nodes at distance d from s.  In an
-    undirected graph a neighbour of a level-(d-1) node lies at d-2, d-1 or d,
-    so new nodes are found by anti joins with the two previous levels only.
-    """
-    with Scope() as scope:
-        adj = broadcast_if_small(scope.keep(adjacency(edges)))
-        srcs = nodes_of(edges) if sources is None else sources.select("node")
-        level = cut_lineage(srcs.select(F.col("node").alias("s"), "node", F.lit(1.0).alias("sigma")))
-        levels = [level]
-        prev2 = None
-        while True:
-            step = (level.join(adj.select(F.col("src").alias("node"), "dst"), "node")
-                    .select("s", F.col("dst").alias("node"), "sigma"))
-            step = step.join(level.select("s", "node"), ["s", "node"], "left_anti")
-            if prev2 is not None:
-                step = step.join(prev2.select("s", "node"), ["s", "node"], "left_anti")
-            nxt, stats = cut_lineage_counted(step.groupBy("s", "node").agg(F.sum("sigma").alias("sigma")))
-            if stats["n"] == 0:
-                break
-            levels.append(nxt)
-            prev2, level = level, nxt
-    return levels
-
-
-def edge_betweenness(edges: DataFrame, sources: DataFrame | None = None) -> DataFrame:
+#: Sources whose shortest paths one task follows.
+SOURCE_BLOCK = 64
+
+
+def _credits(key, edges, sources):
+    """Brandes' credits of each edge from some sources of one component (a pandas frame of edges)."""
+    import pandas as pd
+
+    ends = edges[["src", "dst"]].to_numpy()
+    place: dict = {}
+    pairs = [(place.setdefault(a, len(place)), place.setdefault(b, len(place))) for a, b in ends]
+    around: list[list[tuple[int, int]]] = [[] for _ in place]
+    for e, (a, b) in enumerate(pairs):
+        around[a].append((b, e))
+        around[b].append((a, e))
+    credit = [0.0] * len(pairs)
+    for source in sources["node"]:
+        s = place[source]
+        far, paths, order = {s: 0}, {s: 1.0}, [s]
+        for v in order:
+            for w, _ in around[v]:
+                if w not in far:
+                    far[w] = far[v] + 1
+                    paths[w] = 0.0
+                    order.append(w)
+                if far[w] == far[v] + 1:
+                    paths[w] += paths[v]
+        owed = dict.fromkeys(order, 0.0)
+        for w in reversed(order):
+            for v, e in around[w]:
+                if far[v] == far[w] - 1:
+                    part = paths[v] / paths[w] * (1.0 + owed[w])
+                    credit[e] += part
+                    owed[v] += part
+    return pd.DataFrame({"src": ends[:, 0], "dst": ends[:, 1], "c": credit})
+
+
+def edge_betweenness(edges: DataFrame, labels: DataFrame | None = None) -> DataFrame:
     """``(src, dst, betweenness)`` for every edge (``src < dst``).
 
-    Backward pass of Brandes: for a level-d node w and a neighbour v at d-1,
-    the credit of edge (v, w) from source s is
-    ``sigma(s,v) / sigma(s,w) * (1 + delta(s,w))``; ``delta(s,v)`` is the sum
-    of its credits.  Credits are pre-aggregated per edge at every level.
-    With ``sources`` (all nodes by default) the sum runs over those sources.
+    Brandes' algorithm with every node as a source.  The sources of a
+    component are dealt into blocks; a task holds the edges of one component
+    and follows the shortest paths from one block of its nodes, and the
+    credits of the blocks are added up per edge.  Work is nodes times edges
+    of a component, spread over its blocks; a component's edges must fit a
+    task.  ``labels`` are the components where the caller knows them.
     """
-    edges = cut_lineage(normalize_edges(edges))
     with Scope() as scope:
-        adj = broadcast_if_small(scope.keep(adjacency(edges)))
-        levels = bfs_levels(edges, sources)
-        per_level = []
-        delta = None
-        for d in range(len(levels) - 1, 0, -1):
-            child = levels[d].select("s", F.col("node").alias("w"), F.col("sigma").alias("sw"))
-            if delta is not None:
-                child = (child.join(delta.select("s", F.col("v").alias("w"), "delta"), ["s", "w"], "left")
-                         .fillna(0.0, subset=["delta"]))
-            else:
-                child = child.withColumn("delta", F.lit(0.0))
-            parent = levels[d - 1].select("s", F.col("node").alias("v"), F.col("sigma").alias("sv"))
-            credits = (child.join(adj.select(F.col("src").alias("w"), F.col("dst").alias("v")), "w")
-                       .join(parent, ["s", "v"])
-                       .select("s", "v", "w", (F.col("sv") / F.col("sw") * (1 + F.col("delta"))).alias("c")))
-            credits = cut_lineage(credits)
-            per_level.append(credits.groupBy(F.least("v", "w").alias("src"), F.greatest("v", "w").alias("dst"))
-                             .agg(F.sum("c").alias("c")))
-            delta = credits.groupBy("s", "v").agg(F.sum("c").alias("delta"))
-    if not per_level:
-        return edges.select("src", "dst", F.lit(0.0).alias("betweenness"))
-    acc = per_level[0]
-    for p in per_level[1:]:
-        acc = acc.unionByName(p)
-    total = acc.groupBy("src", "dst").agg((F.sum("c") / 2).alias("betweenness"))
-    return edges.join(total, ["src", "dst"], "left").select(
-        "src", "dst", F.coalesce("betweenness", F.lit(0.0)).alias("betweenness"))
+        edges = scope.table(normalize_edges(edges))
+        labels = connected_components(edges) if labels is None else labels
+        of = edges.join(labels.select(F.col("node").alias("src"), "component"), "src")
+        nodes = labels.join(of.select("component").distinct(), "component", "left_semi")
+        sizes = nodes.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / F.lit(SOURCE_BLOCK)).cast("int").alias("nb"))
+        sources = nodes.join(sizes, "component").select("component", "node", F.pmod(F.xxhash64("node"), F.col("nb")).cast("int").alias("blk"))
+        copied = of.join(sizes, "component").select("component", "src", "dst", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("blk"))
+        kind = edges.schema["src"].dataType.simpleString()
+        sources = sources.toDF("_c", "node", "_b")  # names of its own: both sides come from the same labels
+        credits = copied.groupBy("component", "blk").cogroup(sources.groupBy("_c", "_b")).applyInPandas(
+            _credits, f"src {kind}, dst {kind}, c double")
+        return cut_lineage(credits.groupBy("src", "dst").agg((F.sum("c") / 2).alias("betweenness")))
 
 
 # --- modularity and communities --------------------------------------------------
@@ -214,51 +219,78 @@ def split_round(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
     return remaining, connected_components(remaining, nodes)
 
 
-def communities(edges: DataFrame, max_rounds: int | None = None, patience: int | None = None) -> DataFrame:
-    """``(node, community)`` of the best-modularity Girvan-Newman partition.
-
-    Each round removes the edges of maximal betweenness (ties together) and
-    recomputes betweenness and components only inside the components that
-    lost an edge: removing edges only splits components and shortest paths
-    never cross components, so every other score and label stays valid.
-    Modularity always uses the original edges and degrees.  By default it
-    runs until no edge is left (the full Girvan-Newman sequence); the
-    optional ``max_rounds`` / ``patience`` (rounds without a better score)
-    stop it earlier.
+def _shares(labels: DataFrame, edges: DataFrame, deg: DataFrame, m: int) -> DataFrame:
+    """``(component, q)``: what each component of ``labels`` adds to the modularity."""
+    inside = (edges.join(labels.select(F.col("node").alias("src"), F.col("component").alias("c1")), "src")
+              .join(labels.select(F.col("node").alias("dst"), F.col("component").alias("c2")), "dst")
+              .where("c1 = c2").groupBy(F.col("c1").alias("component")).agg(F.count(F.lit(1)).alias("l")))
+    return (deg.join(labels, "node").groupBy("component").agg(F.sum("deg").alias("d")).join(inside, "component", "left")
+            .select("component", (F.coalesce("l", F.lit(0)) / m - F.pow(F.col("d") / (2 * m), 2)).alias("q")))
+
+
+def communities(edges: DataFrame) -> DataFrame:
+    """``(node, community)`` of the best-modularity Girvan-Newman partition, over the whole sequence.
+
+    Components do not influence each other's scores, so a round removes the
+    top edges of every component at once, with one betweenness pass, and
+    records the score of each removal.  The one-by-one sequence is then
+    restored by sorting: it always takes the highest score on offer, so a
+    removal with scores p1, ..., pk on its way (its own last) comes in the
+    order of the suffix minima of that way, higher first, a shorter way
+    before its extensions; removals with equal keys share a step.  Modularity
+    is a sum over components, so running totals of the changes in that order
+    give its value after each step, and each node takes the component it is
+    in after the best one.  Ends when no edge is left.
     """
-    edges = cut_lineage(normalize_edges(edges))
-    nodes = cut_lineage(nodes_of(edges))
-    labels = cut_lineage(connected_components(edges, nodes))
-    deg = cut_lineage(node_degrees(edges))
-    m_val = edges.count()
-    eb, est = cut_lineage_counted(edge_betweenness(edges), mx=F.max("betweenness"))
-    best_q = modularity_of(edges, deg, m_val, labels).first()[0]
-    best = labels
-    current = edges
-    stale = 0
-    rounds = itertools.count() if max_rounds is None else range(max_rounds)
-    for _ in rounds:
-        if est["n"] == 0:
-            break
-        top = eb.where(F.col("betweenness") >= est["mx"] * (1 - TIE_TOLERANCE)).select("src", "dst")
-        hit = cut_lineage(top.join(labels.select(F.col("node").alias("src"), F.col("component").alias("c")), "src")
-                          .select("c").distinct())
-        current = cut_lineage(current.join(top, ["src", "dst"], "left_anti"))
-        lab_c = labels.select(F.col("node").alias("src"), F.col("component").alias("c"))
-        tagged = current.join(lab_c, "src")
-        sub_edges = tagged.join(hit, "c", "left_semi").select("src", "dst")
-        sub_nodes = labels.join(hit.select(F.col("c").alias("component")), "component", "left_semi").select("node")
-        kept_labels = labels.join(hit.select(F.col("c").alias("component")), "component", "left_anti")
-        new_labels = connected_components(sub_edges, sub_nodes)
-        labels = cut_lineage(kept_labels.unionByName(new_labels))
-        kept_eb = (eb.join(top, ["src", "dst"], "left_anti")
-                   .join(lab_c.select("src", "c"), "src").join(hit, "c", "left_anti").select("src", "dst", "betweenness"))
-        eb, est = cut_lineage_counted(kept_eb.unionByName(edge_betweenness(sub_edges)), mx=F.max("betweenness"))
-        q = modularity_of(edges, deg, m_val, labels).first()[0]
-        if q > best_q + 1e-12:
-            best_q, best, stale = q, labels, 0
-        else:
-            stale += 1
-            if patience is not None and stale >= patience:
-                break
-    return best.select("node", F.col("component").alias("community"))
+    with Scope() as scope:
+        edges = scope.table(normalize_edges(edges))
+        m = edges.count()
+        deg = scope.table(node_degrees(edges))
+        labels = scope.table(connected_components(edges))
+        none = F.array().cast("array<double>")
+        way = scope.table(labels.select("component").distinct().select("component", none.alias("path"), none.alias("key")))
+        history = [labels.select("node", "component", F.lit(0).alias("step"), none.alias("key"))]
+        before = scope.table(_shares(labels, edges, deg, max(m, 1)))
+        start = before.agg(F.coalesce(F.sum("q"), F.lit(0.0))).first()[0]
+        changes = []
+        current, left, step = edges, m, 0
+        while left:
+            step += 1
+            of = labels.select(F.col("node").alias("src"), "component")
+            eb = scope.table(edge_betweenness(current, labels).join(of, "src"))
+            top = eb.groupBy("component").agg(F.max("betweenness").alias("mx"))
+            event = top.join(way, "component").select("component", F.concat("path", F.array(F.round("mx", 7))).alias("path"))
+            # suffix minima, negated: ascending arrays put higher scores and shorter ways first
+            key = F.transform(F.filter("path", lambda x, i: x <= F.array_min(F.slice("path", i + 1, F.size("path")))), lambda x: -x)
+            event = scope.table(event.withColumn("key", key))
+            current, stats = scope.counted(eb.join(top, "component").where(
+                F.col("betweenness") < F.col("mx") * (1 - TIE_TOLERANCE)).select("src", "dst"))
+            touched = labels.join(event.select("component", "path", "key"), "component")
+            parts = connected_components(current, touched.select("node"))
+            moved = scope.table(touched.select("node", F.col("component").alias("was"), "path", "key").join(parts, "node"))
+            history.append(moved.select("node", "component", F.lit(step).alias("step"), "key"))
+            after = scope.table(_shares(moved.select("node", "component"), edges, deg, m))
+            gained = moved.select("component", "was", "key").distinct().join(after, "component")
+            lost = event.select(F.col("component").alias("was"), "key").join(before.withColumnRenamed("component", "was"), "was")
+            changes.append(scope.table(gained.select("key", "q").unionByName(lost.select("key", (-F.col("q")).alias("q")))))
+            labels = scope.table(moved.select("node", "component"))
+            way = scope.table(moved.select("component", "path", "key").distinct())
+            before, left = after, stats["n"]
+        every = history[0]
+        for h in history[1:]:
+            every = every.unionByName(h)
+        if not changes:
+            return cut_lineage(every.select("node", F.col("component").alias("community")))
+        total = changes[0]
+        for c in changes[1:]:
+            total = total.unionByName(c)
+        # one row per step of the sequence, at most as many as edges
+        steps = total.groupBy("key").agg(F.sum("q").alias("dq"))
+        ordered = scope.table(steps.select("key", (F.lit(start) + F.sum("dq").over(Window.orderBy("key"))).alias("q")))
+        best = ordered.agg(F.max("q")).first()[0]
+        last = none if start >= best - 1e-12 else None
+        if last is None:
+            end = ordered.where(F.col("q") >= best - 1e-12).agg(F.min("key")).first()[0]
+            last = F.array(*[F.lit(x) for x in end])
+        return cut_lineage(every.where(F.col("key") <= last).groupBy("node").agg(
+            F.max_by("component", "step").alias("community")))

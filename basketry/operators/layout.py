@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def rows_per_partition(df: DataFrame, layout: str) -> DataFrame:
-    """``(layout, partition, n_items)``: one row per non-empty partition."""
-    return (df.select(F.spark_partition_id().alias("partition"))
-            .groupBy("partition").agg(F.count(F.lit(1)).alias("n_items"))
-            .select(F.lit(layout).alias("layout"), "partition", "n_items"))
+def rows_per_partition(df: DataFrame, layout: str, n: int) -> DataFrame:
+    """``(layout, partition, n_items)``: one row per partition ``0..n-1``, empty ones included."""
+    counted = df.select(F.spark_partition_id().alias("partition")).groupBy("partition").agg(F.count(F.lit(1)).alias("n_items"))
+    every = df.sparkSession.range(n).select(F.col("id").cast("int").alias("partition"))
+    return every.join(counted, "partition", "left").select(
+        F.lit(layout).alias("layout"), "partition", F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"))
 
 
 def hash_layout(df: DataFrame, n: int, key: str) -> DataFrame:
@@ -18,27 +19,23 @@ def hash_layout(df: DataFrame, n: int, key: str) -> DataFrame:
     return df.repartition(n, key)
 
 
-def keyed_layout_sizes(df: DataFrame, n: int, partition_of: Column) -> DataFrame:
-    """Rows each partition of a custom partition function would hold.
-
-    ``partition_of`` maps a row to ``0..n-1`` (e.g. ``pmod(key, n)``).  The
-    sizes are counted by aggregation; no data is moved to build the layout.
-    """
-    return (df.select(partition_of.alias("partition"))
-            .groupBy("partition").agg(F.count(F.lit(1)).alias("n_items")))
+def key_placement(df: DataFrame, n: int, key: str) -> DataFrame:
+    """``(key, n_partitions, n_items)`` in the real hash layout: a key lies in one partition."""
+    return (hash_layout(df.select(key), n, key).withColumn("_p", F.spark_partition_id())
+            .groupBy(key).agg(F.count_distinct("_p").alias("n_partitions"), F.count(F.lit(1)).alias("n_items")))
 
 
 def partition_profile(df: DataFrame, n: int, key: str) -> DataFrame:
     """Rows per partition of the input layout and of ``repartition(n, key)``."""
-    return rows_per_partition(df, "default").unionByName(
-        rows_per_partition(hash_layout(df, n, key), "hash"))
+    return rows_per_partition(df, "default", df.rdd.getNumPartitions()).unionByName(
+        rows_per_partition(hash_layout(df, n, key), "hash", n))
 
 
 def profile_summary(profile: DataFrame) -> DataFrame:
-    """Per layout: partition count, total, largest and smallest partition, skew."""
+    """Per layout: partition count, total, largest and smallest partition, skew (null without rows)."""
     return (profile.groupBy("layout")
             .agg(F.count(F.lit(1)).alias("n_partition"),
                  F.sum("n_items").alias("n_rows"),
                  F.max("n_items").alias("max_items"),
                  F.min("n_items").alias("min_items"))
-            .withColumn("skew", F.col("max_items") / (F.col("n_rows") / F.col("n_partition"))))
+            .withColumn("skew", F.when(F.col("n_rows") > 0, F.col("max_items") / (F.col("n_rows") / F.col("n_partition")))))

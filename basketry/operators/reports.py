@@ -55,24 +55,15 @@ def kpi_report(df: DataFrame, user: str, item: str, ts: str, year: int, k: int =
     ``year``), ``n_user`` / ``n_business`` (distinct users / items),
     ``top10_user`` / ``top10_business`` (top-k arrays of ``struct<id, n>``).
 
-    Plan: one scan and one grouping-sets aggregate ``((user), (item), ())``
-    with partial aggregation, written once as a table (its size is the
-    number of distinct users + items, far below the input); every figure of
-    the report is read from it through scalar subqueries.  No cross join,
-    no second pass over the input, no driver round trip.  The year test is
-    a range on ``ts``.  Runs the aggregate when called.
+    Plan: three aggregates over one scan each of the columns they need, all
+    with partial aggregation: the totals (one row even for an empty table),
+    and the counts per user and per item, each written once (as many rows as
+    there are users or items) for its distinct count and its top k.
     """
     in_year = (F.col(ts) >= F.lit(f"{year}-01-01").cast("timestamp_ntz")) & (
         F.col(ts) < F.lit(f"{year + 1}-01-01").cast("timestamp_ntz"))
-    sets = (df.select(user, item, in_year.alias("_y"))
-            .groupingSets([[user], [item], []], user, item)
-            .agg(F.count(F.lit(1)).alias("n"), F.count_if("_y").alias("n_year"),
-                 F.grouping_id().alias("_g")))
-    sets = cut_lineage(sets)
-    # grouping_id: (user) -> 1, (item) -> 2, () -> 3
-    per_user = sets.where((F.col("_g") == 1) & F.col(user).isNotNull()).select(user, "n")
-    per_item = sets.where((F.col("_g") == 2) & F.col(item).isNotNull()).select(item, "n")
-    totals = sets.where(F.col("_g") == 3).select(F.col("n").alias("n_review"), F.col("n_year").alias("n_review_year"))
+    totals = df.agg(F.count(F.lit(1)).alias("n_review"), F.count_if(in_year).alias("n_review_year"))
+    per_user, per_item = cut_lineage(counts_by(df, user)), cut_lineage(counts_by(df, item))
     return totals.select(
         "n_review", "n_review_year",
         per_user.agg(F.count(F.lit(1))).scalar().alias("n_user"),
@@ -124,14 +115,11 @@ def rank_desc(df: DataFrame, value: str, name: str, k: int | None = None) -> Dat
 
 
 def ties_by_value(df: DataFrame, value: str, member: str) -> DataFrame:
-    """Group members that share a value (``(avg, [cities])`` shape).
+    """Members that share a value (``(avg, [cities])`` in long form).
 
-    Returns one row per distinct value with the member count and the first
-    and last member in order; the full member order is ``rank_desc``.  No
-    group is gathered into one array, so a very large tie costs nothing more
-    than an aggregate.
+    One row per member, ``(value, member, n_members)``; the tie's size is a
+    partial/final aggregate joined back on the value, so no tie is gathered
+    into one row.
     """
-    return (df.groupBy(value)
-            .agg(F.count(F.lit(1)).alias("n_members"),
-                 F.min(member).alias("first_member"),
-                 F.max(member).alias("last_member")))
+    sizes = df.groupBy(value).agg(F.count(F.lit(1)).alias("n_members"))
+    return df.select(value, member).join(sizes, value).select(value, member, "n_members")

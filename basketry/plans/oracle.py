@@ -6,15 +6,14 @@ BIGINT and doubles rounded where Spark rounds.
 
 from __future__ import annotations
 
-_NATION_AVG = """
-SELECT n.n_name,
-       round(sum(l.l_quantity) / count(l.l_quantity), 6) AS avg_quantity,
-       count(l.l_quantity) AS n
+_NATION_EXACT = """
+SELECT n.n_name, sum(l.l_quantity) / count(l.l_quantity) AS a, count(l.l_quantity) AS n
 FROM lineitem l
 JOIN supplier s ON l.l_suppkey = s.s_suppkey
 JOIN nation n ON s.s_nationkey = n.n_nationkey
 GROUP BY n.n_name
 """
+_NATION_AVG = f"SELECT n_name, round(a, 6) AS avg_quantity, n FROM ({_NATION_EXACT})"
 
 _TOP = """
 SELECT string_agg(CAST(id AS VARCHAR) || ':' || CAST(n AS VARCHAR), ',' ORDER BY n DESC, id) AS s
@@ -24,12 +23,12 @@ FROM (SELECT {col} AS id, count(*) AS n FROM lineitem WHERE {col} IS NOT NULL
 
 ORACLE: dict[str, str] = {
     "avg_by_nation": _NATION_AVG,
-    "top_avg_nation": f"SELECT * FROM ({_NATION_AVG}) ORDER BY avg_quantity DESC, n_name LIMIT 10",
+    "top_avg_nation": f"SELECT n_name, round(a, 6) AS avg_quantity, n FROM ({_NATION_EXACT} ORDER BY a DESC, n_name LIMIT 10)",
+    "ranked_nations": f"SELECT row_number() OVER (ORDER BY a DESC, n_name) AS place, n_name, round(a, 6) AS avg_quantity, n "
+                      f"FROM ({_NATION_EXACT})",
     "ties_by_avg": """
-        SELECT CAST(floor(a * 10) AS BIGINT) AS avg_bucket, count(*) AS n_members,
-               min(l_suppkey) AS first_member, max(l_suppkey) AS last_member
-        FROM (SELECT l_suppkey, avg(l_quantity) AS a FROM lineitem GROUP BY l_suppkey)
-        GROUP BY 1
+        SELECT avg_bucket, l_suppkey, count(*) OVER (PARTITION BY avg_bucket) AS n_members
+        FROM (SELECT CAST(floor(avg(l_quantity) * 10) AS BIGINT) AS avg_bucket, l_suppkey FROM lineitem GROUP BY l_suppkey)
     """,
     "kpi_report": f"""
         SELECT (SELECT count(*) FROM lineitem) AS n_review,
@@ -69,10 +68,8 @@ ORACLE: dict[str, str] = {
                CAST(json_extract(props, '$.k') AS BIGINT) AS k_parsed
         FROM events
     """,
-    "layout_by_key": """
-        SELECT ((l_suppkey % 7) + 7) % 7 AS partition, count(*) AS n_items
-        FROM lineitem GROUP BY 1
-    """,
+    "key_placement": "SELECT l_suppkey, 1::BIGINT AS n_partitions, count(*) AS n_items FROM lineitem GROUP BY l_suppkey",
+    "partition_summary": "SELECT 'hash' AS layout, 7::BIGINT AS n_partition, count(*) AS n_rows FROM lineitem",
 }
 
 
@@ -173,11 +170,13 @@ ORACLE.update({
     "bucket_pairs": _bucket_ids(REL_SQL["user_k"]) + f""",
         s AS (SELECT {_nb(REL_SQL['user_k'], 3, 10)} AS sup),
         f AS (SELECT item, id FROM b JOIN ids USING (item) GROUP BY item, id HAVING count(*) >= (SELECT sup FROM s))
-        SELECT x.item AS a, y.item AS b FROM f x JOIN f y ON x.item < y.item
+        SELECT DISTINCT x.item AS a, y.item AS b FROM (SELECT basket, item, id FROM b JOIN f USING (item)) x
+        JOIN (SELECT basket, item, id FROM b JOIN f USING (item)) y ON x.basket = y.basket AND x.item < y.item
         WHERE (((y.id - x.id) % 101) + 101) % 101 IN (SELECT bucket FROM bc WHERE n_pairs >= (SELECT sup FROM s))
     """,
     "son_candidates": _son_candidates_sql(),
     "son_frequent": _levels_sql(REL_SQL["order_type"], _nb(REL_SQL["order_type"], 24, 100), 6),
+    "son_bucket": _levels_sql(_MIN_BASKET, _nb(_MIN_BASKET, 177, 1000), 6),
     "apriori_gen": f"""
         WITH l AS ({_levels_sql(REL_SQL['user_k'], _nb(REL_SQL['user_k'], 3, 10), 2)}),
         p AS (SELECT split_part(itemset, ',', 1) AS a, split_part(itemset, ',', 2) AS b FROM l WHERE k = 2)
@@ -192,7 +191,7 @@ ORACLE.update({
 from basketry.functions.hashing import MINHASH_PRIME, minhash_params  # noqa: E402
 
 
-def _sig_sql(n_hashes: int = 60) -> str:
+def _sig_sql(n_hashes: int = 240) -> str:
     mins = ", ".join(f"min(({a} * x + {b}) % {MINHASH_PRIME}) AS m{i}"
                      for i, (a, b) in enumerate(minhash_params(n_hashes)))
     return (f"w AS MATERIALIZED ({REL_SQL['doc_word']}), "
@@ -200,7 +199,7 @@ def _sig_sql(n_hashes: int = 60) -> str:
             f"sig AS MATERIALIZED (SELECT set_id, {mins} FROM h GROUP BY set_id)")
 
 
-def _lsh_sql(n_hashes: int = 60, rows: int = 4) -> str:
+def _lsh_sql(n_hashes: int = 240, rows: int = 4) -> str:
     band_sel = " UNION ALL ".join(
         "SELECT set_id, {b} AS band, {ks} FROM sig".format(
             b=b, ks=", ".join(f"m{b * rows + r} AS k{r}" for r in range(rows)))
@@ -225,7 +224,7 @@ ORACLE.update({
         "SELECT x.basket AS id1, y.basket AS id2, count(*) AS inter FROM w x JOIN w y "
         "ON x.item = y.item AND x.basket < y.basket GROUP BY 1, 2"),
     "minhash_signatures": "WITH " + _sig_sql() + " SELECT set_id AS doc_id, concat_ws(',', "
-                          + ", ".join(f"m{i}" for i in range(60)) + ") AS sig FROM sig",
+                          + ", ".join(f"m{i}" for i in range(240)) + ") AS sig FROM sig",
     "lsh_candidates": "WITH " + _lsh_sql() + " SELECT id1, id2 FROM cand",
     "similar_pairs": "WITH " + _lsh_sql() + f", {_SIZES} " + _scored(
         "SELECT c.id1, c.id2, count(*) AS inter FROM cand c JOIN w x ON x.basket = c.id1 "
@@ -236,7 +235,8 @@ ORACLE.update({
 # --- graph -------------------------------------------------------------------
 _EDGES = (f"w AS MATERIALIZED ({REL_SQL['cust_part']}), "
           "e AS MATERIALIZED (SELECT x.basket AS src, y.basket AS dst, count(*) AS shared FROM w x JOIN w y "
-          "ON x.item = y.item AND x.basket < y.basket GROUP BY 1, 2 HAVING count(*) >= 7), "
+          "ON x.item = y.item AND x.basket < y.basket GROUP BY 1, 2 HAVING count(*) >= (SELECT CAST(floor(c + 3 * sqrt(c)) AS BIGINT) + 4 FROM ("
+          "SELECT count(*)::DOUBLE * count(*)::DOUBLE / (count(DISTINCT basket)::DOUBLE * count(DISTINCT basket)::DOUBLE * count(DISTINCT item)::DOUBLE) AS c FROM w))), "
           "adj AS MATERIALIZED (SELECT src, dst FROM e UNION ALL SELECT dst, src FROM e), "
           "nodes AS MATERIALIZED (SELECT src AS node FROM e UNION SELECT dst FROM e)")
 
@@ -295,9 +295,9 @@ def _tuple_sql(col: str) -> str:
 def _itemset_report_sql() -> str:
     cands = ORACLE["son_candidates"]
     freq = ORACLE["son_frequent"]
-    return (f"SELECT section, k, 0 AS part, string_agg({_tuple_sql('itemset')}, ',' ORDER BY itemset) AS line "
+    return (f"SELECT section, k, row_number() OVER (PARTITION BY section, k ORDER BY itemset) AS pos, {_tuple_sql('itemset')} AS text "
             f"FROM (SELECT 'Candidates' AS section, k, itemset FROM ({cands}) UNION ALL "
-            f"SELECT 'Frequent Itemsets' AS section, k, itemset FROM ({freq})) GROUP BY section, k")
+            f"SELECT 'Frequent Itemsets' AS section, k, itemset FROM ({freq}))")
 
 
 ORACLE.update({
@@ -306,7 +306,7 @@ ORACLE.update({
                     f"|| CAST(similarity AS VARCHAR) AS line FROM ({ORACLE['similar_pairs']})"),
     "edge_report": ("SELECT src, dst, betweenness, '(''' || CAST(src AS VARCHAR) || ''', ''' || CAST(dst AS VARCHAR) "
                     f"|| '''), ' || CAST(betweenness AS VARCHAR) AS line FROM ({ORACLE['edge_betweenness']})"),
-    "community_report": ("SELECT component AS community, count(*) AS size, 0 AS part, "
-                         "string_agg('''' || CAST(node AS VARCHAR) || '''', ', ' ORDER BY node) AS line "
-                         f"FROM ({ORACLE['components']}) GROUP BY component"),
+    "community_report": ("SELECT component AS community, count(*) OVER (PARTITION BY component) AS size, "
+                         "min(node) OVER (PARTITION BY component) AS first, node, '''' || CAST(node AS VARCHAR) || '''' AS text "
+                         f"FROM ({ORACLE['components']})"),
 })

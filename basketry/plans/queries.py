@@ -7,12 +7,14 @@ query reads the given tables in full.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketry.operators import layout, reports
+from basketry.operators.baskets import rank_within
 from basketry.sources.readers import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,18 +31,30 @@ def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 # --- reports -----------------------------------------------------------------
 
-def avg_by_nation(spark, sf_dir):
+def _avg_by_nation(spark, sf_dir):
     li = _t(spark, sf_dir, "lineitem").select("l_suppkey", "l_quantity")
     supp = _t(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     nation = _t(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     dim = supp.join(nation, supp.s_nationkey == nation.n_nationkey).select("s_suppkey", "n_name")
-    out = reports.avg_by_group(li, "l_suppkey", "l_quantity", dim, "s_suppkey", "n_name",
-                               avg_alias="avg_quantity")
-    return out.select("n_name", F.round("avg_quantity", 6).alias("avg_quantity"), "n")
+    return reports.avg_by_group(li, "l_suppkey", "l_quantity", dim, "s_suppkey", "n_name", avg_alias="avg_quantity")
+
+
+def _rounded(df):
+    return df.select("n_name", F.round("avg_quantity", 6).alias("avg_quantity"), "n")
+
+
+def avg_by_nation(spark, sf_dir):
+    return _rounded(_avg_by_nation(spark, sf_dir))
+
+
+def ranked_nations(spark, sf_dir):
+    # The full ranking, with its places; ordered by the exact average, rounded for show.
+    ranked = rank_within(_avg_by_nation(spark, sf_dir).withColumn("neg", -F.col("avg_quantity")), [], ["neg", "n_name"])
+    return ranked.select((F.col("_r") + 1).alias("place"), "n_name", F.round("avg_quantity", 6).alias("avg_quantity"), "n")
 
 
 def top_avg_nation(spark, sf_dir):
-    return reports.rank_desc(avg_by_nation(spark, sf_dir), "avg_quantity", "n_name", TOP_K)
+    return _rounded(reports.rank_desc(_avg_by_nation(spark, sf_dir), "avg_quantity", "n_name", TOP_K))
 
 
 def ties_by_avg(spark, sf_dir):
@@ -86,19 +100,23 @@ def json_fields(spark, sf_dir):
 
 # --- layout ------------------------------------------------------------------
 
-def layout_by_key(spark, sf_dir):
-    li = _t(spark, sf_dir, "lineitem").select("l_suppkey")
-    return layout.keyed_layout_sizes(li, LAYOUT_PARTITIONS,
-                                     F.pmod(F.col("l_suppkey"), F.lit(LAYOUT_PARTITIONS)))
+def key_placement(spark, sf_dir):
+    return layout.key_placement(_t(spark, sf_dir, "lineitem"), LAYOUT_PARTITIONS, "l_suppkey")
 
 
-def layout_spark(spark, sf_dir):
+def partition_profile(spark, sf_dir):
     li = _t(spark, sf_dir, "lineitem").select("l_suppkey")
-    return layout.rows_per_partition(layout.hash_layout(li, LAYOUT_PARTITIONS, "l_suppkey"), "hash")
+    return layout.partition_profile(li, LAYOUT_PARTITIONS, "l_suppkey")
+
+
+def partition_summary(spark, sf_dir):
+    summary = layout.profile_summary(partition_profile(spark, sf_dir)).where("layout = 'hash'")
+    return summary.select("layout", "n_partition", "n_rows")
 
 
 QUERIES: dict[str, Query] = {
     "avg_by_nation": avg_by_nation,
+    "ranked_nations": ranked_nations,
     "top_avg_nation": top_avg_nation,
     "ties_by_avg": ties_by_avg,
     "kpi_report": kpi_report,
@@ -106,8 +124,9 @@ QUERIES: dict[str, Query] = {
     "top_users": top_users,
     "top_items": top_items,
     "json_fields": json_fields,
-    "layout_by_key": layout_by_key,
-    "layout_spark": layout_spark,
+    "key_placement": key_placement,
+    "partition_profile": partition_profile,
+    "partition_summary": partition_summary,
 }
 
 
@@ -171,7 +190,7 @@ def freq_itemsets(spark, sf_dir):
 
 def freq_itemsets_brand(spark, sf_dir):
     inc = rel.order_brand(spark, sf_dir)
-    return _levels_out(fi.fpgrowth_itemsets(inc, _sup(inc, SUP_ORDER_BRAND)))
+    return _levels_out(fi.frequent_itemsets(inc, _sup(inc, SUP_ORDER_BRAND)))
 
 
 def freq_itemsets_transposed(spark, sf_dir):
@@ -195,18 +214,10 @@ def bucket_pairs(spark, sf_dir):
     inc = fi.prepare(rel.user_k(spark, sf_dir))
     sup = _sup(inc, SUP_USER_K)
     ids = bk.dense_ids(inc, "item", "_id")
-    tagged = inc.join(ids, "item").select("basket", "_id")
-    hot = fi.bucket_counts(tagged, "_id", TEST_BUCKETS).where(F.col("n_pairs") >= sup).select("bucket")
+    pairs = fi.in_frequent_buckets(fi.pairs_together(inc), ids, sup, TEST_BUCKETS)
     l1 = fi.frequent_items(inc, sup).select(F.element_at("items", 1).alias("item"))
-    freq_ids = l1.join(ids, "item")
-    pairs = fi.apriori_pairs_with_ids(bk.dense_index(freq_ids.select("item", F.col("_id").alias("_g")),
-                                                     ["item"], "_id"), [])
-    # apriori_pairs_with_ids ranks on the frequent list; map back to global ids.
-    gid = freq_ids.select(F.col("item"), F.col("_id").alias("g"))
-    pairs = (pairs.join(gid.select(F.col("item").alias("a"), F.col("g").alias("ga")), "a")
-             .join(gid.select(F.col("item").alias("b"), F.col("g").alias("gb")), "b"))
-    pairs = pairs.withColumn("bucket", fi.pair_bucket(F.col("ga"), F.col("gb"), TEST_BUCKETS))
-    return pairs.join(hot, "bucket", "left_semi").select("a", "b")
+    frequent = pairs.join(l1.withColumnRenamed("item", "a"), "a", "left_semi").join(l1.withColumnRenamed("item", "b"), "b", "left_semi")
+    return frequent.select("a", "b").distinct()
 
 
 def _son_inputs(spark, sf_dir):
@@ -226,6 +237,13 @@ def son_frequent(spark, sf_dir):
     return _levels_out(freq)
 
 
+def son_bucket(spark, sf_dir):
+    # SON in two default (hashed) chunks with the bucket filter, on baskets above the size floor.
+    inc = bk.with_min_size(rel.order_type(spark, sf_dir), MIN_BASKET_SIZE)
+    _, freq = fi.son(inc, _sup(inc, SUP_MIN_BASKET), 2, prefilter="bucket")
+    return _levels_out(freq)
+
+
 def apriori_gen(spark, sf_dir):
     inc = fi.prepare(rel.user_k(spark, sf_dir))
     sup = _sup(inc, SUP_USER_K)
@@ -247,6 +265,7 @@ QUERIES.update({
     "bucket_pairs": bucket_pairs,
     "son_candidates": son_candidates,
     "son_frequent": son_frequent,
+    "son_bucket": son_bucket,
     "apriori_gen": apriori_gen,
 })
 
@@ -257,7 +276,7 @@ from basketry.operators import similarity as sim  # noqa: E402
 #: Fixed values.  Jaccard threshold, signature length and rows per band of
 #: the registered similarity queries.
 JACCARD_T = 0.5
-N_HASHES = 60
+N_HASHES = 240
 BAND_ROWS = 4
 
 
@@ -295,12 +314,19 @@ QUERIES.update({
 # --- graph -------------------------------------------------------------------
 from basketry.operators import graph as gr  # noqa: E402
 
-#: Fixed value.  Shared-part threshold of the customer graph.
-EDGE_THRE = 7
+def edge_threshold(inc: DataFrame) -> int:
+    """Shared items that make an edge: well above what two baskets share by chance, at any size of the data."""
+    n = inc.agg(F.count(F.lit(1)), F.count_distinct("basket"), F.count_distinct("item")).first()
+    rows, baskets, items = (float(x) for x in n)
+    if not rows:
+        return 4
+    chance = rows * rows / (baskets * baskets * items)
+    return math.floor(chance + 3 * math.sqrt(chance)) + 4
 
 
 def _cust_graph(spark, sf_dir):
-    return gr.shared_item_edges(rel.cust_part(spark, sf_dir), EDGE_THRE)
+    inc = rel.cust_part(spark, sf_dir)
+    return gr.shared_item_edges(inc, edge_threshold(inc))
 
 
 def shared_item_edges(spark, sf_dir):

@@ -3,8 +3,8 @@
 Library code never creates a session; callers pass theirs.  The only
 session-level state the library relies on is a reliable checkpoint folder,
 which a cluster names in ``spark.checkpoint.dir``.  ``ensure_checkpoint_dir``
-reads that setting and only invents a scratch folder when it is unset (local
-tests and the bench).
+reads that setting; in local mode (tests, the bench) it sets a scratch folder
+when none is named, on a cluster that is an error.
 """
 
 from __future__ import annotations
@@ -14,7 +14,8 @@ import tempfile
 import uuid
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def build_session(cores: int | str = "*", shuffle_partitions: int = 8,
@@ -61,20 +62,29 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or conf_dir
 
 
+def _write_table(df: DataFrame) -> str:
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/basketry-tables/{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(path)
+    return path
+
+
+def _observed(df: DataFrame, columns: list[str] | None, metrics: dict) -> tuple[DataFrame, Observation]:
+    obs = Observation()
+    aggs = [F.count(F.lit(1)).alias("n")] + [c.alias(k) for k, c in metrics.items()]
+    seen = df.observe(obs, *aggs)
+    return (seen.select(*columns) if columns else seen), obs
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` as a Parquet table under the checkpoint folder; read it back.
 
-    Used once per round of an iterative operator so that plans and lineage do
-    not grow with the number of rounds, and so that a lost executor never
-    forces a replay of earlier rounds.  Unlike ``Dataset.checkpoint`` (which
-    runs the plan once for the action and again to write the files), the
-    plan runs exactly once; the table is columnar and carries row counts.
+    Used for results of iterative operators so that plans and lineage do not
+    grow with the number of rounds, and so that a lost executor never forces
+    a replay of earlier rounds.  Unlike ``Dataset.checkpoint`` (which runs
+    the plan once for the action and again to write the files), the plan
+    runs exactly once; the table is columnar and carries row counts.
     """
-    spark = df.sparkSession
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{base}/basketry-tables/{uuid.uuid4().hex}"
-    df.write.mode("errorifexists").parquet(path)
-    return spark.read.parquet(path)
+    return df.sparkSession.read.parquet(_write_table(df))
 
 
 def cut_lineage_counted(df: DataFrame, columns: list[str] | None = None, **metrics) -> tuple[DataFrame, dict]:
@@ -86,13 +96,8 @@ def cut_lineage_counted(df: DataFrame, columns: list[str] | None = None, **metri
     the same job that writes the table, so a loop learns "empty?" or
     "changed?" without running a second job.
     """
-    from pyspark.sql import Observation
-    from pyspark.sql import functions as F
-
-    obs = Observation()
-    aggs = [F.count(F.lit(1)).alias("n")] + [c.alias(k) for k, c in metrics.items()]
-    observed = df.observe(obs, *aggs)
-    out = cut_lineage(observed.select(*columns) if columns else observed)
+    seen, obs = _observed(df, columns, metrics)
+    out = cut_lineage(seen)
     return out, obs.get
 
 
@@ -101,90 +106,56 @@ def keep(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
-def fits(df: DataFrame, max_rows: int) -> bool:
-    """True if ``df`` has at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows, so it is cheap even for a
-    large input; it is what guards every explicit broadcast in the library.
-    """
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-#: Bounds for an explicit broadcast: rows and bytes.  Anything above either
-#: is left to the planner (AQE may still broadcast it from runtime statistics).
-BROADCAST_ROWS = 2_000_000
-BROADCAST_BYTES = 256 * 1024 * 1024
-
-
-def _row_bytes(df: DataFrame):
-    """Column estimating the payload bytes of a row (8 per fixed-width value)."""
-    from pyspark.sql import functions as F
-    from pyspark.sql import types as T
-
-    parts = []
-    for f in df.schema.fields:
-        c = F.col(f"`{f.name}`")
-        t = f.dataType
-        if isinstance(t, (T.StringType, T.BinaryType)):
-            parts.append(F.coalesce(F.octet_length(c), F.lit(0)))
-        elif isinstance(t, T.ArrayType) and not isinstance(
-                t.elementType, (T.StringType, T.BinaryType, T.ArrayType, T.MapType, T.StructType)):
-            parts.append(F.lit(8) * F.greatest(F.coalesce(F.size(c), F.lit(0)), F.lit(0)))
-        elif isinstance(t, (T.ArrayType, T.MapType, T.StructType)):
-            parts.append(F.coalesce(F.octet_length(F.to_json(c)), F.lit(0)))
-        else:
-            parts.append(F.lit(8))
-    total = F.lit(0)
-    for p in parts:
-        total = total + p
-    return total.cast("long")
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS,
-                       max_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """Broadcast-hint ``df`` only after checking its size.
-
-    One job reads at most ``max_rows + 1`` rows and sums their payload bytes;
-    the hint is given only when both the row count and the bytes are within
-    bounds, otherwise the planner's shuffle join is kept.
-    """
-    from pyspark.sql import functions as F
-
-    stats = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"),
-                                       F.coalesce(F.sum(_row_bytes(df)), F.lit(0)).alias("b")).first()
-    return F.broadcast(df) if stats["n"] <= max_rows and stats["b"] <= max_bytes else df
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin ``df`` over the default parallelism if it has fewer partitions.
-
-    For CPU-heavy per-row work (tokenizing whole texts) right after a scan
-    that yields few splits (a small file with one row group).  On inputs of
-    many files it returns ``df`` unchanged, adding no shuffle.
-    """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+def delete_tables(spark: SparkSession, paths: list[str]) -> None:
+    """Delete tables that this library wrote under the checkpoint folder."""
+    for path in paths:
+        if "/basketry-tables/" not in path:
+            raise ValueError(f"not a table of this library: {path}")
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 class Scope:
-    """Persisted intermediates of one operator call, released on exit.
+    """Intermediates of one operator call, released when it ends.
 
-    Operators that read an intermediate several times persist it through
-    ``scope.keep``; the result they return is written with ``cut_lineage``
-    inside the scope, so nothing returned depends on the cached frames and
-    all of them can be unpersisted when the call ends.
+    ``keep`` persists a frame that is read several times, unless its owner
+    has persisted it already; such a frame stays as it is.  ``table`` writes
+    a frame and reads it back; the tables are deleted at the end (``drop``
+    does so earlier).  What a call returns is written with ``cut_lineage``
+    inside the scope, so it depends on neither.
     """
 
     def __init__(self) -> None:
         self._frames: list[DataFrame] = []
+        self._tables: list[tuple[DataFrame, str]] = []
+        self._spark: SparkSession | None = None
 
     def keep(self, df: DataFrame) -> DataFrame:
+        if df.storageLevel.useMemory or df.storageLevel.useDisk:
+            return df
         kept = keep(df)
         self._frames.append(kept)
         return kept
 
+    def table(self, df: DataFrame) -> DataFrame:
+        self._spark = df.sparkSession
+        path = _write_table(df)
+        out = self._spark.read.parquet(path)
+        self._tables.append((out, path))
+        return out
+
+    def counted(self, df: DataFrame, columns: list[str] | None = None, **metrics) -> tuple[DataFrame, dict]:
+        seen, obs = _observed(df, columns, metrics)
+        out = self.table(seen)
+        return out, obs.get
+
+    def drop(self, *tables: DataFrame) -> None:
+        """Delete tables of this scope that nothing reads any more."""
+        gone = [p for t, p in self._tables if any(t is x for x in tables)]
+        self._tables = [(t, p) for t, p in self._tables if p not in gone]
+        if gone:
+            delete_tables(self._spark, gone)
+
     def __enter__(self) -> "Scope":
         return self
 
@@ -192,3 +163,4 @@ class Scope:
         for f in self._frames:
             f.unpersist(blocking=False)
         self._frames.clear()
+        self.drop(*[t for t, _ in self._tables])

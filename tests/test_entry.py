@@ -15,11 +15,11 @@ def test_entry_runs(spark):
 def test_oracle_keys_are_queries():
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
-    # only these have no SQL equivalent (Murmur3 layout, capped Girvan-Newman)
-    assert set(q) - set(o) == {"layout_spark", "communities"}
 
 
 def test_cheap_queries_run_on_smallest_tables(spark):
     q = E.queries()
-    for name in ("avg_by_nation", "kpi_report", "json_fields", "baskets_user", "dense_ids", "minhash_signatures"):
-        assert q[name](spark, SF_SMALL).count() >= 0
+    rows = {"avg_by_nation": 3, "kpi_report": 6, "json_fields": 4, "baskets_user": 2, "dense_ids": 3, "minhash_signatures": 2}
+    for name, columns in rows.items():
+        df = q[name](spark, SF_SMALL)
+        assert len(df.columns) == columns and df.count() > 0, name

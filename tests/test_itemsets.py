@@ -58,7 +58,47 @@ def test_son_pcy_fpgrowth_agree(spark):
         assert as_dict(freq) == truth
         cand_sets = {tuple(r["items"]) for r in cands.collect()}
         assert set(truth) <= cand_sets  # SON never misses a frequent set
-    assert as_dict(fi.fpgrowth_itemsets(inc, 10)) == truth
+    for p in (1, 2):
+        assert as_dict(fi.son(inc, 10, p, prefilter="bucket", buckets=7)[1]) == truth
+    assert fpgrowth(inc, 10) == truth
+
+
+def fpgrowth(inc, sup):
+    """MLlib's FP-growth as an independent miner; (sup - 0.5) / n makes its share exactly count >= sup."""
+    from pyspark.ml.fpm import FPGrowth
+
+    carts = fi.prepare(inc).groupBy("basket").agg(F.collect_set("item").alias("items"))
+    fp = FPGrowth(itemsCol="items", minSupport=(sup - 0.5) / carts.count(), minConfidence=1.0)
+    return {tuple(sorted(r["items"])): r["freq"] for r in fp.fit(carts).freqItemsets.collect()}
+
+
+def test_one_basket_with_most_rows(spark):
+    rows = [(0, f"i{k:03d}") for k in range(150)] + [(b, f"i{k:03d}") for b in (1, 2) for k in (3, 70, 149)]
+    inc = spark.createDataFrame(rows, "basket long, item string")
+    pairs = [(r["basket"], r["a"], r["b"]) for r in fi.pairs_together(inc, block=16).collect()]
+    want = [(b, x, y) for b in (0, 1, 2) for x, y in itertools.combinations(sorted(i for k, i in rows if k == b), 2)]
+    assert sorted(pairs) == sorted(want)
+    assert as_dict(fi.frequent_itemsets(inc, 3)) == {
+        k: 3 for n in (1, 2, 3) for k in itertools.combinations(("i003", "i070", "i149"), n)}
+
+
+def test_no_candidates_and_empty_tables(spark):
+    inc = spark.createDataFrame([(1, "a"), (2, "b")], "basket long, item string")
+    for frame, sup in ((inc, 50), (inc.limit(0), 1)):
+        cands, freq = fi.son(frame, sup, 2)
+        assert freq.count() == 0 and freq.columns == ["k", "items", "support"]
+        assert fi.frequent_itemsets(frame, sup, prefilter="bucket").count() == 0
+    assert fi.son_frequent(inc, spark.createDataFrame([], "k int, items array<string>"), 1).count() == 0
+    assert bk.dense_ids(inc.limit(0)).count() == 0 and bk.rank_within(inc.limit(0), ["basket"], "item").count() == 0
+
+
+def test_count_support_takes_any_candidates(spark):
+    rows = _random_rows(8)
+    inc = spark.createDataFrame(rows, "basket long, item string")
+    truth = brute_force(rows, 1)
+    cands = [("i0",), ("i1", "i3"), ("i0", "i2", "i4"), ("i1", "zz")]
+    got = as_dict(fi.count_support(inc, spark.createDataFrame([(list(c),) for c in cands], "items array<string>")))
+    assert got == {c: truth[c] for c in cands if c in truth}
 
 
 def test_subsets_of_frequent_sets_are_frequent(spark):
@@ -122,10 +162,9 @@ def test_bucket_counts_match_python(spark):
     assert got == want
 
 
-def test_rank_within_splits_hot_groups(spark, monkeypatch):
+def test_rank_within_hot_group(spark):
     rows = [("hot", f"x{i:03d}") for i in range(50)] + [("cold", "b"), ("cold", "a"), ("warm", "q")]
-    df = spark.createDataFrame(rows, "g string, x string")
-    monkeypatch.setattr(bk, "SMALL_RANK_ROWS", 3)
+    df = spark.createDataFrame(rows, "g string, x string").repartition(3)
     got = {(r["g"], r["x"]): (r["_r"], r["_m"]) for r in bk.rank_within(df, ["g"], "x").collect()}
     want = {}
     for g in ("hot", "cold", "warm"):

@@ -62,9 +62,15 @@ def test_rank_desc_and_ties(spark):
     df = spark.createDataFrame([("b", 4.0), ("a", 4.0), ("c", 5.0), ("d", 1.0)], "city string, stars double")
     assert [r["city"] for r in reports.rank_desc(df, "stars", "city").collect()] == ["c", "a", "b", "d"]
     assert [r["city"] for r in reports.rank_desc(df, "stars", "city", k=2).collect()] == ["c", "a"]
-    ties = {r["stars"]: (r["n_members"], r["first_member"], r["last_member"])
-            for r in reports.ties_by_value(df, "stars", "city").collect()}
-    assert ties[4.0] == (2, "a", "b")
+    ties = {(r["stars"], r["city"]): r["n_members"] for r in reports.ties_by_value(df, "stars", "city").collect()}
+    assert ties == {(4.0, "a"): 2, (4.0, "b"): 2, (5.0, "c"): 1, (1.0, "d"): 1}
+
+
+def test_empty_activity_report(spark):
+    rep = reports.kpi_report(_reviews(spark).limit(0), "user_id", "business_id", "date", 2018).collect()
+    assert len(rep) == 1 and rep[0]["n_review"] == 0 and rep[0]["n_user"] == 0 and rep[0]["top10_user"] == []
+    assert json.loads(reports.report_json(reports.kpi_report(
+        _reviews(spark).limit(0), "user_id", "business_id", "date", 2018)).first()[0])["n_review_year"] == 0
 
 
 def test_partition_profile_sums(spark):
@@ -72,11 +78,20 @@ def test_partition_profile_sums(spark):
     prof = layout.partition_profile(df, 5, "key")
     sums = {r["layout"]: r["s"] for r in prof.groupBy("layout").agg(F.sum("n_items").alias("s")).collect()}
     assert sums == {"default": 1000, "hash": 1000}
-    assert prof.where("layout = 'hash'").count() <= 5
+    assert prof.where("layout = 'hash'").count() == 5
     summ = {r["layout"]: r for r in layout.profile_summary(prof).collect()}
     assert summ["hash"]["n_rows"] == 1000
 
 
+def test_empty_partitions_count(spark):
+    df = spark.createDataFrame([(1,), (1,), (2,)], "key long")
+    summ = {r["layout"]: r for r in layout.profile_summary(layout.partition_profile(df, 7, "key")).collect()}
+    assert (summ["hash"]["n_partition"], summ["hash"]["min_items"], summ["hash"]["n_rows"]) == (7, 0, 3)
+    assert {r["key"]: (r["n_partitions"], r["n_items"]) for r in layout.key_placement(df, 7, "key").collect()} == {1: (1, 2), 2: (1, 1)}
+    empty = {r["layout"]: r for r in layout.profile_summary(layout.partition_profile(df.limit(0), 3, "key")).collect()}
+    assert (empty["hash"]["n_partition"], empty["hash"]["n_rows"], empty["hash"]["skew"]) == (3, 0, None)
+
+
 def test_json_lines_reader(spark, scratch):
     path = os.path.join(scratch, "business.json")
     with open(path, "w") as f:
@@ -94,12 +109,41 @@ def test_json_lines_reader(spark, scratch):
     assert len(perm) == 2 and sum(r["_corrupt_record"] is not None for r in perm) == 1
 
 
+def test_a_line_without_an_id_fails(spark, scratch):
+    path = os.path.join(scratch, "reviews.json")
+    with open(path, "w") as f:
+        f.write('{"user_id":"u1","business_id":"b1","stars":4.0,"date":"2018-01-02 10:00:00"}\n{"business_id":"b1","stars":1.0}\n')
+    with pytest.raises(Exception, match="no user_id"):
+        read_reviews(spark, path).collect()
+
+
 def test_csv_reader_header_and_nulls(spark, scratch):
     path = os.path.join(scratch, "ub.csv")
     with open(path, "w") as f:
-        f.write("user_id,business_id,extra\nu1,b1,x\nu1,b2,y\n,b3,z\nu2,b1,w\n")
-    rows = read_interactions_csv(spark, path).collect()
+        f.write("user_id,extra,business_id\nu1,x,b1\nu1,y,b2\nu2,w,b1\n")
+    names = ["user_id", "extra", "business_id"]
+    rows = read_interactions_csv(spark, path, header=names).collect()
     assert sorted((r["user_id"], r["business_id"]) for r in rows) == [("u1", "b1"), ("u1", "b2"), ("u2", "b1")]
+    with pytest.raises(Exception):  # the header is not what the caller says
+        read_interactions_csv(spark, path).collect()
+    with open(path, "a") as f:
+        f.write(",z,b3\n")
+    with pytest.raises(Exception, match="no user_id"):
+        read_interactions_csv(spark, path, header=names).collect()
+
+
+def test_report_writers(spark, scratch):
+    pairs = spark.createDataFrame([("b", "c", 0.5), ("a", "b", 1.0)], "id1 string, id2 string, similarity double")
+    out = os.path.join(scratch, "pairs")
+    sinks.write_lines(sinks.pair_lines(pairs), ["id1", "id2"], out, header="business_id_1, business_id_2, similarity")
+    text = [r[0] for r in spark.read.text(out).coalesce(1).collect()]
+    assert sorted(text) == sorted(["business_id_1, business_id_2, similarity", "a,b,1.0", "b,c,0.5"])
+    levels = spark.createDataFrame([(1, ["b"]), (1, ["a"]), (2, ["a", "b"])], "k int, items array<string>")
+    out = os.path.join(scratch, "sets")
+    sinks.write_itemset_report(sinks.itemset_report(levels, levels.where("k = 1")).coalesce(1), out)
+    files = sorted(f for f in os.listdir(out) if f.startswith("part-"))
+    lines = "".join(open(os.path.join(out, f)).read() for f in files).split("\n")
+    assert lines == ["Candidates:", "('a')", "('b')", "", "('a', 'b')", "", "Frequent Itemsets:", "('a')", "('b')", "", ""]
 
 
 def test_ranking_csv_quotes_commas(spark, scratch):
