@@ -86,8 +86,9 @@ def _list(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                  pa.array(begin - offs[row], pa.int64())], ["h", "k", "c", "spot", "at"])
 
 
-def _blob_ids(rows: list[np.ndarray]) -> pa.Array:
-    return pa.array([r.tobytes() for r in rows], pa.binary())
+def _narrow(enc: Encoder):
+    """The type in which ids travel."""
+    return np.uint16 if enc.vocab <= 1 << 16 else np.uint32
 
 
 def _owned(path: str):
@@ -104,9 +105,11 @@ def _owned(path: str):
                 for key2, a, b in zip(zip(h.tolist(), k.tolist()), begin.tolist(), end.tolist()):
                     if key2 in want and key2 not in held:
                         held[key2] = buf[a:b].tobytes()
-        ids, offs = encoder(path).encode(pa.array(list(held.values()), pa.binary()).cast(pa.string()))
+        enc = encoder(path)
+        ids, offs = enc.encode(pa.array(list(held.values()), pa.binary()).cast(pa.string()))
+        ids = ids.astype(_narrow(enc))
         return pa.table({"h": pa.array([x[0] for x in held], pa.int64()), "k": pa.array([x[1] for x in held], pa.int64()),
-                         "ids": _blob_ids([ids[a:b] for a, b in zip(offs[:-1], offs[1:])])})
+                         "ids": pa.array([ids[a:b].tobytes() for a, b in zip(offs[:-1].tolist(), offs[1:].tolist())], pa.binary())})
 
     return run
 
@@ -173,7 +176,7 @@ def _encoded(path: str, with_text: bool, rest: bool):
     def run(key, docs, given):
         enc = encoder(path)
         texts = docs.column("text").combine_chunks()
-        known = {k: np.frombuffer(x, np.uint32) for k, x in zip(
+        known = {k: np.frombuffer(x, _narrow(enc)).astype(np.uint32) for k, x in zip(
             zip(given.column("h").to_pylist(), given.column("k").to_pylist()), given.column("ids").to_pylist())}
         n, ids_sha, text_sha, decoded = [], [], [], []
         for lo, hi in C.slices(texts, SLICE):
