@@ -12,20 +12,26 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketry.session import cut_lineage, cut_lineage_counted
+from basketry.operators.graph import connected_components as graph_components
+from basketry.session import Scope, cut_lineage
 
 #: Bytes of text that one chunk of a chunked exchange holds (about); bounds a task's memory.
 CHUNK_BYTES = 8 << 20
 
 
 def staged(df: DataFrame) -> DataFrame:
-    """Write ``df`` once under ``spark.checkpoint.dir`` and read it back."""
+    """Write ``df`` once under ``spark.checkpoint.dir`` and read it back; for what a call returns."""
     return cut_lineage(df)
 
 
+def tables() -> Scope:
+    """Tables of one call (``with tables() as t: t.table(df)``), deleted when it ends."""
+    return Scope()
+
+
 def crc_mod(n: int, col: str = "doc_id") -> Column:
     """crc32 of the id as text, modulo n; null ids count as remainder 0."""
     return F.coalesce(F.crc32(F.col(col).cast("string")) % F.lit(n), F.lit(0)).cast("int")
@@ -42,41 +48,8 @@ def chunk_count(n_bytes: int, spark) -> int:
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
-    """``(node, component)`` of every node of ``edges (a, b)``: the least node reachable.
-
-    Alternating large-star and small-star steps: each points neighbours at
-    the least node of a neighbourhood, until nothing changes.  A step is one
-    partial/final minimum per node and one join on the node, so a hub costs a
-    skewed join (which Spark splits), never a gathered list.  Every round is
-    written to the checkpoint folder; the loop runs until the edges are stable.
-    """
-    def marks() -> dict[str, Column]:
-        return {"x": F.coalesce(F.bit_xor(F.xxhash64("a", "b")), F.lit(0)),
-                "s": F.coalesce(F.sum(F.pmod(F.xxhash64("b", "a"), F.lit(1 << 31))), F.lit(0))}
-
-    def star(e: DataFrame, large: bool) -> DataFrame:
-        both = e.select(F.col("a").alias("u"), F.col("b").alias("v"))
-        if large:
-            both = both.unionByName(e.select(F.col("b").alias("u"), F.col("a").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        hit = both.join(least, "u")
-        if large:
-            hit = hit.where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b"))
-        else:
-            hit = hit.select(F.col("v").alias("a"), F.col("m").alias("b")).unionByName(
-                least.select(F.col("u").alias("a"), F.col("m").alias("b")))
-        return hit.where("a != b").distinct()
-
-    e = edges.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    cur, now = cut_lineage_counted(e, **marks())
-    while now["n"]:
-        nxt, new = cut_lineage_counted(star(star(cur, True), False), **marks())
-        stable = all(new[k] == now[k] for k in ("n", "x", "s"))
-        cur, now = nxt, new
-        if stable:
-            break
-    return cur.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
-        cur.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
+    """``(node, component)`` of every node of ``edges (a, b)``: the least node reachable."""
+    return graph_components(edges.select(F.col("a").alias("src"), F.col("b").alias("dst")))
 
 
 # --- inside tasks ------------------------------------------------------------------

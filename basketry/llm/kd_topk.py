@@ -150,25 +150,26 @@ def _search(k: int):
 
 def top_k(vectors: DataFrame, is_query: Column, k: int = 10, vector: str = "embedding") -> DataFrame:
     """``(query_id, rank, vec_id, score)`` of the k best for each row that ``is_query`` marks."""
-    rows = vectors.where(F.col("vec_id").isNotNull() & usable(vector)).select(
-        F.col("vec_id").cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("x"), is_query.alias("is_query"))
-    rows = C.staged(rows)
-    count = rows.agg(F.count(F.lit(1)), F.count_if("is_query")).first()
-    shards, tiles = max(1, math.ceil(count[0] / SHARD)), max(1, math.ceil(count[1] / TILE))
-    deal = lambda n, seed: F.pmod(F.xxhash64("vec_id", F.lit(seed)), F.lit(n)).cast("int")
-    packed = C.staged(rows.withColumn("g", deal(shards, 1)).select("g", "vec_id", "x").groupBy("g").applyInArrow(_pack, PACKED))
-    queries = rows.where("is_query").select("vec_id", "x")
-    found = "query_id long, vec_id long, score long"
-    # the floor: each query against one shard
-    first = queries.withColumn("g", deal(shards, 2)).select("g", "vec_id", "x").groupBy("g").applyInArrow(_pack, PACKED)
-    seeds = packed.groupBy("g").cogroup(first.groupBy("g")).applyInArrow(_search(k), found)
-    floors = seeds.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("floor")).where(F.col("n") >= k)
-    floored = queries.join(floors.select(F.col("query_id").alias("vec_id"), "floor"), "vec_id", "left").select(
-        deal(tiles, 3).alias("g"), "vec_id", "x", F.coalesce("floor", F.lit(FLOOR)).alias("floor"))
-    tiled = floored.groupBy("g").applyInArrow(_pack, PACKED)
-    against = tiled.withColumn("tile", F.col("g")).withColumn("g", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-    copied = packed.withColumn("tile", F.explode(F.sequence(F.lit(0), F.lit(tiles - 1))))
-    hits = copied.groupBy("g", "tile").cogroup(against.groupBy("g", "tile")).applyInArrow(_search(k), found)
-    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("vec_id").asc())
-    return hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(
-        "query_id", "rank", "vec_id", "score")
+    with C.tables() as t:
+        rows = vectors.where(F.col("vec_id").isNotNull() & usable(vector)).select(
+            F.col("vec_id").cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("x"), is_query.alias("is_query"))
+        rows = t.table(rows)
+        count = rows.agg(F.count(F.lit(1)), F.count_if("is_query")).first()
+        shards, tiles = max(1, math.ceil(count[0] / SHARD)), max(1, math.ceil(count[1] / TILE))
+        deal = lambda n, seed: F.pmod(F.xxhash64("vec_id", F.lit(seed)), F.lit(n)).cast("int")
+        packed = t.table(rows.withColumn("g", deal(shards, 1)).select("g", "vec_id", "x").groupBy("g").applyInArrow(_pack, PACKED))
+        queries = rows.where("is_query").select("vec_id", "x")
+        found = "query_id long, vec_id long, score long"
+        # the floor: each query against one shard
+        first = queries.withColumn("g", deal(shards, 2)).select("g", "vec_id", "x").groupBy("g").applyInArrow(_pack, PACKED)
+        seeds = packed.groupBy("g").cogroup(first.groupBy("g")).applyInArrow(_search(k), found)
+        floors = seeds.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("floor")).where(F.col("n") >= k)
+        floored = queries.join(floors.select(F.col("query_id").alias("vec_id"), "floor"), "vec_id", "left").select(
+            deal(tiles, 3).alias("g"), "vec_id", "x", F.coalesce("floor", F.lit(FLOOR)).alias("floor"))
+        tiled = floored.groupBy("g").applyInArrow(_pack, PACKED)
+        against = tiled.withColumn("tile", F.col("g")).withColumn("g", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
+        copied = packed.withColumn("tile", F.explode(F.sequence(F.lit(0), F.lit(tiles - 1))))
+        hits = copied.groupBy("g", "tile").cogroup(against.groupBy("g", "tile")).applyInArrow(_search(k), found)
+        order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("vec_id").asc())
+        return C.staged(hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(
+            "query_id", "rank", "vec_id", "score"))

@@ -203,43 +203,44 @@ def _links(threshold_pct: int, miss: float):
 
 def near_duplicates(docs: DataFrame, threshold_pct: int = 85, miss: float = 1e-5) -> DataFrame:
     """``(doc_id, n_shingles, component_id, kept)``, one row per input row."""
-    spark = docs.sparkSession
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    feats = C.staged(texts.mapInArrow(_features, "doc_id long, n_shingles long, k1 long, k2 long, bands array<long>"))
-    known = feats.where("doc_id is not null and n_shingles > 0")
-    reps = known.groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "bands", "n_shingles")).alias("r")).select(
-        "k1", "k2", F.col("r.doc_id").alias("rep"), F.col("r.bands").alias("bands"), F.col("r.n_shingles").alias("n"))
-    reps = C.staged(reps)
-    rows = reps.select(F.explode("bands").alias("band"), F.col("rep").alias("doc_id"), "n")
-    buckets = rows.groupBy("band").agg(
-        F.count(F.lit(1)).alias("m"), F.sum("n").alias("total"), F.bit_xor(F.xxhash64("doc_id")).alias("x"),
-        F.sum(F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(1 << 31))).alias("s")).where("m > 1")
-    once = buckets.groupBy("m", "total", "x", "s").agg(F.min("band").alias("band")).select(
-        "band", F.greatest(F.ceil(F.col("m") / BLOCK_DOCS), F.ceil(F.col("total") / BLOCK_SHINGLES)).cast("int").alias("nb"))
-    active = C.staged(rows.join(once, "band").select("band", "doc_id", "nb"))
-    sets = (texts.join(active.select("doc_id").distinct().hint("merge"), "doc_id", "left_semi")
-            .mapInArrow(_sets, "doc_id long, sig binary, sh binary"))
-    blocks = (active.withColumn("blk", F.pmod(F.xxhash64("doc_id"), F.col("nb")).cast("int"))
-              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
-              .select("band", "doc_id", "blk", F.least("blk", "other").alias("lo"), F.greatest("blk", "other").alias("hi")))
-    links = C.staged(blocks.join(sets, "doc_id")
-                     .repartition(F.col("band"), F.col("lo"), F.col("hi"))
-                     .sortWithinPartitions("band", "lo", "hi")
-                     .mapInArrow(_links(threshold_pct, miss), "a long, b long"))
-    same = known.select("doc_id", "k1", "k2").groupBy("doc_id").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
-    if not same.isEmpty():  # rows that share an id tie their classes together
-        tied = known.join(same.select("doc_id"), "doc_id", "left_semi").join(
-            reps.select("k1", "k2", "rep"), ["k1", "k2"]).select("doc_id", "rep")
-        links = links.unionByName(tied.select(F.col("doc_id").alias("a"), F.col("rep").alias("b")))
-        links = links.unionByName(tied.groupBy("doc_id").agg(F.min("rep").alias("b"), F.max("rep").alias("a")).select("a", "b"))
-    comps = C.connected_components(links)
-    classes = reps.select("k1", "k2", "rep").join(comps.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "k1", "k2", F.coalesce("component", "rep").alias("component_id"))
-    out = feats.select("doc_id", "n_shingles", "k1", "k2").join(classes, ["k1", "k2"], "left")
-    alone = F.col("doc_id").isNull() | (F.col("n_shingles") == 0)
-    component = F.when(alone, F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"),
-                      F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+    with C.tables() as t:
+        spark = docs.sparkSession
+        texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+        feats = t.table(texts.mapInArrow(_features, "doc_id long, n_shingles long, k1 long, k2 long, bands array<long>"))
+        known = feats.where("doc_id is not null and n_shingles > 0")
+        reps = known.groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "bands", "n_shingles")).alias("r")).select(
+            "k1", "k2", F.col("r.doc_id").alias("rep"), F.col("r.bands").alias("bands"), F.col("r.n_shingles").alias("n"))
+        reps = t.table(reps)
+        rows = reps.select(F.explode("bands").alias("band"), F.col("rep").alias("doc_id"), "n")
+        buckets = rows.groupBy("band").agg(
+            F.count(F.lit(1)).alias("m"), F.sum("n").alias("total"), F.bit_xor(F.xxhash64("doc_id")).alias("x"),
+            F.sum(F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(1 << 31))).alias("s")).where("m > 1")
+        once = buckets.groupBy("m", "total", "x", "s").agg(F.min("band").alias("band")).select(
+            "band", F.greatest(F.ceil(F.col("m") / BLOCK_DOCS), F.ceil(F.col("total") / BLOCK_SHINGLES)).cast("int").alias("nb"))
+        active = t.table(rows.join(once, "band").select("band", "doc_id", "nb"))
+        sets = (texts.join(active.select("doc_id").distinct().hint("merge"), "doc_id", "left_semi")
+                .mapInArrow(_sets, "doc_id long, sig binary, sh binary"))
+        blocks = (active.withColumn("blk", F.pmod(F.xxhash64("doc_id"), F.col("nb")).cast("int"))
+                  .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
+                  .select("band", "doc_id", "blk", F.least("blk", "other").alias("lo"), F.greatest("blk", "other").alias("hi")))
+        links = t.table(blocks.join(sets, "doc_id")
+                         .repartition(F.col("band"), F.col("lo"), F.col("hi"))
+                         .sortWithinPartitions("band", "lo", "hi")
+                         .mapInArrow(_links(threshold_pct, miss), "a long, b long"))
+        same = known.select("doc_id", "k1", "k2").groupBy("doc_id").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+        if not same.isEmpty():  # rows that share an id tie their classes together
+            tied = known.join(same.select("doc_id"), "doc_id", "left_semi").join(
+                reps.select("k1", "k2", "rep"), ["k1", "k2"]).select("doc_id", "rep")
+            links = links.unionByName(tied.select(F.col("doc_id").alias("a"), F.col("rep").alias("b")))
+            links = links.unionByName(tied.groupBy("doc_id").agg(F.min("rep").alias("b"), F.max("rep").alias("a")).select("a", "b"))
+        comps = C.connected_components(links)
+        classes = reps.select("k1", "k2", "rep").join(comps.withColumnRenamed("node", "rep"), "rep", "left").select(
+            "k1", "k2", F.coalesce("component", "rep").alias("component_id"))
+        out = feats.select("doc_id", "n_shingles", "k1", "k2").join(classes, ["k1", "k2"], "left")
+        alone = F.col("doc_id").isNull() | (F.col("n_shingles") == 0)
+        component = F.when(alone, F.col("doc_id")).otherwise(F.col("component_id"))
+        return C.staged(out.select("doc_id", "n_shingles", component.alias("component_id"),
+                                   F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept")))
 
 
 def keep_one(docs: DataFrame, threshold_pct: int = 85, miss: float = 1e-5) -> DataFrame:

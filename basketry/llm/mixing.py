@@ -92,34 +92,35 @@ def copies(docs: DataFrame, share: tuple[int, int] = (9, 10), epochs: int = 2, s
 
     The budget is ``share[0] / share[1]`` of all tokens, rounded down.
     """
-    rows = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(domain if domain is not None else domain_of(), F.lit("")).alias("domain"),
-        F.coalesce("lang", F.lit("")).alias("lang"), F.coalesce("source", F.lit("")).alias("source"),
-        tokens_of().alias("n_tokens"))
-    rows = C.staged(rows)
-    leaves = rows.groupBy(*TREE).agg(F.sum("n_tokens").alias("tokens"))
-    total = leaves.agg(F.coalesce(F.sum("tokens"), F.lit(0))).first()[0]
-    leaves = leaf_budgets(leaves, total * share[0] // share[1], epochs, weights)
-    leaves = C.staged(leaves.where("tokens > 0").withColumn("whole", F.expr("budget div tokens")).withColumn(
-        "rest", F.col("budget") % F.col("tokens")))
-    order = F.md5(F.concat_ws(":", F.lit(seed), F.col("whole"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
-    # a leaf without tokens has no row in ``leaves``: its documents cost nothing and are left out
-    placed = rows.join(leaves, TREE, "left").withColumn("h", order).withColumn(
-        "bucket", F.conv(F.substring("h", 1, 4), 16, 10).cast("int"))
-    sums = placed.where("rest is not null").groupBy(*TREE, "bucket").agg(F.sum("n_tokens").alias("s"), F.first("rest").alias("rest"))
-    run = Window.partitionBy(*TREE).orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ends = (sums.withColumn("upto", F.sum("s").over(run)).where("upto > rest").groupBy(*TREE)
-            .agg(F.min(F.struct("bucket", (F.col("upto") - F.col("s")).alias("before"))).alias("e"))
-            .select(*TREE, F.col("e.bucket").alias("end"), F.col("e.before").alias("before")))
-    placed = placed.join(ends, TREE, "left")
-    inside = F.col("bucket") == F.col("end")
-    within = Window.partitionBy(*TREE).orderBy("h").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    out = [*TREE, "doc_id", "n_tokens", "whole"]
-    edge = placed.where(inside).withColumn("taken", (F.col("rest") > 0) & (F.col("before") + F.sum("n_tokens").over(within) <= F.col("rest")))
-    away = placed.where(~F.coalesce(inside, F.lit(False))).withColumn("taken", F.coalesce(F.col("rest") > 0, F.lit(False)) & F.coalesce(F.col("bucket") < F.col("end"), F.lit(True)))
-    done = edge.select(*out, "taken").unionByName(away.select(*out, "taken"))
-    return done.select("doc_id", *TREE, "n_tokens", F.coalesce(
-        F.col("whole") + F.col("taken").cast("long"), F.lit(0)).cast("int").alias("copies"))
+    with C.tables() as t:
+        rows = docs.select(
+            F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(domain if domain is not None else domain_of(), F.lit("")).alias("domain"),
+            F.coalesce("lang", F.lit("")).alias("lang"), F.coalesce("source", F.lit("")).alias("source"),
+            tokens_of().alias("n_tokens"))
+        rows = t.table(rows)
+        leaves = rows.groupBy(*TREE).agg(F.sum("n_tokens").alias("tokens"))
+        total = leaves.agg(F.coalesce(F.sum("tokens"), F.lit(0))).first()[0]
+        leaves = leaf_budgets(leaves, total * share[0] // share[1], epochs, weights)
+        leaves = t.table(leaves.where("tokens > 0").withColumn("whole", F.expr("budget div tokens")).withColumn(
+            "rest", F.col("budget") % F.col("tokens")))
+        order = F.md5(F.concat_ws(":", F.lit(seed), F.col("whole"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+        # a leaf without tokens has no row in ``leaves``: its documents cost nothing and are left out
+        placed = rows.join(leaves, TREE, "left").withColumn("h", order).withColumn(
+            "bucket", F.conv(F.substring("h", 1, 4), 16, 10).cast("int"))
+        sums = placed.where("rest is not null").groupBy(*TREE, "bucket").agg(F.sum("n_tokens").alias("s"), F.first("rest").alias("rest"))
+        run = Window.partitionBy(*TREE).orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        ends = (sums.withColumn("upto", F.sum("s").over(run)).where("upto > rest").groupBy(*TREE)
+                .agg(F.min(F.struct("bucket", (F.col("upto") - F.col("s")).alias("before"))).alias("e"))
+                .select(*TREE, F.col("e.bucket").alias("end"), F.col("e.before").alias("before")))
+        placed = placed.join(ends, TREE, "left")
+        inside = F.col("bucket") == F.col("end")
+        within = Window.partitionBy(*TREE).orderBy("h").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+        out = [*TREE, "doc_id", "n_tokens", "whole"]
+        edge = placed.where(inside).withColumn("taken", (F.col("rest") > 0) & (F.col("before") + F.sum("n_tokens").over(within) <= F.col("rest")))
+        away = placed.where(~F.coalesce(inside, F.lit(False))).withColumn("taken", F.coalesce(F.col("rest") > 0, F.lit(False)) & F.coalesce(F.col("bucket") < F.col("end"), F.lit(True)))
+        done = edge.select(*out, "taken").unionByName(away.select(*out, "taken"))
+        return C.staged(done.select("doc_id", *TREE, "n_tokens", F.coalesce(
+            F.col("whole") + F.col("taken").cast("long"), F.lit(0)).cast("int").alias("copies")))
 
 
 def mix(docs: DataFrame, **how) -> DataFrame:

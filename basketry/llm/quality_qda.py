@@ -174,9 +174,9 @@ def _scored(model: Discriminant):
     return run
 
 
-def _measured(docs: DataFrame, learn: Column) -> DataFrame:
+def _measured(docs: DataFrame, learn: Column, scope: C.Scope) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), learn.alias("learn"), "text")
-    return C.staged(rows.mapInArrow(_measure, "doc_id long, learn boolean, x array<double>"))
+    return scope.table(rows.mapInArrow(_measure, "doc_id long, learn boolean, x array<double>"))
 
 
 def fit(measured: DataFrame, labels: DataFrame, towards_pooled: float, towards_diagonal: float) -> Discriminant:
@@ -198,9 +198,10 @@ def quality_scores(docs: DataFrame, labels: DataFrame, learn: Column, towards_po
     ``labels`` has ``doc_id, label``; ``learn`` marks the rows whose labels may
     be learned.
     """
-    measured = _measured(docs, learn)
-    model = fit(measured, labels, towards_pooled, towards_diagonal)
-    return measured.mapInArrow(_scored(model), "doc_id long, learn boolean, score double")
+    with C.tables() as t:
+        measured = _measured(docs, learn, t)
+        model = fit(measured, labels, towards_pooled, towards_diagonal)
+        return C.staged(measured.mapInArrow(_scored(model), "doc_id long, learn boolean, score double"))
 
 
 def _kept(model: Discriminant, at_least: float):
@@ -217,5 +218,6 @@ def _kept(model: Discriminant, at_least: float):
 def keep_good(docs: DataFrame, labels: DataFrame, learn: Column, at_least: float = 0.5,
               towards_pooled: float = 0.5, towards_diagonal: float = 0.1) -> DataFrame:
     """The rows of ``docs``, all columns, whose score reaches ``at_least``; no row is shuffled with its text."""
-    model = fit(_measured(docs, learn), labels, towards_pooled, towards_diagonal)
+    with C.tables() as t:
+        model = fit(_measured(docs, learn, t), labels, towards_pooled, towards_diagonal)
     return docs.mapInArrow(_kept(model, at_least), docs.schema)

@@ -157,41 +157,43 @@ def _fingerprint(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def near_vectors(vectors: DataFrame, threshold: float = 0.93, recall: float = 0.995, vector: str = "embedding") -> DataFrame:
     """``(vec_id, n_links, component_id, kept)``, one row per input row."""
-    zero = F.forall(F.col(vector), lambda v: v == 0)
-    ok = usable(vector) & F.col("label").isNotNull() & F.col("vec_id").isNotNull()
-    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("long").alias("label"),
-                          F.when(ok & ~zero, F.col(vector).cast("array<double>")).alias("x"))
-    keyed = C.staged(rows.where("x is not null").mapInArrow(_fingerprint, "vec_id long, label long, x array<double>, k1 long, k2 long"))
-    reps = C.staged(keyed.groupBy("label", "k1", "k2").agg(F.min(F.struct("vec_id", "x")).alias("r"), F.count(F.lit(1)).alias("m"))
-                    .select("label", "k1", "k2", F.col("r.vec_id").alias("vec_id"), F.col("r.x").alias("x"), "m"))
-    n = reps.count()
-    bits, tables = plan(n, threshold, recall)
-    coded = C.staged(reps.select("vec_id", "label", "m", "x").mapInArrow(
-        _code(bits, tables), "vec_id long, label long, dim int, m long, bands array<int>, x binary"))
-    placed = coded.select("vec_id", "label", "dim", F.posexplode("bands").alias("t", "band"))
-    full = placed.groupBy("label", "dim", "t", "band").agg(F.count(F.lit(1)).alias("size")).where("size > 1").select(
-        "label", "dim", "t", "band", F.ceil(F.col("size") / BLOCK).cast("int").alias("nb"))
-    blocks = (placed.join(full, ["label", "dim", "t", "band"])
-              .withColumn("blk", F.pmod(F.xxhash64("vec_id"), F.col("nb")).cast("int"))
-              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
-              .select("vec_id", "t", "band", "blk", F.least("blk", "other").alias("lo"), F.greatest("blk", "other").alias("hi")))
-    keys = ["label", "dim", "t", "band", "lo", "hi"]
-    found = C.staged(coded.join(blocks, "vec_id").repartition(*[F.col(k) for k in keys]).sortWithinPartitions(*keys)
-                     .mapInArrow(_links(threshold, 4), "vec_id long, n long, to long"))
-    copies = keyed.groupBy("vec_id").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("label", "k1", "k2")).alias("lo"),
-                                         F.max(F.struct("label", "k1", "k2")).alias("hi")).where("lo != hi")
-    links = found.where("to is not null").select(F.col("vec_id").alias("a"), F.col("to").alias("b"))
-    if not copies.isEmpty():  # rows that share an id tie their classes together
-        tied = keyed.join(copies.select("vec_id"), "vec_id", "left_semi").join(
-            reps.select("label", "k1", "k2", F.col("vec_id").alias("b")), ["label", "k1", "k2"]).select(F.col("vec_id").alias("a"), "b")
-        links = links.unionByName(tied)
-    comps = C.connected_components(links)
-    degree = found.where("to is null").groupBy("vec_id").agg(F.sum("n").alias("n"))
-    classes = (reps.select("label", "k1", "k2", "vec_id", "m").join(degree, "vec_id", "left")
-               .join(comps.withColumnRenamed("node", "vec_id"), "vec_id", "left")
-               .select("label", "k1", "k2", (F.col("m") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"),
-                       F.coalesce("component", "vec_id").alias("component_id")))
-    linked = keyed.select("vec_id", "label", "k1", "k2").join(classes, ["label", "k1", "k2"]).select(
-        "vec_id", "n_links", "component_id")
-    alone = rows.where("x is null").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
-    return linked.unionByName(alone).select("*", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)).alias("kept"))
+    with C.tables() as t:
+        zero = F.forall(F.col(vector), lambda v: v == 0)
+        ok = usable(vector) & F.col("label").isNotNull() & F.col("vec_id").isNotNull()
+        rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("long").alias("label"),
+                              F.when(ok & ~zero, F.col(vector).cast("array<double>")).alias("x"))
+        keyed = t.table(rows.where("x is not null").mapInArrow(_fingerprint, "vec_id long, label long, x array<double>, k1 long, k2 long"))
+        reps = t.table(keyed.groupBy("label", "k1", "k2").agg(F.min(F.struct("vec_id", "x")).alias("r"), F.count(F.lit(1)).alias("m"))
+                        .select("label", "k1", "k2", F.col("r.vec_id").alias("vec_id"), F.col("r.x").alias("x"), "m"))
+        n = reps.count()
+        bits, tables = plan(n, threshold, recall)
+        coded = t.table(reps.select("vec_id", "label", "m", "x").mapInArrow(
+            _code(bits, tables), "vec_id long, label long, dim int, m long, bands array<int>, x binary"))
+        placed = coded.select("vec_id", "label", "dim", F.posexplode("bands").alias("t", "band"))
+        full = placed.groupBy("label", "dim", "t", "band").agg(F.count(F.lit(1)).alias("size")).where("size > 1").select(
+            "label", "dim", "t", "band", F.ceil(F.col("size") / BLOCK).cast("int").alias("nb"))
+        blocks = (placed.join(full, ["label", "dim", "t", "band"])
+                  .withColumn("blk", F.pmod(F.xxhash64("vec_id"), F.col("nb")).cast("int"))
+                  .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
+                  .select("vec_id", "t", "band", "blk", F.least("blk", "other").alias("lo"), F.greatest("blk", "other").alias("hi")))
+        keys = ["label", "dim", "t", "band", "lo", "hi"]
+        found = t.table(coded.join(blocks, "vec_id").repartition(*[F.col(k) for k in keys]).sortWithinPartitions(*keys)
+                         .mapInArrow(_links(threshold, 4), "vec_id long, n long, to long"))
+        copies = keyed.groupBy("vec_id").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("label", "k1", "k2")).alias("lo"),
+                                             F.max(F.struct("label", "k1", "k2")).alias("hi")).where("lo != hi")
+        links = found.where("to is not null").select(F.col("vec_id").alias("a"), F.col("to").alias("b"))
+        if not copies.isEmpty():  # rows that share an id tie their classes together
+            tied = keyed.join(copies.select("vec_id"), "vec_id", "left_semi").join(
+                reps.select("label", "k1", "k2", F.col("vec_id").alias("b")), ["label", "k1", "k2"]).select(F.col("vec_id").alias("a"), "b")
+            links = links.unionByName(tied)
+        comps = C.connected_components(links)
+        degree = found.where("to is null").groupBy("vec_id").agg(F.sum("n").alias("n"))
+        classes = (reps.select("label", "k1", "k2", "vec_id", "m").join(degree, "vec_id", "left")
+                   .join(comps.withColumnRenamed("node", "vec_id"), "vec_id", "left")
+                   .select("label", "k1", "k2", (F.col("m") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"),
+                           F.coalesce("component", "vec_id").alias("component_id")))
+        linked = keyed.select("vec_id", "label", "k1", "k2").join(classes, ["label", "k1", "k2"]).select(
+            "vec_id", "n_links", "component_id")
+        alone = rows.where("x is null").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
+        return C.staged(linked.unionByName(alone).select(
+            "*", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)).alias("kept")))

@@ -17,8 +17,8 @@ holds more than a chunk of documents or a share of the anchors:
    anchor as one symbol, and suffix-sorted (``gsaca``); neighbours that share
    a window's symbols have equal windows, and the least id of each such
    stretch is their verdict.
-5. The verdict goes back as bits: windows that begin in a smaller document
-   of another chunk.  A chunk marks those, and for documents other than its
+5. The verdict goes back as bits: windows that begin in a document
+   below the chunk's least one with the run.  A chunk marks those, and for documents other than its
    least one with a run, all of the run's windows.
 
 Rows: every input row stays; a null text is empty, texts below ``length``
@@ -344,7 +344,7 @@ def _verdicts(length: int):
             mine, own = run_of[here], doc[here]
             n = windows[mine]
             idx = np.repeat(offs[mine] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
-            lower = flat[idx] < np.repeat(own, n)  # the window begins in a smaller document of another chunk
+            lower = flat[idx] < np.repeat(own, n)  # the window begins in a smaller document
             place = np.arange(len(lower)) - np.repeat(np.cumsum(n) - n, n)
             bit = np.add.reduceat(np.where(lower, _U(1) << place.astype(np.uint64), _U(0)), np.cumsum(n) - n)
             bit[(n == 1) & (bit == 1)] = _U(C.MASK)  # one verdict for all windows
@@ -386,7 +386,7 @@ def _marks(length: int, with_text: bool, rest: bool):
                     j, f, w = j[hit], first[hit], last[hit] - first[hit] + 1
                     place = np.arange(int(w.sum())) - np.repeat(np.cumsum(w) - w, w)
                     lower = (np.repeat(bits[j], w) >> place.astype(np.uint64)) & _U(1) > 0
-                    # the chunk's least document keeps what no other chunk has below it; its others lose it
+                    # the chunk's least document with the run keeps what begins in no smaller one; its others lose it
                     later = np.repeat(least[j] < ids[lo + row[hit]], w)
                     gone = (np.repeat(f, w) + place)[lower | later] + shift
                     np.add.at(cover, gone, 1)
