@@ -117,20 +117,9 @@ def connected_components(edges: DataFrame, nodes: DataFrame | None = None) -> Da
 SOURCE_BLOCK = 64
 
 
-def _credits(key, edges, sources):
-    """Brandes' credits of each edge from some sources of one component (a pandas frame of edges)."""
-    import pandas as pd
-
-    ends = edges[["src", "dst"]].to_numpy()
-    place: dict = {}
-    pairs = [(place.setdefault(a, len(place)), place.setdefault(b, len(place))) for a, b in ends]
-    around: list[list[tuple[int, int]]] = [[] for _ in place]
-    for e, (a, b) in enumerate(pairs):
-        around[a].append((b, e))
-        around[b].append((a, e))
-    credit = [0.0] * len(pairs)
-    for source in sources["node"]:
-        s = place[source]
+def _brandes(around: dict, sources, credit: list[float]) -> None:
+    """Add each edge's credits on the shortest paths from ``sources``; ``around`` maps a node to ``(neighbour, edge)``."""
+    for s in sources:
         far, paths, order = {s: 0}, {s: 1.0}, [s]
         for v in order:
             for w, _ in around[v]:
@@ -147,7 +136,25 @@ def _credits(key, edges, sources):
                     part = paths[v] / paths[w] * (1.0 + owed[w])
                     credit[e] += part
                     owed[v] += part
-    return pd.DataFrame({"src": ends[:, 0], "dst": ends[:, 1], "c": credit})
+
+
+def _around(ends, which) -> dict:
+    out: dict = {}
+    for e in which:
+        a, b = ends[e]
+        out.setdefault(a, []).append((b, e))
+        out.setdefault(b, []).append((a, e))
+    return out
+
+
+def _credits(key, edges, sources):
+    """Credits of each edge of one component from some of its nodes."""
+    import pandas as pd
+
+    ends = list(zip(edges["src"].tolist(), edges["dst"].tolist()))
+    credit = [0.0] * len(ends)
+    _brandes(_around(ends, range(len(ends))), sources["node"].tolist(), credit)
+    return pd.DataFrame({"src": edges["src"], "dst": edges["dst"], "c": credit})
 
 
 def edge_betweenness(edges: DataFrame, labels: DataFrame | None = None) -> DataFrame:
@@ -219,78 +226,92 @@ def split_round(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
     return remaining, connected_components(remaining, nodes)
 
 
-def _shares(labels: DataFrame, edges: DataFrame, deg: DataFrame, m: int) -> DataFrame:
-    """``(component, q)``: what each component of ``labels`` adds to the modularity."""
-    inside = (edges.join(labels.select(F.col("node").alias("src"), F.col("component").alias("c1")), "src")
-              .join(labels.select(F.col("node").alias("dst"), F.col("component").alias("c2")), "dst")
-              .where("c1 = c2").groupBy(F.col("c1").alias("component")).agg(F.count(F.lit(1)).alias("l")))
-    return (deg.join(labels, "node").groupBy("component").agg(F.sum("deg").alias("d")).join(inside, "component", "left")
-            .select("component", (F.coalesce("l", F.lit(0)) / m - F.pow(F.col("d") / (2 * m), 2)).alias("q")))
+def _sequence(m: int):
+    """The removals of one component: how its parts change, under the keys that order them."""
+    def run(key, edges):
+        import pandas as pd
+
+        ends = list(zip(edges["src"].tolist(), edges["dst"].tolist()))
+        degree: dict = {}
+        for a, b in ends:
+            degree[a] = degree.get(a, 0) + 1
+            degree[b] = degree.get(b, 0) + 1
+
+        def share(inside: int, nodes) -> float:
+            return inside / m - (sum(degree[v] for v in nodes) / (2 * m)) ** 2
+
+        first = min(degree)
+        rows = [(v, first, 0, [], None) for v in degree]
+        rows.append((None, None, 0, [], share(len(ends), degree)))
+        # (nodes, edges left, original edges inside, scores on the way)
+        todo = [(list(degree), list(range(len(ends))), list(range(len(ends))), [])]
+        while todo:
+            nodes, left, own, path = todo.pop()
+            around = _around(ends, left)
+            credit = dict.fromkeys(left, 0.0)
+            _brandes(around, nodes, credit)
+            top = max(credit.values()) / 2
+            path = path + [round(top, 7)]
+            way = [-x for i, x in enumerate(path) if x <= min(path[i:])]
+            left = [e for e in left if credit[e] / 2 < top * (1 - TIE_TOLERANCE)]
+            around = _around(ends, left)
+            part: dict = {}
+            for v in sorted(nodes):
+                if v not in part:
+                    part[v] = v
+                    reach = [v]
+                    for x in reach:
+                        for y, _ in around.get(x, ()):
+                            if y not in part:
+                                part[y] = v
+                                reach.append(y)
+            parts: dict = {}
+            for v in nodes:
+                parts.setdefault(part[v], ([], [], []))[0].append(v)
+            for e in left:
+                parts[part[ends[e][0]]][1].append(e)
+            for e in own:
+                if part[ends[e][0]] == part[ends[e][1]]:
+                    parts[part[ends[e][0]]][2].append(e)
+            if len(parts) > 1:
+                was = min(nodes)
+                rows += [(v, c, len(path), way, None) for c, (of, _, _) in parts.items() if c != was for v in of]
+                gain = sum(share(len(inside), of) for of, _, inside in parts.values()) - share(len(own), nodes)
+                rows.append((None, None, len(path), way, gain))
+            todo += [(of, rest, inside, path) for of, rest, inside in parts.values() if rest]
+        return pd.DataFrame(rows, columns=["node", "component", "step", "key", "dq"]).astype({"node": object, "component": object})
+
+    return run
 
 
 def communities(edges: DataFrame) -> DataFrame:
     """``(node, community)`` of the best-modularity Girvan-Newman partition, over the whole sequence.
 
-    Components do not influence each other's scores, so a round removes the
-    top edges of every component at once, with one betweenness pass, and
-    records the score of each removal.  The one-by-one sequence is then
-    restored by sorting: it always takes the highest score on offer, so a
-    removal with scores p1, ..., pk on its way (its own last) comes in the
-    order of the suffix minima of that way, higher first, a shorter way
-    before its extensions; removals with equal keys share a step.  Modularity
-    is a sum over components, so running totals of the changes in that order
-    give its value after each step, and each node takes the component it is
-    in after the best one.  Ends when no edge is left.
+    Components do not influence each other's scores, so each is taken apart
+    on its own, in a task that holds its edges: its top edges (ties together)
+    go until none is left, in every part.  The one-by-one sequence over all
+    components is then restored by sorting: it always takes the highest
+    score on offer, so a removal with scores p1, ..., pk on its way (its own
+    last) comes in the order of the suffix minima of that way, higher first,
+    a shorter way before its extensions; removals with equal keys share a
+    step.  Modularity is a sum over components, so running totals of the
+    changes in that order give its value after each step, and each node takes
+    the part it is in after the best one.
+
+    The sequence of a component is one removal after the other by nature, its
+    work the cube of its size: meant for components of some hundred nodes.
     """
     with Scope() as scope:
         edges = scope.table(normalize_edges(edges))
         m = edges.count()
-        deg = scope.table(node_degrees(edges))
-        labels = scope.table(connected_components(edges))
-        none = F.array().cast("array<double>")
-        way = scope.table(labels.select("component").distinct().select("component", none.alias("path"), none.alias("key")))
-        history = [labels.select("node", "component", F.lit(0).alias("step"), none.alias("key"))]
-        before = scope.table(_shares(labels, edges, deg, max(m, 1)))
-        start = before.agg(F.coalesce(F.sum("q"), F.lit(0.0))).first()[0]
-        changes = []
-        current, left, step = edges, m, 0
-        while left:
-            step += 1
-            of = labels.select(F.col("node").alias("src"), "component")
-            eb = scope.table(edge_betweenness(current, labels).join(of, "src"))
-            top = eb.groupBy("component").agg(F.max("betweenness").alias("mx"))
-            event = top.join(way, "component").select("component", F.concat("path", F.array(F.round("mx", 7))).alias("path"))
-            # suffix minima, negated: ascending arrays put higher scores and shorter ways first
-            key = F.transform(F.filter("path", lambda x, i: x <= F.array_min(F.slice("path", i + 1, F.size("path")))), lambda x: -x)
-            event = scope.table(event.withColumn("key", key))
-            current, stats = scope.counted(eb.join(top, "component").where(
-                F.col("betweenness") < F.col("mx") * (1 - TIE_TOLERANCE)).select("src", "dst"))
-            touched = labels.join(event.select("component", "path", "key"), "component")
-            parts = connected_components(current, touched.select("node"))
-            moved = scope.table(touched.select("node", F.col("component").alias("was"), "path", "key").join(parts, "node"))
-            history.append(moved.select("node", "component", F.lit(step).alias("step"), "key"))
-            after = scope.table(_shares(moved.select("node", "component"), edges, deg, m))
-            gained = moved.select("component", "was", "key").distinct().join(after, "component")
-            lost = event.select(F.col("component").alias("was"), "key").join(before.withColumnRenamed("component", "was"), "was")
-            changes.append(scope.table(gained.select("key", "q").unionByName(lost.select("key", (-F.col("q")).alias("q")))))
-            labels = scope.table(moved.select("node", "component"))
-            way = scope.table(moved.select("component", "path", "key").distinct())
-            before, left = after, stats["n"]
-        every = history[0]
-        for h in history[1:]:
-            every = every.unionByName(h)
-        if not changes:
-            return cut_lineage(every.select("node", F.col("component").alias("community")))
-        total = changes[0]
-        for c in changes[1:]:
-            total = total.unionByName(c)
-        # one row per step of the sequence, at most as many as edges
-        steps = total.groupBy("key").agg(F.sum("q").alias("dq"))
-        ordered = scope.table(steps.select("key", (F.lit(start) + F.sum("dq").over(Window.orderBy("key"))).alias("q")))
-        best = ordered.agg(F.max("q")).first()[0]
-        last = none if start >= best - 1e-12 else None
-        if last is None:
-            end = ordered.where(F.col("q") >= best - 1e-12).agg(F.min("key")).first()[0]
-            last = F.array(*[F.lit(x) for x in end])
-        return cut_lineage(every.where(F.col("key") <= last).groupBy("node").agg(
+        kind = edges.schema["src"].dataType.simpleString()
+        of = edges.join(connected_components(edges).select(F.col("node").alias("src"), "component"), "src")
+        taken = scope.table(of.groupBy("component").applyInPandas(
+            _sequence(m), f"node {kind}, component {kind}, step int, key array<double>, dq double"))
+        # one row per step that splits something, at most as many as nodes
+        steps = taken.where("dq is not null").groupBy("key").agg(F.sum("dq").alias("dq"))
+        ordered = scope.table(steps.select("key", F.sum("dq").over(Window.orderBy("key")).alias("q")))
+        best = ordered.agg(F.max("q")).scalar()
+        last = ordered.where(F.col("q") >= best - 1e-12).agg(F.min("key")).scalar()
+        return cut_lineage(taken.where(F.col("node").isNotNull() & (F.col("key") <= last)).groupBy("node").agg(
             F.max_by("component", "step").alias("community")))
