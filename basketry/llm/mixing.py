@@ -13,7 +13,8 @@ A leaf with budget b and t tokens is taken b // t times whole; the rest of
 its budget is the longest prefix, in the seeded order of the next epoch, that
 fits.  Prefix sums are kept per leaf and hash bucket (at most 65,536 a leaf),
 and rows are ordered only inside the one bucket where the prefix ends, so a
-leaf with a third of all rows is not gathered in a task.
+leaf with a third of all rows is not gathered in a task; its rows meet its
+figures in ``SALTS`` shares.
 
 Tokens are words ``[^\\x20\\x09-\\x0D]+``.  Rows: a null text is empty, null
 sources and languages are nodes of their own, rows that share an id in a leaf
@@ -30,6 +31,8 @@ from pyspark.sql import functions as F
 from basketry.llm import common as C
 
 TREE = ["domain", "lang", "source"]
+#: Shares into which the rows of a leaf are dealt when they meet the leaf's figures.
+SALTS = 64
 
 
 def domain_of(source: str = "source") -> Column:
@@ -97,7 +100,10 @@ def copies(docs: DataFrame, share: tuple[int, int] = (9, 10), epochs: int = 2, s
             F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(domain if domain is not None else domain_of(), F.lit("")).alias("domain"),
             F.coalesce("lang", F.lit("")).alias("lang"), F.coalesce("source", F.lit("")).alias("source"),
             tokens_of().alias("n_tokens"))
-        rows = t.table(rows)
+        salt = F.pmod(F.xxhash64("doc_id", "n_tokens"), F.lit(SALTS)).cast("int")
+        rows = t.table(rows.withColumn("salt", salt))
+        on = [*TREE, "salt"]
+        salted = lambda leaf: leaf.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
         leaves = rows.groupBy(*TREE).agg(F.sum("n_tokens").alias("tokens"))
         total = leaves.agg(F.coalesce(F.sum("tokens"), F.lit(0))).first()[0]
         leaves = leaf_budgets(leaves, total * share[0] // share[1], epochs, weights)
@@ -105,14 +111,14 @@ def copies(docs: DataFrame, share: tuple[int, int] = (9, 10), epochs: int = 2, s
             "rest", F.col("budget") % F.col("tokens")))
         order = F.md5(F.concat_ws(":", F.lit(seed), F.col("whole"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
         # a leaf without tokens has no row in ``leaves``: its documents cost nothing and are left out
-        placed = rows.join(leaves, TREE, "left").withColumn("h", order).withColumn(
+        placed = rows.join(salted(leaves), on, "left").withColumn("h", order).withColumn(
             "bucket", F.conv(F.substring("h", 1, 4), 16, 10).cast("int"))
         sums = placed.where("rest is not null").groupBy(*TREE, "bucket").agg(F.sum("n_tokens").alias("s"), F.first("rest").alias("rest"))
         run = Window.partitionBy(*TREE).orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
         ends = (sums.withColumn("upto", F.sum("s").over(run)).where("upto > rest").groupBy(*TREE)
                 .agg(F.min(F.struct("bucket", (F.col("upto") - F.col("s")).alias("before"))).alias("e"))
                 .select(*TREE, F.col("e.bucket").alias("end"), F.col("e.before").alias("before")))
-        placed = placed.join(ends, TREE, "left")
+        placed = placed.join(salted(ends), on, "left")
         inside = F.col("bucket") == F.col("end")
         within = Window.partitionBy(*TREE).orderBy("h").rangeBetween(Window.unboundedPreceding, Window.currentRow)
         out = [*TREE, "doc_id", "n_tokens", "whole"]
