@@ -17,8 +17,9 @@ words has the empty set and links with nothing.
    most one per document and block, since components need no more.
 4. Components come from large-star/small-star rounds.
 
-A pair at the threshold t shares no band with chance (1 - t**ROWS)**BANDS
-(5e-5 at t = 0.85); pruning misses it with a chance of at most ``miss`` a batch.
+A pair at the threshold t shares no band with chance (1 - t**ROWS)**bands, and
+the number of bands follows t so that this is at most NO_BAND (21 bands at 0.85,
+33 at 0.80); pruning misses it with a chance of at most ``miss`` a batch.
 
 Rows: every input row stays.  A null text is empty.  Rows that share a
 doc_id are one node: it has the least class of theirs.  A null doc_id has a
@@ -40,11 +41,11 @@ from pyspark.sql import functions as F
 
 from basketry.llm import common as C
 
-WORDS, BANDS, ROWS, BATCH = 5, 21, 6, 18
-HASHES = BANDS * ROWS
+WORDS, ROWS, BATCH = 5, 6, 18
+#: Chance that a pair exactly at the threshold shares no band.
+NO_BAND = 5e-5
 #: Bounds of one block: documents and shingles.
 BLOCK_DOCS, BLOCK_SHINGLES = 1024, 1 << 20
-MULTIPLIERS = C.stream(HASHES, 101) | np.uint64(1)
 WORD_WEIGHTS = C.stream(WORDS, 102) | np.uint64(1)
 SLICE = 2 << 20
 
@@ -72,57 +73,77 @@ def shingle_sets(texts: pa.Array) -> Iterator[np.ndarray]:
                 yield np.zeros(0, np.uint64)
 
 
-def signature(shingles: np.ndarray) -> np.ndarray:
-    """Minima of HASHES multiplicative permutations, as uint32."""
-    low = np.full(HASHES, C.MASK, np.uint64)
+def bands_for(threshold_pct: int) -> int:
+    """The fewest bands, in whole batches of hashes, that miss a pair at the threshold with at most NO_BAND."""
+    step = BATCH // ROWS
+    same = (threshold_pct / 100) ** ROWS
+    need = math.log(NO_BAND) / math.log1p(-same) if same < 1 else 1
+    return step * math.ceil(need / step)
+
+
+@functools.cache
+def multipliers(hashes: int) -> np.ndarray:
+    return C.stream(hashes, 101) | np.uint64(1)
+
+
+def signature(shingles: np.ndarray, hashes: int) -> np.ndarray:
+    """Minima of so many multiplicative permutations, as uint32."""
+    by = multipliers(hashes)
+    low = np.full(hashes, C.MASK, np.uint64)
     for at in range(0, len(shingles), 512):
-        np.minimum(low, (shingles[at:at + 512, None] * MULTIPLIERS).min(axis=0), out=low)
+        np.minimum(low, (shingles[at:at + 512, None] * by).min(axis=0), out=low)
     return (low >> np.uint64(32)).astype(np.uint32)
 
 
-def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    weights = C.stream(ROWS, 103) | np.uint64(1)
-    salt = C.stream(BANDS, 104)
-    for b in batches:
-        n, k1, k2, bands = [], [], [], []
-        for s in shingle_sets(C.column(b, "text")):
-            n.append(len(s))
-            d = np.frombuffer(hashlib.md5(s.tobytes()).digest(), np.int64)
-            k1.append(int(d[0]))
-            k2.append(int(d[1]))
-            if len(s):
-                sig = signature(s).reshape(BANDS, ROWS).astype(np.uint64)
-                bands.append(C.mix((C.mix(sig + np.uint64(1)) * weights).sum(axis=1, dtype=np.uint64) + salt).view(np.int64))
-            else:
-                bands.append(np.zeros(0, np.int64))
-        lists = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum([len(x) for x in bands])]).astype(np.int32),
-                                         np.concatenate([*bands, np.zeros(0, np.int64)]))
-        yield pa.RecordBatch.from_arrays(
-            [C.column(b, "doc_id"), pa.array(n, pa.int64()), pa.array(k1, pa.int64()), pa.array(k2, pa.int64()), lists],
-            ["doc_id", "n_shingles", "k1", "k2", "bands"])
-
-
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        ids = C.column(b, "doc_id")
-        at = 0
-        for lo, hi in C.slices(C.column(b, "text"), SLICE):
-            sets = list(shingle_sets(C.column(b, "text").slice(lo, hi - lo)))
+def _features(bands_n: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weights = C.stream(ROWS, 103) | np.uint64(1)
+        salt = C.stream(bands_n, 104)
+        for b in batches:
+            n, k1, k2, bands = [], [], [], []
+            for s in shingle_sets(C.column(b, "text")):
+                n.append(len(s))
+                d = np.frombuffer(hashlib.md5(s.tobytes()).digest(), np.int64)
+                k1.append(int(d[0]))
+                k2.append(int(d[1]))
+                if len(s):
+                    sig = signature(s, bands_n * ROWS).reshape(bands_n, ROWS).astype(np.uint64)
+                    bands.append(C.mix((C.mix(sig + np.uint64(1)) * weights).sum(axis=1, dtype=np.uint64) + salt).view(np.int64))
+                else:
+                    bands.append(np.zeros(0, np.int64))
+            lists = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum([len(x) for x in bands])]).astype(np.int32),
+                                             np.concatenate([*bands, np.zeros(0, np.int64)]))
             yield pa.RecordBatch.from_arrays(
-                [ids.slice(at, hi - lo), pa.array([signature(s).tobytes() for s in sets], pa.binary()),
-                 pa.array([s.tobytes() for s in sets], pa.binary())], ["doc_id", "sig", "sh"])
-            at += hi - lo
+                [C.column(b, "doc_id"), pa.array(n, pa.int64()), pa.array(k1, pa.int64()), pa.array(k2, pa.int64()), lists],
+                ["doc_id", "n_shingles", "k1", "k2", "bands"])
+
+    return run
+
+
+def _sets(hashes: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ids = C.column(b, "doc_id")
+            at = 0
+            for lo, hi in C.slices(C.column(b, "text"), SLICE):
+                sets = list(shingle_sets(C.column(b, "text").slice(lo, hi - lo)))
+                yield pa.RecordBatch.from_arrays(
+                    [ids.slice(at, hi - lo), pa.array([signature(s, hashes).tobytes() for s in sets], pa.binary()),
+                     pa.array([s.tobytes() for s in sets], pa.binary())], ["doc_id", "sig", "sh"])
+                at += hi - lo
+
+    return run
 
 
 @functools.cache
-def least_matches(threshold: float, miss: float) -> list[int]:
+def least_matches(threshold: float, miss: float, hashes: int = 126) -> list[int]:
     """For each number of hashes compared, batch by batch, the fewest matches that keep a pair.
 
     With a uniform prior the posterior after m of n matches is
     Beta(m + 1, n - m + 1); its chance to reach t is P(Bin(n + 1, t) <= m).
     """
     out = []
-    for n in range(BATCH, HASHES + 1, BATCH):
+    for n in range(BATCH, hashes + 1, BATCH):
         total, m = 0.0, 0
         for m in range(n + 1):
             total += math.comb(n + 1, m) * threshold ** m * (1 - threshold) ** (n + 1 - m)
@@ -133,7 +154,8 @@ def least_matches(threshold: float, miss: float) -> list[int]:
 
 
 def _links(threshold_pct: int, miss: float):
-    need = least_matches(threshold_pct / 100, miss)
+    hashes = bands_for(threshold_pct) * ROWS
+    need = least_matches(threshold_pct / 100, miss, hashes)
 
     def survivors(sig: np.ndarray, left: np.ndarray, right: np.ndarray, same: bool) -> tuple[np.ndarray, np.ndarray]:
         i, j = [], []
@@ -170,7 +192,7 @@ def _links(threshold_pct: int, miss: float):
             right = left if lo == hi else np.flatnonzero(blk == hi)
             if not len(left) or not len(right):
                 continue
-            sig = np.frombuffer(b"".join(t.column("sig").to_pylist()), np.uint32).reshape(len(ids), HASHES)
+            sig = np.frombuffer(b"".join(t.column("sig").to_pylist()), np.uint32).reshape(len(ids), hashes)
             x, y = survivors(sig, left, right, lo == hi)
             if not len(x):
                 continue
@@ -205,8 +227,9 @@ def near_duplicates(docs: DataFrame, threshold_pct: int = 85, miss: float = 1e-5
     """``(doc_id, n_shingles, component_id, kept)``, one row per input row."""
     with C.tables() as t:
         spark = docs.sparkSession
+        bands_n = bands_for(threshold_pct)
         texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-        feats = t.table(texts.mapInArrow(_features, "doc_id long, n_shingles long, k1 long, k2 long, bands array<long>"))
+        feats = t.table(texts.mapInArrow(_features(bands_n), "doc_id long, n_shingles long, k1 long, k2 long, bands array<long>"))
         known = feats.where("doc_id is not null and n_shingles > 0")
         reps = known.groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "bands", "n_shingles")).alias("r")).select(
             "k1", "k2", F.col("r.doc_id").alias("rep"), F.col("r.bands").alias("bands"), F.col("r.n_shingles").alias("n"))
@@ -219,7 +242,7 @@ def near_duplicates(docs: DataFrame, threshold_pct: int = 85, miss: float = 1e-5
             "band", F.greatest(F.ceil(F.col("m") / BLOCK_DOCS), F.ceil(F.col("total") / BLOCK_SHINGLES)).cast("int").alias("nb"))
         active = t.table(rows.join(once, "band").select("band", "doc_id", "nb"))
         sets = (texts.join(active.select("doc_id").distinct().hint("merge"), "doc_id", "left_semi")
-                .mapInArrow(_sets, "doc_id long, sig binary, sh binary"))
+                .mapInArrow(_sets(bands_n * ROWS), "doc_id long, sig binary, sh binary"))
         blocks = (active.withColumn("blk", F.pmod(F.xxhash64("doc_id"), F.col("nb")).cast("int"))
                   .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
                   .select("band", "doc_id", "blk", F.least("blk", "other").alias("lo"), F.greatest("blk", "other").alias("hi")))

@@ -1,0 +1,27 @@
+import corpus_pipeline
+from tests.llm import helpers as H
+
+
+def near_copies(words: int, changes: int, first: int, n: int):
+    """``n`` texts of words of their own, each with a copy in which some words far apart differ."""
+    rows = []
+    for k in range(n):
+        text = [f"w{first + k}x{j}" for j in range(words)]
+        copy = list(text)
+        for c in range(changes):
+            copy[10 + 20 * c] = f"c{first + k}x{c}"
+        rows += [(first + 2 * k, " ".join(text)), (first + 2 * k + 1, " ".join(copy))]
+    return rows
+
+
+def test_near_duplicates_stage_links_from_four_fifths(spark):
+    # similarities 0.9, 0.811, 0.8 (linked) and 0.798 (not)
+    rows = near_copies(100, 1, 0, 10) + near_copies(100, 2, 1000, 40) + near_copies(94, 2, 2000, 40) + near_copies(93, 2, 3000, 40)
+    sets = [(i, H.shingles(t)) for i, t in rows]
+    pairs = [(a, b) for k, (a, x) in enumerate(sets) for b, y in sets[k + 1:] if 100 * len(x & y) >= 80 * len(x | y)]
+    assert len(pairs) == 90
+    want = sorted(i for i, c in H.components([i for i, _ in rows], pairs).items() if i == c)
+    docs = H.frame(spark, rows)
+    got = corpus_pipeline.near_duplicates(spark, docs, "")
+    assert got.columns == docs.columns
+    assert sorted(r.doc_id for r in got.collect()) == want
