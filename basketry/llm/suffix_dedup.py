@@ -9,9 +9,12 @@ holds more than a chunk of documents or a share of the anchors:
    leftmost of equals), so equal windows have equal anchors.  A chunk sends
    each of its anchors once, to the anchor's part; a passage of a third of
    all documents costs one entry a chunk.
-2. A part answers which anchors occur in two documents or more.
+2. A part answers which anchors occur in two documents or more, and which of
+   them have more than HOT_RUNS runs (counted per chunk).
 3. For those, a chunk sends each distinct run (the bytes of consecutive
-   windows with one anchor) once, with the least id that has it.
+   windows with one anchor) once, with the least id that has it.  At a hot
+   anchor it sends the windows as runs of their own under the hash of their
+   bytes: equal windows still meet, but the anchor is spread over all parts.
 4. A part sorts the runs.  Where an anchor has one run only, all its windows
    begin in the same documents.  Runs that differ are laid end to end, the
    anchor as one symbol, and suffix-sorted (``gsaca``); neighbours that share
@@ -47,6 +50,8 @@ SLICE = 256 << 10
 CHUNK = 2 << 20
 #: Symbols that are suffix-sorted together.
 SORT_BLOCK = 4096
+#: Runs of one anchor, over all chunks, that may come to one part.
+HOT_RUNS = 1024
 _U = np.uint64
 
 
@@ -127,46 +132,73 @@ def _dealt(keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndar
     return part[at], at, np.append(at[1:], len(part))
 
 
-ANCHORS = "part int, c int, keys binary, many binary"
+ANCHORS = "part int, c int, keys binary, many binary, more binary"
 
 
 def _anchors(bits: int, length: int):
-    """Each anchor of a chunk once, and whether two of its documents have it."""
+    """Each anchor of a chunk once, whether two of its documents have it, and its runs beyond the first."""
     drop = _U(32 - bits)
 
     def run(key, table):
         ids, known = _ids(table)
-        keys, docs = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+        keys, docs, names = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
         for lo, _, buf, offs, _ in pieces(_texts(table), length):
-            k, _, _, _, row = runs(buf, offs, length)
+            k, first, last, _, row = runs(buf, offs, length)
             keep = known[lo + row]
             keys.append((k[keep] >> drop) << drop)
             docs.append(ids[lo + row[keep]])
-        k, d = np.concatenate(keys), np.concatenate(docs)
+            if keep.any():
+                names.append(_run_key(C.prefix_hash(buf), k[keep], first[keep], last[keep], length))
+        k, d, rk = np.concatenate(keys), np.concatenate(docs), np.concatenate(names)
         order = np.argsort(k)
-        k, d = k[order], d[order]
+        k, d, rk = k[order], d[order], rk[order]
         new = np.concatenate([[True], k[1:] != k[:-1]]) if len(k) else np.zeros(0, bool)
         at = np.flatnonzero(new)
+        more = _more_runs(at, rk)
         k = k[at]
         many = np.minimum.reduceat(d, at) != np.maximum.reduceat(d, at) if len(at) else new
         parts, s, e = _dealt(k, bits)
         low = ((k >> drop) & _U(0xFFFFFFFF)).astype(np.uint32)
         return pa.table({"part": pa.array(parts, pa.int32()), "c": pa.array([key[0].as_py()] * len(parts), pa.int32()),
                          "keys": pa.array([low[a:b].tobytes() for a, b in zip(s, e)], pa.binary()),
-                         "many": pa.array([np.packbits(many[a:b]).tobytes() for a, b in zip(s, e)], pa.binary())})
+                         "many": pa.array([np.packbits(many[a:b]).tobytes() for a, b in zip(s, e)], pa.binary()),
+                         "more": pa.array([_sparse(more[a:b]) for a, b in zip(s, e)], pa.binary())})
 
     return run
 
 
+def _more_runs(at: np.ndarray, rk: np.ndarray) -> np.ndarray:
+    """For groups that begin at ``at``: how many distinct runs each has beyond its first."""
+    size = np.diff(np.append(at, len(rk)))
+    group = np.repeat(np.arange(len(at)), size)
+    several = np.repeat(size > 1, size)
+    g, x = group[several], rk[several]
+    order = np.lexsort((x, g))
+    g, x = g[order], x[order]
+    return np.bincount(g[1:][(g[1:] == g[:-1]) & (x[1:] != x[:-1])], minlength=len(at))
+
+
+def _sparse(counts: np.ndarray) -> bytes:
+    """Places and values of the counts that are not zero."""
+    at = np.flatnonzero(counts)
+    return np.concatenate([at, counts[at]]).astype(np.uint32).tobytes()
+
+
+def _dense(data: np.ndarray, n: int) -> np.ndarray:
+    out = np.zeros(n, np.int64)
+    out[data[:len(data) // 2]] = data[len(data) // 2:]
+    return out
+
+
 def _blobs(table: pa.Table, name: str, kind) -> list[np.ndarray]:
     return [np.frombuffer(x, kind) for x in table.column(name).to_pylist()]
 
 
-SHARED = "c int, part int, keys binary"
+SHARED = "c int, part int, keys binary, hot binary"
 
 
 def _shared(key, table):
-    """For each chunk the anchors of this part that occur in two documents anywhere."""
+    """For each chunk the anchors of this part that occur in two documents anywhere, and places of the hot ones."""
     blobs = _blobs(table, "keys", np.uint32)
     c = table.column("c").to_numpy()
     many = np.concatenate([np.unpackbits(m, count=len(k)).astype(bool)
@@ -178,23 +210,43 @@ def _shared(key, table):
     new = np.concatenate([[True], k[1:] != k[:-1]])
     group = np.cumsum(new) - 1
     shared = (np.bincount(group) > 1) | (np.bincount(group, weights=many[i]) > 0)
-    hit = np.zeros(len(which), bool)
+    more = np.concatenate([_dense(x, len(k)) for x, k in zip(_blobs(table, "more", np.uint32), blobs)])
+    many_runs = np.bincount(group, weights=1 + more[i]) > HOT_RUNS
+    hit, warm = np.zeros(len(which), bool), np.zeros(len(which), bool)
     hit[i] = shared[group]
+    warm[i] = many_runs[group]
     ends = np.cumsum([len(b) for b in blobs])
-    out = [(int(c[j]), b[hit[e - len(b):e]]) for j, (b, e) in enumerate(zip(blobs, ends))]
-    out = [(j, b) for j, b in out if len(b)]
-    return pa.table({"c": pa.array([j for j, _ in out], pa.int32()),
+    out = []
+    for j, (b, e) in enumerate(zip(blobs, ends)):
+        mine = hit[e - len(b):e]
+        if mine.any():
+            out.append((int(c[j]), b[mine], np.flatnonzero(warm[e - len(b):e][mine]).astype(np.uint32)))
+    return pa.table({"c": pa.array([j for j, _, _ in out], pa.int32()),
                      "part": pa.array([key[0].as_py()] * len(out), pa.int32()),
-                     "keys": pa.array([b.tobytes() for _, b in out], pa.binary())})
+                     "keys": pa.array([b.tobytes() for _, b, _ in out], pa.binary()),
+                     "hot": pa.array([h.tobytes() for _, _, h in out], pa.binary())})
 
 
-RUNS = "part int, c int, key binary, run binary, docs binary, doc binary, at binary, size binary, text binary"
+RUNS = "part int, c int, key binary, run binary, docs binary, doc binary, at binary, size binary, text binary, hot binary"
 
 
 def _run_key(prefix: np.ndarray, key: np.ndarray, first: np.ndarray, last: np.ndarray, length: int) -> np.ndarray:
     return C.mix(C.range_hash(prefix, first, last + length) + key)
 
 
+def _windows(prefix: np.ndarray, hot: np.ndarray, length: int, k: np.ndarray, first: np.ndarray, last: np.ndarray,
+             at: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, ...]:
+    """``(key, first, last, at, row, anchor)``: runs at hot anchors fall into their windows, keyed by the window's bytes."""
+    w = np.where(hot, last - first + 1, 1)
+    place = np.arange(int(w.sum())) - np.repeat(np.cumsum(w) - w, w)
+    anchor, first, last, at, row, alone = (np.repeat(x, w) for x in (k, first, last, at, row, hot))
+    key, first, last = anchor.copy(), first + place, np.where(alone, first + place, last)
+    f, middle = first[alone], first[alone] + length // 2
+    left, right = C.range_hash(prefix, f, middle), C.range_hash(prefix, middle, f + length)
+    key[alone] = C.mix(C.mix(left + anchor[alone]) + right)
+    return key, first, last, at, row, np.where(alone, anchor, _U(0))
+
+
 def _place(docs: np.ndarray):
     return np.uint16 if len(docs) <= 1 << 16 else np.uint32
 
@@ -223,44 +275,54 @@ def _runs(bits: int, length: int):
             ids, known = _ids(docs)
             wanted = np.concatenate([(np.uint64(p) << _U(64 - bits)) | (b.astype(np.uint64) << drop) for p, b in
                                      zip(shared.column("part").to_pylist(), _blobs(shared, "keys", np.uint32))])
-            wanted.sort()
+            hot = np.zeros(len(wanted), bool)
+            ends = np.cumsum([len(b) for b in _blobs(shared, "keys", np.uint32)])
+            for e, n, x in zip(ends, np.diff(ends, prepend=0), _blobs(shared, "hot", np.uint32)):
+                hot[e - n + x] = True
+            by = np.argsort(wanted)
+            wanted, hot = wanted[by], hot[by]
             for lo, _, buf, offs, _ in pieces(_texts(docs), length):
                 k, first, last, at, row = runs(buf, offs, length)
                 cut = (k >> drop) << drop
                 j = np.minimum(np.searchsorted(wanted, cut), len(wanted) - 1)
                 keep = (wanted[j] == cut) & known[lo + row]
-                k, first, last, at, row = (x[keep] for x in (k, first, last, at, row))
+                k, first, last, at, row, warm = (x[keep] for x in (k, first, last, at, row, hot[j]))
                 if not len(k):
                     continue
-                rk = _run_key(C.prefix_hash(buf), k, first, last, length)
+                prefix = C.prefix_hash(buf)
+                anchor = np.zeros(len(k), np.uint64)
+                if warm.any():
+                    k, first, last, at, row, anchor = _windows(prefix, warm, length, k, first, last, at, row)
+                rk = _run_key(prefix, k, first, last, length)
                 order, at_first, several = _least_rows(k, rk, ids[lo + row])
                 o = order[at_first]
                 size = last[o] + length - first[o]
                 text = [bytes(buf[a:p]) + bytes(buf[p + ANCHOR:a + s])  # the anchor itself is known by its key
                         for a, p, s in zip(first[o].tolist(), at[o].tolist(), size.tolist())]
-                cols.append((k[o], rk[o], ids[lo + row[o]], at[o] - first[o], size, several, text))
+                cols.append((k[o], rk[o], ids[lo + row[o]], at[o] - first[o], size, several, anchor[o], text))
         if not cols:
             return pa.Table.from_batches([], pa.schema([("part", pa.int32()), ("c", pa.int32())] + [
-                (n, pa.binary()) for n in ("key", "run", "docs", "doc", "at", "size", "text")]))
-        k, rk, doc, at, size, more = (np.concatenate([x[n] for x in cols]) for n in range(6))
-        text = [t for x in cols for t in x[6]]
+                (n, pa.binary()) for n in ("key", "run", "docs", "doc", "at", "size", "text", "hot")]))
+        k, rk, doc, at, size, more, anchor = (np.concatenate([x[n] for x in cols]) for n in range(7))
+        text = [t for x in cols for t in x[7]]
         order, at_first, several = _least_rows(k, rk, doc)
         more = several | np.maximum.reduceat(more[order], at_first)
         o = order[at_first]
         k, rk, doc, at, size = k[o], rk[o], doc[o], (at[o] + 128 * more).astype(np.uint8), size[o].astype(np.uint8)
-        text = [text[j] for j in o]
+        text, anchor = [text[j] for j in o], anchor[o]
         parts, s, e = _dealt(k, bits)
         cut = lambda x: pa.array([x[a:b].tobytes() for a, b in zip(s, e)], pa.binary())
         names = [np.unique(doc[a:b], return_inverse=True) for a, b in zip(s, e)]
         return pa.table({"part": pa.array(parts, pa.int32()), "c": pa.array([key[0].as_py()] * len(parts), pa.int32()),
                          "key": cut(k), "run": cut(rk), "docs": pa.array([u.astype(np.int64).tobytes() for u, _ in names], pa.binary()),
                          "doc": pa.array([i.astype(_place(u)).tobytes() for u, i in names], pa.binary()), "at": cut(at), "size": cut(size),
-                         "text": pa.array([b"".join(text[a:b]) for a, b in zip(s, e)], pa.binary())})
+                         "text": pa.array([b"".join(text[a:b]) for a, b in zip(s, e)], pa.binary()),
+                         "hot": pa.array([np.unique(anchor[a:b][anchor[a:b] > 0]).tobytes() for a, b in zip(s, e)], pa.binary())})
 
     return run
 
 
-VERDICTS = "c int, run binary, docs binary, doc binary, gone binary"
+VERDICTS = "c int, run binary, docs binary, doc binary, gone binary, hot binary"
 
 
 def window_verdicts(strings: list[np.ndarray], docs: np.ndarray, width: int) -> list[np.ndarray]:
@@ -338,7 +400,8 @@ def _verdicts(length: int):
                 block, total = [], 0
         if block:
             sort_block()
-        out: dict[str, list] = {n: [] for n in ("c", "run", "docs", "doc", "gone")}
+        out: dict[str, list] = {n: [] for n in ("c", "run", "docs", "doc", "gone", "hot")}
+        hot = table.column("hot").to_pylist()
         for j, cc in enumerate(c.tolist()):
             here = slice(stop[j] - len(kb[j]), stop[j])
             mine, own = run_of[here], doc[here]
@@ -355,6 +418,7 @@ def _verdicts(length: int):
             out["docs"].append(u.astype(np.int64).tobytes())
             out["doc"].append(i.astype(_place(u)).tobytes())
             out["gone"].append(bit[say].tobytes())
+            out["hot"].append(hot[j] if say.any() else b"")
         return pa.table({n: pa.array(v, pa.int32() if n == "c" else pa.binary()) for n, v in out.items()})
 
     return run
@@ -369,18 +433,23 @@ def _marks(length: int, with_text: bool, rest: bool):
         least = np.concatenate([np.zeros(0, np.int64), *_doc_lists(verdicts)])
         order = np.argsort(rk)
         rk, bits, least = rk[order], bits[order], least[order]
+        hot = np.unique(np.concatenate([np.zeros(0, np.uint64), *_blobs(verdicts, "hot", np.uint64)]))
         n_bytes, n_removed, n_spans, sha, kept = [], [], [], [], []
         for lo, hi in C.slices(texts, SLICE):
             buf, offs = C.buffer(texts.slice(lo, hi - lo))
             cover = np.zeros(len(buf) + 1, np.int32)
             if len(rk):
                 for _, _, b, o, shift in pieces(texts.slice(lo, hi - lo), length):
-                    k, first, last, _, row = runs(b, o, length)
+                    k, first, last, at, row = runs(b, o, length)
                     keep = known[lo + row]
-                    k, first, last, row = k[keep], first[keep], last[keep], row[keep]
+                    k, first, last, at, row = (x[keep] for x in (k, first, last, at, row))
                     if not len(k):
                         continue
-                    r = _run_key(C.prefix_hash(b), k, first, last, length)
+                    prefix = C.prefix_hash(b)
+                    warm = np.isin(k, hot)
+                    if warm.any():
+                        k, first, last, at, row, _ = _windows(prefix, warm, length, k, first, last, at, row)
+                    r = _run_key(prefix, k, first, last, length)
                     j = np.minimum(np.searchsorted(rk, r), len(rk) - 1)
                     hit = np.flatnonzero(rk[j] == r)
                     j, f, w = j[hit], first[hit], last[hit] - first[hit] + 1
@@ -428,7 +497,7 @@ def repeats(docs: DataFrame, length: int = LENGTH, with_text: bool = False, rest
         raise ValueError("length must be from 32 to 87")
     n_bytes = C.text_bytes(docs)
     chunks = max(math.ceil(n_bytes / CHUNK), min(2 * docs.sparkSession.sparkContext.defaultParallelism, 1 + (n_bytes >> 17)))
-    bits = min(14, max(5, (n_bytes >> 21).bit_length()))
+    bits = min(31, max(5, (n_bytes >> 21).bit_length()))  # parts follow the input; 31 is the width of their number
     cols = [F.col("doc_id").cast("long").alias("doc_id"), "text",
             F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).cast("int").alias("c")]
     if rest:
