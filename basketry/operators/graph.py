@@ -17,6 +17,8 @@ rounds.  The driver loop only reads one number per round.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -227,32 +229,30 @@ def split_round(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _sequence(m: int):
-    """The removals of one component: how its parts change, under the keys that order them."""
+    """The removals of one part: how it falls apart further, under the keys that order them."""
     def run(key, edges):
         import pandas as pd
 
         ends = list(zip(edges["src"].tolist(), edges["dst"].tolist()))
         degree: dict = {}
-        for a, b in ends:
-            degree[a] = degree.get(a, 0) + 1
-            degree[b] = degree.get(b, 0) + 1
+        for (a, b), da, db in zip(ends, edges["src_deg"].tolist(), edges["dst_deg"].tolist()):
+            degree[a], degree[b] = da, db
 
         def share(inside: int, nodes) -> float:
             return inside / m - (sum(degree[v] for v in nodes) / (2 * m)) ** 2
 
-        first = min(degree)
-        rows = [(v, first, 0, [], None) for v in degree]
-        rows.append((None, None, 0, [], share(len(ends), degree)))
-        # (nodes, edges left, original edges inside, scores on the way)
-        todo = [(list(degree), list(range(len(ends))), list(range(len(ends))), [])]
+        rows: list[tuple] = []
+        present = [e for e, x in enumerate(edges["present"].tolist()) if x]
+        # (nodes, edges left, original edges inside, removals on the way, key so far)
+        todo = [(list(degree), present, list(range(len(ends))), int(edges["step"].iloc[0]), list(edges["key"].iloc[0]))]
         while todo:
-            nodes, left, own, path = todo.pop()
+            nodes, left, own, step, way = todo.pop()
             around = _around(ends, left)
             credit = dict.fromkeys(left, 0.0)
             _brandes(around, nodes, credit)
             top = max(credit.values()) / 2
-            path = path + [round(top, 7)]
-            way = [-x for i, x in enumerate(path) if x <= min(path[i:])]
+            step += 1
+            way = [x for x in way if -x <= round(top, 7)] + [-round(top, 7)]
             left = [e for e in left if credit[e] / 2 < top * (1 - TIE_TOLERANCE)]
             around = _around(ends, left)
             part: dict = {}
@@ -275,43 +275,150 @@ def _sequence(m: int):
                     parts[part[ends[e][0]]][2].append(e)
             if len(parts) > 1:
                 was = min(nodes)
-                rows += [(v, c, len(path), way, None) for c, (of, _, _) in parts.items() if c != was for v in of]
+                rows += [(v, c, step, way, None) for c, (of, _, _) in parts.items() if c != was for v in of]
                 gain = sum(share(len(inside), of) for of, _, inside in parts.values()) - share(len(own), nodes)
-                rows.append((None, None, len(path), way, gain))
-            todo += [(of, rest, inside, path) for of, rest, inside in parts.values() if rest]
+                rows.append((None, None, step, way, gain))
+            todo += [(of, rest, inside, step, way) for of, rest, inside in parts.values() if rest]
         return pd.DataFrame(rows, columns=["node", "component", "step", "key", "dq"]).astype({"node": object, "component": object})
 
     return run
 
 
+#: Nodes times squared edges of a part that one task takes apart to the end; larger parts go through rounds.
+TASK_WORK = 100_000_000
+
+
+def _shares(nodes: DataFrame, own: DataFrame, m: int) -> DataFrame:
+    """``(part, share)``: what each part adds to the modularity."""
+    inside = own.groupBy("part").agg(F.count(F.lit(1)).alias("l"))
+    return nodes.groupBy("part").agg(F.sum("deg").alias("d")).join(inside, "part", "left").select(
+        "part", (F.coalesce("l", F.lit(0)) / m - F.pow(F.col("d") / (2 * m), 2)).alias("share"))
+
+
+def _split_parts(scope: Scope, nodes: DataFrame, own: DataFrame, m: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """One removal in every part: the nodes and edges after it, and what it changes (rows as of ``_sequence``).
+
+    Betweenness runs in source blocks, components in star steps, the rest is
+    joins and sums by part: no task holds more than ``edge_betweenness`` asks.
+    """
+    left = own.where("present").select("src", "dst")
+    eb = scope.adopt(edge_betweenness(left, nodes.select("node", F.col("part").alias("component"))))
+    scored = own.join(eb, ["src", "dst"], "left")
+    top = scope.table(scored.groupBy("part").agg(F.max("betweenness").alias("top")))
+    low = scored.join(top, "part").withColumn("present", F.coalesce(
+        F.col("betweenness") < F.col("top") * (1 - TIE_TOLERANCE), F.lit(False))).drop("betweenness", "top")
+    low = scope.table(low)
+    labels = scope.adopt(connected_components(low.where("present").select("src", "dst"), nodes.select("node")))
+    score = F.bround("top", 7)
+    after = scope.table(
+        nodes.join(top, "part").join(labels, "node").select(
+            "node", F.col("part").alias("was"), F.col("component").alias("part"), "deg", (F.col("step") + 1).alias("step"),
+            F.concat(F.filter("key", lambda x: -x <= score), F.array(-score)).alias("key")))
+    src = labels.select(F.col("node").alias("src"), F.col("component").alias("part"))
+    dst = labels.select(F.col("node").alias("dst"), F.col("component").alias("_other"))
+    inside = scope.table(low.drop("part").join(src, "src").join(dst, "dst").where("part = _other").drop("_other"))
+    family = after.select("was", "part", "step", "key").distinct()
+    gains = family.join(_shares(after, inside, m), "part").groupBy("was").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("share").alias("now"), F.min("step").alias("step"), F.min("key").alias("key"))
+    before = _shares(nodes, own, m).withColumnsRenamed({"part": "was", "share": "then"})
+    gains = gains.where("n > 1").join(before, "was")
+    kind = nodes.schema["node"].dataType
+    none = F.lit(None).cast(kind)
+    changes = after.where("part != was").select(
+        "node", F.col("part").alias("component"), "step", "key", F.lit(None).cast("double").alias("dq")).unionByName(
+        gains.select(none.alias("node"), none.alias("component"), "step", "key", (F.col("now") - F.col("then")).alias("dq")))
+    return after.drop("was"), inside, scope.table(changes)
+
+
+def _running_total(scope: Scope, df: DataFrame, order: str, value: str, name: str) -> DataFrame:
+    """Running total of ``value`` in the order of unique ``order``: sums within ranges, and one row per range before them."""
+    laid = scope.table(df.repartitionByRange(order).withColumn("_pid", F.spark_partition_id()))
+    sizes = laid.groupBy("_pid").agg(F.sum(value).alias("_n"))
+    offsets = sizes.select("_pid", F.coalesce(F.sum("_n").over(
+        Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)).alias("_off"))
+    within = Window.partitionBy("_pid").orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return laid.withColumn("_in", F.sum(value).over(within)).join(offsets, "_pid").select(
+        order, (F.col("_off") + F.col("_in")).alias(name))
+
+
 def communities(edges: DataFrame) -> DataFrame:
     """``(node, community)`` of the best-modularity Girvan-Newman partition, over the whole sequence.
 
-    Components do not influence each other's scores, so each is taken apart
-    on its own, in a task that holds its edges: its top edges (ties together)
-    go until none is left, in every part.  The one-by-one sequence over all
-    components is then restored by sorting: it always takes the highest
-    score on offer, so a removal with scores p1, ..., pk on its way (its own
-    last) comes in the order of the suffix minima of that way, higher first,
-    a shorter way before its extensions; removals with equal keys share a
-    step.  Modularity is a sum over components, so running totals of the
-    changes in that order give its value after each step, and each node takes
-    the part it is in after the best one.
-
-    The sequence of a component is one removal after the other by nature, its
-    work the cube of its size: meant for components of some hundred nodes.
+    Parts do not influence each other's scores, so each is taken apart on
+    its own: its top edges (ties together) go until none is left.  Parts of
+    more than TASK_WORK lose theirs in rounds, all of them at once, with the
+    source blocks of ``edge_betweenness`` and joins; smaller ones are taken
+    apart to the end in a task each.  The one-by-one sequence over all parts
+    is then restored by sorting: it always takes the highest score on offer,
+    so a removal with scores p1, ..., pk on its way (its own last) comes in
+    the order of the suffix minima of that way, higher first, a shorter way
+    before its extensions; removals with equal keys share a step.  Modularity
+    is a sum over parts, so running totals of the changes in that order give
+    its value after each step, and each node takes the part it is in after
+    the best one.
+
+    The sequence of a part is one removal after the other by nature: a
+    component of many edges takes as many rounds as it has distinct top scores.
     """
     with Scope() as scope:
         edges = scope.table(normalize_edges(edges))
         m = edges.count()
         kind = edges.schema["src"].dataType.simpleString()
-        of = edges.join(connected_components(edges).select(F.col("node").alias("src"), "component"), "src")
-        taken = scope.table(of.groupBy("component").applyInPandas(
-            _sequence(m), f"node {kind}, component {kind}, step int, key array<double>, dq double"))
+        schema = f"node {kind}, component {kind}, step int, key array<double>, dq double"
+        deg = scope.table(node_degrees(edges))
+        labels = scope.adopt(connected_components(edges))
+        nodes = scope.table(labels.join(deg, "node").select(
+            "node", F.col("component").alias("part"), F.col("deg"), F.lit(0).alias("step"),
+            F.array().cast("array<double>").alias("key")))
+        own = scope.table(edges.join(labels.select(F.col("node").alias("src"), F.col("component").alias("part")), "src").select(
+            "src", "dst", F.lit(True).alias("present"), "part"))
+        none = F.lit(None).cast(kind)
+        start = nodes.select("node", F.col("part").alias("component"), "step", "key", F.lit(None).cast("double").alias("dq"))
+        first = _shares(nodes, own, m).select(none.alias("node"), none.alias("component"), F.lit(0).alias("step"),
+                                              F.array().cast("array<double>").alias("key"), F.col("share").alias("dq"))
+        taken = [scope.table(start.unionByName(first))]
+        ready: list[DataFrame] = []
+
+        def few(frames: list[DataFrame]) -> list[DataFrame]:
+            """Many small tables as one, so that plans do not grow with the rounds."""
+            if len(frames) < 16:
+                return frames
+            one = scope.table(_union(frames))
+            for f in frames:
+                scope.drop(f)
+            return [one]
+
+        while True:
+            # a part without edges is a single node and done
+            sizes = nodes.groupBy("part").agg(F.count(F.lit(1)).alias("n")).join(
+                own.groupBy("part").agg(F.count_if("present").alias("e")), "part")
+            sizes, _ = scope.counted(sizes.select("part", (F.col("n") * F.col("e") * F.col("e") > TASK_WORK).alias("large")))
+            small, large = (sizes.where(c).select("part") for c in ("not large", "large"))
+            around = nodes.select("node", "part", "deg", "step", "key").join(small, "part", "left_semi")
+            ready = few([*ready, scope.table(
+                own.join(around.select(F.col("node").alias("src"), F.col("deg").alias("src_deg"), "step", "key"), "src")
+                .join(around.select(F.col("node").alias("dst"), F.col("deg").alias("dst_deg")), "dst"))])
+            if large.isEmpty():
+                break
+            big_nodes = scope.table(nodes.join(large, "part", "left_semi"))
+            big_own = scope.table(own.join(large, "part", "left_semi"))
+            with Scope() as inner:
+                after, inside, changes = _split_parts(inner, big_nodes, big_own, m)
+                nxt = [scope.table(x) for x in (after, inside, changes)]
+            for f in (nodes, own, sizes, big_nodes, big_own):
+                scope.drop(f)
+            nodes, own = nxt[:2]
+            taken = few([*taken, nxt[2]])
+        ends = _union(ready).groupBy("part").applyInPandas(_sequence(m), schema)
+        taken = scope.table(_union([*taken, ends]))
         # one row per step that splits something, at most as many as nodes
         steps = taken.where("dq is not null").groupBy("key").agg(F.sum("dq").alias("dq"))
-        ordered = scope.table(steps.select("key", F.sum("dq").over(Window.orderBy("key")).alias("q")))
+        ordered = scope.table(_running_total(scope, steps, "key", "dq", "q"))
         best = ordered.agg(F.max("q")).scalar()
         last = ordered.where(F.col("q") >= best - 1e-12).agg(F.min("key")).scalar()
         return cut_lineage(taken.where(F.col("node").isNotNull() & (F.col("key") <= last)).groupBy("node").agg(
             F.max_by("component", "step").alias("community")))
+
+
+def _union(frames: list[DataFrame]) -> DataFrame:
+    return functools.reduce(DataFrame.unionByName, frames)

@@ -144,6 +144,12 @@ class Scope:
         self._tables.append((out, path))
         return out
 
+    def adopt(self, df: DataFrame) -> DataFrame:
+        """Take over a table that another call returned; it is deleted like those of ``table``."""
+        self._spark = df.sparkSession
+        self._tables.append((df, df.inputFiles()[0].rsplit("/", 1)[0]))
+        return df
+
     def counted(self, df: DataFrame, columns: list[str] | None = None, **metrics) -> tuple[DataFrame, dict]:
         seen, obs = _observed(df, columns, metrics)
         out = self.table(seen)

@@ -201,6 +201,20 @@ def test_communities_with_ties_across_components(spark):
     assert got == girvan_newman_brute(pairs)
 
 
+def test_communities_of_large_parts_go_through_rounds(spark, monkeypatch):
+    """Parts above the bound of a task are split by distributed rounds, with the same result."""
+    one = [(1, 2), (2, 3), (1, 3), (3, 4), (4, 5), (5, 6), (4, 6), (6, 7)]
+    cycle = [(20, 21), (21, 22), (22, 23), (20, 23)]
+    pairs = one + [(a + 100, b + 100) for a, b in one] + cycle + [(50, 51), (51, 52)]
+    most = []
+    whole = gr.edge_betweenness
+    monkeypatch.setattr(gr, "edge_betweenness", lambda e, labels=None: most.append(e.count()) or whole(e, labels))
+    monkeypatch.setattr(gr, "TASK_WORK", 100, raising=False)
+    got = {r["node"]: r["community"] for r in gr.communities(_edges(spark, pairs)).collect()}
+    assert got == girvan_newman_brute(pairs)
+    assert most and most[0] == 16
+
+
 def test_empty_graph(spark):
     e = _edges(spark, [(1, 2)]).limit(0)
     assert gr.connected_components(e).count() == 0
