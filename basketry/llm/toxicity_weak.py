@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from basketry.llm import common as C
 
-SAMPLE, MAX_TERMS, MAX_VOTERS = 20_000, 50_000, 96
+SAMPLE = 20_000
 LENGTHS = (4, 5, 6, 7)
 SLICE = 4 << 20
 #: Insults of everyday English, a voter of its own (fixed values).
@@ -76,35 +76,34 @@ def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.string()), pa.array(list(total.values()), pa.int64())], ["term", "n"])
 
 
-def _known_counts(terms: list[str]):
-    known = frozenset(terms)
+def uneven(n: int, others: int, n_toxic: int, n_clean: int, looked: int) -> bool:
+    """At least 20 times as frequent in toxic texts; among ``looked`` terms fewer than half a one would be by chance."""
+    if n / n_toxic < 20 * (others + 0.5) / (n_clean + 1):
+        return False
+    share = n_toxic / (n_toxic + n_clean)
+    # the binomial tail is at most its first term over 1 - the ratio of its terms
+    log = (math.lgamma(n + others + 1) - math.lgamma(n + 1) - math.lgamma(others + 1)
+           + n * math.log(share) + others * math.log(1 - share))
+    return log + math.log(2 * looked) < 0
+
 
+def _uneven_rows(n_toxic: int, n_clean: int, looked: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: Counter[str] = Counter()
         for b in batches:
-            for t in C.column(b, "text").to_pylist():
-                total.update({x for w in set((t or "").split()) for x in terms_of(w) if x in known})
-        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.string()), pa.array(list(total.values()), pa.int64())], ["term", "n"])
+            n, others = b.column("n").to_pylist(), b.column("others").to_pylist()
+            yield b.filter(pa.array([uneven(x, y, n_toxic, n_clean, looked) for x, y in zip(n, others)], pa.bool_()))
 
     return run
 
 
-def pick_voters(toxic: dict[str, int], clean: dict[str, int], n_toxic: int, n_clean: int) -> list[str]:
-    """Terms at least 20 times as frequent in toxic texts; of nested ones with equal counts the longest.
+def pick_voters(toxic: dict[str, int], clean: dict[str, int], n_toxic: int, n_clean: int, looked: int | None = None) -> list[str]:
+    """Terms that are ``uneven``; of nested ones with equal counts the longest.
 
-    Among all terms looked at, fewer than half a one would be that uneven by chance.
+    ``looked`` is the number of terms that were looked at, where ``toxic`` holds only some of them.
     """
     least = max(3, -(-n_toxic // 200))
-    share = n_toxic / (n_toxic + n_clean)
-    good = {}
-    for t, n in toxic.items():
-        others = clean.get(t, 0)
-        if n >= least and n / n_toxic >= 20 * (others + 0.5) / (n_clean + 1):
-            # the binomial tail is at most its first term over 1 - the ratio of its terms
-            log = (math.lgamma(n + others + 1) - math.lgamma(n + 1) - math.lgamma(others + 1)
-                   + n * math.log(share) + others * math.log(1 - share))
-            if log + math.log(2 * len(toxic)) < 0:
-                good[t] = n
+    looked = len(toxic) if looked is None else looked
+    good = {t: n for t, n in toxic.items() if n >= least and uneven(n, clean.get(t, 0), n_toxic, n_clean, looked)}
     picked = []
     for t, n in good.items():
         stem = t[1:] if t[0] == "=" else t[:-1]
@@ -112,7 +111,7 @@ def pick_voters(toxic: dict[str, int], clean: dict[str, int], n_toxic: int, n_cl
             (x[0] == "=" and x[1:].startswith(stem) and t[0] != "=") or (x[-1] == "^" and t[-1] == "^" and x[:-1].startswith(stem)))]
         if not longer:
             picked.append(t)
-    return sorted(picked, key=lambda t: (-good[t], t))[:MAX_VOTERS]
+    return sorted(picked, key=lambda t: (-good[t], t))
 
 
 class Voters:
@@ -246,13 +245,14 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, learn: Column, sample: i
     voters, weights = Voters([]), None
     if n.get(0) and n.get(1):
         least = max(3, -(-n[1] // 200))
-        count = lambda df, f: {r.term: r.n for r in df.select("text").mapInArrow(f, "term string, n long")
-                               .groupBy("term").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-                               .orderBy(F.col("n").desc(), "term").limit(MAX_TERMS).collect()}
-        toxic = count(picked.where("y = 1"), _term_counts)
-        clean = {r.term: r.n for r in picked.where("y = 0").select("text").mapInArrow(_known_counts(list(toxic)), "term string, n long")
-                 .groupBy("term").agg(F.sum("n").alias("n")).collect()}
-        voters = Voters(pick_voters(toxic, clean, n[1], n[0]))
+        count = lambda y: (picked.where(F.col("y") == y).select("text").mapInArrow(_term_counts, "term string, n long")
+                           .groupBy("term").agg(F.sum("n").alias("n")))
+        terms = C.staged(count(1).where(F.col("n") >= least))
+        both = terms.join(count(0).withColumnRenamed("n", "others"), "term", "left").fillna(0, ["others"])
+        looked = terms.count()
+        found = both.select("term", "n", "others").mapInArrow(_uneven_rows(n[1], n[0], looked), "term string, n long, others long").collect()
+        toxic, clean = {r.term: r.n for r in found}, {r.term: r.others for r in found}
+        voters = Voters(pick_voters(toxic, clean, n[1], n[0], looked))
         seen = picked.mapInArrow(_hit_rows(voters), "y int, hits binary").collect()  # at most ``sample`` rows
         hits = np.frombuffer(b"".join(bytes(r.hits) for r in seen), np.float32).reshape(len(seen), -1).astype(float)
         y = np.array([r.y for r in seen], float)
