@@ -17,8 +17,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Words that a worker remembers at most, and the longest it remembers.
-MEMO_WORDS, MEMO_LENGTH = 1_000_000, 32
+#: Bytes that a worker's remembered words take at most (about), and the longest word it remembers.
+MEMO_BYTES, MEMO_LENGTH = 128 << 20, 32
+#: Bytes of a remembered word beside its letters and ids: two objects and a place in the table.
+MEMO_ENTRY = 190
 
 #: Letters that lower-casing and composition handle one by one, and trailing signs.
 _PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:]*)")
@@ -48,6 +50,7 @@ class Encoder:
                         and spec["post_processor"] is None and spec["decoder"] is None and spec["model"]["type"] == "BPE"
                         and not any(t["lstrip"] or t["rstrip"] or " " in t["content"] for t in spec["added_tokens"]))
         self.memo: dict[str, bytes] = {"": b""}
+        self.memo_bytes = 0
         self.signs: dict[str, bytes] = {"": b""}
 
     def _library(self, word: str) -> bytes:
@@ -73,8 +76,9 @@ class Encoder:
             ids = memo.get(w)
             if ids is None:
                 ids = self._word(w) if self.by_word else self._library(w)
-                if len(memo) < MEMO_WORDS and len(w) <= MEMO_LENGTH:
+                if len(w) <= MEMO_LENGTH and self.memo_bytes < MEMO_BYTES:
                     memo[w] = ids
+                    self.memo_bytes += len(w) + len(ids) + MEMO_ENTRY
             out.append(ids)
         return out
 

@@ -269,8 +269,19 @@ def near_duplicates(docs: DataFrame, threshold_pct: int = 85, miss: float = 1e-5
 def keep_one(docs: DataFrame, threshold_pct: int = 85, miss: float = 1e-5) -> DataFrame:
     """The rows of ``docs`` whose document represents its class; one row per doc_id.
 
-    Rows with a null doc_id stay.
+    Of rows that share a doc_id the one with the least hash of its text stays,
+    among equal texts the one with the least hash of all columns (rows that are
+    alike in all columns are interchangeable).  Rows with a null doc_id stay.
+    Repeated ids are found on the ids alone; texts are neither sorted nor
+    aggregated unless their id repeats.
     """
-    kept = near_duplicates(docs, threshold_pct, miss).where("kept and doc_id is not null").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).unionByName(
-        docs.where(F.col("doc_id").isNull())).select(*docs.columns)
+    with C.tables() as t:
+        found = t.adopt(near_duplicates(docs, threshold_pct, miss))
+        ids = C.staged(found.where("kept and doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")))
+    known = lambda which: docs.join(ids.where(which).select("doc_id").hint("shuffle_hash"), "doc_id", "left_semi")
+    out = known("n = 1").unionByName(docs.where(F.col("doc_id").isNull()))
+    if not ids.where("n > 1").isEmpty():
+        order = F.struct(F.xxhash64("text"), F.xxhash64(*docs.columns))
+        one = known("n > 1").groupBy("doc_id").agg(F.min_by(F.struct(*docs.columns), order).alias("r"))
+        out = out.unionByName(one.select("r.*"))
+    return out.select(*docs.columns)

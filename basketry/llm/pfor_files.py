@@ -15,8 +15,9 @@ The width is that of the ``percentile`` value of a block, so a few large
 values go to the exception list and do not widen the rest; a block can be
 read alone through the index.
 
-Texts are range-partitioned by id; a task writes files of about FILE_IDS ids,
-each under a temporary name that becomes the final one when it is complete,
+Texts are range-partitioned by id; a task writes files of about FILE_IDS ids
+block by block (what it holds is a slice of text and its ids, whatever the
+size of a file), each under a temporary name that becomes the final one when it is complete,
 so a task that runs again replaces its files by the same bytes.  Files are
 read back with Spark's binary reader.
 
@@ -28,6 +29,7 @@ columns are ignored.
 
 from __future__ import annotations
 
+import io
 import math
 import struct
 import uuid
@@ -45,52 +47,99 @@ from basketry.session import ensure_checkpoint_dir
 
 BLOCK, PERCENTILE, FILE_IDS, END_ID = 256, 90, 4 << 20, 1
 MAGIC = b"PFOR0001"
-SLICE = 2 << 20
+#: Bytes of text encoded at once, and ids packed at once.
+SLICE, STEP_IDS = 1 << 20, 256 * BLOCK
 PART_BYTES = 16 << 20
 
 
-def pack(ids: np.ndarray, docs: np.ndarray, null: np.ndarray, counts: np.ndarray, percentile: int = PERCENTILE) -> bytes:
-    """One file of ``ids`` and its documents."""
+def pack_blocks(ids: np.ndarray, percentile: int = PERCENTILE) -> tuple[bytes, np.ndarray]:
+    """Blocks of ``ids`` (the last is filled up with its own minimum) and the size of each."""
     n = len(ids)
     blocks = -(-n // BLOCK)
+    if not blocks:
+        return b"", np.zeros(0, np.int64)
     x = np.zeros(blocks * BLOCK, np.uint32)
     x[:n] = ids
     if n < len(x):
         x[n:] = x[(blocks - 1) * BLOCK:n].min()
-    x = x.reshape(blocks, BLOCK)
-    low = x.min(axis=1) if blocks else np.zeros(0, np.uint32)
-    r = x - low[:, None]
-    pick = np.partition(r, BLOCK * percentile // 100 - 1, axis=1)[:, BLOCK * percentile // 100 - 1] if blocks else low
+    r = x.reshape(blocks, BLOCK)
+    low = r.min(axis=1)
+    r -= low[:, None]
+    pick = np.partition(r, BLOCK * percentile // 100 - 1, axis=1)[:, BLOCK * percentile // 100 - 1]
     width = np.ceil(np.log2(pick.astype(np.float64) + 1)).astype(np.int64)
-    outside = (r.astype(np.uint64) >> width[:, None].astype(np.uint64)) > 0
+    outside = r > ((np.uint64(1) << width.astype(np.uint64)) - np.uint64(1)).astype(np.uint32)[:, None]
     exceptions = outside.sum(axis=1)
     plane = BLOCK // 8
     size = 8 + width * plane + exceptions * 6
-    start = len(MAGIC) + np.cumsum(size) - size
-    out = np.zeros(len(MAGIC) + int(size.sum()), np.uint8)
-    out[:len(MAGIC)] = np.frombuffer(MAGIC, np.uint8)
+    start = np.cumsum(size) - size
+    out = np.zeros(int(size.sum()), np.uint8)
 
     def put(at: np.ndarray, values: np.ndarray) -> None:
         raw = np.ascontiguousarray(values).view(np.uint8).reshape(len(at), -1)
         out[at[:, None] + np.arange(raw.shape[1])] = raw
 
-    if blocks:
-        put(start, low.reshape(-1, 1))
-        out[start + 4] = width
-        put(start + 6, exceptions.astype(np.uint16).reshape(-1, 1))
-        for w in np.unique(width).tolist():
-            rows = np.flatnonzero(width == w)
-            for k in range(w):
-                put(start[rows] + 8 + k * plane, np.packbits((r[rows] >> np.uint32(k)).astype(np.uint8) & 1, axis=1))
-        b, at = np.nonzero(outside)
-        if len(b):
-            nth = np.arange(len(b)) - np.repeat(np.cumsum(exceptions) - exceptions, exceptions)
-            base = start[b] + 8 + width[b] * plane
-            put(base + 2 * nth, at.astype(np.uint16).reshape(-1, 1))
-            put(base + 2 * exceptions[b] + 4 * nth, r[b, at].reshape(-1, 1))
-    tail = struct.pack("<QQQQ", n, blocks, len(docs), len(out)) + MAGIC
-    return b"".join([out.tobytes(), start.astype(np.uint64).tobytes(), null.astype(np.uint8).tobytes(),
-                     docs.astype(np.int64).tobytes(), counts.astype(np.uint32).tobytes(), tail])
+    put(start, low.reshape(-1, 1))
+    out[start + 4] = width
+    put(start + 6, exceptions.astype(np.uint16).reshape(-1, 1))
+    for w in np.unique(width).tolist():
+        rows = np.flatnonzero(width == w)
+        for k in range(w):
+            put(start[rows] + 8 + k * plane, np.packbits((r[rows] >> np.uint32(k)).astype(np.uint8) & 1, axis=1))
+    b, at = np.nonzero(outside)
+    if len(b):
+        nth = np.arange(len(b)) - np.repeat(np.cumsum(exceptions) - exceptions, exceptions)
+        base = start[b] + 8 + width[b] * plane
+        put(base + 2 * nth, at.astype(np.uint16).reshape(-1, 1))
+        put(base + 2 * exceptions[b] + 4 * nth, r[b, at].reshape(-1, 1))
+    return out.tobytes(), size
+
+
+class FileWriter:
+    """One file, written block by block: ids wait only until they fill a block."""
+
+    def __init__(self, sink, percentile: int = PERCENTILE) -> None:
+        self.sink, self.percentile = sink, percentile
+        self.rest = np.zeros(0, np.uint32)
+        self.sizes: list[np.ndarray] = []
+        self.rows: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.ids = 0
+        sink.write(MAGIC)
+
+    def _blocks(self, ids: np.ndarray) -> None:
+        for at in range(0, len(ids), STEP_IDS):
+            data, size = pack_blocks(ids[at:at + STEP_IDS], self.percentile)
+            self.sink.write(data)
+            self.sizes.append(size)
+
+    def add(self, ids: np.ndarray, docs: np.ndarray, null: np.ndarray, counts: np.ndarray) -> None:
+        """Whole documents: all their ids, and a row of each."""
+        self.rows.append((null.astype(np.uint8), docs.astype(np.int64), counts.astype(np.uint32)))
+        self.ids += len(ids)
+        full = np.concatenate([self.rest, ids.astype(np.uint32, copy=False)])
+        cut = len(full) // BLOCK * BLOCK
+        self._blocks(full[:cut])
+        self.rest = full[cut:].copy()
+
+    def close(self) -> None:
+        """The last block, the index, the documents and the tail."""
+        self._blocks(self.rest)
+        size = np.concatenate([np.zeros(0, np.int64), *self.sizes])
+        null, docs, counts = (np.concatenate([np.zeros(0, t), *[r[k] for r in self.rows]])
+                              for k, t in enumerate((np.uint8, np.int64, np.uint32)))
+        index = len(MAGIC) + int(size.sum())
+        start = (len(MAGIC) + np.cumsum(size) - size).astype(np.uint64)
+        for part in (start, null, docs, counts):
+            self.sink.write(part.tobytes())
+        self.sink.write(struct.pack("<QQQQ", self.ids, len(size), len(docs), index) + MAGIC)
+
+
+def pack(ids: np.ndarray, docs: np.ndarray, null: np.ndarray, counts: np.ndarray, percentile: int = PERCENTILE) -> bytes:
+    """One whole file of ``ids`` and its documents."""
+    out = io.BytesIO()
+    writer = FileWriter(out, percentile)
+    writer.add(ids, docs, null, counts)
+    writer.close()
+    return out.getvalue()
 
 
 def unpack(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -133,36 +182,35 @@ def _write(folder: str, path: str):
         store, root = fs.FileSystem.from_uri(folder)
         task = TaskContext.get().partitionId()
         enc = encoder(path)
-        held: list[tuple[np.ndarray, ...]] = []
-        size, file = 0, 0
+        writer, temp, file = None, "", 0
         out: dict[str, list] = {"name": [], "task": [], "file": [], "ids": []}
 
-        def flush() -> None:
-            nonlocal held, size, file
-            ids, docs, null, counts = (np.concatenate([h[k] for h in held]) for k in range(4))
+        def done() -> None:
+            """The open file under its final name."""
+            nonlocal writer, file
             name = f"part-{task:08d}-{file:06d}.pfor"
-            temp = f"{root}/_{name}.{uuid.uuid4().hex}"
-            with store.open_output_stream(temp) as f:
-                f.write(pack(ids, docs, null, counts))
+            writer.close()
+            writer.sink.close()
             store.move(temp, f"{root}/{name}")
-            for k, v in zip(out, (name, task, file, len(ids))):
+            for k, v in zip(out, (name, task, file, writer.ids)):
                 out[k].append(v)
-            held, size, file = [], 0, file + 1
+            writer, file = None, file + 1
 
         for b in batches:
             texts, docs = C.column(b, "text"), C.column(b, "doc_id")
             for lo, hi in C.slices(texts, SLICE):
+                if writer is None:
+                    temp = f"{root}/_{task:08d}-{file:06d}.{uuid.uuid4().hex}"
+                    writer = FileWriter(store.open_output_stream(temp))
                 ids, offs = enc.encode(texts.slice(lo, hi - lo))
                 n = np.diff(offs)
-                full = np.insert(ids, offs[1:], np.uint32(END_ID)) if len(n) else ids
                 d = docs.slice(lo, hi - lo)
-                held.append((full, d.fill_null(0).to_numpy(zero_copy_only=False),
-                             d.is_null().to_numpy(zero_copy_only=False), n + 1))
-                size += len(full)
-                if size >= FILE_IDS:
-                    flush()
-        if held:
-            flush()
+                writer.add(np.insert(ids, offs[1:], np.uint32(END_ID)) if len(n) else ids, d.fill_null(0).to_numpy(zero_copy_only=False),
+                           d.is_null().to_numpy(zero_copy_only=False), n + 1)
+                if writer.ids >= FILE_IDS:
+                    done()
+        if writer is not None:
+            done()
         yield pa.RecordBatch.from_pydict(out, pa.schema([("name", pa.string()), ("task", pa.int32()), ("file", pa.int32()), ("ids", pa.int64())]))
 
     return run

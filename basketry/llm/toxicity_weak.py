@@ -101,9 +101,8 @@ def pick_voters(toxic: dict[str, int], clean: dict[str, int], n_toxic: int, n_cl
 
     ``looked`` is the number of terms that were looked at, where ``toxic`` holds only some of them.
     """
-    least = max(3, -(-n_toxic // 200))
     looked = len(toxic) if looked is None else looked
-    good = {t: n for t, n in toxic.items() if n >= least and uneven(n, clean.get(t, 0), n_toxic, n_clean, looked)}
+    good = {t: n for t, n in toxic.items() if uneven(n, clean.get(t, 0), n_toxic, n_clean, looked)}
     picked = []
     for t, n in good.items():
         stem = t[1:] if t[0] == "=" else t[:-1]
@@ -163,20 +162,23 @@ def features(hits: np.ndarray) -> np.ndarray:
     return np.column_stack([hits > 0, np.log1p(hits[:, :hits.shape[1] - len(PATTERNS)].sum(axis=1)), np.ones(len(hits))])
 
 
-def label_model(votes: np.ndarray, labels: np.ndarray, rounds: int = 30) -> np.ndarray:
-    """Posterior of the hidden class from the voters and the given label as one more witness."""
-    n, v = votes.shape
+def label_model(votes: np.ndarray, labels: np.ndarray, times: np.ndarray, rounds: int = 30) -> np.ndarray:
+    """Posterior of the hidden class from the voters and the given label as one more witness.
+
+    A row is a pattern of votes and a label, ``times`` how many texts have it.
+    """
+    n = times.sum()
     post = 0.9 * labels + 0.05
     for _ in range(rounds):
-        share = np.clip(post.mean(), 1e-4, 1 - 1e-4)
-        on, off = post @ votes, (1 - post) @ votes
-        a = (on + 0.5) / (post.sum() + 1)
-        b = (off + 0.05) / ((1 - post).sum() + 0.5)
-        gold1 = np.clip((post @ labels + 0.9) / (post.sum() + 1), 0.5, 0.99)
-        gold0 = np.clip(((1 - post) @ (1 - labels) + 0.9) / ((1 - post).sum() + 1), 0.5, 0.99)
+        in1, in0 = times * post, times * (1 - post)
+        share = np.clip(in1.sum() / n, 1e-4, 1 - 1e-4)
+        a = (in1 @ votes + 0.5) / (in1.sum() + 1)
+        b = (in0 @ votes + 0.05) / (in0.sum() + 0.5)
+        gold1 = np.clip((in1 @ labels + 0.9) / (in1.sum() + 1), 0.5, 0.99)
+        gold0 = np.clip((in0 @ (1 - labels) + 0.9) / (in0.sum() + 1), 0.5, 0.99)
         # correlations within the classes: witnesses that say the same thing share one say
         dev = votes - np.outer(post, a) - np.outer(1 - post, b)
-        cov = dev.T @ dev / n
+        cov = (dev * times[:, None]).T @ dev / n
         sd = np.sqrt(np.diag(cov)) + 1e-12
         rho = cov / np.outer(sd, sd)
         weight = 1 / np.where(rho > 0.2, rho, 0).sum(axis=1).clip(1)
@@ -187,15 +189,15 @@ def label_model(votes: np.ndarray, labels: np.ndarray, rounds: int = 30) -> np.n
     return post
 
 
-def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05, rounds: int = 50) -> np.ndarray:
-    """Weights of a ridge logistic regression on soft labels, by Newton steps."""
+def logistic(x: np.ndarray, y: np.ndarray, times: np.ndarray, ridge: float = 0.05, rounds: int = 50) -> np.ndarray:
+    """Weights of a ridge logistic regression on soft labels of rows that occur ``times`` times, by Newton steps."""
     w = np.zeros(x.shape[1])
     penalty = np.full(x.shape[1], ridge)
     penalty[-1] = 1e-6
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -60, 60)))
-        gradient = x.T @ (p - y) + penalty * w
-        hessian = (x * (p * (1 - p) + 1e-9)[:, None]).T @ x + np.diag(penalty)
+        gradient = x.T @ (times * (p - y)) + penalty * w
+        hessian = (x * (times * (p * (1 - p) + 1e-9))[:, None]).T @ x + np.diag(penalty)
         step = np.linalg.solve(hessian, gradient)
         w -= np.clip(step, -4, 4)
         if np.abs(step).max() < 1e-8:
@@ -239,22 +241,24 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, learn: Column, sample: i
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), learn.alias("learn"), "text")
     known = labels.where("label in (0, 1) and doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("label").cast("int").alias("y"))
     known = known.withColumn("learn", learn).where("learn").drop("learn").orderBy(F.xxhash64("doc_id"), "doc_id", "y").limit(sample)
-    picked = C.staged(rows.where("learn").select("doc_id", "text").join(F.broadcast(known), "doc_id").select("y", "text"))
-    n = {r.y: r.n for r in picked.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
-    share = n.get(1, 0) / max(1, sum(n.values())) if n else 0.5
-    voters, weights = Voters([]), None
-    if n.get(0) and n.get(1):
-        least = max(3, -(-n[1] // 200))
-        count = lambda y: (picked.where(F.col("y") == y).select("text").mapInArrow(_term_counts, "term string, n long")
-                           .groupBy("term").agg(F.sum("n").alias("n")))
-        terms = C.staged(count(1).where(F.col("n") >= least))
-        both = terms.join(count(0).withColumnRenamed("n", "others"), "term", "left").fillna(0, ["others"])
-        looked = terms.count()
-        found = both.select("term", "n", "others").mapInArrow(_uneven_rows(n[1], n[0], looked), "term string, n long, others long").collect()
-        toxic, clean = {r.term: r.n for r in found}, {r.term: r.others for r in found}
-        voters = Voters(pick_voters(toxic, clean, n[1], n[0], looked))
-        seen = picked.mapInArrow(_hit_rows(voters), "y int, hits binary").collect()  # at most ``sample`` rows
-        hits = np.frombuffer(b"".join(bytes(r.hits) for r in seen), np.float32).reshape(len(seen), -1).astype(float)
-        y = np.array([r.y for r in seen], float)
-        weights = logistic(features(hits), label_model((hits > 0).astype(float), y))
+    with C.tables() as t:
+        picked = t.table(rows.where("learn").select("doc_id", "text").join(F.broadcast(known), "doc_id").select("y", "text"))
+        n = {r.y: r.n for r in picked.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
+        share = n.get(1, 0) / max(1, sum(n.values())) if n else 0.5
+        voters, weights = Voters([]), None
+        if n.get(0) and n.get(1):
+            count = lambda y: (picked.where(F.col("y") == y).select("text").mapInArrow(_term_counts, "term string, n long")
+                               .groupBy("term").agg(F.sum("n").alias("n")))
+            terms = t.table(count(1))
+            both = terms.join(count(0).withColumnRenamed("n", "others"), "term", "left").fillna(0, ["others"])
+            looked = terms.count()
+            found = both.select("term", "n", "others").mapInArrow(_uneven_rows(n[1], n[0], looked), "term string, n long, others long").collect()
+            toxic, clean = {r.term: r.n for r in found}, {r.term: r.others for r in found}
+            voters = Voters(pick_voters(toxic, clean, n[1], n[0], looked))
+            # equal rows of hits with their count: at most ``sample``, fewer by far as most texts fire nothing
+            seen = picked.mapInArrow(_hit_rows(voters), "y int, hits binary").groupBy("y", "hits").agg(F.count(F.lit(1)).alias("times")).orderBy("y", "hits").collect()
+            hits = np.frombuffer(b"".join(bytes(r.hits) for r in seen), np.float32).reshape(len(seen), -1).astype(float)
+            y = np.array([r.y for r in seen], float)
+            times = np.array([r.times for r in seen], float)
+            weights = logistic(features(hits), label_model((hits > 0).astype(float), y, times), times)
     return rows.mapInArrow(_score(voters, weights, share), "doc_id long, learn boolean, score double")

@@ -11,7 +11,7 @@ from basketry.llm.encoder import default_path, encoder
 from basketry.llm.gsaca import suffix_array
 from basketry.llm.minhash_bayes import keep_one, least_matches, near_duplicates
 from basketry.llm.mixing import copies, mix
-from basketry.llm.pfor_files import pack, token_files, unpack
+from basketry.llm.pfor_files import FileWriter, pack, token_files, unpack
 from basketry.llm.ppm import ppm_scores
 from basketry.llm.quality_qda import features, keep_good, quality_scores
 from basketry.llm.suffix_dedup import remove_repeats, repeats, window_verdicts
@@ -87,6 +87,17 @@ def test_near_duplicates(docs, empty):
     assert ids.count(None) == 2
 
 
+def test_one_row_of_a_repeated_id_stays_and_it_is_the_same_one(spark):
+    long = " ".join(f"w{k}" for k in range(30))
+    rows = [(1, long), (1, long + " more"), (1, "another text of its own with words"), (2, "x y z"), (2, "x y z"), (None, "n"), (None, "n")]
+    def kept(order):
+        out = keep_one(H.frame(spark, [rows[k] for k in order]).select("doc_id", "text").repartition(3))
+        return sorted((r.doc_id or 0, r.text) for r in out.collect())
+    got = kept(range(7))
+    assert [i for i, _ in got] == [0, 0, 1, 2]
+    assert kept([6, 2, 4, 1, 3, 0, 5]) == got == kept([1, 0, 2, 5, 6, 3, 4])
+
+
 def test_hot_group_of_near_copies(spark):
     base = [f"w{k}" for k in range(60)]
     rows = []
@@ -169,6 +180,22 @@ def test_pfor_round_trip():
         assert (ids == x).all() and docs.tolist() == [5, -1] and null.tolist() == [0, 1] and counts.tolist() == [n, 0]
 
 
+def test_file_writer_holds_less_than_a_block_whatever_the_documents():
+    rng = np.random.default_rng(1)
+    import io
+
+    sink, whole, rows = io.BytesIO(), [], []
+    writer = FileWriter(sink)
+    for k in range(60):
+        x = rng.integers(0, 49408, int(rng.integers(0, 3000))).astype(np.uint32)
+        writer.add(x, np.array([k]), np.array([0]), np.array([len(x)]))
+        whole.append(x)
+        assert len(writer.rest) < 256
+    writer.close()
+    ids, docs, null, counts = unpack(sink.getvalue())
+    assert (ids == np.concatenate(whole)).all() and docs.tolist() == list(range(60)) and counts.tolist() == [len(x) for x in whole]
+
+
 def test_token_files(docs, empty):
     got = token_files(docs).collect()
     assert len(got) == len(WITH_NULLS)
