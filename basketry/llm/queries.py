@@ -12,12 +12,24 @@ from basketry.llm.common import crc_mod
 from basketry.llm.kd_topk import top_k
 from basketry.llm.minhash_bayes import near_duplicates
 from basketry.llm.mixing import copies
+from basketry.llm.periodic_runs import run_digests
 from basketry.llm.pfor_files import token_files
 from basketry.llm.ppm import ppm_scores
 from basketry.llm.quality_qda import quality_scores
 from basketry.llm.rabitq import near_vectors
 from basketry.llm.suffix_dedup import repeats
 from basketry.llm.toxicity_weak import toxicity_scores
+from basketry.llm.url_filter import judge_urls
+from basketry.llm.whitening import whiten
+
+#: The rules of ``op11``, and what each does.
+URL_RULES = (
+    ("org/", "allow"),
+    ("example.org/es/", "block"),
+    ("example.org/en/1", "block"),
+    ("com/fr/", "allow"),
+    ("com/de/", "block"),
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -72,6 +84,18 @@ def op10_minhash_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_digests(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_qda": op1_quality_qda,
     "op2_mixing": op2_mixing,
@@ -83,4 +107,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe_chunks": op8_bpe_chunks,
     "op9_kd_topk": op9_kd_topk,
     "op10_minhash_bayes": op10_minhash_bayes,
+    "op11_url_filter": op11_url_filter,
+    "op12_whitening": op12_whitening,
+    "op13_periodic_runs": op13_periodic_runs,
 }
