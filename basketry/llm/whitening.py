@@ -123,22 +123,24 @@ def _solve(v: np.ndarray, shift: float, x: np.ndarray, scale: float) -> np.ndarr
     raise ArithmeticError("the shifted matrix stays singular")
 
 
-def rayleigh(v: np.ndarray, shift: float, basis: list[np.ndarray], rng, scale: float) -> tuple[float, np.ndarray]:
-    """Rayleigh quotient iteration that starts from a fixed shift, away from ``basis``."""
+def rayleigh(v: np.ndarray, shift: float, basis: list[np.ndarray], rng, scale: float) -> tuple[float, float, np.ndarray]:
+    """Rayleigh quotient iteration that starts from a fixed shift, away from ``basis``: residual, value and vector."""
     x = _against(basis, rng.standard_normal(len(v)))
     for _ in range(2):
         x = _against(basis, _solve(v, shift, x, scale))
-    best = None
+    best = (np.inf, 0.0, x)
+    small = 16 * np.finfo(float).eps * scale
     for _ in range(12):
         e = float(x @ (v @ x))
         residual = float(np.linalg.norm(v @ x - e * x))
-        if best is not None and residual >= 0.5 * best[0]:
+        if residual >= best[0] and best[0] <= small:
             break
-        best = (residual, e, x)
+        if residual < best[0]:
+            best = (residual, e, x)
         if residual == 0.0:
             break
         x = _against(basis, _solve(v, e, x, scale))
-    return best[1], best[2]
+    return best
 
 
 def leading(v: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -179,9 +181,9 @@ def leading(v: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         beyond = min((s for s, n in marks.items() if n < marks[hi]), default=high + pad)
         gap = min(lo - below if below < lo else np.inf, beyond - hi if beyond > hi else np.inf)
         if inside == 1 and hi - lo <= max(0.5 * gap, 64 * CLUSTER * scale):
-            e, x = rayleigh(v, 0.5 * (lo + hi), basis, rng, scale)
+            residual, e, x = rayleigh(v, 0.5 * (lo + hi), basis, rng, scale)
             slack = 8 * np.finfo(float).eps * scale * d
-            if lo - slack <= e <= hi + slack:
+            if residual <= slack and lo - slack <= e <= hi + slack:
                 values.append(e)
                 basis.append(x)
                 continue
