@@ -7,10 +7,11 @@ grow with the number of rounds and a lost executor never replays earlier
 rounds.  The driver loop only reads one number per round.
 
 * ``shared_item_edges``: users that share at least ``thre`` items (exact,
-  prefix-filtered overlap join).
+  light items by their lists, heavy ones by blocked products).
 * ``connected_components``: least node id per component.
-* ``edge_betweenness``: Brandes' algorithm, the sources of each component
-  dealt into blocks; halved (each unordered pair once).
+* ``edge_betweenness``: Brandes' algorithm, the sources of a component dealt
+  into blocks, those of a giant one followed level by level; halved (each
+  unordered pair once).
 * ``modularity`` / ``communities``: Girvan-Newman divisive clustering that
   keeps the partition of largest modularity (computed on the original graph).
 """
@@ -22,6 +23,8 @@ import functools
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from basketry.operators.cooccurrence import shared_counts, threshold_for
+from basketry.operators.paths import level_credits
 from basketry.session import Scope, cut_lineage
 
 #: Relative tolerance under which two betweenness values count as tied.
@@ -47,25 +50,22 @@ def nodes_of(edges: DataFrame) -> DataFrame:
 
 
 def shared_item_edges(inc: DataFrame, thre: int, user: str = "basket", item: str = "item") -> DataFrame:
-    """``(src, dst, shared)``: users sharing at least ``thre`` distinct items.
+    """``(src, dst, shared)``: users sharing at least ``thre`` distinct items, counted exactly (``cooccurrence``)."""
+    return shared_counts(inc, thre, user, item)
 
-    Exact.  Items are ordered by ascending frequency; a user with n items
-    keeps the first ``n - thre + 1`` as prefix.  Two users sharing ``thre``
-    items share one of their prefix items, so only prefix items generate
-    candidate pairs (the most common items rarely do); each candidate's
-    overlap is then counted exactly on the full sets.
-    """
-    from basketry.operators.similarity import prefix_overlap_join, prepare
 
+def shared_item_graph(inc: DataFrame, per_edge: int = 40, user: str = "basket", item: str = "item") -> DataFrame:
+    """``(src, dst, shared)`` from a threshold that the overlap counts give.
+
+    The largest number of shared items that at least one pair per
+    ``per_edge`` users reaches, and no fewer than two, so the graph does not
+    thin out as the data grow; one counting of pairs serves both.
+    """
     with Scope() as scope:
-        sets = scope.keep(prepare(inc, user, item))
-        joined = prefix_overlap_join(
-            sets,
-            prefix_len=lambda n: n - F.lit(thre) + 1,
-            required=lambda n1, n2: F.lit(thre),
-            size_ok=lambda n1, n2: (n1 >= thre) & (n2 >= thre))
-    return joined.where(F.col("inter") >= thre).select(
-        F.col("id1").alias("src"), F.col("id2").alias("dst"), F.col("inter").alias("shared"))
+        counts = scope.adopt(shared_counts(inc, 2, user, item))
+        users = inc.where(F.col(user).isNotNull() & F.col(item).isNotNull()).agg(F.count_distinct(user)).first()[0]
+        thre = threshold_for(counts, -(-users // per_edge))
+        return cut_lineage(counts if thre is None else counts.where(F.col("shared") >= thre))
 
 
 # --- components ------------------------------------------------------------------
@@ -115,29 +115,29 @@ def connected_components(edges: DataFrame, nodes: DataFrame | None = None) -> Da
 
 # --- betweenness -----------------------------------------------------------------
 
-#: Sources whose shortest paths one task follows.
-SOURCE_BLOCK = 64
-
-
-def _brandes(around: dict, sources, credit: list[float]) -> None:
-    """Add each edge's credits on the shortest paths from ``sources``; ``around`` maps a node to ``(neighbour, edge)``."""
-    for s in sources:
-        far, paths, order = {s: 0}, {s: 1.0}, [s]
-        for v in order:
-            for w, _ in around[v]:
-                if w not in far:
-                    far[w] = far[v] + 1
-                    paths[w] = 0.0
-                    order.append(w)
-                if far[w] == far[v] + 1:
-                    paths[w] += paths[v]
-        owed = dict.fromkeys(order, 0.0)
-        for w in reversed(order):
-            for v, e in around[w]:
-                if far[v] == far[w] - 1:
-                    part = paths[v] / paths[w] * (1.0 + owed[w])
-                    credit[e] += part
-                    owed[v] += part
+#: Sources whose shortest paths one task follows, and edges of a component that a task may hold.
+SOURCE_BLOCK, TASK_EDGES = 64, 100_000
+
+
+def _from_source(around: dict, s) -> dict:
+    """The credit of each edge on the shortest paths from ``s``; ``around`` maps a node to ``(neighbour, edge)``."""
+    far, paths, order = {s: 0}, {s: 1.0}, [s]
+    for v in order:
+        for w, _ in around.get(v, ()):
+            if w not in far:
+                far[w] = far[v] + 1
+                paths[w] = 0.0
+                order.append(w)
+            if far[w] == far[v] + 1:
+                paths[w] += paths[v]
+    owed = dict.fromkeys(order, 0.0)
+    out = {}
+    for w in reversed(order):
+        for v, e in around.get(w, ()):
+            if far[v] == far[w] - 1:
+                out[e] = part = paths[v] / paths[w] * (1.0 + owed[w])
+                owed[v] += part
+    return out
 
 
 def _around(ends, which) -> dict:
@@ -155,33 +155,44 @@ def _credits(key, edges, sources):
 
     ends = list(zip(edges["src"].tolist(), edges["dst"].tolist()))
     credit = [0.0] * len(ends)
-    _brandes(_around(ends, range(len(ends))), sources["node"].tolist(), credit)
+    around = _around(ends, range(len(ends)))
+    for s in sources["node"].tolist():
+        for e, c in _from_source(around, s).items():
+            credit[e] += c
     return pd.DataFrame({"src": edges["src"], "dst": edges["dst"], "c": credit})
 
 
-def edge_betweenness(edges: DataFrame, labels: DataFrame | None = None) -> DataFrame:
+def edge_betweenness(edges: DataFrame, labels: DataFrame | None = None, task_edges: int | None = None) -> DataFrame:
     """``(src, dst, betweenness)`` for every edge (``src < dst``).
 
-    Brandes' algorithm with every node as a source.  The sources of a
-    component are dealt into blocks; a task holds the edges of one component
-    and follows the shortest paths from one block of its nodes, and the
-    credits of the blocks are added up per edge.  Work is nodes times edges
-    of a component, spread over its blocks; a component's edges must fit a
-    task.  ``labels`` are the components where the caller knows them.
+    Brandes' algorithm with every node as a source.  A component of at most
+    ``task_edges`` edges: its sources are dealt into blocks, a task holds the
+    edges and follows the shortest paths from one block.  A larger one is
+    never held by a task: its paths are followed level by level with joins
+    (``paths.level_credits``).  Credits are added up per edge.  ``labels`` are
+    the components where the caller knows them.
     """
+    most = TASK_EDGES if task_edges is None else task_edges
     with Scope() as scope:
         edges = scope.table(normalize_edges(edges))
-        labels = connected_components(edges) if labels is None else labels
-        of = edges.join(labels.select(F.col("node").alias("src"), "component"), "src")
+        labels = scope.adopt(connected_components(edges)) if labels is None else labels
+        of = scope.table(edges.join(labels.select(F.col("node").alias("src"), "component"), "src"))
+        sizes = of.groupBy("component").agg(F.count(F.lit(1)).alias("e"))
+        giant = scope.table(sizes.where(F.col("e") > most).select("component"))
+        parts = []
+        if not giant.isEmpty():
+            big = of.join(giant, "component", "left_semi").select("src", "dst")
+            parts += [scope.adopt(c) for c in level_credits(scope.table(big), scope.table(labels.join(giant, "component", "left_semi")))]
+            of = of.join(giant, "component", "left_anti")
         nodes = labels.join(of.select("component").distinct(), "component", "left_semi")
         sizes = nodes.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / F.lit(SOURCE_BLOCK)).cast("int").alias("nb"))
         sources = nodes.join(sizes, "component").select("component", "node", F.pmod(F.xxhash64("node"), F.col("nb")).cast("int").alias("blk"))
         copied = of.join(sizes, "component").select("component", "src", "dst", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("blk"))
         kind = edges.schema["src"].dataType.simpleString()
         sources = sources.toDF("_c", "node", "_b")  # names of its own: both sides come from the same labels
-        credits = copied.groupBy("component", "blk").cogroup(sources.groupBy("_c", "_b")).applyInPandas(
-            _credits, f"src {kind}, dst {kind}, c double")
-        return cut_lineage(credits.groupBy("src", "dst").agg((F.sum("c") / 2).alias("betweenness")))
+        parts.append(copied.groupBy("component", "blk").cogroup(sources.groupBy("_c", "_b")).applyInPandas(
+            _credits, f"src {kind}, dst {kind}, c double"))
+        return cut_lineage(_union(parts).groupBy("src", "dst").agg((F.sum("c") / 2).alias("betweenness")))
 
 
 # --- modularity and communities --------------------------------------------------
@@ -228,6 +239,53 @@ def split_round(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
     return remaining, connected_components(remaining, nodes)
 
 
+class Credits:
+    """Credits of the edges of a part, kept up to date while edges go.
+
+    ``users`` is an index from an edge to the sources that have it on a
+    shortest path; after a removal only those run again (the distances and
+    path counts of all others are what they were).  ``ran`` counts the
+    sources that have run.
+    """
+
+    def __init__(self, nodes, around: dict) -> None:
+        self.by_source: dict = {}
+        self.users: dict = {}
+        self.credit: dict = {}
+        self.ran = 0
+        self._run(nodes, around)
+
+    def _run(self, sources, around: dict) -> None:
+        for s in sources:
+            found = self.by_source[s] = _from_source(around, s)
+            self.ran += 1
+            for e, c in found.items():
+                self.users.setdefault(e, set()).add(s)
+                self.credit[e] = self.credit.get(e, 0.0) + c
+
+    def remove(self, gone, around: dict) -> None:
+        """Edges ``gone`` are no more; ``around`` is what is left."""
+        again = set().union(*[self.users[e] for e in gone])
+        if len(again) == len(self.by_source):  # nothing to keep: start afresh
+            self.by_source, self.users, self.credit = {}, {}, {}
+        for s in again & self.by_source.keys():
+            for e, c in self.by_source[s].items():
+                self.credit[e] -= c
+                self.users[e].discard(s)
+        for e in gone:
+            self.credit.pop(e, None)
+            self.users.pop(e, None)
+        self._run(sorted(again), around)
+
+    def within(self, nodes, edges) -> "Credits":
+        """The credits of a part that has come apart from the others."""
+        out = Credits((), {})
+        out.by_source = {s: self.by_source[s] for s in nodes}
+        out.users = {e: self.users[e] for e in edges}
+        out.credit = {e: self.credit[e] for e in edges}
+        return out
+
+
 def _sequence(m: int):
     """The removals of one part: how it falls apart further, under the keys that order them."""
     def run(key, edges):
@@ -244,16 +302,17 @@ def _sequence(m: int):
         rows: list[tuple] = []
         present = [e for e, x in enumerate(edges["present"].tolist()) if x]
         # (nodes, edges left, original edges inside, removals on the way, key so far)
-        todo = [(list(degree), present, list(range(len(ends))), int(edges["step"].iloc[0]), list(edges["key"].iloc[0]))]
+        first = Credits(list(degree), _around(ends, present))
+        todo = [(list(degree), present, list(range(len(ends))), int(edges["step"].iloc[0]), list(edges["key"].iloc[0]), first)]
         while todo:
-            nodes, left, own, step, way = todo.pop()
-            around = _around(ends, left)
-            credit = dict.fromkeys(left, 0.0)
-            _brandes(around, nodes, credit)
-            top = max(credit.values()) / 2
+            nodes, left, own, step, way, known = todo.pop()
+            credit = known.credit
+            top = max(credit[e] for e in left) / 2
             step += 1
             way = [x for x in way if -x <= round(top, 7)] + [-round(top, 7)]
+            gone = [e for e in left if credit[e] / 2 >= top * (1 - TIE_TOLERANCE)]
             left = [e for e in left if credit[e] / 2 < top * (1 - TIE_TOLERANCE)]
+            known.remove(gone, _around(ends, left))
             around = _around(ends, left)
             part: dict = {}
             for v in sorted(nodes):
@@ -278,7 +337,7 @@ def _sequence(m: int):
                 rows += [(v, c, step, way, None) for c, (of, _, _) in parts.items() if c != was for v in of]
                 gain = sum(share(len(inside), of) for of, _, inside in parts.values()) - share(len(own), nodes)
                 rows.append((None, None, step, way, gain))
-            todo += [(of, rest, inside, step, way) for of, rest, inside in parts.values() if rest]
+            todo += [(of, rest, inside, step, way, known.within(of, rest)) for of, rest, inside in parts.values() if rest]
         return pd.DataFrame(rows, columns=["node", "component", "step", "key", "dq"]).astype({"node": object, "component": object})
 
     return run

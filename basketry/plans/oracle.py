@@ -234,9 +234,12 @@ ORACLE.update({
 
 # --- graph -------------------------------------------------------------------
 _EDGES = (f"w AS MATERIALIZED ({REL_SQL['cust_part']}), "
-          "e AS MATERIALIZED (SELECT x.basket AS src, y.basket AS dst, count(*) AS shared FROM w x JOIN w y "
-          "ON x.item = y.item AND x.basket < y.basket GROUP BY 1, 2 HAVING count(*) >= (SELECT CAST(floor(c + 3 * sqrt(c)) AS BIGINT) + 4 FROM ("
-          "SELECT count(*)::DOUBLE * count(*)::DOUBLE / (count(DISTINCT basket)::DOUBLE * count(DISTINCT basket)::DOUBLE * count(DISTINCT item)::DOUBLE) AS c FROM w))), "
+          "e2 AS MATERIALIZED (SELECT x.basket AS src, y.basket AS dst, count(*) AS shared FROM w x JOIN w y "
+          "ON x.item = y.item AND x.basket < y.basket GROUP BY 1, 2 HAVING count(*) >= 2), "
+          "reach AS (SELECT shared, sum(count(*)) OVER (ORDER BY shared DESC) AS n FROM e2 GROUP BY shared), "
+          "thre AS (SELECT coalesce((SELECT max(shared) FROM reach WHERE n >= (SELECT (count(DISTINCT basket) + 39) // 40 FROM w)), "
+          "(SELECT min(shared) FROM reach)) AS t), "
+          "e AS MATERIALIZED (SELECT src, dst, shared FROM e2 WHERE shared >= (SELECT t FROM thre)), "
           "adj AS MATERIALIZED (SELECT src, dst FROM e UNION ALL SELECT dst, src FROM e), "
           "nodes AS MATERIALIZED (SELECT src AS node FROM e UNION SELECT dst FROM e)")
 

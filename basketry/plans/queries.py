@@ -7,7 +7,6 @@ query reads the given tables in full.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -314,19 +313,12 @@ QUERIES.update({
 # --- graph -------------------------------------------------------------------
 from basketry.operators import graph as gr  # noqa: E402
 
-def edge_threshold(inc: DataFrame) -> int:
-    """Shared items that make an edge: well above what two baskets share by chance, at any size of the data."""
-    n = inc.agg(F.count(F.lit(1)), F.count_distinct("basket"), F.count_distinct("item")).first()
-    rows, baskets, items = (float(x) for x in n)
-    if not rows:
-        return 4
-    chance = rows * rows / (baskets * baskets * items)
-    return math.floor(chance + 3 * math.sqrt(chance)) + 4
+#: The customer graph takes the largest number of shared parts that gives an edge per so many customers.
+USERS_PER_EDGE = 40
 
 
 def _cust_graph(spark, sf_dir):
-    inc = rel.cust_part(spark, sf_dir)
-    return gr.shared_item_edges(inc, edge_threshold(inc))
+    return gr.shared_item_graph(rel.cust_part(spark, sf_dir), USERS_PER_EDGE)
 
 
 def shared_item_edges(spark, sf_dir):

@@ -162,6 +162,10 @@ class Scope:
         if gone:
             delete_tables(self._spark, gone)
 
+    def release(self, *tables: DataFrame) -> None:
+        """Leave tables of this scope to the caller: they stay when it ends."""
+        self._tables = [(t, p) for t, p in self._tables if not any(t is x for x in tables)]
+
     def __enter__(self) -> "Scope":
         return self
 
