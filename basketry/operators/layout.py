@@ -1,8 +1,8 @@
-"""Partition layout profile: rows per partition for a default and a keyed layout."""
+"""Partition layout profile: rows per partition of the layout as read, of Spark's hash layout, and of a custom one."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -25,10 +25,16 @@ def key_placement(df: DataFrame, n: int, key: str) -> DataFrame:
             .groupBy(key).agg(F.count_distinct("_p").alias("n_partitions"), F.count(F.lit(1)).alias("n_items")))
 
 
-def partition_profile(df: DataFrame, n: int, key: str) -> DataFrame:
-    """Rows per partition of the input layout and of ``repartition(n, key)``."""
-    return rows_per_partition(df, "default", df.rdd.getNumPartitions()).unionByName(
+def custom_layout(df: DataFrame, n: int, place: Column) -> DataFrame:
+    """Each row in the partition that ``place`` (an integer expression of its key) names, modulo ``n``; null in 0."""
+    return df.repartitionById(n, place.cast("int"))
+
+
+def partition_profile(df: DataFrame, n: int, key: str, place: Column | None = None) -> DataFrame:
+    """Rows per partition as read (``default``), of ``repartition(n, key)`` (``hash``) and, given ``place``, of ``custom_layout``."""
+    out = rows_per_partition(df, "default", df.rdd.getNumPartitions()).unionByName(
         rows_per_partition(hash_layout(df, n, key), "hash", n))
+    return out if place is None else out.unionByName(rows_per_partition(custom_layout(df, n, place), "custom", n))
 
 
 def profile_summary(profile: DataFrame) -> DataFrame:

@@ -15,6 +15,32 @@ GROUP BY n.n_name
 """
 _NATION_AVG = f"SELECT n_name, round(a, 6) AS avg_quantity, n FROM ({_NATION_EXACT})"
 
+def _murmur3_partition(key: str, n: int) -> str:
+    """The partition that Spark's ``repartition(n, key)`` gives a BIGINT: Murmur3 of its two halves, seed 42."""
+    steps = [("a", f"CASE WHEN {key} < 0 THEN {key}::HUGEINT + 18446744073709551616 ELSE {key}::HUGEINT END"),
+             ("low", "(a % 4294967296)::UBIGINT"), ("high", "(a // 4294967296)::UBIGINT"), ("h0", "42::UBIGINT")]
+
+    def half(k: str, h: str, out: str) -> None:
+        steps.extend([(f"{out}a", f"({k} * 3432918353) % 4294967296"), (f"{out}b", f"(({out}a * 32768) % 4294967296) + ({out}a // 131072)"),
+                      (f"{out}c", f"({out}b * 461845907) % 4294967296"), (f"{out}d", f"xor({h}, {out}c)"),
+                      (f"{out}e", f"(({out}d * 8192) % 4294967296) + ({out}d // 524288)"), (out, f"({out}e * 5 + 3864292196) % 4294967296")])
+
+    half("low", "h0", "h1")
+    half("high", "h1", "h2")
+    steps += [("f1", "xor(h2, 8::UBIGINT)"), ("f2", "(xor(f1, f1 // 65536) * 2246822507) % 4294967296"),
+              ("f3", "(xor(f2, f2 // 8192) * 3266489909) % 4294967296"), ("f4", "xor(f3, f3 // 65536)::BIGINT"),
+              ("f5", "CASE WHEN f4 >= 2147483648 THEN f4 - 4294967296 ELSE f4 END")]
+    sql = "SELECT * FROM lineitem"
+    for name, what in steps:
+        sql = f"SELECT *, {what} AS {name} FROM ({sql})"
+    return f"SELECT ((f5 % {n}) + {n}) % {n} AS p FROM ({sql})"
+
+
+def _layout_sql(layout: str, places: str, n: int = 7) -> str:
+    return (f"SELECT '{layout}' AS layout, r.p::INTEGER AS partition, count(l.p) AS n_items FROM range({n}) r(p) "
+            f"LEFT JOIN ({places}) l ON l.p = r.p GROUP BY r.p")
+
+
 _TOP = """
 SELECT string_agg(CAST(id AS VARCHAR) || ':' || CAST(n AS VARCHAR), ',' ORDER BY n DESC, id) AS s
 FROM (SELECT {col} AS id, count(*) AS n FROM lineitem WHERE {col} IS NOT NULL
@@ -69,6 +95,11 @@ ORACLE: dict[str, str] = {
         FROM events
     """,
     "key_placement": "SELECT l_suppkey, 1::BIGINT AS n_partitions, count(*) AS n_items FROM lineitem GROUP BY l_suppkey",
+    # a table of one small file is read as one partition
+    "partition_profile": " UNION ALL ".join([
+        "SELECT 'default' AS layout, 0 AS partition, count(*) AS n_items FROM lineitem",
+        _layout_sql("hash", _murmur3_partition("l_suppkey", 7)),
+        _layout_sql("custom", "SELECT ((l_suppkey % 7) + 7) % 7 AS p FROM lineitem")]),
     "partition_summary": "SELECT 'hash' AS layout, 7::BIGINT AS n_partition, count(*) AS n_rows FROM lineitem",
 }
 
@@ -313,3 +344,15 @@ ORACLE.update({
                          "min(node) OVER (PARTITION BY component) AS first, node, '''' || CAST(node AS VARCHAR) || '''' AS text "
                          f"FROM ({ORACLE['components']})"),
 })
+
+
+# --- files -----------------------------------------------------------------------
+ORACLE.update({
+    "json_review_averages": """
+        SELECT l_partkey::VARCHAR AS business_id, count(*) AS n, count(DISTINCT l_suppkey) AS n_user,
+               round(avg(l_quantity), 6) AS stars, max(year(l_shipdate))::INTEGER AS last_year
+        FROM lineitem GROUP BY l_partkey
+    """,
+    "csv_interactions": f"SELECT basket::VARCHAR AS user_id, item AS business_id FROM ({REL_SQL['order_type']})",
+    "ranking_csv": f"SELECT n_name, avg_quantity FROM ({_NATION_AVG})",
+})

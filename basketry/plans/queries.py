@@ -104,8 +104,9 @@ def key_placement(spark, sf_dir):
 
 
 def partition_profile(spark, sf_dir):
+    # as read, by Spark's hash of the key, and by the key's own remainder
     li = _t(spark, sf_dir, "lineitem").select("l_suppkey")
-    return layout.partition_profile(li, LAYOUT_PARTITIONS, "l_suppkey")
+    return layout.partition_profile(li, LAYOUT_PARTITIONS, "l_suppkey", F.pmod("l_suppkey", F.lit(LAYOUT_PARTITIONS)))
 
 
 def partition_summary(spark, sf_dir):
@@ -389,3 +390,41 @@ QUERIES.update({
     "edge_report": edge_report,
     "community_report": community_report,
 })
+
+
+# --- files: tables written in the interaction formats and read back ---------------
+from basketry.session import cut_lineage, scratch_folder  # noqa: E402
+from basketry.sources.readers import read_interactions_csv, read_reviews  # noqa: E402
+
+
+def json_review_averages(spark, sf_dir):
+    # line items as review lines, written as JSON, read by the review reader, averaged per business
+    li = _t(spark, sf_dir, "lineitem")
+    with scratch_folder(spark) as path:
+        li.select(F.col("l_suppkey").cast("string").alias("user_id"), F.col("l_partkey").cast("string").alias("business_id"),
+                  F.col("l_quantity").alias("stars"), F.col("l_shipdate").cast("timestamp").alias("date")).write.json(path)
+        reviews = read_reviews(spark, path)
+        return cut_lineage(reviews.groupBy("business_id").agg(
+            F.count(F.lit(1)).alias("n"), F.count_distinct("user_id").alias("n_user"), F.round(F.avg("stars"), 6).alias("stars"),
+            F.max(F.year("date")).alias("last_year")))
+
+
+def csv_interactions(spark, sf_dir):
+    # order-type pairs written as CSV with a header and an extra column, read back by name
+    inc = rel.order_type(spark, sf_dir).select(F.col("basket").cast("string").alias("user_id"), F.lit("x").alias("extra"), F.col("item").alias("business_id"))
+    with scratch_folder(spark) as path:
+        inc.write.option("header", True).csv(path)
+        return cut_lineage(read_interactions_csv(spark, path, header=["user_id", "extra", "business_id"]))
+
+
+def ranking_csv(spark, sf_dir):
+    with scratch_folder(spark) as path:
+        sinks.write_ranking_csv(_rounded(_avg_by_nation(spark, sf_dir)), "avg_quantity", "n_name", path)
+        return cut_lineage(spark.read.schema("n_name string, avg_quantity double").option("header", True).option("enforceSchema", False).csv(path))
+
+
+QUERIES.update({
+    "json_review_averages": json_review_averages,
+    "csv_interactions": csv_interactions,
+    "ranking_csv": ranking_csv,
+})

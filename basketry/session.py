@@ -9,6 +9,7 @@ when none is named, on a cluster that is an error.
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
@@ -115,6 +116,16 @@ def delete_tables(spark: SparkSession, paths: list[str]) -> None:
         where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+@contextlib.contextmanager
+def scratch_folder(spark: SparkSession):
+    """A folder under the checkpoint folder for files of one call (text, CSV, JSON), deleted when it ends."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/basketry-tables/{uuid.uuid4().hex}"
+    try:
+        yield path
+    finally:
+        delete_tables(spark, [path])
+
+
 class Scope:
     """Intermediates of one operator call, released when it ends.
 

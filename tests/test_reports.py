@@ -138,12 +138,71 @@ def test_report_writers(spark, scratch):
     sinks.write_lines(sinks.pair_lines(pairs), ["id1", "id2"], out, header="business_id_1, business_id_2, similarity")
     text = [r[0] for r in spark.read.text(out).coalesce(1).collect()]
     assert sorted(text) == sorted(["business_id_1, business_id_2, similarity", "a,b,1.0", "b,c,0.5"])
-    levels = spark.createDataFrame([(1, ["b"]), (1, ["a"]), (2, ["a", "b"])], "k int, items array<string>")
+
+
+def written(path):
+    """The bytes of a report: its part files in name order, then its tail."""
+    out = b""
+    for folder in (path, os.path.join(path, "tail")):
+        if os.path.isdir(folder):
+            for f in sorted(x for x in os.listdir(folder) if x.startswith("part-")):
+                with open(os.path.join(folder, f), "rb") as handle:
+                    out += handle.read()
+    return out.decode()
+
+
+def expected_itemsets(candidates, frequent):
+    """The report as one program would print it: a line of tuples per size, sizes an empty line apart."""
+    def lines(levels):
+        by = {}
+        for k, items in levels:
+            by.setdefault(k, []).append(tuple(sorted(items)))
+        return "\n\n".join(",".join(str(t).replace(",)", ")") for t in sorted(by[k])) for k in sorted(by))
+    return "Candidates:" + ("\n" + lines(candidates) if candidates else "") + "\n\nFrequent Itemsets:" + ("\n" + lines(frequent) if frequent else "")
+
+
+@pytest.mark.parametrize("what", ["both", "no frequent", "no candidates", "nothing"])
+def test_itemset_report_bytes(spark, scratch, what):
+    sets = [(1, [f"i{k:02d}"]) for k in range(30)] + [(2, [f"i{k:02d}", f"i{k + 1:02d}"]) for k in range(9)] + [(3, ["i01", "i02", "é ü"])]
+    cands = sets if what in ("both", "no frequent") else []
+    freq = sets[3:35] if what in ("both", "no candidates") else []
+    frames = [spark.createDataFrame(x, "k int, items array<string>").repartition(3) for x in (cands, freq)]
+    out = os.path.join(scratch, "sets")
+    sinks.write_itemset_report(sinks.itemset_report(*frames), out)
+    assert written(out) == expected_itemsets(cands, freq)
+
+
+def test_long_lines_are_written_by_many_tasks(spark, scratch):
+    rows = spark.range(5000).select(F.lit(1).alias("k"), F.array(F.format_string("i%05d", "id")).alias("items"))
     out = os.path.join(scratch, "sets")
-    sinks.write_itemset_report(sinks.itemset_report(levels, levels.where("k = 1")).coalesce(1), out)
-    files = sorted(f for f in os.listdir(out) if f.startswith("part-"))
-    lines = "".join(open(os.path.join(out, f)).read() for f in files).split("\n")
-    assert lines == ["Candidates:", "('a')", "('b')", "", "('a', 'b')", "", "Frequent Itemsets:", "('a')", "('b')", "", ""]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # small as it is, let the sort keep its parts
+    try:
+        sinks.write_itemset_report(sinks.itemset_report(rows, rows.where("items[0] < 'i00100'")), out)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert sum(f.startswith("part-") for f in os.listdir(out)) > 1
+    assert written(out) == expected_itemsets([(1, [f"i{k:05d}"]) for k in range(5000)], [(1, [f"i{k:05d}"]) for k in range(100)])
+
+
+def test_community_report_bytes(spark, scratch):
+    members = {"b": ["b", "c"], "a": ["a", "x"], "d": ["d", "e", "f"], "z": ["z"]}
+    labels = spark.createDataFrame([(v, k) for k, vs in members.items() for v in vs], "node string, community string").repartition(3)
+    out = os.path.join(scratch, "communities")
+    sinks.write_community_report(sinks.community_lines(labels), out)
+    want = sorted(members.values(), key=lambda v: (len(v), v[0]))
+    assert written(out) == "".join(", ".join(f"'{x}'" for x in v) + "\n" for v in want)
+    sinks.write_community_report(sinks.community_lines(labels.limit(0)), os.path.join(scratch, "none"))
+    assert written(os.path.join(scratch, "none")) == ""
+
+
+def test_custom_layout_places_rows_by_an_expression(spark):
+    df = spark.range(100).select(F.when(F.col("id") % 10 > 0, F.col("id") % 17).alias("key"))
+    prof = {(r["layout"], r["partition"]): r["n_items"] for r in layout.partition_profile(df, 5, "key", F.col("key") * 2).collect()}
+    want = [0] * 5
+    for r in df.collect():
+        want[0 if r["key"] is None else r["key"] * 2 % 5] += 1
+    assert [prof["custom", k] for k in range(5)] == want
+    assert sum(prof["hash", k] for k in range(5)) == 100
 
 
 def test_ranking_csv_quotes_commas(spark, scratch):
