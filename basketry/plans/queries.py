@@ -150,11 +150,6 @@ SON_CHUNKS = 4
 TEST_BUCKETS = 101
 
 
-def _sup(inc: DataFrame, share: tuple[int, int]) -> int:
-    n = inc.select("basket").distinct().count()
-    return max(1, n * share[0] // share[1])
-
-
 def _levels_out(levels: DataFrame) -> DataFrame:
     return levels.select(F.col("k").cast("int").alias("k"), itemset_key("items").alias("itemset"),
                          F.col("support").cast("long").alias("support"))
@@ -185,22 +180,22 @@ def dense_ids(spark, sf_dir):
 
 def freq_itemsets(spark, sf_dir):
     inc = rel.order_type(spark, sf_dir)
-    return _levels_out(fi.frequent_itemsets(inc, _sup(inc, SUP_ORDER_TYPE)))
+    return _levels_out(fi.frequent_itemsets(inc, SUP_ORDER_TYPE))
 
 
 def freq_itemsets_brand(spark, sf_dir):
     inc = rel.order_brand(spark, sf_dir)
-    return _levels_out(fi.frequent_itemsets(inc, _sup(inc, SUP_ORDER_BRAND)))
+    return _levels_out(fi.frequent_itemsets(inc, SUP_ORDER_BRAND))
 
 
 def freq_itemsets_transposed(spark, sf_dir):
     inc = bk.transpose(rel.user_k(spark, sf_dir))
-    return _levels_out(fi.frequent_itemsets(inc, _sup(inc, SUP_K_USERS)))
+    return _levels_out(fi.frequent_itemsets(inc, SUP_K_USERS))
 
 
 def freq_itemsets_min_basket(spark, sf_dir):
     inc = bk.with_min_size(rel.order_type(spark, sf_dir), MIN_BASKET_SIZE)
-    return _levels_out(fi.frequent_itemsets(inc, _sup(inc, SUP_MIN_BASKET), prefilter="bucket"))
+    return _levels_out(fi.frequent_itemsets(inc, SUP_MIN_BASKET, prefilter="bucket"))
 
 
 def bucket_counts(spark, sf_dir):
@@ -212,17 +207,17 @@ def bucket_counts(spark, sf_dir):
 
 def bucket_pairs(spark, sf_dir):
     inc = fi.prepare(rel.user_k(spark, sf_dir))
-    sup = _sup(inc, SUP_USER_K)
+    sup = fi.threshold(inc, SUP_USER_K)
     ids = bk.dense_ids(inc, "item", "_id")
-    pairs = fi.in_frequent_buckets(fi.pairs_together(inc), ids, sup, TEST_BUCKETS)
-    l1 = fi.frequent_items(inc, sup).select(F.element_at("items", 1).alias("item"))
-    frequent = pairs.join(l1.withColumnRenamed("item", "a"), "a", "left_semi").join(l1.withColumnRenamed("item", "b"), "b", "left_semi")
-    return frequent.select("a", "b").distinct()
+    pairs = fi.pairs_in_frequent_buckets(inc.join(ids, "item").select("basket", "_id"), "_id", sup, TEST_BUCKETS)
+    l1 = fi.frequent_items(inc, sup).select(F.element_at("items", 1).alias("item")).join(ids, "item")
+    name = lambda c: l1.select(F.col("_id").alias(c), F.col("item").alias(f"_{c}"))
+    frequent = pairs.select("a", "b").distinct().join(name("a"), "a").join(name("b"), "b")
+    return frequent.select(F.col("_a").alias("a"), F.col("_b").alias("b"))
 
 
 def _son_inputs(spark, sf_dir):
-    inc = rel.order_type(spark, sf_dir)
-    return inc, _sup(inc, SUP_SON)
+    return rel.order_type(spark, sf_dir), SUP_SON
 
 
 def son_candidates(spark, sf_dir):
@@ -240,13 +235,13 @@ def son_frequent(spark, sf_dir):
 def son_bucket(spark, sf_dir):
     # SON in two default (hashed) chunks with the bucket filter, on baskets above the size floor.
     inc = bk.with_min_size(rel.order_type(spark, sf_dir), MIN_BASKET_SIZE)
-    _, freq = fi.son(inc, _sup(inc, SUP_MIN_BASKET), 2, prefilter="bucket")
+    _, freq = fi.son(inc, SUP_MIN_BASKET, 2, prefilter="bucket")
     return _levels_out(freq)
 
 
 def apriori_gen(spark, sf_dir):
     inc = fi.prepare(rel.user_k(spark, sf_dir))
-    sup = _sup(inc, SUP_USER_K)
+    sup = SUP_USER_K
     levels = fi.frequent_itemsets(inc, sup, max_k=2)
     l2 = levels.where(F.col("k") == 2).select("items", "support")
     return fi.apriori_gen(l2, 3).select(itemset_key("items").alias("itemset"))

@@ -111,6 +111,73 @@ def test_subsets_of_frequent_sets_are_frequent(spark):
                 assert sub in got
 
 
+def test_bitmaps_over_many_blocks_panels_and_parts(spark, monkeypatch):
+    from basketry.operators import vertical as vt
+
+    monkeypatch.setattr(vt, "BLOCK_BASKETS", 7)
+    monkeypatch.setattr(vt, "PANEL_BYTES", 3 * 4096 * 8)
+    monkeypatch.setattr(vt, "PART_SETS", 3)
+    monkeypatch.setattr(vt, "STEP_BYTES", 4096)
+    rows = _random_rows(11, n_baskets=90)
+    inc = spark.createDataFrame(rows, "basket long, item string")
+    truth = brute_force(rows, 5)
+    assert max(map(len, truth)) > 2
+    assert as_dict(fi.frequent_itemsets(inc, 5)) == truth
+    assert as_dict(fi.son(inc, 5, 3)[1]) == truth
+
+
+def test_a_block_with_more_baskets_than_places_gets_a_second_bitmap(spark, monkeypatch):
+    from basketry.operators import vertical as vt
+
+    monkeypatch.setattr(vt, "PLACES", 64)
+    monkeypatch.setattr(vt, "BLOCK_BASKETS", 1000)
+    rows = _random_rows(12, n_baskets=300)
+    inc = fi.prepare(spark.createDataFrame(rows, "basket long, item string"))
+    placed = vt.placed_baskets(inc, []).collect()
+    assert len({(r["block"], r["place"]) for r in placed}) == len(placed) and len({r["block"] for r in placed}) == 5
+    assert max(r["place"] for r in placed) == 63
+
+
+def test_share_of_the_baskets_as_threshold(spark):
+    rows = _random_rows(13, n_baskets=50)
+    inc = spark.createDataFrame(rows, "basket long, item string")
+    n = len({b for b, _ in rows})
+    assert as_dict(fi.frequent_itemsets(inc, (1, 4))) == brute_force(rows, n // 4)
+    assert as_dict(fi.son(inc, (1, 4), 2)[1]) == brute_force(rows, n // 4)
+
+
+def test_a_prefix_of_many_sets_meets_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(fi, "PREFIX_BLOCK", 4)
+    l1 = spark.createDataFrame([([f"i{k:02d}"],) for k in range(30)], "items array<string>")
+    got = sorted(tuple(r["items"]) for r in fi.apriori_gen(l1, 2).collect())
+    assert got == list(itertools.combinations([f"i{k:02d}" for k in range(30)], 2))
+    l2 = spark.createDataFrame([(list(x),) for x in itertools.combinations([f"i{k:02d}" for k in range(9)], 2)], "items array<string>")
+    assert fi.apriori_gen(l2, 3).count() == 84
+
+
+def test_frequent_buckets_are_bits_of_a_bitmap(spark):
+    tagged = spark.createDataFrame([(b, i, c) for c in (1, 2) for b in range(4) for i in (0, 3 * c, 40000)], "basket long, id long, chunk int")
+    rows = fi.frequent_buckets(tagged, "id", 4, 50000, ["chunk"])
+    got = {(r["chunk"], r["part"] * 32768 + k) for r in rows for k in range(32768) if r["bits"][k // 8] >> k % 8 & 1}
+    assert got == {(c, x) for c in (1, 2) for x in (3 * c, 40000, 40000 - 3 * c)}
+    pairs = fi.pairs_in_frequent_buckets(tagged, "id", 5, 50000, ["chunk"])
+    assert pairs.count() == 0 and pairs.columns == ["chunk", "basket", "a", "b"]
+    assert fi.pairs_in_frequent_buckets(tagged, "id", 4, 50000, ["chunk"]).count() == 24
+
+
+def test_miner_leaves_one_table_behind(spark):
+    import glob
+
+    from basketry.session import ensure_checkpoint_dir
+
+    where = ensure_checkpoint_dir(spark).removeprefix("file:") + "/basketry-tables/*"
+    inc = spark.createDataFrame(_random_rows(14), "basket long, item string")
+    for run in (lambda: fi.frequent_itemsets(inc, 8, prefilter="bucket", buckets=7), lambda: fi.son(inc, 8, 2)[1]):
+        before = set(glob.glob(where))
+        run()
+        assert len(set(glob.glob(where)) - before) <= 2  # what is returned
+
+
 def test_support_boundaries_and_single_item_baskets(spark):
     rows = [(1, "a"), (1, "b"), (2, "a"), (2, "b"), (3, "a"), (4, "c"), (4, "c")]
     inc = spark.createDataFrame(rows, "basket long, item string")
