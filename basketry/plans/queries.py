@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from basketry.operators import layout, reports
 from basketry.operators.baskets import rank_within
+from basketry.session import Scope, cut_lineage
 from basketry.sources.readers import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -291,7 +292,8 @@ def minhash_signatures(spark, sf_dir):
 
 def lsh_candidates(spark, sf_dir):
     sigs = sim.signatures(_doc_sets(spark, sf_dir), N_HASHES)
-    return sim.lsh_candidates(sim.bands(sigs, BAND_ROWS, N_HASHES))
+    with Scope() as scope:  # the bands are counted, then joined: written once
+        return cut_lineage(sim.lsh_candidates(scope.table(sim.bands(sigs, BAND_ROWS, N_HASHES))))
 
 
 def similar_pairs(spark, sf_dir):
@@ -388,7 +390,7 @@ QUERIES.update({
 
 
 # --- files: tables written in the interaction formats and read back ---------------
-from basketry.session import cut_lineage, scratch_folder  # noqa: E402
+from basketry.session import scratch_folder  # noqa: E402
 from basketry.sources.readers import read_interactions_csv, read_reviews  # noqa: E402
 
 
