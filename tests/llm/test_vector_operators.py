@@ -82,13 +82,66 @@ def test_top_k(table):
     assert top_k(table.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def brute_top(rows, k=10, every=20):
+    import math
+
+    ints = [(i, [math.floor(1024 * c) if abs(c) < 1e300 else int(c) * 1024 for c in v]) for i, v in rows]
+    out = []
+    for i, q in ints:
+        if i % every == 0:
+            best = sorted((-sum(a * b for a, b in zip(q, x)), j) for j, x in ints if j != i and len(x) == len(q))[:k]
+            out += [(i, r + 1, j, -s if -(2 ** 63) <= -s < 2 ** 63 else None) for r, (s, j) in enumerate(best)]
+    return out
+
+
+def test_top_k_with_components_of_any_size(spark):
+    rng = np.random.default_rng(6)
+    rows = [(k, [float(c) for c in v]) for k, v in enumerate(rng.standard_normal((90, 16)))]
+    rows += [(100 + k, [3e6] * 15 + [float(k)]) for k in range(5)] + [(120 + k, [1e12 * (-1) ** k] * 15 + [0.5]) for k in range(4)]
+    rows += [(140, [1e307] * 16), (160, [-1e307] * 16), (200, [3e6] * 64), (201, [3e6] * 63 + [1.0]), (220, [3e6] * 64)]
+    frame = spark.createDataFrame([(i, v, 0, 1, "y", None, 2) for i, v in rows], SCHEMA.replace("float", "double")).repartition(3)
+    H.same([tuple(r) for r in top_k(frame, F.col("vec_id") % 20 == 0).collect()], brute_top(rows))
+
+
+def test_top_k_over_many_cells_tiles_and_box_blocks(spark, monkeypatch):
+    import basketry.llm.kd_topk as kd
+
+    for name, value in (("SHARD", 20), ("TILE", 4), ("BOXES", 3), ("LEAF", 4)):
+        monkeypatch.setattr(kd, name, value)
+    rng = np.random.default_rng(7)
+    near = rng.standard_normal((8, 6)) * 3
+    x = [near[k % 8] + 0.1 * rng.standard_normal(6) for k in range(300)] + [near[0]] * 150  # a third of the rows are alike
+    rows = [(k, [float(c) for c in v]) for k, v in enumerate(x)]
+    frame = spark.createDataFrame([(i, v, 0, 1, "y", None, 2) for i, v in rows], SCHEMA.replace("float", "double")).repartition(3)
+    H.same([tuple(r) for r in top_k(frame, F.col("vec_id") % 20 == 0, k=7).collect()], brute_top(rows, 7))
+
+
+def test_boxes_that_cannot_reach_a_floor_are_ruled_out():
+    import pyarrow as pa
+
+    from basketry.llm.kd_topk import _pack_floors, _reach
+
+    q = np.array([[1.0, 0.0], [0.0, 1.0]])
+    tiles = pa.table({"ids": [np.arange(2).tobytes()], "x": [q.tobytes()], "floors": [_pack_floors([1024 * 1024 * 5, None])]})
+    boxes = pa.table({"cell": [0, 1], "sub": [0, 0], "box": [np.array([[0.0, 0], [4, 1]]).tobytes(), np.array([[0.0, 0], [5, 1]]).tobytes()]})
+    got = _reach((pa.scalar(2), pa.scalar(9)), tiles, boxes).to_pylist()
+    assert [(r["cell"], np.frombuffer(r["ids"], np.int64).tolist()) for r in got] == [(0, [1]), (1, [0, 1])]
+
+
+def test_keys_sort_as_integers():
+    from basketry.llm.kd_topk import order_key, order_value
+
+    n = sorted([0, 1, -1, 255, 256, -255, -256, 2 ** 63, -(2 ** 63), 10 ** 600, -(10 ** 600), 7, -7, 65535, -65536])
+    assert [order_value(k) for k in sorted(map(order_key, n))] == n
+
+
 def test_tree_bounds_hold_and_large_numbers_stay_exact():
     rng = np.random.default_rng(4)
     for scale in (50, 2 ** 31 - 1):
-        points = rng.integers(-scale, scale, (700, 6))
+        points = rng.integers(-scale, scale, (700, 6)).astype(float)
         points[:200] = points[0]
         tree = Tree(points, np.arange(700))
-        q = rng.integers(-scale, scale, (5, 6))
-        for i, best in tree.search(q, np.full(5, -1), np.full(5, -(2 ** 63)), 10):
+        q = rng.integers(-scale, scale, (5, 6)).astype(float)
+        for i, best in tree.search(q, np.full(5, -1), [None] * 5, 10):
             exact = sorted(((-sum(int(a) * int(b) for a, b in zip(q[i], p)), j) for j, p in enumerate(points)))[:10]
             assert sorted((-s, -j) for s, j in best) == exact
