@@ -228,7 +228,7 @@ def _answer(pairs_at):
         if kind:
             value, tokens, words = n.astype(np.uint64), int(n.sum()), int((n > 0).sum())
         else:
-            value, tokens, words = Trie(k, n, pairs_at.value).log10(k).astype(np.float32), 0, 0
+            value, tokens, words = Trie(k, n, pairs_at.value).log10(k), 0, 0
         got = [value[np.searchsorted(k, x)].tobytes() for x in keys]
         m = table.num_rows
         return pa.table({"c": table.column("c").cast(pa.int32()), "kind": pa.array([kind] * m, pa.int32()),
@@ -247,7 +247,7 @@ def _score(parts: int):
         kind = reply.column("kind").to_pylist()
         part = reply.column("part").to_pylist()
         blobs = reply.column("answer").to_pylist()
-        for which, (k, of, dtype) in enumerate(((gk, _gram_part(gk, parts), np.float32), (wk, _word_part(wk, parts), np.uint64))):
+        for which, (k, of, dtype) in enumerate(((gk, _gram_part(gk, parts), np.float64), (wk, _word_part(wk, parts), np.uint64))):
             v = np.zeros(len(k), dtype)
             order = np.argsort(of, kind="stable")
             edge = np.searchsorted(of[order], np.arange(parts + 1))
@@ -264,7 +264,7 @@ def _score(parts: int):
             packed.sort()
             k = packed >> _U(24)
             first = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
-            logs = value[0][np.searchsorted(gk, k[first])].astype(np.float64)
+            logs = value[0][np.searchsorted(gk, k[first])]
             score.append(np.bincount((packed & _U((1 << 24) - 1)).astype(np.int64),
                                      weights=np.repeat(logs, np.diff(np.append(first, len(k)))), minlength=n))
             h, row = _words(buf, offs)

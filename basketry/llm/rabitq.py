@@ -6,6 +6,9 @@ its coordinates, the code b (scaled to length one), with the correction factor
 and the error stays within ``SIGMAS`` * sqrt((1 - f**2) / f**2 / (D - 1)) for
 one rotation; the mean over r rotations tightens it by sqrt(r).
 
+The codes, packed to bits, and the correction factors are made once per vector
+and kept; a block of pairs turns only the vectors on its left side.
+
 1. Equal vectors of a label collapse to the smallest id and a count.
 2. Bands of code bits are the buckets of several tables: close vectors share
    most signs.  Bits per band follow from the number of vectors, the number
@@ -39,7 +42,8 @@ from pyspark.sql import functions as F
 from basketry.llm import common as C
 from basketry.llm.vectors import matrices, usable
 
-BLOCK, SIGMAS = 512, 4.0
+#: Vectors of a block, width of the confidence bounds, rotations of a code.
+BLOCK, SIGMAS, TIMES = 512, 4.0, 4
 
 
 @functools.cache
@@ -51,7 +55,7 @@ def rotations(dim: int, times: int) -> np.ndarray:
 
 def plan(n: int, threshold: float, recall: float) -> tuple[int, int]:
     """``(bits of a band, tables)`` for n vectors."""
-    bits = min(16, max(6, math.ceil(math.log2(max(n, 2) / 64))))
+    bits = max(6, math.ceil(math.log2(max(n, 2) / 64)))
     meet = (1 - math.acos(threshold) / math.pi) ** bits
     return bits, math.ceil(math.log(1 - recall) / math.log(1 - meet))
 
@@ -61,6 +65,20 @@ def turned(unit: np.ndarray, times: int) -> np.ndarray:
     return np.einsum("nd,rde->nre", unit, rotations(unit.shape[1], times))
 
 
+def codes(unit: np.ndarray, times: int = TIMES) -> tuple[np.ndarray, np.ndarray]:
+    """Packed sign bits of unit vectors under ``times`` rotations, and the correction factor of each."""
+    y = turned(unit, times)
+    return np.packbits((y > 0).reshape(len(unit), -1), axis=1), np.abs(y).sum(axis=2) / math.sqrt(unit.shape[1])
+
+
+def estimators(packed: np.ndarray, factor: np.ndarray, dim: int) -> tuple[np.ndarray, np.ndarray]:
+    """From kept codes and factors: the vectors whose product with a turned unit vector is the estimate, and the error radii."""
+    times = factor.shape[1]
+    sign = np.unpackbits(packed, axis=1, count=times * dim).reshape(len(packed), times, dim).astype(np.float64) * 2 - 1
+    radius = SIGMAS * np.sqrt(np.maximum(1 - factor ** 2, 0) / factor ** 2 / max(dim - 1, 1)).mean(axis=1) / math.sqrt(times)
+    return (sign / (math.sqrt(dim) * times * factor[:, :, None])).reshape(len(packed), -1), radius
+
+
 def _code(bits: int, tables: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -71,26 +89,18 @@ def _code(bits: int, tables: int):
                 times = math.ceil(bits * tables / x.shape[1])
                 signs = (turned(unit, times) > 0).reshape(len(x), -1)[:, :bits * tables].reshape(len(x), tables, bits)
                 band = (signs * (1 << np.arange(bits))).sum(axis=2).astype(np.int32)
+                code, factor = codes(unit)
                 at = pa.array(rows)
                 yield pa.RecordBatch.from_arrays(
                     [ids.take(at), label.take(at), pa.array([x.shape[1]] * len(x), pa.int32()), count.take(at),
                      pa.ListArray.from_arrays(np.arange(0, band.size + 1, tables, dtype=np.int32), band.ravel()),
-                     pa.array([v.tobytes() for v in x], pa.binary())], ["vec_id", "label", "dim", "m", "bands", "x"])
+                     *[pa.array([v.tobytes() for v in m], pa.binary()) for m in (x, code, factor)]],
+                    ["vec_id", "label", "dim", "m", "bands", "x", "code", "factor"])
 
     return run
 
 
-def estimates(unit: np.ndarray, times: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Codes, correction factors and error radii of unit vectors for ``times`` rotations."""
-    y = turned(unit, times)
-    d = unit.shape[1]
-    code = np.where(y > 0, 1.0, -1.0) / math.sqrt(d)
-    factor = (code * y).sum(axis=2)
-    radius = SIGMAS * np.sqrt(np.maximum(1 - factor ** 2, 0) / factor ** 2 / max(d - 1, 1)).mean(axis=1) / math.sqrt(times)
-    return (code / factor[:, :, None] / times).reshape(len(unit), -1), y.reshape(len(unit), -1), radius
-
-
-def _links(threshold: float, times: int):
+def _links(threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in C.groups(batches, ["label", "dim", "t", "band", "lo", "hi"]):
             ids = t.column("vec_id").to_numpy()
@@ -105,8 +115,11 @@ def _links(threshold: float, times: int):
             right = left if lo == hi else np.flatnonzero(blk == hi)
             if not len(left) or not len(right):
                 continue
-            code, y, radius = estimates(x / norm[:, None], times)
-            near = y[left] @ code[right].T + radius[right][None, :] >= threshold
+            kept = [np.frombuffer(b"".join(t.column(c).to_pylist()), kind).reshape(len(ids), -1)[right]
+                    for c, kind in (("code", np.uint8), ("factor", np.float64))]
+            code, radius = estimators(*kept, x.shape[1])
+            y = turned(x[left] / norm[left, None], TIMES).reshape(len(left), -1)
+            near = y @ code.T + radius[None, :] >= threshold
             if lo == hi:
                 near &= left[:, None] < right[None, :]
             a, b = np.nonzero(near)
@@ -168,7 +181,7 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.93, recall: float = 0.
         n = reps.count()
         bits, tables = plan(n, threshold, recall)
         coded = t.table(reps.select("vec_id", "label", "m", "x").mapInArrow(
-            _code(bits, tables), "vec_id long, label long, dim int, m long, bands array<int>, x binary"))
+            _code(bits, tables), "vec_id long, label long, dim int, m long, bands array<int>, x binary, code binary, factor binary"))
         placed = coded.select("vec_id", "label", "dim", F.posexplode("bands").alias("t", "band"))
         full = placed.groupBy("label", "dim", "t", "band").agg(F.count(F.lit(1)).alias("size")).where("size > 1").select(
             "label", "dim", "t", "band", F.ceil(F.col("size") / BLOCK).cast("int").alias("nb"))
@@ -178,7 +191,7 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.93, recall: float = 0.
                   .select("vec_id", "t", "band", "blk", F.least("blk", "other").alias("lo"), F.greatest("blk", "other").alias("hi")))
         keys = ["label", "dim", "t", "band", "lo", "hi"]
         found = t.table(coded.join(blocks, "vec_id").repartition(*[F.col(k) for k in keys]).sortWithinPartitions(*keys)
-                         .mapInArrow(_links(threshold, 4), "vec_id long, n long, to long"))
+                         .mapInArrow(_links(threshold), "vec_id long, n long, to long"))
         copies = keyed.groupBy("vec_id").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("label", "k1", "k2")).alias("lo"),
                                              F.max(F.struct("label", "k1", "k2")).alias("hi")).where("lo != hi")
         links = found.where("to is not null").select(F.col("vec_id").alias("a"), F.col("to").alias("b"))

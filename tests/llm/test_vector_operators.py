@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from basketry.llm.kd_topk import Tree, top_k
-from basketry.llm.rabitq import estimates, near_vectors, plan
+from basketry.llm.rabitq import TIMES, codes, estimators, near_vectors, plan, turned
 from tests.llm import helpers as H
 
 ROWS = H.vectors()
@@ -57,15 +57,17 @@ def test_recall_at_the_threshold(spark):
     rows = [(k, [float(v) for v in z], 1, 0, "", 0.0, 0) for k, z in enumerate(np.concatenate([x, y]))]
     got = {r.vec_id: r.n_links for r in near_vectors(spark.createDataFrame(rows, SCHEMA.replace("float", "double"))).collect()}
     assert sum(got[k] > 0 for k in range(600)) >= 0.9 * 600
-    assert plan(1200, 0.93, 0.995)[1] >= 1
+    assert plan(1200, 0.93, 0.995)[1] >= 1 and plan(1 << 30, 0.93, 0.995)[0] == 24
 
 
 def test_estimates_are_unbiased_and_bounded():
     rng = np.random.default_rng(2)
     x = rng.standard_normal((300, 64))
     x /= np.linalg.norm(x, axis=1, keepdims=True)
-    code, y, radius = estimates(x, 4)
-    error = y @ code.T - x @ x.T
+    packed, factor = codes(x)
+    assert packed.shape == (300, TIMES * 64 // 8) and factor.shape == (300, TIMES)
+    code, radius = estimators(packed, factor, 64)
+    error = turned(x, TIMES).reshape(300, -1) @ code.T - x @ x.T
     off = ~np.eye(300, dtype=bool)
     assert abs(error[off].mean()) < 0.01 and (np.abs(error) <= radius[None, :])[off].mean() > 0.999
 
