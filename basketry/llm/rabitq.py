@@ -44,6 +44,8 @@ from basketry.llm.vectors import matrices, usable
 
 #: Vectors of a block, width of the confidence bounds, rotations of a code.
 BLOCK, SIGMAS, TIMES = 512, 4.0, 4
+#: What single precision may add to an estimate's error (some thousand terms of at most one in all).
+SINGLE = 1e-4
 
 
 @functools.cache
@@ -62,7 +64,7 @@ def plan(n: int, threshold: float, recall: float) -> tuple[int, int]:
 
 def turned(unit: np.ndarray, times: int) -> np.ndarray:
     """Coordinates under each rotation: (rows, times, dim)."""
-    return np.einsum("nd,rde->nre", unit, rotations(unit.shape[1], times))
+    return (unit @ np.concatenate(rotations(unit.shape[1], times), axis=1)).reshape(len(unit), times, -1)
 
 
 def codes(unit: np.ndarray, times: int = TIMES) -> tuple[np.ndarray, np.ndarray]:
@@ -72,11 +74,15 @@ def codes(unit: np.ndarray, times: int = TIMES) -> tuple[np.ndarray, np.ndarray]
 
 
 def estimators(packed: np.ndarray, factor: np.ndarray, dim: int) -> tuple[np.ndarray, np.ndarray]:
-    """From kept codes and factors: the vectors whose product with a turned unit vector is the estimate, and the error radii."""
+    """From kept codes and factors: the vectors whose product with a turned unit vector is the estimate, and the error radii.
+
+    Estimates are taken in single precision; the radii allow for it.
+    """
     times = factor.shape[1]
-    sign = np.unpackbits(packed, axis=1, count=times * dim).reshape(len(packed), times, dim).astype(np.float64) * 2 - 1
+    weight = (1 / (math.sqrt(dim) * times * factor)).astype(np.float32)
+    sign = np.where(np.unpackbits(packed, axis=1, count=times * dim).reshape(len(packed), times, dim), weight[:, :, None], -weight[:, :, None])
     radius = SIGMAS * np.sqrt(np.maximum(1 - factor ** 2, 0) / factor ** 2 / max(dim - 1, 1)).mean(axis=1) / math.sqrt(times)
-    return (sign / (math.sqrt(dim) * times * factor[:, :, None])).reshape(len(packed), -1), radius
+    return sign.reshape(len(packed), -1), radius + SINGLE
 
 
 def _code(bits: int, tables: int):
@@ -119,7 +125,7 @@ def _links(threshold: float):
                     for c, kind in (("code", np.uint8), ("factor", np.float64))]
             code, radius = estimators(*kept, x.shape[1])
             y = turned(x[left] / norm[left, None], TIMES).reshape(len(left), -1)
-            near = y @ code.T + radius[None, :] >= threshold
+            near = y.astype(np.float32) @ code.T >= (threshold - radius).astype(np.float32)[None, :]
             if lo == hi:
                 near &= left[:, None] < right[None, :]
             a, b = np.nonzero(near)
