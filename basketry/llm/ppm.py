@@ -14,11 +14,18 @@ whole text and its end.
 token: the sum of log10((c + 0.5) / (N + 0.5 * (V + 1))).
 
 Counts are exact and spread: texts are dealt into chunks; a chunk sends each
-of its distinct grams and words once with its training count; grams meet by
-their last two context bytes, words by hash, so a part holds all of a node's
-children; it answers each chunk with the log probability of the chunk's grams
-and the counts of its words.  Only the byte pairs (65,536 counts at any size)
-go through the driver.
+of its distinct grams and words once with its training count, to the parts
+that they fall to and no others; grams meet by their last two context bytes,
+words by hash, so a part holds all of a node's children; it answers each chunk
+with the log probability of the chunk's grams and the counts of its words.
+Byte pairs with at least 1/SPLIT of all positions are split by a third context
+byte; what follows such a pair (256 counts) is then known to every part.  What
+goes through the driver has a fixed size: the byte pairs (65,536 counts), what
+follows the split ones (at most 256 * SPLIT counts) and two totals of words.
+
+ORDER bytes of context and the symbol are one 64-bit key; the number of
+distinct keys keeps growing with the input.  Keys travel as differences of the
+sorted keys, all numbers as compressed byte planes.
 
 Rows: every input row stays.  A null or empty text has no words, one end
 token, and the score of the end symbol after the pad.  A null id is part of
@@ -39,8 +46,13 @@ from pyspark.sql import functions as F
 
 from basketry.llm import common as C
 
-ORDER, PAD, END, SYMBOLS = 4, 254, 255, 256
-SLICE = 2 << 20
+ORDER, PAD, END, SYMBOLS = 6, 254, 255, 256
+SPLIT = 1024
+SLICE = 1 << 20
+#: Rows that are scored together: a row's place among them fits the 8 bits that a key leaves free.
+BLOCK = 256
+#: Distinct word hashes that a task of the first scan holds before it hands them on.
+HELD = 1 << 19
 END_WORD = np.uint64(1)
 _U = np.uint64
 
@@ -102,15 +114,31 @@ def _words(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             np.concatenate([row, np.arange(n)]))
 
 
-def _gram_part(keys: np.ndarray, parts: int) -> np.ndarray:
-    return (C.mix(keys >> _U(8 * (ORDER - 1))) % _U(parts)).astype(np.int64)
+def _gram_part(keys: np.ndarray, parts: int, hot: np.ndarray) -> np.ndarray:
+    """Parts of grams: by the last two context bytes, where those are ``hot`` by the last three."""
+    two = keys >> _U(8 * (ORDER - 1))
+    three = (keys >> _U(8 * (ORDER - 2))) | _U(1 << 24)
+    return (C.mix(np.where(hot[two.astype(np.int64)], three, two)) % _U(parts)).astype(np.int64)
 
 
 def _word_part(keys: np.ndarray, parts: int) -> np.ndarray:
     return (C.mix(keys) % _U(parts)).astype(np.int64)
 
 
-def _chunk(table: pa.Table, with_words: bool = True) -> Iterator[tuple]:
+def _squeeze(values: np.ndarray) -> bytes:
+    """Numbers as compressed byte planes."""
+    planes = np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.itemsize).T)
+    return pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+
+
+def _spread(blob: bytes, n: int, dtype) -> np.ndarray:
+    """What ``_squeeze`` took, ``n`` numbers of ``dtype``."""
+    width = np.dtype(dtype).itemsize
+    planes = np.frombuffer(pa.decompress(blob, n * width, codec="zstd", asbytes=True), np.uint8).reshape(width, n)
+    return np.ascontiguousarray(planes.T).view(dtype).ravel()
+
+
+def _chunk(table: pa.Table) -> Iterator[tuple]:
     texts, learn = table.column("text").combine_chunks(), _rows(table, "learn").astype(np.uint64)
     for lo, hi in C.slices(texts, SLICE):
         buf, offs = C.buffer(texts.slice(lo, hi - lo))
@@ -134,36 +162,55 @@ def _vocabulary(table: pa.Table) -> tuple[tuple[np.ndarray, np.ndarray], tuple[n
     return _merge(*grams), _merge(*words)
 
 
-SENT = "kind int, part int, c int, keys binary, counts binary"
+SENT = "kind int, part int, c int, n int, keys binary, counts binary"
 
 
-def _send(parts: int):
+def _places(k: np.ndarray, of: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Each part that has keys, with the places of its keys (ascending as the keys are)."""
+    order = np.argsort(of, kind="stable")
+    cut = np.flatnonzero(np.diff(of[order])) + 1
+    for places in np.split(order, cut) if len(order) else ():
+        yield int(of[places[0]]), places
+
+
+def _send(parts: int, known):
     def run(key, table):
-        out: dict[str, list] = {n: [] for n in ("kind", "part", "c", "keys", "counts")}
+        out: dict[str, list] = {n: [] for n in ("kind", "part", "c", "n", "keys", "counts")}
         for kind, (k, n) in enumerate(_vocabulary(table)):
-            of = _word_part(k, parts) if kind else _gram_part(k, parts)
-            order = np.argsort(of, kind="stable")
-            edge = np.searchsorted(of[order], np.arange(parts + 1))
-            k, n = k[order], n[order].astype(np.uint32)
-            for p in range(parts):  # a part answers every chunk: its totals are part of the answer
-                a, b = edge[p], edge[p + 1]
-                for name, v in zip(out, (kind, p, key[0].as_py(), k[a:b].tobytes(), n[a:b].tobytes())):
+            n = n.astype(np.uint32)
+            for p, at in _places(k, _word_part(k, parts) if kind else _gram_part(k, parts, known.value.hot)):
+                row = (kind, p, key[0].as_py(), len(at), _squeeze(np.diff(k[at], prepend=_U(0))), _squeeze(n[at]))
+                for name, v in zip(out, row):
                     out[name].append(v)
         return pa.table({n: pa.array(v, pa.binary() if n in ("keys", "counts") else pa.int32()) for n, v in out.items()})
 
     return run
 
 
+class Known:
+    """What every part knows: counts of byte pairs, which contexts of two bytes are split and what follows those, word totals."""
+
+    def __init__(self) -> None:
+        self.pairs = np.zeros((SYMBOLS, SYMBOLS), np.int64)
+        self.hot = np.zeros(SYMBOLS * SYMBOLS, bool)
+        self.keys, self.counts = np.zeros(0, np.uint64), np.zeros(0)
+        self.tokens = self.words = 0
+
+
 class Trie:
     """Counts of ``(context, symbol)`` for each order, from the deepest grams and the byte pairs."""
 
-    def __init__(self, keys: np.ndarray, counts: np.ndarray, pairs: np.ndarray) -> None:
+    def __init__(self, keys: np.ndarray, counts: np.ndarray, known: Known) -> None:
+        pairs = known.pairs
         seen = counts > 0
         k, n = keys[seen], counts[seen].astype(np.float64)
         self.table: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         for o in range(ORDER, 1, -1):
             if o < ORDER:
                 k, n = _merge([((k >> _U(16)) << _U(8)) | (k & _U(255))], [n])
+            if o == 2:  # a split context has children in other parts too
+                own = ~known.hot[(k >> _U(8)).astype(np.int64)]
+                k, n = _merge([k[own], known.keys], [n[own], known.counts])
             self.table[o] = (k, n)
         a, b = np.nonzero(pairs)
         self.table[1] = ((a.astype(np.uint64) << _U(8)) | b.astype(np.uint64), pairs[a, b].astype(np.float64))
@@ -216,57 +263,52 @@ class Trie:
         return out - np.where(open_, np.log10(np.maximum(left, 1)), 0.0)
 
 
-REPLY = "c int, kind int, part int, answer binary, tokens long, words long"
+REPLY = "c int, kind int, part int, answer binary"
 
 
-def _answer(pairs_at):
+def _answer(known):
     def run(key, table):
         kind, part = key[0].as_py(), key[1].as_py()
-        keys = [np.frombuffer(x, np.uint64) for x in table.column("keys").to_pylist()]
-        counts = [np.frombuffer(x, np.uint32).astype(np.int64) for x in table.column("counts").to_pylist()]
+        sizes = table.column("n").to_pylist()
+        keys = [np.cumsum(_spread(x, n, np.uint64)) for x, n in zip(table.column("keys").to_pylist(), sizes)]
+        counts = [_spread(x, n, np.uint32).astype(np.int64) for x, n in zip(table.column("counts").to_pylist(), sizes)]
         k, n = _merge(keys, counts)
-        if kind:
-            value, tokens, words = n.astype(np.uint64), int(n.sum()), int((n > 0).sum())
-        else:
-            value, tokens, words = Trie(k, n, pairs_at.value).log10(k), 0, 0
-        got = [value[np.searchsorted(k, x)].tobytes() for x in keys]
+        value = n.astype(np.uint64) if kind else Trie(k, n, known.value).log10(k)
+        got = [_squeeze(value[np.searchsorted(k, x)]) for x in keys]
         m = table.num_rows
         return pa.table({"c": table.column("c").cast(pa.int32()), "kind": pa.array([kind] * m, pa.int32()),
-                         "part": pa.array([part] * m, pa.int32()), "answer": pa.array(got, pa.binary()),
-                         "tokens": pa.array([tokens] * m, pa.int64()), "words": pa.array([words] * m, pa.int64())})
+                         "part": pa.array([part] * m, pa.int32()), "answer": pa.array(got, pa.binary())})
 
     return run
 
 
-def _score(parts: int):
+def _row_sums(buf: np.ndarray, offs: np.ndarray, keys: np.ndarray, logs: np.ndarray) -> np.ndarray:
+    """Sums over each of at most BLOCK rows of the ``logs`` of its grams."""
+    text, at, row = framed(buf, offs)
+    packed = (gram_keys(text, at) << _U(8)) | row.astype(np.uint64)
+    packed.sort()
+    k = packed >> _U(8)
+    first = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
+    each = np.repeat(logs[np.searchsorted(keys, k[first])], np.diff(np.append(first, len(k))))
+    return np.bincount((packed & _U(255)).astype(np.int64), weights=each, minlength=len(offs) - 1)
+
+
+def _score(parts: int, known):
     def run(key, docs, reply):
         (gk, _), (wk, _) = _vocabulary(docs)
-        value = {}
-        total_n = sum(reply.column("tokens").to_pylist())
-        total_v = sum(reply.column("words").to_pylist())
-        kind = reply.column("kind").to_pylist()
-        part = reply.column("part").to_pylist()
-        blobs = reply.column("answer").to_pylist()
-        for which, (k, of, dtype) in enumerate(((gk, _gram_part(gk, parts), np.float64), (wk, _word_part(wk, parts), np.uint64))):
-            v = np.zeros(len(k), dtype)
-            order = np.argsort(of, kind="stable")
-            edge = np.searchsorted(of[order], np.arange(parts + 1))
-            for kk, p, b in zip(kind, part, blobs):
-                if kk == which:
-                    v[order[edge[p]:edge[p + 1]]] = np.frombuffer(b, dtype)
-            value[which] = v
+        total_n, total_v = known.value.tokens, known.value.words
+        answers = {(w, p): b for w, p, b in zip(*(reply.column(x).to_pylist() for x in ("kind", "part", "answer")))}
+        value = [np.zeros(len(gk)), np.zeros(len(wk), np.uint64)]
+        for which, (k, of) in enumerate(((gk, _gram_part(gk, parts, known.value.hot)), (wk, _word_part(wk, parts)))):
+            for p, at in _places(k, of):
+                value[which][at] = _spread(answers.pop((which, p)), len(at), value[which].dtype)
         norm = math.log10(total_n + 0.5 * (total_v + 1))
         n_tokens, n_known, base, score = [], [], [], []
         for lo, hi, buf, offs, _ in _chunk(docs):
             n = hi - lo
-            text, at, row = framed(buf, offs)
-            packed = (gram_keys(text, at) << _U(24)) | row.astype(np.uint64)
-            packed.sort()
-            k = packed >> _U(24)
-            first = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
-            logs = value[0][np.searchsorted(gk, k[first])]
-            score.append(np.bincount((packed & _U((1 << 24) - 1)).astype(np.int64),
-                                     weights=np.repeat(logs, np.diff(np.append(first, len(k)))), minlength=n))
+            for at in range(0, n, BLOCK):
+                some = offs[at:at + BLOCK + 1]
+                score.append(_row_sums(buf[some[0]:some[-1]], some - some[0], gk, value[0]))
             h, row = _words(buf, offs)
             u, of = np.unique(h, return_inverse=True)
             c = value[1][np.searchsorted(wk, u)].astype(np.float64)
@@ -281,15 +323,63 @@ def _score(parts: int):
     return run
 
 
-def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(SYMBOLS * SYMBOLS, np.int64)
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``(kind, key, n)``: counts of two context bytes with their symbol (0) and of words (1), added up while they fit HELD."""
+    held: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0, np.uint64), np.zeros(0, np.int64))] * 2
+
+    def rows():
+        for kind, (k, n) in enumerate(held):
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), kind, np.int32)), pa.array(k.view(np.int64)), pa.array(n)],
+                                             ["kind", "key", "n"])
+
     for b in batches:
         texts = C.column(b, "text")
         for lo, hi in C.slices(texts, SLICE):
-            text, at, _ = framed(*C.buffer(texts.slice(lo, hi - lo)))
-            total += np.bincount((text[at - 1].astype(np.int64) << 8) | text[at], minlength=len(total))
-    hit = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays([pa.array(hit, pa.int32()), pa.array(total[hit])], ["pair", "n"])
+            buf, offs = C.buffer(texts.slice(lo, hi - lo))
+            text, at, _ = framed(buf, offs)
+            wide = text.astype(np.uint64)
+            three = (wide[at - 1] << _U(16)) | (wide[at - 2] << _U(8)) | wide[at]
+            for kind, keys in enumerate((three, _words(buf, offs)[0])):
+                keys.sort()
+                k, n = _merge_sorted(keys)
+                held[kind] = _merge([held[kind][0], k], [held[kind][1], n])
+            if max(len(k) for k, _ in held) > HELD:
+                yield from rows()
+                held = [(k[:0], n[:0]) for k, n in held]
+    yield from rows()
+
+
+def _merge_sorted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    at = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return keys[at], np.diff(np.append(at, len(keys)))
+
+
+def _known(training: DataFrame) -> Known:
+    """Counts of fixed size over all training texts, from one scan."""
+    out = Known()
+    key = F.col("key")
+    with C.tables() as scope:
+        counted = scope.table(training.select("text").mapInArrow(_gathered, "kind int, key long, n long")
+                              .groupBy("kind", "key").agg(F.sum("n").alias("n")))
+        triples = counted.where("kind = 0")
+        last = F.shiftright(key, 16) * SYMBOLS
+        small = (triples.groupBy(F.lit(0).alias("of"), (last + key % SYMBOLS).alias("key")).agg(F.sum("n").alias("n"))
+                 .union(triples.groupBy(F.lit(1), F.shiftright(key, 8)).agg(F.sum("n")))
+                 .union(counted.where("kind = 1").agg(F.lit(2), F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0)))))
+        two = np.zeros(SYMBOLS * SYMBOLS, np.int64)
+        for r in small.collect():  # at most 2 * 65,536 byte pairs and one row of totals
+            if r.of == 0:
+                out.pairs[r.key >> 8, r.key & 255] = r.n
+            elif r.of == 1:
+                two[r.key] = r.n
+            else:
+                out.words, out.tokens = r.key, r.n
+        out.hot = (two > 0) & (two * SPLIT >= two.sum())
+        hot = np.flatnonzero(out.hot).tolist()  # at most SPLIT
+        if hot:
+            got = triples.where(F.shiftright(key, 8).isin(hot)).select("key", "n").toPandas().sort_values("key")
+            out.keys, out.counts = got["key"].to_numpy(np.uint64), got["n"].to_numpy(np.float64)
+    return out
 
 
 def ppm_scores(docs: DataFrame, learn: Column) -> DataFrame:
@@ -300,11 +390,8 @@ def ppm_scores(docs: DataFrame, learn: Column) -> DataFrame:
     parts = max(16, math.ceil(n_bytes / (16 << 20)))
     dealt = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.coalesce(learn, F.lit(False)).alias("learn"),
                         F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).cast("int").alias("c"))
-    pairs = np.zeros((SYMBOLS, SYMBOLS), np.int64)
-    counted = dealt.where("learn").select("text").mapInArrow(_pairs, "pair int, n long").groupBy("pair").agg(F.sum("n").alias("n"))
-    for r in counted.collect():  # at most 65,536 byte pairs
-        pairs[r.pair >> 8, r.pair & 255] = r.n
-    sent = dealt.groupBy("c").applyInArrow(_send(parts), SENT)
-    reply = sent.groupBy("kind", "part").applyInArrow(_answer(spark.sparkContext.broadcast(pairs)), REPLY)
+    known = spark.sparkContext.broadcast(_known(docs.where(F.coalesce(learn, F.lit(False)))))  # of fixed size
+    sent = dealt.groupBy("c").applyInArrow(_send(parts, known), SENT)
+    reply = sent.groupBy("kind", "part").applyInArrow(_answer(known), REPLY)
     return dealt.groupBy("c").cogroup(reply.groupBy("c")).applyInArrow(
-        _score(parts), "doc_id long, learn boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+        _score(parts, known), "doc_id long, learn boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

@@ -105,7 +105,7 @@ def removed(rows, length=50):
     return out
 
 
-def ppm(rows, learn, order=4):
+def ppm(rows, learn, order=6):
     """Prediction by partial matching, method C with exclusion, one byte at a time."""
     trie = [defaultdict(Counter) for _ in range(order + 1)]
     seq = lambda t: [254] * order + list((t or "").encode()) + [255]

@@ -12,7 +12,7 @@ from basketry.llm.gsaca import suffix_array
 from basketry.llm.minhash_bayes import keep_one, least_matches, near_duplicates
 from basketry.llm.mixing import copies, mix
 from basketry.llm.pfor_files import FileWriter, pack, token_files, unpack
-from basketry.llm.ppm import ppm_scores
+from basketry.llm.ppm import _known, _spread, _squeeze, ppm_scores
 from basketry.llm.quality_qda import features, keep_good, quality_scores
 from basketry.llm.suffix_dedup import remove_repeats, repeats, window_verdicts
 from basketry.llm.toxicity_weak import toxicity_scores
@@ -123,6 +123,22 @@ def test_ppm(docs, empty):
     assert ppm_scores(empty, C.crc_mod(5) != 1).count() == 0
 
 
+def test_ppm_many_rows_of_a_chunk_and_split_contexts(spark):
+    rng = np.random.default_rng(9)
+    rows = [(i, "".join(rng.choice(list("aab \u00e9z"), rng.integers(0, 40)))) for i in range(700)]
+    rows += [(700, "the end of the tale " * 60), (701, "ab" * 900)]  # contexts with a large share of all positions
+    learn = lambda i: H.crc(i, 5) != 1
+    frame = H.frame(spark, rows)
+    assert 0 < _known(frame.where(C.crc_mod(5) != 1)).hot.sum() <= 1024
+    got = [(r.doc_id, r.score) for r in ppm_scores(frame, C.crc_mod(5) != 1).collect()]
+    H.same(got, [(i, s) for (i, _), s in zip(rows, H.ppm(rows, learn))])
+
+
+def test_ppm_numbers_travel_whole():
+    for v in (np.zeros(0, np.uint64), np.array([5, 1 << 56, 0], np.uint64), np.array([-1.5, math.inf]), np.array([7, 1 << 31], np.uint32)):
+        assert _spread(_squeeze(v), len(v), v.dtype).tolist() == v.tolist()
+
+
 def test_ppm_base_score_and_no_training(docs):
     from collections import Counter
 
