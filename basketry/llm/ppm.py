@@ -263,7 +263,7 @@ class Trie:
         return out - np.where(open_, np.log10(np.maximum(left, 1)), 0.0)
 
 
-REPLY = "c int, kind int, part int, answer binary"
+REPLY = "c int, kind int, part int, n int, which binary, answers binary"
 
 
 def _answer(known):
@@ -274,10 +274,16 @@ def _answer(known):
         counts = [_spread(x, n, np.uint32).astype(np.int64) for x, n in zip(table.column("counts").to_pylist(), sizes)]
         k, n = _merge(keys, counts)
         value = n.astype(np.uint64) if kind else Trie(k, n, known.value).log10(k)
-        got = [_squeeze(value[np.searchsorted(k, x)]) for x in keys]
+        distinct, of = np.unique(value, return_inverse=True)  # few: grams of equal counts have equal answers
+        out: dict[str, list] = {"n": [], "which": [], "answers": []}
+        for x in keys:
+            u, i = np.unique(of[np.searchsorted(k, x)], return_inverse=True)
+            for name, v in zip(out, (len(u), _squeeze(i.astype(np.uint32)), _squeeze(distinct[u]))):
+                out[name].append(v)
         m = table.num_rows
         return pa.table({"c": table.column("c").cast(pa.int32()), "kind": pa.array([kind] * m, pa.int32()),
-                         "part": pa.array([part] * m, pa.int32()), "answer": pa.array(got, pa.binary())})
+                         "part": pa.array([part] * m, pa.int32()), "n": pa.array(out["n"], pa.int32()),
+                         "which": pa.array(out["which"], pa.binary()), "answers": pa.array(out["answers"], pa.binary())})
 
     return run
 
@@ -297,11 +303,12 @@ def _score(parts: int, known):
     def run(key, docs, reply):
         (gk, _), (wk, _) = _vocabulary(docs)
         total_n, total_v = known.value.tokens, known.value.words
-        answers = {(w, p): b for w, p, b in zip(*(reply.column(x).to_pylist() for x in ("kind", "part", "answer")))}
+        answers = {(kind, p): got for kind, p, *got in zip(*(reply.column(x).to_pylist() for x in ("kind", "part", "n", "which", "answers")))}
         value = [np.zeros(len(gk)), np.zeros(len(wk), np.uint64)]
         for which, (k, of) in enumerate(((gk, _gram_part(gk, parts, known.value.hot)), (wk, _word_part(wk, parts)))):
             for p, at in _places(k, of):
-                value[which][at] = _spread(answers.pop((which, p)), len(at), value[which].dtype)
+                n, i, got = answers.pop((which, p))
+                value[which][at] = _spread(got, n, value[which].dtype)[_spread(i, len(at), np.uint32)]
         norm = math.log10(total_n + 0.5 * (total_v + 1))
         n_tokens, n_known, base, score = [], [], [], []
         for lo, hi, buf, offs, _ in _chunk(docs):
@@ -323,62 +330,59 @@ def _score(parts: int, known):
     return run
 
 
-def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``(kind, key, n)``: counts of two context bytes with their symbol (0) and of words (1), added up while they fit HELD."""
-    held: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0, np.uint64), np.zeros(0, np.int64))] * 2
-
-    def rows():
-        for kind, (k, n) in enumerate(held):
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), kind, np.int32)), pa.array(k.view(np.int64)), pa.array(n)],
-                                             ["kind", "key", "n"])
-
+def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of byte pairs, one batch a task."""
+    total = np.zeros(SYMBOLS * SYMBOLS, np.int64)
     for b in batches:
         texts = C.column(b, "text")
         for lo, hi in C.slices(texts, SLICE):
-            buf, offs = C.buffer(texts.slice(lo, hi - lo))
-            text, at, _ = framed(buf, offs)
-            wide = text.astype(np.uint64)
-            three = (wide[at - 1] << _U(16)) | (wide[at - 2] << _U(8)) | wide[at]
-            for kind, keys in enumerate((three, _words(buf, offs)[0])):
-                keys.sort()
-                k, n = _merge_sorted(keys)
-                held[kind] = _merge([held[kind][0], k], [held[kind][1], n])
-            if max(len(k) for k, _ in held) > HELD:
-                yield from rows()
-                held = [(k[:0], n[:0]) for k, n in held]
-    yield from rows()
+            text, at, _ = framed(*C.buffer(texts.slice(lo, hi - lo)))
+            total += np.bincount((text[at - 1].astype(np.int64) << 8) | text[at], minlength=len(total))
+    hit = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(hit, pa.int32()), pa.array(total[hit])], ["pair", "n"])
+
+
+def _gathered(hot: np.ndarray):
+    """``(kind, key, n)``: counts of what follows the split contexts (0) and of words (1), added up while they fit HELD."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0, np.uint64), np.zeros(0, np.int64))] * 2
+
+        def rows():
+            for kind, (k, n) in enumerate(held):
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), kind, np.int32)), pa.array(k.view(np.int64)), pa.array(n)],
+                                                 ["kind", "key", "n"])
+
+        for b in batches:
+            texts = C.column(b, "text")
+            for lo, hi in C.slices(texts, SLICE):
+                buf, offs = C.buffer(texts.slice(lo, hi - lo))
+                text, at, _ = framed(buf, offs)
+                wide = text.astype(np.uint64)
+                context = (wide[at - 1] << _U(8)) | wide[at - 2]
+                three = ((context << _U(8)) | wide[at])[hot[context.astype(np.int64)]]
+                for kind, keys in enumerate((three, _words(buf, offs)[0])):
+                    held[kind] = _merge([held[kind][0], keys], [held[kind][1], np.ones(len(keys), np.int64)])
+                if max(len(k) for k, _ in held) > HELD:
+                    yield from rows()
+                    held[:] = [(k[:0], n[:0]) for k, n in held]
+        yield from rows()
 
-
-def _merge_sorted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    at = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-    return keys[at], np.diff(np.append(at, len(keys)))
+    return run
 
 
 def _known(training: DataFrame) -> Known:
-    """Counts of fixed size over all training texts, from one scan."""
-    out = Known()
-    key = F.col("key")
-    with C.tables() as scope:
-        counted = scope.table(training.select("text").mapInArrow(_gathered, "kind int, key long, n long")
-                              .groupBy("kind", "key").agg(F.sum("n").alias("n")))
-        triples = counted.where("kind = 0")
-        last = F.shiftright(key, 16) * SYMBOLS
-        small = (triples.groupBy(F.lit(0).alias("of"), (last + key % SYMBOLS).alias("key")).agg(F.sum("n").alias("n"))
-                 .union(triples.groupBy(F.lit(1), F.shiftright(key, 8)).agg(F.sum("n")))
-                 .union(counted.where("kind = 1").agg(F.lit(2), F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0)))))
-        two = np.zeros(SYMBOLS * SYMBOLS, np.int64)
-        for r in small.collect():  # at most 2 * 65,536 byte pairs and one row of totals
-            if r.of == 0:
-                out.pairs[r.key >> 8, r.key & 255] = r.n
-            elif r.of == 1:
-                two[r.key] = r.n
-            else:
-                out.words, out.tokens = r.key, r.n
-        out.hot = (two > 0) & (two * SPLIT >= two.sum())
-        hot = np.flatnonzero(out.hot).tolist()  # at most SPLIT
-        if hot:
-            got = triples.where(F.shiftright(key, 8).isin(hot)).select("key", "n").toPandas().sort_values("key")
-            out.keys, out.counts = got["key"].to_numpy(np.uint64), got["n"].to_numpy(np.float64)
+    """Counts of fixed size over all training texts, from two scans of them."""
+    out, texts = Known(), training.select("text")
+    for r in texts.mapInArrow(_pairs, "pair int, n long").groupBy("pair").agg(F.sum("n").alias("n")).collect():  # at most 65,536
+        out.pairs[r.pair >> 8, r.pair & 255] = r.n
+    often = (out.pairs > 0) & (out.pairs * SPLIT >= out.pairs.sum())
+    out.hot = often.T.ravel()  # a context has its last byte first
+    counted = texts.mapInArrow(_gathered(out.hot), "kind int, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n"))
+    small = counted.groupBy(F.when(F.col("kind") == 0, F.col("key")).alias("key")).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("kinds"))
+    got = {r.key: (r.n, r.kinds) for r in small.collect()}  # at most 256 * SPLIT rows and the totals of the words
+    out.tokens, out.words = got.pop(None, (0, 0))
+    out.keys = np.array(sorted(got), np.uint64)
+    out.counts = np.array([got[k][0] for k in sorted(got)], np.float64)
     return out
 
 
