@@ -42,9 +42,9 @@ def text_bytes(docs: DataFrame, col: str = "text") -> int:
     return docs.agg(F.coalesce(F.sum(F.octet_length(col).cast("long")), F.lit(0))).first()[0]
 
 
-def chunk_count(n_bytes: int, spark) -> int:
-    """Chunks for so many bytes: one per CHUNK_BYTES, and at least one per core."""
-    return max(1, math.ceil(n_bytes / CHUNK_BYTES), min(spark.sparkContext.defaultParallelism, 1 + (n_bytes >> 16)))
+def chunk_count(n_bytes: int, spark, size: int = CHUNK_BYTES) -> int:
+    """Chunks for so many bytes: one per ``size``, and at least one per core."""
+    return max(1, math.ceil(n_bytes / size), min(spark.sparkContext.defaultParallelism, 1 + (n_bytes >> 16)))
 
 
 def connected_components(edges: DataFrame) -> DataFrame:

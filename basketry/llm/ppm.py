@@ -49,6 +49,8 @@ from basketry.llm import common as C
 ORDER, PAD, END, SYMBOLS = 6, 254, 255, 256
 SPLIT = 1024
 SLICE = 1 << 20
+#: Bytes of text in a chunk: the more, the fewer grams are sent more than once.
+CHUNK = 16 << 20
 #: Rows that are scored together: a row's place among them fits the 8 bits that a key leaves free.
 BLOCK = 256
 #: Distinct word hashes that a task of the first scan holds before it hands them on.
@@ -361,7 +363,9 @@ def _gathered(hot: np.ndarray):
                 context = (wide[at - 1] << _U(8)) | wide[at - 2]
                 three = ((context << _U(8)) | wide[at])[hot[context.astype(np.int64)]]
                 for kind, keys in enumerate((three, _words(buf, offs)[0])):
-                    held[kind] = _merge([held[kind][0], keys], [held[kind][1], np.ones(len(keys), np.int64)])
+                    keys.sort()
+                    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+                    held[kind] = _merge([held[kind][0], keys[first]], [held[kind][1], np.diff(np.append(first, len(keys)))])
                 if max(len(k) for k, _ in held) > HELD:
                     yield from rows()
                     held[:] = [(k[:0], n[:0]) for k, n in held]
@@ -390,7 +394,7 @@ def ppm_scores(docs: DataFrame, learn: Column) -> DataFrame:
     """``(doc_id, learn, n_tokens, n_known, train_tokens, base_score, score)``, one row per input row."""
     spark = docs.sparkSession
     n_bytes = C.text_bytes(docs)
-    chunks = C.chunk_count(n_bytes, spark)
+    chunks = C.chunk_count(n_bytes, spark, CHUNK)
     parts = max(16, math.ceil(n_bytes / (16 << 20)))
     dealt = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.coalesce(learn, F.lit(False)).alias("learn"),
                         F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).cast("int").alias("c"))
