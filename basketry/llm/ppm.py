@@ -96,6 +96,28 @@ def _merge(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray
     return k[at], np.add.reduceat(c, at) if len(at) else c
 
 
+class Merger:
+    """Counts of keys from many pieces; equal numbers of pieces are merged, so little more than the result is held."""
+
+    def __init__(self) -> None:
+        self.held: list[tuple[int, np.ndarray, np.ndarray]] = []
+
+    def add(self, keys: np.ndarray, counts: np.ndarray) -> None:
+        pieces = 1
+        while self.held and self.held[-1][0] == pieces:
+            _, k, c = self.held.pop()
+            keys, counts = _merge([k, keys], [c, counts])
+            pieces *= 2
+        self.held.append((pieces, keys, counts))
+
+    def total(self) -> tuple[np.ndarray, np.ndarray]:
+        keys, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        while self.held:
+            _, k, c = self.held.pop()
+            keys, counts = _merge([k, keys], [c, counts])
+        return keys, counts
+
+
 def _counted(keys: np.ndarray, learn: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys and how often each occurs in training rows."""
     packed = (keys << _U(1)) | learn
@@ -149,19 +171,16 @@ def _chunk(table: pa.Table) -> Iterator[tuple]:
 
 def _vocabulary(table: pa.Table) -> tuple[tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]:
     """Sorted distinct grams and words of a chunk with their training counts."""
-    grams, words = ([], []), ([], [])
+    grams, words = Merger(), Merger()
     for _, _, buf, offs, learn in _chunk(table):
         text, at, row = framed(buf, offs)
-        k, n = _counted(gram_keys(text, at), learn[row])
-        grams[0].append(k)
-        grams[1].append(n)
+        grams.add(*_counted(gram_keys(text, at), learn[row]))
         h, row = _words(buf, offs)
         order = np.argsort(h)
         h, flag = h[order], learn[row[order]].astype(np.int64)
         first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
-        words[0].append(h[first])
-        words[1].append(np.add.reduceat(flag, first))
-    return _merge(*grams), _merge(*words)
+        words.add(h[first], np.add.reduceat(flag, first))
+    return grams.total(), words.total()
 
 
 SENT = "kind int, part int, c int, n int, keys binary, counts binary"
