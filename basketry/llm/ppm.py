@@ -96,26 +96,25 @@ def _merge(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray
     return k[at], np.add.reduceat(c, at) if len(at) else c
 
 
-class Merger:
-    """Counts of keys from many pieces; equal numbers of pieces are merged, so little more than the result is held."""
-
-    def __init__(self) -> None:
-        self.held: list[tuple[int, np.ndarray, np.ndarray]] = []
-
-    def add(self, keys: np.ndarray, counts: np.ndarray) -> None:
-        pieces = 1
-        while self.held and self.held[-1][0] == pieces:
-            _, k, c = self.held.pop()
-            keys, counts = _merge([k, keys], [c, counts])
-            pieces *= 2
-        self.held.append((pieces, keys, counts))
-
-    def total(self) -> tuple[np.ndarray, np.ndarray]:
-        keys, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        while self.held:
-            _, k, c = self.held.pop()
-            keys, counts = _merge([k, keys], [c, counts])
-        return keys, counts
+def _distinct(keys: list[np.ndarray]) -> np.ndarray:
+    k = np.concatenate(keys)
+    k.sort()
+    return k[np.concatenate([[True], k[1:] != k[:-1]])] if len(k) else k
+
+
+def merged(pieces: Iterator, merge, empty):
+    """``merge`` over all pieces; equal numbers of them meet, so little more than the result is held."""
+    held: list[tuple[int, object]] = []
+    for one in pieces:
+        n = 1
+        while held and held[-1][0] == n:
+            one = merge(held.pop()[1], one)
+            n *= 2
+        held.append((n, one))
+    out = empty
+    while held:
+        out = merge(held.pop()[1], out)
+    return out
 
 
 def _counted(keys: np.ndarray, learn: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -171,16 +170,28 @@ def _chunk(table: pa.Table) -> Iterator[tuple]:
 
 def _vocabulary(table: pa.Table) -> tuple[tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]:
     """Sorted distinct grams and words of a chunk with their training counts."""
-    grams, words = Merger(), Merger()
-    for _, _, buf, offs, learn in _chunk(table):
-        text, at, row = framed(buf, offs)
-        grams.add(*_counted(gram_keys(text, at), learn[row]))
-        h, row = _words(buf, offs)
-        order = np.argsort(h)
-        h, flag = h[order], learn[row[order]].astype(np.int64)
-        first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
-        words.add(h[first], np.add.reduceat(flag, first))
-    return grams.total(), words.total()
+    def pieces():
+        for _, _, buf, offs, learn in _chunk(table):
+            text, at, row = framed(buf, offs)
+            h, word_row = _words(buf, offs)
+            order = np.argsort(h)
+            h, flag = h[order], learn[word_row[order]].astype(np.int64)
+            first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
+            yield _counted(gram_keys(text, at), learn[row]), (h[first], np.add.reduceat(flag, first))
+
+    none = (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+    return merged(pieces(), lambda x, y: tuple(_merge([a, c], [b, d]) for (a, b), (c, d) in zip(x, y)), (none, none))
+
+
+def _keys(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct grams and words of a chunk."""
+    def pieces():
+        for _, _, buf, offs, _ in _chunk(table):
+            text, at, _ = framed(buf, offs)
+            yield _distinct([gram_keys(text, at)]), _distinct([_words(buf, offs)[0]])
+
+    none = np.zeros(0, np.uint64)
+    return merged(pieces(), lambda x, y: tuple(_distinct([a, b]) for a, b in zip(x, y)), (none, none))
 
 
 SENT = "kind int, part int, c int, n int, keys binary, counts binary"
@@ -322,7 +333,7 @@ def _row_sums(buf: np.ndarray, offs: np.ndarray, keys: np.ndarray, logs: np.ndar
 
 def _score(parts: int, known):
     def run(key, docs, reply):
-        (gk, _), (wk, _) = _vocabulary(docs)
+        gk, wk = _keys(docs)
         total_n, total_v = known.value.tokens, known.value.words
         answers = {(kind, p): got for kind, p, *got in zip(*(reply.column(x).to_pylist() for x in ("kind", "part", "n", "which", "answers")))}
         value = [np.zeros(len(gk)), np.zeros(len(wk), np.uint64)]
