@@ -300,8 +300,42 @@ def _bfs_sql(levels: int = 48) -> str:
     return ", ".join(ctes)
 
 
+def _communities_sql() -> str:
+    """The whole sequence of removals, one recursion step each, and the partition of largest modularity.
+
+    A step computes the betweenness of the edges left (``_bfs_sql`` over
+    them; a path beyond its levels is an error) and keeps what is below the
+    top score; the recursion ends when no edge is left.  Components of every
+    step follow from reachability over its edges.
+    """
+    levels = 64
+    step = (f"WITH adj AS MATERIALIZED (SELECT src, dst FROM gn UNION ALL SELECT dst, src FROM gn), {_bfs_sql(levels)}, "
+            "top AS MATERIALIZED (SELECT max(b) AS t FROM eb), "
+            f"far AS MATERIALIZED (SELECT CASE WHEN count(*) > 0 THEN error('a path of more levels') ELSE 0 END AS x FROM f{levels}) "
+            "SELECT g.step + 1 AS step, g.src, g.dst FROM gn g JOIN eb ON eb.src = g.src AND eb.dst = g.dst, top, far "
+            "WHERE eb.b < top.t * (1 - 1e-9) AND far.x = 0")
+    return (f"WITH RECURSIVE {_EDGES}, gn(step, src, dst) AS ("
+            f"SELECT 0, src, dst FROM e UNION ALL SELECT * FROM ({step})), "
+            "g AS MATERIALIZED (SELECT * FROM gn), "
+            "steps AS MATERIALIZED (SELECT unnest(range(0, (SELECT max(step) + 2 FROM g)))::INTEGER AS step), "
+            "ga AS MATERIALIZED (SELECT step, src, dst FROM g UNION ALL SELECT step, dst, src FROM g), "
+            "r(step, node, root) AS (SELECT step, node, node FROM steps, nodes UNION "
+            "SELECT r.step, ga.dst, r.root FROM r JOIN ga ON ga.step = r.step AND ga.src = r.node), "
+            "lab AS MATERIALIZED (SELECT step, node, min(root) AS community FROM r GROUP BY 1, 2), "
+            "m AS MATERIALIZED (SELECT count(*) AS m FROM e), "
+            "deg AS (SELECT src AS node, count(*) AS deg FROM adj GROUP BY 1), "
+            "ins AS (SELECT x.step, x.community, count(*) AS l FROM e JOIN lab x ON x.node = e.src "
+            "JOIN lab y ON y.node = e.dst AND y.step = x.step AND y.community = x.community GROUP BY 1, 2), "
+            "dc AS (SELECT step, community, sum(deg) AS d FROM lab JOIN deg USING (node) GROUP BY 1, 2), "
+            "q AS MATERIALIZED (SELECT step, sum(coalesce(l, 0) / m - pow(d / (2 * m), 2)) AS q "
+            "FROM dc LEFT JOIN ins USING (step, community), m GROUP BY 1), "
+            "best AS (SELECT min(step) AS step FROM q WHERE q >= (SELECT max(q) FROM q) - 1e-12) "
+            "SELECT node, community FROM lab WHERE step = (SELECT step FROM best)")
+
+
 ORACLE.update({
     "shared_item_edges": f"WITH {_EDGES} SELECT src, dst, shared FROM e",
+    "communities": _communities_sql(),
     "components": f"WITH RECURSIVE {_EDGES}, {_components_sql('e')} SELECT node, component FROM lab",
     "edge_betweenness": f"WITH {_EDGES}, {_bfs_sql()} SELECT src, dst, round(b, 4) AS betweenness FROM eb",
     "split_round": (f"WITH RECURSIVE {_EDGES}, {_bfs_sql()}, "
