@@ -285,13 +285,13 @@ def jaccard_exact(spark, sf_dir):
 
 
 def minhash_signatures(spark, sf_dir):
-    sigs = sim.signatures(_doc_sets(spark, sf_dir), N_HASHES)
+    sigs = sim.signatures(_doc_sets(spark, sf_dir), N_HASHES, by_set=True)
     return sigs.select(F.col("set_id").alias("doc_id"),
                        F.array_join(F.transform("sig", lambda v: v.cast("string")), ",").alias("sig"))
 
 
 def lsh_candidates(spark, sf_dir):
-    sigs = sim.signatures(_doc_sets(spark, sf_dir), N_HASHES)
+    sigs = sim.signatures(_doc_sets(spark, sf_dir), N_HASHES, by_set=True)
     with Scope() as scope:  # the bands are counted, then joined: written once
         return cut_lineage(sim.lsh_candidates(scope.table(sim.bands(sigs, BAND_ROWS, N_HASHES))))
 

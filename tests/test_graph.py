@@ -201,6 +201,26 @@ def test_communities_with_ties_across_components(spark):
     assert got == girvan_newman_brute(pairs)
 
 
+@pytest.mark.parametrize("seed", [3, 4])
+def test_communities_sql_is_the_whole_sequence(seed):
+    import random
+
+    import duckdb
+
+    from basketry.plans import ORACLE
+
+    rng = random.Random(seed)
+    pairs = {tuple(sorted(rng.sample(range(lo, lo + 7), 2))) for lo in (0, 7, 20) for _ in range(12)} | {(3, 9), (40, 41)}
+    con = duckdb.connect()
+    con.execute("CREATE TABLE orders (o_orderkey BIGINT, o_custkey BIGINT)")
+    con.execute("CREATE TABLE lineitem (l_orderkey BIGINT, l_partkey BIGINT)")
+    for k, (a, b) in enumerate(sorted(pairs)):  # every edge is two parts that only its ends have
+        for at, v in ((2 * k, a), (2 * k + 1, b)):
+            con.execute("INSERT INTO orders VALUES (?, ?)", [at, v])
+            con.execute("INSERT INTO lineitem VALUES (?, ?), (?, ?)", [at, 2 * k, at, 2 * k + 1])
+    assert dict(con.execute(ORACLE["communities"]).fetchall()) == girvan_newman_brute(pairs)
+
+
 def test_communities_of_large_parts_go_through_rounds(spark, monkeypatch):
     """Parts above the bound of a task are split by distributed rounds, with the same result."""
     one = [(1, 2), (2, 3), (1, 3), (3, 4), (4, 5), (5, 6), (4, 6), (6, 7)]
