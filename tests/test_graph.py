@@ -290,3 +290,38 @@ def test_golden_communities(spark):
         groups.setdefault(r["community"], []).append(r["node"])
     got = {tuple(sorted(v)) for v in groups.values()}
     assert got == want
+
+
+def test_blocks_of_small_components_share_calls(spark, monkeypatch):
+    # 60 triangles with tails: as many tasks as packs, not one, and several components in a call
+    edges = [(10 * k + a, 10 * k + b) for k in range(60) for a, b in ((0, 1), (0, 2), (1, 2), (2, 3))]
+    monkeypatch.setattr(gr, "PACK_EDGES", 40)
+    assert gr._packed(spark.createDataFrame(edges, "src long, dst long"), ["src"], 6, "p").rdd.getNumPartitions() == 6
+    found = {(r.src, r.dst): r.betweenness for r in gr.edge_betweenness(spark.createDataFrame(edges, "src long, dst long")).collect()}
+    assert found == pytest.approx(brandes(edges))
+    labels = {r.node: r.community for r in gr.communities(spark.createDataFrame(edges, "src long, dst long")).collect()}
+    assert len(labels) == 240 and all(c // 10 == v // 10 for v, c in labels.items())
+
+
+def test_light_pairs_counted_in_steps(spark, monkeypatch):
+    # steps of few lists and pairs, users whose pairs are counted by row, and names as ids
+    import random
+    from collections import Counter
+    from itertools import combinations
+
+    from basketry.operators import cooccurrence as co
+
+    rng = random.Random(4)
+    rows = sorted({(f"u{rng.randrange(30)}", rng.randrange(60)) for _ in range(500)} | {("u7", i) for i in range(50)})
+    users: dict = {}
+    for u, i in rows:
+        users.setdefault(i, set()).add(u)
+    want = Counter(p for us in users.values() for p in combinations(sorted(us), 2))
+    df = spark.createDataFrame(rows + rows[:20], "basket string, item long")
+    for steps in ((512, 1 << 20, 65_536), (3, 5, 65_536), (3, 5, 20)):
+        for name, value in zip(("STEP_LISTS", "STEP_PAIRS", "BUSY"), steps):
+            monkeypatch.setattr(co, name, value)
+        monkeypatch.setattr(co, "PART_PAIRS", 300)
+        for thre in (1, 4):
+            found = [((r.src, r.dst), r.shared) for r in co.shared_counts(df, thre).collect()]
+            assert len(found) == len(dict(found)) and dict(found) == {p: n for p, n in want.items() if n >= thre}
