@@ -239,3 +239,30 @@ def test_rank_within_hot_group(spark):
         for i, x in enumerate(xs):
             want[(g, x)] = (i, len(xs))
     assert got == want
+
+
+def test_small_baskets_are_paired_without_a_shuffle(spark):
+    from pyspark.sql import functions as F
+
+    rows = [(b, f"i{x}") for b in range(40) for x in range(b % 6)] + [(None, "i1"), (None, "i2")]
+    inc = spark.createDataFrame(rows, "basket long, item string").repartition(3, "basket")
+    pairs = fi.pairs_together(inc)
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+    got = sorted(tuple(r) for r in pairs.collect())
+    assert got == sorted((b, f"i{x}", f"i{y}") for b in range(40) for x in range(b % 6) for y in range(x + 1, b % 6))
+    # baskets above and below the block, and both at once, give the same pairs
+    for block in (2, 4):
+        assert sorted(tuple(r) for r in fi.pairs_together(inc, block=block).collect()) == got
+    chunked = fi.pairs_together(inc.withColumn("chunk", F.lit(1)), ["chunk"], block=3)
+    assert sorted(tuple(r)[1:] for r in chunked.collect()) == got
+
+
+def test_baskets_of_orders_are_laid_out_once(spark):
+    from basketry.sources import relations as rel
+
+    from conftest import SF_SMALL
+    inc = fi.prepare(rel.order_type(spark, SF_SMALL))
+    plan = inc.groupBy("basket").count()._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(basket") == 1 and "hashpartitioning(basket#" in plan
+    assert inc.count() == inc.distinct().count()
