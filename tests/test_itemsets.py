@@ -266,3 +266,35 @@ def test_baskets_of_orders_are_laid_out_once(spark):
     plan = inc.groupBy("basket").count()._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning(basket") == 1 and "hashpartitioning(basket#" in plan
     assert inc.count() == inc.distinct().count()
+
+
+def test_a_large_level_is_never_broadcast(spark, monkeypatch):
+    # its files may be small where the rows are not: broadcasting them fills the driver
+    plans = []
+
+    def seen(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return cut(df)
+
+    cut = fi.cut_lineage
+    monkeypatch.setattr(fi, "cut_lineage", seen)
+    prev = spark.createDataFrame([(["a", "b"],), (["a", "c"],), (["b", "c"],), (["b", "d"],)], "items array<string>")
+    for rows in (None, fi.BROADCAST_SETS + 1, 4):
+        got = fi.apriori_gen(prev, 3, rows=rows).collect()
+        assert [r["items"] for r in got] == [["a", "b", "c"]]
+    assert "BroadcastExchange" not in plans[0] + plans[1]
+
+
+def test_bitmaps_of_few_baskets_take_few_bytes(spark):
+    from basketry.operators import vertical
+    from basketry.session import Scope
+
+    rows = [(b, f"i{x}") for b in range(100) for x in range(5) if (b * (x + 3)) % 7 < 4]
+    inc = spark.createDataFrame(rows, "basket long, item string")
+    with Scope() as scope:
+        bits, n = vertical.item_bitmaps(scope, inc, 5, [])
+        assert n == 5 and all(len(r["bits"]) <= 13 for r in bits.collect())
+        sets = spark.createDataFrame([(["i0"],), (["i0", "i1"],), (["i1", "i3", "i4"],), (["i0", "none"],)], "items array<string>")
+        got = {tuple(r["items"]): r["support"] for r in vertical.count_sets(bits, sets, 4, []).collect()}
+    held = {x: {b for b, i in rows if i == x} for x in ("i0", "i1", "i3", "i4")}
+    assert got == {s: len(set.intersection(*(held[x] for x in s))) for s in (("i0",), ("i0", "i1"), ("i1", "i3", "i4"))}
