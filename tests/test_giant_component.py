@@ -146,3 +146,55 @@ def test_threshold_follows_the_counts(spark):
     inc = spark.createDataFrame([(u, i) for u in range(100) for i in range(u // 2 * 3, u // 2 * 3 + 3)], "basket long, item long")
     assert gr.shared_item_graph(inc).count() == 50
     assert gr.shared_item_graph(inc.limit(0)).count() == 0
+
+
+def test_trees_on_cycles_need_no_paths(spark, monkeypatch):
+    import pandas as pd
+
+    # a ring of six with a chord, long and bushy trees on it, and a component that is a tree
+    ring = [(0, 1), (1, 2), (2, 3), (3, 4), (4, 5), (0, 5), (1, 4)]
+    trees = [(0, 10), (10, 11), (11, 12), (11, 13), (3, 14), (3, 15), (15, 16)] + [(k, k + 1) for k in range(16, 30)]
+    alone = [(50, 51), (51, 52), (51, 53), (53, 54)]
+    pairs = ring + trees + alone
+    of = [50 if a >= 50 else 0 for a, _ in pairs]
+    left = gr._stripped(pd.DataFrame(pairs, columns=["src", "dst"]).assign(component=of))
+    assert sorted(zip(left.src[left.core], left.dst[left.core])) == sorted(ring)
+    want = brandes(pairs)
+    assert all(r.c / 2 == want[r.src, r.dst] for r in left[~left.core].itertuples())
+    check(gr.edge_betweenness(_edges(spark, pairs)), pairs)
+    monkeypatch.setattr(gr, "SOURCE_BLOCK", 1)
+    monkeypatch.setattr(gr, "BLOCK_WORK", 8)
+    check(gr.edge_betweenness(_edges(spark, pairs)), pairs)
+
+
+def test_sparse_giant_component_is_followed_in_blocks(spark, monkeypatch):
+    # 120,000 nodes hang off a few cycles and go first; level by level, as above 100,000 edges before, this took no end
+    def never(*args):
+        raise AssertionError("level by level")
+
+    monkeypatch.setattr(gr, "level_credits", never)
+    rng = random.Random(3)
+    core = random_graph(4, 60, 90)
+    nodes = [a for a, _ in core] + [b for _, b in core]
+    tree = [(rng.choice(nodes), 1000 + k) for k in range(120_000)]
+    got = {(r["src"], r["dst"]): r["betweenness"] for r in gr.edge_betweenness(_edges(spark, core + tree)).collect()}
+    total = 60 + len(tree)
+    assert len(got) == len(core) + len(tree)
+    assert all(got[e] == total - 1 for e in tree)
+    weight = {v: 1 + sum(a == v for a, _ in tree) for v in set(nodes)}
+    # between two nodes of the core there are weight * weight shortest paths: their lengths add up over the edges
+    around = {}
+    for a, b in core:
+        around.setdefault(a, []).append(b)
+        around.setdefault(b, []).append(a)
+    lengths = 0
+    for s in around:
+        far = {s: 0}
+        order = [s]
+        for v in order:
+            for w in around[v]:
+                if w not in far:
+                    far[w] = far[v] + 1
+                    order.append(w)
+        lengths += sum(weight[s] * weight[v] * d for v, d in far.items())
+    assert sum(got[e] for e in core) == pytest.approx(lengths / 2)
